@@ -30,3 +30,17 @@ def with_(*ctes: str) -> str:
 SALES = SALES_SQL
 CUSTOMERS = CUSTOMERS_SQL
 PRODUCTS = PRODUCTS_SQL
+
+
+def quantile(src: str, col: str, p: float) -> str:
+    """Scalar subquery: exact quantile of ``col`` in ``src`` with Spark's
+    ``percentile`` interpolation, written out with ROW_NUMBER."""
+    return f"""(SELECT CASE WHEN floor(pos) = ceil(pos) THEN a
+                 ELSE (ceil(pos) - pos) * a + (pos - floor(pos)) * b END
+       FROM (SELECT MAX(pos) AS pos,
+                    MAX(CASE WHEN rn - 1 = floor(pos) THEN v END) AS a,
+                    MAX(CASE WHEN rn - 1 = ceil(pos) THEN v END) AS b
+             FROM (SELECT CAST({col} AS DOUBLE) AS v,
+                          ROW_NUMBER() OVER (ORDER BY {col}) AS rn,
+                          {float(p)} * (COUNT(*) OVER () - 1) AS pos
+                   FROM {src} WHERE {col} IS NOT NULL) _r) _q)"""

@@ -98,8 +98,12 @@ def main():
             r = compare(spark, con, name, QUERIES[name], ORACLE.get(name), sf_dir)
         except Exception as e:  # report and continue
             r = {"name": name, "error": f"{type(e).__name__}: {str(e)[:300]}"}
-        good = r.get("oracle") is None and "error" not in r or (r.get("cols") and r.get("values")
-                                                                 and r.get("rows") == r.get("oracle_rows"))
+        if "error" in r:
+            good = False
+        elif "oracle" in r:
+            good = True
+        else:
+            good = bool(r["cols"] and r["values"] and r["rows"] == r["oracle_rows"])
         bad += 0 if good else 1
         print(("OK  " if good else "BAD ") + str(r), flush=True)
     print(f"{len(names or QUERIES) - bad} ok, {bad} bad")
