@@ -1 +1,191 @@
-"""Queries registered by this module."""
+"""Currency and data-quality queries."""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import functions as F
+
+from martlake.operators import currency as CUR
+from martlake.operators import quality as Q
+from martlake.plans.registry import query
+from martlake.plans.sql_helpers import CUSTOMERS, PRODUCTS, with_
+from martlake.sources import tables as T
+
+# Rate document of the examples (base EUR). USD and CZK are the reference's
+# sample rates; GBP and JPY complete its target list.
+RATES_DOC = json.dumps({"base": "EUR", "rates": {"USD": 1.1, "CZK": 25.5, "GBP": 0.85, "JPY": 160.25}})
+TARGETS = ["USD", "CZK", "GBP", "JPY"]
+RATES_DATE = "2025-01-01"
+# Categories accepted by the strict level on the driver tables' product types.
+ALLOWED_CATEGORIES = ["STANDARD", "ECONOMY", "PROMO", "MEDIUM", "SMALL"]
+RATES_SQL = "rates(currency, rate) AS (VALUES ('USD', 1.1), ('CZK', 25.5), ('GBP', 0.85), ('JPY', 160.25))"
+
+
+def _rates(spark):
+    docs = spark.createDataFrame([(RATES_DOC,)], "value string")
+    return CUR.rates_from_documents(docs)
+
+
+def _conv_sql(price: str, code: str) -> str:
+    return (f"CAST(ROUND(CAST({price} AS DECIMAL(18,2)) * CAST((SELECT rate FROM rates "
+            f"WHERE currency = '{code}') AS DECIMAL(18,6)), 2) AS DOUBLE) AS {price}_{code}")
+
+
+_META_CODES = "'" + str(["USD", "CZK", "GBP", "JPY", "EUR"]).replace("'", "''") + "'"
+_PCOLS = "product_id, product_name, category, CAST(price AS DOUBLE) AS price, description, stock, brand"
+
+
+@query("currency_strict", with_(PRODUCTS, RATES_SQL) + f"""
+SELECT {_PCOLS}, 'EUR' AS price_currency, {', '.join(_conv_sql('price', c) for c in TARGETS)},
+       {_META_CODES} AS available_currencies,
+       'EUR' AS base_currency, '{RATES_DATE}' AS currency_rates_date
+FROM products""")
+def currency_strict(spark, d):
+    """C8 + C10: strict enrichment with metadata."""
+    return CUR.transform(T.products(spark, d), _rates(spark), "price", TARGETS, "EUR",
+                         strict=True, rates_date=RATES_DATE)
+
+
+@query("currency_tolerant", with_(PRODUCTS, RATES_SQL) + f"""
+SELECT {_PCOLS}, 'EUR' AS price_currency, {_conv_sql('price', 'USD')}, {_conv_sql('price', 'CZK')}
+FROM products""")
+def currency_tolerant(spark, d):
+    """An unknown target (XXX) and the base (EUR) are dropped."""
+    return CUR.transform(T.products(spark, d), _rates(spark), "price", ["USD", "XXX", "CZK", "EUR"],
+                         "EUR", strict=False, add_currency_metadata=False)
+
+
+@query("currency_base_only", with_(PRODUCTS) + f"""
+SELECT {_PCOLS}, 'EUR' AS price_currency FROM products""")
+def currency_base_only(spark, d):
+    """No requested currency is available -> base currency only."""
+    return CUR.transform(T.products(spark, d), _rates(spark), "price", ["XXX", "YYY"],
+                         "EUR", strict=False, add_currency_metadata=False)
+
+
+@query("currency_meta", with_(PRODUCTS) + f"""
+SELECT product_id, {_META_CODES} AS available_currencies,
+       'EUR' AS base_currency, '{RATES_DATE}' AS currency_rates_date FROM products""")
+def currency_meta(spark, d):
+    """Currency metadata columns."""
+    p = T.products(spark, d).select("product_id")
+    return CUR.add_currency_info(p, _rates(spark), "EUR", RATES_DATE)
+
+
+@query("quality_basic", with_(PRODUCTS) + """
+SELECT 'negative_price' AS rule, COUNT(*) FILTER (WHERE price < 0) AS failures FROM products
+UNION ALL
+SELECT 'empty_category', COUNT(*) FILTER (WHERE category IS NULL OR category = '') FROM products""")
+def quality_basic(spark, d):
+    """Q1 / Q3 basic level: report only, never stops."""
+    return Q.validate(T.products(spark, d), "basic")
+
+
+_ALLOWED_SQL = ", ".join(f"'{c}'" for c in ALLOWED_CATEGORIES)
+
+
+@query("quality_strict", with_(PRODUCTS) + f"""
+SELECT 'suspicious_price' AS rule, COUNT(*) FILTER (WHERE price <= 0 OR price > 10000) AS failures FROM products
+UNION ALL
+SELECT 'short_or_missing_name', COUNT(*) FILTER (WHERE product_name IS NULL OR length(product_name) < 3) FROM products
+UNION ALL
+SELECT 'invalid_category', COUNT(*) FILTER (WHERE NOT COALESCE(category IN ({_ALLOWED_SQL}), false)) FROM products""")
+def quality_strict(spark, d):
+    """Q2 / Q3 strict level: the report; :func:`enforce` raises on it."""
+    return Q.validate(T.products(spark, d), "strict", ALLOWED_CATEGORIES)
+
+
+RULES_CONFIG = [
+    {"name": "price_present", "column": "price", "check": "not_null"},
+    {"name": "price_min", "column": "price", "check": "min", "value": 905},
+    {"name": "price_max", "column": "price", "check": "max", "value": 995},
+    {"name": "known_type", "column": "category", "check": "in_set", "values": ALLOWED_CATEGORIES},
+    {"name": "name_length", "column": "product_name", "check": "min_length", "value": 9},
+    {"name": "brand_format", "column": "brand", "check": "regex", "pattern": "^Brand#[0-9]$"},
+]
+
+
+@query("quality_rules", with_(PRODUCTS) + f"""
+SELECT 'price_present' AS rule, COUNT(*) FILTER (WHERE price IS NULL) AS failures FROM products
+UNION ALL SELECT 'price_min', COUNT(*) FILTER (WHERE price < 905) FROM products
+UNION ALL SELECT 'price_max', COUNT(*) FILTER (WHERE price > 995) FROM products
+UNION ALL SELECT 'known_type', COUNT(*) FILTER (WHERE NOT COALESCE(category IN ({_ALLOWED_SQL}), false)) FROM products
+UNION ALL SELECT 'name_length', COUNT(*) FILTER (WHERE product_name IS NULL OR length(product_name) < 9) FROM products
+UNION ALL SELECT 'brand_format', COUNT(*) FILTER (WHERE NOT COALESCE(regexp_matches(brand, '^Brand#[0-9]$'), false)) FROM products""")
+def quality_rules(spark, d):
+    """Q7: a rules file (list of dicts) turned into one aggregate."""
+    return Q.config_report(T.products(spark, d), RULES_CONFIG)
+
+
+@query("dead_letter", with_(PRODUCTS) + f"""
+, r AS (SELECT *, concat_ws(',',
+          CASE WHEN price <= 0 OR price > 10000 THEN 'suspicious_price' END,
+          CASE WHEN product_name IS NULL OR length(product_name) < 3 THEN 'short_or_missing_name' END,
+          CASE WHEN NOT COALESCE(category IN ({_ALLOWED_SQL}), false) THEN 'invalid_category' END) AS failed_rules
+        FROM products)
+SELECT * FROM r WHERE failed_rules <> ''""")
+def dead_letter(spark, d):
+    """Q6: invalid rows with the names of the rules they fail."""
+    return Q.dead_letter(T.products(spark, d), Q.strict_rules(ALLOWED_CATEGORIES))
+
+
+@query("valid_rows", with_(PRODUCTS) + """
+SELECT * FROM products WHERE COALESCE(product_id > 0 AND price IS NOT NULL, false)""")
+def valid_rows(spark, d):
+    """The valid side of a valid/invalid split."""
+    ok, _ = Q.split_valid(T.products(spark, d), Q.record_is_valid("product_id", "price"))
+    return ok
+
+
+@query("invalid_rows", with_(PRODUCTS) + """
+SELECT * FROM products WHERE NOT COALESCE(product_id > 0 AND price IS NOT NULL, false)""")
+def invalid_rows(spark, d):
+    """The complement (NULL predicate counts as invalid)."""
+    _, bad = Q.split_valid(T.products(spark, d), Q.record_is_valid("product_id", "price"))
+    return bad
+
+
+@query("min_rows_check", with_(PRODUCTS) + """
+SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE product_id IS NULL) AS null_product_id,
+       COUNT(*) FILTER (WHERE price IS NULL) AS null_price,
+       COUNT(*) >= 1 AND COUNT(*) FILTER (WHERE product_id IS NULL) = 0
+         AND COUNT(*) FILTER (WHERE price IS NULL) = 0 AS passed
+FROM products""")
+def min_rows_check(spark, d):
+    """Q4: minimum rows and NULL keys."""
+    return Q.validate_df(T.products(spark, d), 1, ["product_id", "price"])
+
+
+@query("pii_hashed", with_(CUSTOMERS) + """
+SELECT customer_id, segment, country, region, age, acctbal,
+       sha256(lower(replace(name, '#', '.')) || '@example.com') AS hashed_email,
+       sha256(name) AS hashed_name
+FROM customers""")
+def pii_hashed(spark, d):
+    """Q9: e-mail and name replaced by SHA-256 hashes."""
+    c = T.customers(spark, d).withColumn(
+        "email", F.concat(F.lower(F.replace(F.col("name"), F.lit("#"), F.lit("."))), F.lit("@example.com")))
+    return Q.anonymize_pii(c, "email", ["name"])
+
+
+@query("run_report", with_(PRODUCTS) + f"""
+, e AS (SELECT COUNT(*) FILTER (WHERE price <= 0 OR price > 10000)
+             + COUNT(*) FILTER (WHERE product_name IS NULL OR length(product_name) < 3)
+             + COUNT(*) FILTER (WHERE NOT COALESCE(category IN ({_ALLOWED_SQL}), false)) AS errors,
+             COUNT(*) AS n FROM products)
+SELECT n AS input_rows, 4 AS currencies, n AS output_rows, errors AS error_count,
+       CASE WHEN errors > 0 THEN 'WARNING' ELSE 'OK' END AS status FROM e""")
+def run_report(spark, d):
+    """Q8: one-row run metrics, computed in the plan (no driver counting)."""
+    p = T.products(spark, d)
+    enriched = CUR.enrich_with_currency(p, _rates(spark), "price", TARGETS, "EUR")
+    report = Q.validate(p, "strict", ALLOWED_CATEGORIES)
+    errors = report.agg(F.sum("failures").alias("error_count"))
+    counts = p.agg(F.count(F.lit(1)).alias("input_rows"))
+    out_rows = enriched.agg(F.count(F.lit(1)).alias("output_rows"))
+    return (counts.crossJoin(out_rows).crossJoin(errors)
+            .select("input_rows", F.lit(len(TARGETS)).alias("currencies"), "output_rows",
+                    F.col("error_count").cast("bigint").alias("error_count"),
+                    F.when(F.col("error_count") > 0, F.lit("WARNING")).otherwise(F.lit("OK"))
+                    .alias("status")))
