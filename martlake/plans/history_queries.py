@@ -1 +1,187 @@
-"""Queries registered by this module."""
+"""History, point-in-time, apply-changes and versioned-table queries (H1-H8,
+J5, J9, J10, W3-W5, O5).
+
+The change set is derived from ``events``: key = user_id, change time = ts,
+sequence = event_id, op = I for 'signup', D for 'error', U otherwise;
+payload = (event_type, value).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martlake.operators import history as H
+from martlake.plans.registry import query
+from martlake.plans.sql_helpers import PRODUCTS, with_
+from martlake.session import scratch_path
+from martlake.sources import tables as T
+from martlake.sources import versioned as V
+
+STATE_TS = "2024-01-15 12:00:00"
+HISTORY_KEY = 7
+
+
+def changes(spark, d):
+    e = T.events(spark, d)
+    op = (F.when(F.col("event_type") == "signup", "I")
+          .when(F.col("event_type") == "error", "D").otherwise("U"))
+    return e.select("user_id", "ts", "event_id", op.alias("op"), "event_type", "value")
+
+
+def history(spark, d):
+    return H.build_history(changes(spark, d), "user_id", "ts", "event_id", "op",
+                           ["event_type", "value"])
+
+
+CHANGES_SQL = """
+ch AS (SELECT user_id, ts, event_id,
+              CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
+              event_type, value FROM events),
+s AS (SELECT *, SUM(CASE WHEN op <> 'D' THEN 1 ELSE 0 END) OVER w AS live_cum,
+             LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
+      FROM ch WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
+b AS (SELECT *, MAX(CASE WHEN op = 'I' THEN live_cum - 1 ELSE 0 END) OVER
+                (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS base FROM s),
+hist AS (SELECT user_id, event_type, value, CAST(live_cum - base AS INTEGER) AS version,
+                ts AS valid_from, CASE WHEN op = 'D' THEN ts ELSE next_ts END AS valid_to,
+                op AS operation, event_id AS change_seq FROM b)"""
+
+
+@query("history_build", with_(CHANGES_SQL) + "SELECT * FROM hist")
+def history_build(spark, d):
+    """SCD-2 rows from the change set."""
+    return history(spark, d)
+
+
+@query("history_of_key", with_(CHANGES_SQL) + f"""
+SELECT * FROM hist WHERE user_id = {HISTORY_KEY}
+ORDER BY valid_from DESC, version DESC, change_seq DESC""")
+def history_of_key(spark, d):
+    """The listing of one key, newest first."""
+    return H.history_of_key(history(spark, d), "user_id", HISTORY_KEY)
+
+
+@query("state_at", with_(CHANGES_SQL) + f"""
+SELECT user_id, event_type, value, version, valid_from, valid_to, operation, change_seq
+FROM hist
+WHERE valid_from <= TIMESTAMP '{STATE_TS}' AND (valid_to IS NULL OR valid_to > TIMESTAMP '{STATE_TS}')
+QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY valid_from DESC, change_seq DESC) = 1""")
+def state_at(spark, d):
+    """Every key's state at one timestamp."""
+    return H.state_at(history(spark, d), "user_id", F.expr(f"TIMESTAMP_NTZ '{STATE_TS}'"))
+
+
+def probes(spark, d):
+    e = T.events(spark, d)
+    return (e.select("user_id", (F.date_trunc("day", "ts") + F.expr("INTERVAL 12 HOURS"))
+                     .cast("timestamp_ntz").alias("probe_ts")).distinct())
+
+
+@query("asof_lookup", with_(CHANGES_SQL) + """
+, p AS (SELECT DISTINCT user_id, date_trunc('day', ts) + INTERVAL 12 HOUR AS probe_ts FROM events)
+, c AS (SELECT p.user_id, p.probe_ts, h.*, ROW_NUMBER() OVER (
+          PARTITION BY p.user_id, p.probe_ts ORDER BY h.valid_from DESC, h.change_seq DESC) AS rn
+        FROM p LEFT JOIN hist h ON h.user_id = p.user_id AND h.valid_from <= p.probe_ts)
+SELECT user_id, probe_ts,
+       CASE WHEN ok THEN valid_from END AS valid_from, CASE WHEN ok THEN version END AS version,
+       CASE WHEN ok THEN event_type END AS event_type, CASE WHEN ok THEN value END AS value
+FROM (SELECT *, valid_from IS NOT NULL AND (valid_to IS NULL OR valid_to > probe_ts) AS ok
+      FROM c WHERE rn = 1)""")
+def asof_lookup(spark, d):
+    """J5 for many probes (each user, each active day at noon)."""
+    return H.asof_lookup(history(spark, d), probes(spark, d), "user_id", "probe_ts",
+                         ["event_type", "value"])
+
+
+@query("apply_updates", with_(CHANGES_SQL) + f"""
+, cur AS (SELECT user_id, value, valid_from AS changed_at FROM hist
+          WHERE valid_from <= TIMESTAMP '{STATE_TS}' AND (valid_to IS NULL OR valid_to > TIMESTAMP '{STATE_TS}')
+          QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY valid_from DESC, change_seq DESC) = 1)
+, upd AS (SELECT user_id, value, ts AS changed_at FROM events
+          WHERE ts > TIMESTAMP '{STATE_TS}' AND event_type = 'purchase')
+, u AS (SELECT *, 0 AS src FROM cur UNION ALL SELECT *, 1 FROM upd)
+SELECT user_id, value, changed_at FROM u
+QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY changed_at DESC, src DESC) = 1""")
+def apply_updates(spark, d):
+    """H5: later purchase values applied to the state at a timestamp."""
+    cur = (H.state_at(history(spark, d), "user_id", F.expr(f"TIMESTAMP_NTZ '{STATE_TS}'"))
+           .select("user_id", "value", F.col("valid_from").alias("changed_at")))
+    e = T.events(spark, d)
+    upd = (e.where((F.col("ts") > F.expr(f"TIMESTAMP_NTZ '{STATE_TS}'")) &
+                   (F.col("event_type") == "purchase"))
+           .select("user_id", "value", F.col("ts").alias("changed_at")))
+    return H.apply_changes(cur, upd, "user_id", "changed_at")
+
+
+@query("add_column_default", with_(PRODUCTS) + """
+SELECT *, CAST(10 AS INTEGER) AS reorder_level, CAST(50 AS INTEGER) AS reorder_quantity,
+       true AS is_active FROM products""")
+def add_column_default(spark, d):
+    """H6: new columns whose existing rows read the default."""
+    return H.with_default_columns(T.products(spark, d), {
+        "reorder_level": ("int", 10), "reorder_quantity": ("int", 50), "is_active": ("boolean", True)})
+
+
+def _versioned(spark, d):
+    path = scratch_path(spark, "versioned-orders")
+    o = T.table(spark, d, "orders")
+    V.commit(o.where(F.year("o_orderdate") <= 1996), path, 1, "append", "2025-01-01 00:00:00")
+    V.commit(o.where(F.year("o_orderdate") == 1997), path, 2, "append", "2025-01-02 00:00:00")
+    V.commit(o.withColumn("o_discount", F.lit(0.0)), path, 3, "overwrite", "2025-01-03 00:00:00")
+    return path
+
+
+@query("version_as_of", "SELECT * FROM orders WHERE year(o_orderdate) <= 1997")
+def version_as_of(spark, d):
+    """H7 / H8: create, append, replace with a wider schema; read version 2."""
+    return V.read_version(spark, _versioned(spark, d), 2)
+
+
+@query("version_latest", "SELECT *, CAST(0.0 AS DOUBLE) AS o_discount FROM orders")
+def version_latest(spark, d):
+    """H7: the latest version after a schema-widening overwrite."""
+    return V.read_version(spark, _versioned(spark, d))
+
+
+@query("version_history", """
+SELECT 1 AS version, 'append' AS operation, '2025-01-01 00:00:00' AS commit_time,
+       COUNT(*) FILTER (WHERE year(o_orderdate) <= 1996) AS rows FROM orders
+UNION ALL SELECT 2, 'append', '2025-01-02 00:00:00', COUNT(*) FILTER (WHERE year(o_orderdate) = 1997) FROM orders
+UNION ALL SELECT 3, 'overwrite', '2025-01-03 00:00:00', COUNT(*) FROM orders""")
+def version_history(spark, d):
+    """H8: the commit history with rows per commit."""
+    return V.version_history(spark, _versioned(spark, d))
+
+
+@query("pending_batches", """
+WITH m AS (SELECT DISTINCT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS batch FROM orders),
+a AS (SELECT DISTINCT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS batch FROM lineitem)
+SELECT batch FROM m WHERE batch NOT IN (SELECT batch FROM a) ORDER BY batch""")
+def pending_batches(spark, d):
+    """Monthly order batches without any shipped line (anti join)."""
+    def month_key(c):
+        return (F.year(c) * 100 + F.month(c)).cast("int").alias("batch")
+    manifest = T.table(spark, d, "orders").select(month_key("o_orderdate")).distinct()
+    applied = T.table(spark, d, "lineitem").select(month_key("l_shipdate"))
+    return H.pending(manifest, applied, "batch")
+
+
+@query("orphan_rows", """
+SELECT 'lineitem.l_orderkey' AS relation, COUNT(*) AS orphans FROM lineitem
+  WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+UNION ALL SELECT 'lineitem.l_partkey', COUNT(*) FROM lineitem
+  WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+UNION ALL SELECT 'orders.o_custkey', COUNT(*) FROM orders
+  WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)""")
+def orphan_rows(spark, d):
+    """Foreign-key orphan report (anti joins)."""
+    li, o = T.table(spark, d, "lineitem"), T.table(spark, d, "orders")
+    p, c = T.table(spark, d, "part"), T.table(spark, d, "customer")
+    parts = [("lineitem.l_orderkey", H.orphans(li, o, "l_orderkey", "o_orderkey")),
+             ("lineitem.l_partkey", H.orphans(li, p, "l_partkey", "p_partkey")),
+             ("orders.o_custkey", H.orphans(o, c, "o_custkey", "c_custkey"))]
+    out = None
+    for name, frame in parts:
+        r = frame.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("relation"), "orphans")
+        out = r if out is None else out.unionByName(r)
+    return out
