@@ -1 +1,28 @@
-"""Queries registered by this module."""
+"""Regression query (L1-L5); no oracle SQL: the result is a fitted model."""
+
+from __future__ import annotations
+
+from martlake.operators import ml as M
+from martlake.plans.registry import query
+from martlake.sources import tables as T
+
+
+@query("regression_metrics")
+def regression_metrics(spark, d):
+    """Price from quantity, customer age and a segment flag."""
+    s = T.sales(spark, d)
+    c = T.customers(spark, d).select("customer_id", "age", "segment")
+    return M.regression_metrics(s.join(c, "customer_id"))
+
+
+@query("ml_features", """
+SELECT l_orderkey AS order_id, l_partkey AS product_id, CAST(p_retailprice AS DOUBLE) AS label,
+       CAST(l_quantity AS INTEGER) AS quantity, CAST(18 + c_custkey % 60 AS INTEGER) AS age,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS premium_flag
+FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+JOIN customer ON o_custkey = c_custkey""")
+def ml_features(spark, d):
+    """L1: the model input frame (casts, flag, NULL rows dropped)."""
+    s = T.sales(spark, d)
+    c = T.customers(spark, d).select("customer_id", "age", "segment")
+    return M.ml_frame(s.join(c, "customer_id"))
