@@ -1 +1,87 @@
-"""Queries registered by this module."""
+"""Streaming queries over the ``events`` file, each checked against its batch
+twin in SQL (T1-T5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martlake.plans.registry import query
+from martlake.streaming import events as ST
+
+_CLOSED = "(SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE"
+
+
+def _source(d: str) -> str:
+    return f"{d.rstrip('/')}/events*.parquet"
+
+
+def _read(spark, path):
+    return spark.read.parquet(path)
+
+
+@query("stream_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_ingest(spark, d):
+    """File arrival ingested to completion (availableNow)."""
+    s = ST.event_stream(spark, _source(d)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return _read(spark, ST.run_to_parquet(s, "ingest"))
+
+
+@query("stream_tumbling", f"""
+SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
+       time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
+       COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM events GROUP BY 1, 2, 3 HAVING window_end <= {_CLOSED}""")
+def stream_tumbling(spark, d):
+    """Hourly tumbling windows with a 10-minute watermark."""
+    return _read(spark, ST.run_to_parquet(ST.tumbling_counts(ST.event_stream(spark, _source(d))),
+                                          "tumbling"))
+
+
+@query("stream_sliding", f"""
+WITH w AS (
+  SELECT time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE * o AS window_start, event_type, value
+  FROM events, (VALUES (0), (1)) t(o))
+SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type,
+       COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM w GROUP BY 1, 2, 3 HAVING window_end <= {_CLOSED}""")
+def stream_sliding(spark, d):
+    """1-hour windows sliding by 30 minutes."""
+    return _read(spark, ST.run_to_parquet(ST.sliding_counts(ST.event_stream(spark, _source(d))),
+                                          "sliding"))
+
+
+@query("stream_session", f"""
+WITH g AS (
+  SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                      < INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS new_s FROM events),
+s AS (SELECT *, SUM(new_s) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                                  ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 10 MINUTE AS session_end,
+       COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM s GROUP BY user_id, sid HAVING session_end <= {_CLOSED}""")
+def stream_session(spark, d):
+    """Per-user sessions with a 10-minute gap."""
+    return _read(spark, ST.run_to_parquet(ST.sessions(ST.event_stream(spark, _source(d))),
+                                          "session"))
+
+
+@query("stream_classify", """
+SELECT event_id, ts, user_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity,
+       CASE WHEN value / 10.0 > 30 THEN 'high temperature'
+            WHEN CAST(json_extract_string(props, '$.k') AS DOUBLE) > 70 THEN 'high humidity'
+            ELSE 'normal' END AS condition
+FROM events""")
+def stream_classify(spark, d):
+    """Threshold classification on the stream."""
+    return _read(spark, ST.run_to_parquet(ST.classify(ST.event_stream(spark, _source(d))),
+                                          "classify"))
+
+
+@query("stream_routing", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+WHERE NOT COALESCE(event_type <> 'error' AND value > 1.0, false)""")
+def stream_routing(spark, d):
+    """T4 / Q6: invalid side of the per-batch valid/invalid routing."""
+    s = ST.event_stream(spark, _source(d)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    _, bad = ST.route_valid_invalid(s, (F.col("event_type") != "error") & (F.col("value") > 1.0))
+    return _read(spark, bad).drop("batch_id")
