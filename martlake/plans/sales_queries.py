@@ -245,3 +245,67 @@ SELECT category, COUNT(*) AS count FROM products WHERE price > 950
 GROUP BY category ORDER BY category""")
 def filtered_category_counts(spark, d):
     return S.filtered_group_counts(T.products(spark, d), F.col("price") > 950, "category")
+
+
+_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query("describe_columns", " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT({c}) AS count, "
+    f"CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE) / CAST(NULLIF(COUNT({c}), 0) AS DOUBLE) AS mean, "
+    f"ROUND(stddev_samp({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+    f"CAST(MAX({c}) AS DOUBLE) AS max FROM lineitem" for c in _DESC_COLS))
+def describe_columns(spark, d):
+    """describe() in long form, one aggregate pass."""
+    from martlake.operators.profile import describe_long
+    return describe_long(T.table(spark, d, "lineitem"), _DESC_COLS)
+
+
+_PRODUCT_COLS = ["product_id", "product_name", "category", "price", "description", "stock", "brand"]
+
+
+@query("null_profile", with_(PRODUCTS) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_count FROM products"
+    for c in _PRODUCT_COLS))
+def null_profile(spark, d):
+    """NULL count of every column in one pass."""
+    from martlake.operators.profile import null_counts
+    return null_counts(T.products(spark, d))
+
+
+@query("price_tiers", """
+SELECT CASE WHEN value IS NULL THEN NULL WHEN value < 50 THEN 'Nízká' WHEN value < 200 THEN 'Střední'
+            ELSE 'Vysoká' END AS price_tier,
+       COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM events GROUP BY 1 ORDER BY 1""")
+def price_tiers(spark, d):
+    """Price tier as a built-in CASE (no Python UDF) over event
+    amounts."""
+    from martlake.functions.labels import price_tier
+    from martlake.functions.numeric import money_sum, to_double
+    e = T.events(spark, d)
+    return (e.groupBy(price_tier("value").alias("price_tier"))
+            .agg(F.count(F.lit(1)).alias("n"), money_sum("value").alias("_v"))
+            .select("price_tier", "n", to_double("_v").alias("total_value"))
+            .orderBy("price_tier"))
+
+
+TYPE_GROUPS = {"Basic": ["STANDARD", "ECONOMY"], "Promo": ["PROMO"], "Sized": ["SMALL", "MEDIUM"]}
+
+
+@query("product_labels", with_(PRODUCTS) + """
+SELECT product_id,
+       CASE WHEN stock = 0 THEN 'out of stock' WHEN stock < 10 THEN 'low stock' ELSE 'in stock' END
+         AS stock_status,
+       CASE WHEN category IN ('STANDARD', 'ECONOMY') THEN 'Basic' WHEN category IN ('PROMO') THEN 'Promo'
+            WHEN category IN ('SMALL', 'MEDIUM') THEN 'Sized' ELSE 'Other' END AS type_group,
+       CASE WHEN brand = 'Brand#1' THEN 1 ELSE 0 END AS premium_flag
+FROM products""")
+def product_labels(spark, d):
+    """Stock status, category from product type lists,
+    0/1 flag."""
+    from martlake.functions.labels import category_from_type, flag01, stock_status
+    p = T.products(spark, d)
+    return p.select("product_id", stock_status("stock").alias("stock_status"),
+                    category_from_type("category", TYPE_GROUPS).alias("type_group"),
+                    flag01(F.col("brand") == "Brand#1").alias("premium_flag"))

@@ -1 +1,171 @@
-"""Queries registered by this module."""
+"""Sink round trips: write with Spark, read back, compare with the SQL of
+what was written (K1-K15, S1-S3, S5, S7-S11, S15, S17-S19)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from martlake.operators import sales as S
+from martlake.operators import text as X
+from martlake.plans import flows
+from martlake.plans.registry import query
+from martlake.plans.sales_queries import MONTHLY_SQL
+from martlake.plans.sql_helpers import CUSTOMERS, PRODUCTS, SALES, dec, msum, quantile, ratio, with_
+from martlake.session import scratch_path
+from martlake.sources import files as FS
+from martlake.sources import sinks as K
+from martlake.sources import tables as T
+
+RUN_TS = "2025-01-31 23:59:59"
+
+
+def _table_name(prefix: str, path: str) -> str:
+    return prefix + "_" + path.rstrip("/").rsplit("-", 1)[-1]
+
+
+@query("roundtrip_parquet", with_(SALES, CUSTOMERS, MONTHLY_SQL) + """
+SELECT month, category, region, n_transactions, CAST(total_quantity AS DOUBLE) AS total_quantity,
+       CAST(revenue AS DOUBLE) AS revenue, year FROM monthly""")
+def roundtrip_parquet(spark, d):
+    """Parquet (snappy) partitioned by year."""
+    base = S.monthly_base(T.customers(spark, d), T.sales(spark, d))
+    p = scratch_path(spark, "rt-parquet")
+    K.write_parquet(base, p, partition_by=["year"])
+    return spark.read.parquet(p)
+
+
+_CAT_SQL = with_(SALES) + f"""
+SELECT category, COUNT(*) AS number_of_sales, {msum('total')} AS total_sales_amount,
+       {ratio('SUM(' + dec('price') + ')', 'COUNT(price)')} AS average_price,
+       {msum('quantity')} AS total_quantity,
+       CAST(SUM(CAST(price AS DECIMAL(18,2)) * CAST(quantity AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM sales GROUP BY category"""
+
+_CAT_SCHEMA = ("category string, number_of_sales bigint, total_sales_amount double, "
+               "average_price double, total_quantity double, revenue double")
+
+
+@query("roundtrip_csv", _CAT_SQL)
+def roundtrip_csv(spark, d):
+    """CSV with header, read back with an explicit schema."""
+    p = scratch_path(spark, "rt-csv")
+    K.write_csv(S.category_stats(T.sales(spark, d)), p, header=True)
+    return FS.read_csv(spark, p, _CAT_SCHEMA)
+
+
+@query("roundtrip_csv_single", _CAT_SQL)
+def roundtrip_csv_single(spark, d):
+    """K4 / K5 / S3: a small report as one headerless file, read back and
+    renamed."""
+    p = scratch_path(spark, "rt-csv1")
+    K.write_single_csv(S.category_stats(T.sales(spark, d)), p, header=False)
+    names = [c.split()[0] for c in _CAT_SCHEMA.split(", ")]
+    return FS.read_csv(spark, p, _CAT_SCHEMA, header=False).toDF(*names)
+
+
+@query("roundtrip_orc_ctas", with_(SALES, CUSTOMERS, MONTHLY_SQL) + """
+SELECT year, month, category, region, n_transactions, CAST(total_quantity AS DOUBLE) AS total_quantity,
+       CAST(revenue AS DOUBLE) AS revenue FROM monthly""")
+def roundtrip_orc_ctas(spark, d):
+    """CTAS into an ORC table from a temp view."""
+    base = S.monthly_base(T.customers(spark, d), T.sales(spark, d))
+    loc = scratch_path(spark, "rt-orc")
+    view, table = _table_name("v_monthly", loc), _table_name("t_monthly", loc)
+    FS.register_temp_view(base, view)
+    K.create_table_as(spark, table, f"SELECT * FROM {view}", "orc", loc)
+    return spark.table(table)
+
+
+@query("roundtrip_catalog", with_(PRODUCTS) + "SELECT * FROM products WHERE price > 950")
+def roundtrip_catalog(spark, d):
+    """saveAsTable, then INSERT OVERWRITE ... SELECT."""
+    p = T.products(spark, d)
+    loc = scratch_path(spark, "rt-table")
+    table, view = _table_name("t_products", loc), _table_name("v_products", loc)
+    K.save_table(p, table, path=loc)
+    FS.register_temp_view(p.where(F.col("price") > 950), view)
+    K.insert_overwrite(spark, table, f"SELECT * FROM {view}")
+    return spark.table(table)
+
+
+@query("roundtrip_text", r"""
+SELECT word, COUNT(*) AS count FROM (
+  SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS word FROM documents)
+WHERE word <> '' GROUP BY word""")
+def roundtrip_text(spark, d):
+    """Word counts as ``word<TAB>count`` text lines, read back."""
+    counts = X.word_counts(T.documents(spark, d), "text", "ws")
+    p = scratch_path(spark, "rt-text")
+    K.write_text_pairs(counts, p, "word", "count")
+    lines = FS.read_text_lines(spark, p)
+    parts = F.split(F.col("value"), "\t")
+    return lines.select(parts[0].alias("word"), parts[1].cast("bigint").alias("count"))
+
+
+@query("run_stamped_results", with_(SALES) + f"""
+SELECT payment_method, COUNT(*) AS number_of_sales, {msum('total')} AS total_amount,
+       {ratio('SUM(' + dec('total') + ')', 'COUNT(total)')} AS average_amount,
+       '20250131_235959' AS analysis_date
+FROM sales GROUP BY payment_method""")
+def run_stamped_results(spark, d):
+    """Results under ``<root>/<run stamp>/<name>`` with the audit
+    column ``analysis_date``."""
+    root = scratch_path(spark, "rt-runs")
+    paths = K.save_results({"payment_analysis": S.payment_stats(T.sales(spark, d))}, root, RUN_TS)
+    return spark.read.parquet(paths["payment_analysis"])
+
+
+@query("sensor_json", """
+WITH s AS (SELECT ts, user_id, value / 10.0 AS temperature,
+                  CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity FROM events)
+SELECT ts AS timestamp, 'events' AS source, temperature, humidity, 1013.0 AS pressure,
+       CAST(user_id AS VARCHAR) AS device_id, 'site-' || CAST(user_id % 5 AS VARCHAR) AS location,
+       CASE WHEN temperature > 30 THEN 'high temperature' WHEN humidity > 70 THEN 'high humidity'
+            ELSE 'normal' END AS condition
+FROM s""")
+def sensor_json(spark, d):
+    """Nested sensor JSON written from events, read back with a
+    nested schema, flattened and classified."""
+    from martlake.functions.labels import sensor_condition
+    e = T.events(spark, d)
+    doc = e.select(
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.lit("events").alias("source"),
+        F.struct((F.col("value") / F.lit(10.0)).alias("temperature"),
+                 F.get_json_object("props", "$.k").cast("double").alias("humidity"),
+                 F.lit(1013.0).alias("pressure")).alias("readings"),
+        F.struct(F.col("user_id").cast("string").alias("device_id"),
+                 F.concat(F.lit("site-"), (F.col("user_id") % 5).cast("string")).alias("location"),
+                 F.lit(False).alias("debug_mode")).alias("metadata"))
+    p = scratch_path(spark, "rt-json")
+    doc.write.mode("overwrite").json(p)
+    flat = FS.flatten_sensor(FS.read_nested_json(spark, p, FS.SENSOR_SCHEMA))
+    return flat.select(F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "source",
+                       "temperature", "humidity", "pressure", "device_id", "location",
+                       sensor_condition("temperature", "humidity").alias("condition"))
+
+
+@query("config_driven_load", with_(PRODUCTS) + """
+, dd AS (SELECT DISTINCT * FROM products)
+, med AS (SELECT """ + quantile("dd", "price", 0.5) + """ AS m)
+, md AS (SELECT category AS m FROM dd WHERE category IS NOT NULL
+         GROUP BY category ORDER BY COUNT(*) DESC, category LIMIT 1)
+SELECT product_id, product_name, COALESCE(category, (SELECT m FROM md)) AS category,
+       COALESCE(CAST(price AS DOUBLE), (SELECT m FROM med)) AS price,
+       COALESCE(description, '') AS description, stock, brand
+FROM dd""")
+def config_driven_load(spark, d):
+    """A config row picks format (parquet), transform (basic) and
+    target table."""
+    src = scratch_path(spark, "rt-config-src")
+    T.products(spark, d).write.mode("overwrite").parquet(src)
+    tgt = scratch_path(spark, "rt-config-tgt")
+    cfg = {"source_type": "parquet", "source_path": src, "transform_type": "basic",
+           "target_table": _table_name("t_config", tgt), "target_path": tgt}
+    return flows.run_config(spark, cfg)
+
+
+@query("input_profile")
+def input_profile(spark, d):
+    """Size and SHA-256 of each input table file (rows-only)."""
+    return FS.input_profile(spark, f"{d.rstrip('/')}/*.parquet").drop("path")
