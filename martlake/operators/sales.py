@@ -61,7 +61,8 @@ def _per_customer(sales: DataFrame, customer_id: str, extra_keys=(), total="tota
 def region_stats(customers: DataFrame, sales: DataFrame, customer_id="customer_id",
                  region="region", total="total") -> DataFrame:
     """A2: per region distinct customers, sales, total, total per customer."""
-    per_c = _per_customer(sales, customer_id, total=total)
+    per_c = (sales.groupBy(customer_id)
+             .agg(F.count(F.lit(1)).alias("_n"), money_sum(total).alias("_total")))
     j = per_c.join(customers.select(customer_id, region), customer_id)
     return (j.groupBy(region)
             .agg(F.count(F.lit(1)).alias("number_of_customers"),

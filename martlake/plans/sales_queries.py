@@ -21,7 +21,7 @@ SELECT category, COUNT(*) AS number_of_sales, {msum('total')} AS total_sales_amo
        CAST(SUM({mprod('price', 'quantity')}) AS DOUBLE) AS revenue
 FROM sales GROUP BY category ORDER BY total_sales_amount DESC, category""")
 def sales_by_category(spark, d):
-    return S.category_stats(T.sales(spark, d))
+    return S.category_stats(T.sales(spark, d, with_orders=False))
 
 
 @query("region_stats", with_(SALES, CUSTOMERS) + f"""
@@ -31,7 +31,7 @@ SELECT region, COUNT(DISTINCT s.customer_id) AS number_of_customers,
 FROM sales s JOIN customers c ON s.customer_id = c.customer_id
 GROUP BY region ORDER BY total_sales_amount DESC, region""")
 def region_stats(spark, d):
-    s, c = _sc(spark, d)
+    s, c = T.sales(spark, d, with_products=False), T.customers(spark, d)
     return S.region_stats(c, s)
 
 
@@ -44,7 +44,7 @@ SELECT c.customer_id, name, segment, country, region, number_of_purchases,
 FROM top JOIN customers c ON top.customer_id = c.customer_id
 ORDER BY total_spent DESC, customer_id""")
 def top_customers(spark, d):
-    s, c = _sc(spark, d)
+    s, c = T.sales(spark, d, with_products=False), T.customers(spark, d)
     return S.top_customers(c, s, k=10)
 
 
@@ -54,7 +54,7 @@ SELECT CAST(year(sale_date) AS INTEGER) AS year, CAST(month(sale_date) AS INTEGE
        {ratio('SUM(' + dec('total') + ')', 'COUNT(total)')} AS average_sale_value
 FROM sales GROUP BY 1, 2 ORDER BY 1, 2""")
 def sales_by_month(spark, d):
-    return S.time_stats(T.sales(spark, d))
+    return S.time_stats(T.sales(spark, d, with_products=False))
 
 
 @query("payment_stats", with_(SALES) + f"""
@@ -62,7 +62,7 @@ SELECT payment_method, COUNT(*) AS number_of_sales, {msum('total')} AS total_amo
        {ratio('SUM(' + dec('total') + ')', 'COUNT(total)')} AS average_amount
 FROM sales GROUP BY payment_method ORDER BY total_amount DESC, payment_method""")
 def payment_stats(spark, d):
-    return S.payment_stats(T.sales(spark, d))
+    return S.payment_stats(T.sales(spark, d, with_products=False))
 
 
 @query("country_category", with_(SALES, CUSTOMERS) + f"""
@@ -91,7 +91,7 @@ SELECT product, COUNT(*) AS number_of_sales,
        {ratio('SUM(' + dec('price') + ')', 'COUNT(price)')} AS average_price
 FROM sales GROUP BY product ORDER BY average_price DESC, product""")
 def product_avg_price(spark, d):
-    return S.product_avg_price(T.sales(spark, d))
+    return S.product_avg_price(T.sales(spark, d, with_orders=False))
 
 
 @query("segment_stats", with_(SALES, CUSTOMERS) + f"""
@@ -162,7 +162,7 @@ SELECT product, CAST(SUM({mprod('price', 'quantity')}) AS DOUBLE) AS revenue,
        {msum('quantity')} AS total_quantity
 FROM sales GROUP BY product ORDER BY SUM({mprod('price', 'quantity')}) DESC, product LIMIT 5""")
 def top_products(spark, d):
-    return S.top_products(T.sales(spark, d), k=5)
+    return S.top_products(T.sales(spark, d, with_orders=False), k=5)
 
 
 @query("segment_category_distinct", with_(SALES, CUSTOMERS) + f"""
@@ -193,7 +193,7 @@ SELECT category, COUNT(*) AS number_of_sales,
        CAST(ROUND(SUM({mprod('price', 'quantity')}), 2) AS DOUBLE) AS revenue
 FROM sales GROUP BY category ORDER BY revenue DESC, category""")
 def category_revenue(spark, d):
-    return S.category_revenue_rounded(T.sales(spark, d))
+    return S.category_revenue_rounded(T.sales(spark, d, with_orders=False))
 
 
 @query("sales_by_month_text", with_(SALES) + f"""

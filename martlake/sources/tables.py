@@ -60,12 +60,18 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("c_acctbal").alias("acctbal")))
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales(spark: SparkSession, sf_dir: str, with_orders: bool = True,
+          with_products: bool = True) -> DataFrame:
     """One row per line item with its order and product attributes.
 
     Both joins are equi-joins on the dimension's unique key; Spark sizes
     them at plan time (broadcast below ``autoBroadcastJoinThreshold``) and
     AQE re-plans at run time, splitting skewed join partitions.
+
+    Every line has its order and its part (foreign keys; checked by the
+    ``orphan_rows`` report), so a report that needs no order (or product)
+    column leaves that join out — an inner join on a foreign key cannot
+    change the rows. At scale that saves a shuffle join of the fact table.
     """
     l = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
@@ -77,7 +83,12 @@ def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product"),
         F.col("p_type").alias("category"), F.col("p_retailprice").alias("price"))
-    return l.join(p, "product_id").join(o, "order_id")
+    out = l
+    if with_products:
+        out = out.join(p, "product_id")
+    if with_orders:
+        out = out.join(o, "order_id")
+    return out
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
