@@ -80,10 +80,16 @@ def remove_stop_words(tokens: Column, stop_words=STOP_WORDS) -> Column:
 
 
 def ngrams(tokens: Column, n: int = 2) -> Column:
-    """Adjacent n-grams of a token array joined by a blank."""
-    idx = F.sequence(F.lit(0), F.size(tokens) - F.lit(n))
-    return F.when(F.size(tokens) >= n, F.transform(
-        idx, lambda i: F.array_join(F.slice(tokens, i + 1, n), " "))).otherwise(F.array())
+    """Adjacent n-grams of a token array joined by a blank.
+
+    Built from n shifted views of the array combined element-wise
+    (``zip_with``), so each text is walked a constant number of times.
+    """
+    m = F.size(tokens) - F.lit(n - 1)          # number of n-grams
+    out = F.slice(tokens, 1, m)
+    for k in range(1, n):
+        out = F.zip_with(out, F.slice(tokens, k + 1, m), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(m > 0, out).otherwise(F.array().cast("array<string>"))
 
 
 def ngram_counts(df: DataFrame, text: str = "text", n: int = 2, drop_stop_words: bool = True,
