@@ -38,12 +38,12 @@ def build_history(changes: DataFrame, key: str, ts: str, seq: str, op: str, payl
         c.withColumn("_is_i", is_i).withColumn("_live", is_live), key, [ts, seq],
         time_bucket(ts, bucket_seconds),
         sums={"_live_cum": F.col("_live")},
-        leads={"_next_ts": F.col(ts)})
+        leads={"_next_ts": F.col(ts)}, keep_bucket=True)
     # The version base is the live count just before the key's latest insert.
-    # It needs the running live count, so it is a second scan (running max).
+    # It needs the running live count, so it is a second scan (running max);
+    # it reuses the first scan's (key, bucket) partitioning.
     base_src = F.when(F.col(op) == "I", F.col("_live_cum") - 1).otherwise(F.lit(0))
-    scanned = ordered_scan(scanned, key, [ts, seq], time_bucket(ts, bucket_seconds),
-                           maxes={"_base": base_src})
+    scanned = ordered_scan(scanned, key, [ts, seq], None, maxes={"_base": base_src})
     return scanned.select(
         key, *payload,
         (F.col("_live_cum") - F.col("_base")).cast("int").alias("version"),

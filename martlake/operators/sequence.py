@@ -28,18 +28,22 @@ def time_bucket(ts_col: str, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
     return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(seconds * 1_000_000))
 
 
-def ordered_scan(df: DataFrame, key: str, order: list[str], bucket: Column,
+def ordered_scan(df: DataFrame, key: str, order: list[str], bucket: Column | None,
                  sums: dict | None = None, maxes: dict | None = None,
-                 leads: dict | None = None) -> DataFrame:
+                 leads: dict | None = None, keep_bucket: bool = False) -> DataFrame:
     """Add per-key ordered aggregates.
 
     sums:  {out: column} inclusive running sum over (order)
     maxes: {out: column} inclusive running max (any orderable type)
     leads: {out: column} value of the next row of the key (NULL at the end)
-    ``bucket`` must be non-decreasing along ``order`` within a key.
+    ``bucket`` must be non-decreasing along ``order`` within a key. Pass
+    ``bucket=None`` to reuse the ``_bk`` column kept by a previous scan
+    (``keep_bucket=True``): the rows are then already partitioned by
+    (key, _bk) and the second scan adds no shuffle of the rows.
     """
     sums, maxes, leads = sums or {}, maxes or {}, leads or {}
-    b = df.withColumn("_bk", bucket)
+    b = df if bucket is None else df.withColumn("_bk", bucket)
+    base_cols = [c for c in df.columns if c != "_bk"]
     w_in = Window.partitionBy(key, "_bk").orderBy(*order)
     w_run = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = b
@@ -78,4 +82,4 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], bucket: Column,
     for o in leads:
         outs.append(F.when(F.col(f"_lh_{o}").isNotNull(), F.col(f"_l_{o}"))
                     .otherwise(F.col(f"_next_first.v_{o}")).alias(o))
-    return j.select(*df.columns, *outs)
+    return j.select(*base_cols, *(["_bk"] if keep_bucket else []), *outs)
