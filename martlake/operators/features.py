@@ -127,6 +127,15 @@ def generate_features(df: DataFrame, price="price", description="description",
     return out.select(*cols, *extra)
 
 
+def booleans_to_double(df: DataFrame, columns=None) -> DataFrame:
+    """Boolean feature columns as 1.0 / 0.0 (NULL stays NULL) before a
+    load into a store without a boolean type."""
+    cols = set(columns or [f.name for f in df.schema.fields
+                           if isinstance(f.dataType, T.BooleanType)])
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c)
+                       for c in df.columns])
+
+
 def apply_transformations(df: DataFrame, materialize: bool = True) -> DataFrame:
     """Normalize -> outliers (iqr, 1.5) -> features; each stage's
     statistics are taken over the previous stage's output, so the outlier

@@ -325,3 +325,27 @@ def category_product_summary(products: DataFrame, category="category", price="pr
 def filtered_group_counts(df: DataFrame, condition, key="category") -> DataFrame:
     """``groupBy(key).count()`` after a filter."""
     return df.filter(condition).groupBy(key).count().orderBy(key)
+
+
+def order_value_stats(sales: DataFrame, order_id="order_id", total="total") -> DataFrame:
+    """Average order value and average lines per order (order totals
+    first, one row per order, then a global aggregate)."""
+    per_order = sales.groupBy(order_id).agg(money_sum(total).alias("_v"),
+                                             F.count(F.lit(1)).alias("_lines"))
+    return per_order.agg(F.count(F.lit(1)).alias("orders"),
+                         ratio(F.sum("_v"), F.count(F.lit(1))).alias("avg_order_value"),
+                         ratio(F.sum("_lines"), F.count(F.lit(1))).alias("avg_lines_per_order"))
+
+
+def avg_order_size_by_category(sales: DataFrame, category="category", quantity="quantity") -> DataFrame:
+    """Average quantity per sale line in each category."""
+    return (sales.groupBy(category)
+            .agg(ratio(money_sum(quantity), F.count(quantity)).alias("avg_quantity"),
+                 F.count(F.lit(1)).alias("number_of_sales"))
+            .orderBy(F.desc("avg_quantity"), F.asc(category)))
+
+
+def first_rows(df: DataFrame, n: int = 10) -> DataFrame:
+    """O3: a plain LIMIT without ordering (which rows is not defined; for
+    inspection only, never for a report)."""
+    return df.limit(n)

@@ -309,3 +309,22 @@ def product_labels(spark, d):
     return p.select("product_id", stock_status("stock").alias("stock_status"),
                     category_from_type("category", TYPE_GROUPS).alias("type_group"),
                     flag01(F.col("brand") == "Brand#1").alias("premium_flag"))
+
+
+@query("order_value_stats", """
+WITH o AS (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS v, COUNT(*) AS lines
+           FROM lineitem GROUP BY l_orderkey)
+SELECT COUNT(*) AS orders, CAST(SUM(v) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_order_value,
+       CAST(SUM(lines) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) AS avg_lines_per_order FROM o""")
+def order_value_stats(spark, d):
+    """Average order value and lines per order."""
+    return S.order_value_stats(T.sales(spark, d, with_orders=False, with_products=False))
+
+
+@query("avg_order_size_by_category", with_(SALES) + f"""
+SELECT category, {ratio('SUM(' + dec('quantity') + ')', 'COUNT(quantity)')} AS avg_quantity,
+       COUNT(*) AS number_of_sales
+FROM sales GROUP BY category ORDER BY avg_quantity DESC, category""")
+def avg_order_size_by_category(spark, d):
+    """Average order size per category."""
+    return S.avg_order_size_by_category(T.sales(spark, d, with_orders=False))

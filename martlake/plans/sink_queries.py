@@ -169,3 +169,20 @@ def config_driven_load(spark, d):
 def input_profile(spark, d):
     """Size and SHA-256 of each input table file (rows-only)."""
     return FS.input_profile(spark, f"{d.rstrip('/')}/*.parquet").drop("path")
+
+
+_ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+               "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING")
+
+
+@query("external_csv_table", "SELECT * FROM orders")
+def external_csv_table(spark, d):
+    """Orders exported as CSV with a header line, then read
+    through an external delimited-text table declared with DDL."""
+    loc = scratch_path(spark, "rt-ext-csv")
+    K.write_csv(T.table(spark, d, "orders"), loc, header=True)
+    db = "martlake_rt"
+    K.create_database(spark, db)
+    table = f"{db}.{_table_name('orders_csv', loc)}"
+    K.create_external_csv_table(spark, table, _ORDERS_DDL, loc, header=True)
+    return spark.table(table)

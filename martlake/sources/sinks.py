@@ -95,3 +95,24 @@ def console(df: DataFrame, n: int = 20) -> None:
     """Show + schema (inspection only)."""
     df.printSchema()
     df.show(n, truncate=False)
+
+
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """``CREATE DATABASE IF NOT EXISTS``."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{loc}")
+
+
+def create_external_csv_table(spark: SparkSession, table: str, schema_ddl: str, location: str,
+                              header: bool = True, sep: str = ",") -> None:
+    """Delimited-text table over a folder; with ``header`` the
+    first line of each file is skipped."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"CREATE TABLE {table} ({schema_ddl}) USING csv "
+              f"OPTIONS (header '{str(header).lower()}', sep '{sep}') LOCATION '{location}'")
+
+
+def insert_values(spark: SparkSession, table: str, rows: list[tuple]) -> None:
+    """``INSERT INTO t VALUES ...`` with literal rows (bound, not spliced)."""
+    df = spark.createDataFrame(rows, spark.table(table).schema)
+    df.write.insertInto(table)

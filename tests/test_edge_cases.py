@@ -335,3 +335,39 @@ def test_versioned_table_time_travel(spark, tmp_path):
     latest = V.read_version(spark, p)
     assert latest.columns == ["id", "v", "d"] and latest.count() == 1
     assert [(r.version, r.rows) for r in V.version_history(spark, p).collect()] == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_dead_letter_append_and_load_verification(spark, tmp_path):
+    from martlake.sources import sinks as K
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "id int, price double")
+    rules = [("negative_price", F.col("price") < 0), ("missing_price", F.col("price").isNull())]
+    err = str(tmp_path / "errors")
+    ok = Q.route_dead_letter(df, rules, err)
+    Q.route_dead_letter(df, rules, err)                      # append: twice the rows
+    assert [r.id for r in ok.collect()] == [1]
+    bad = spark.read.parquet(err)
+    assert bad.count() == 4
+    assert {r.failed_rules for r in bad.collect()} == {"negative_price", "missing_price"}
+    K.save_table(ok, "verify_ok", path=str(tmp_path / "t"))
+    assert K.verify_load(spark, "verify_ok", 1)
+
+
+def test_csv_table_insert_values_and_inferred_read(spark, tmp_path):
+    from martlake.sources import files as FS
+    from martlake.sources import sinks as K
+    loc = str(tmp_path / "csvtab")
+    K.create_database(spark, "martlake_test_db")
+    K.create_external_csv_table(spark, "martlake_test_db.prodeje", "id INT, produkt STRING, cena DOUBLE", loc)
+    K.insert_values(spark, "martlake_test_db.prodeje", [(1, "Notebook", 25000.0), (2, "Mobil", 12000.5)])
+    got = sorted((r.id, r.produkt, r.cena) for r in spark.table("martlake_test_db.prodeje").collect())
+    assert got == [(1, "Notebook", 25000.0), (2, "Mobil", 12000.5)]
+    inferred = FS.read_csv_inferred(spark, loc)
+    assert dict(inferred.dtypes)["cena"] == "double"
+
+
+def test_booleans_to_double_and_plain_limit(spark):
+    from martlake.operators.sales import first_rows
+    df = spark.createDataFrame([(True, 1), (False, 2), (None, 3)], "is_expensive boolean, n int")
+    out = X.booleans_to_double(df)
+    assert [r.is_expensive for r in out.orderBy("n").collect()] == [1.0, 0.0, None]
+    assert first_rows(df, 2).count() == 2
