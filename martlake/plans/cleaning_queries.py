@@ -130,7 +130,7 @@ def _features_sql(src: str, cols: list[str], out: str) -> str:
             f"{out} AS (SELECT {', '.join('s.' + c for c in cols)}, "
             f"COALESCE(s.price > (SELECT m FROM {out}_med), false) AS is_expensive, "
             f"CASE WHEN s.description IS NULL THEN NULL WHEN trim(s.description) = '' THEN 0 "
-            f"ELSE len(regexp_split_to_array(trim(s.description), '\\s+')) END AS description_word_count, "
+            f"ELSE CAST(len(regexp_split_to_array(trim(s.description), '\\s+')) AS INTEGER) END AS description_word_count, "
             f"c.cavg AS category_avg_price, "
             f"CAST(s.price AS DOUBLE) / NULLIF(c.cavg, 0) AS price_to_category_avg "
             f"FROM {src} s LEFT JOIN {out}_cat c ON s.category = c.ck)")

@@ -118,7 +118,7 @@ def run_stamped_results(spark, d):
 @query("sensor_json", """
 WITH s AS (SELECT ts, user_id, value / 10.0 AS temperature,
                   CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity FROM events)
-SELECT ts AS timestamp, 'events' AS source, temperature, humidity, 1013.0 AS pressure,
+SELECT ts AS timestamp, 'events' AS source, temperature, humidity, CAST(1013.0 AS DOUBLE) AS pressure,
        CAST(user_id AS VARCHAR) AS device_id, 'site-' || CAST(user_id % 5 AS VARCHAR) AS location,
        CASE WHEN temperature > 30 THEN 'high temperature' WHEN humidity > 70 THEN 'high humidity'
             ELSE 'normal' END AS condition
@@ -181,8 +181,8 @@ def external_csv_table(spark, d):
     through an external delimited-text table declared with DDL."""
     loc = scratch_path(spark, "rt-ext-csv")
     K.write_csv(T.table(spark, d, "orders"), loc, header=True)
-    db = "martlake_rt"
-    K.create_database(spark, db)
+    db = _table_name("martlake_rt", loc)
+    K.create_database(spark, db, scratch_path(spark, "rt-db"))
     table = f"{db}.{_table_name('orders_csv', loc)}"
     K.create_external_csv_table(spark, table, _ORDERS_DDL, loc, header=True)
     return spark.table(table)

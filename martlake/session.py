@@ -68,7 +68,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="martlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 

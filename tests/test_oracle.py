@@ -28,6 +28,7 @@ def test_query_matches_oracle(spark, con, name):
     assert r["cols"], r
     assert r["rows"] == r["oracle_rows"], r
     assert r["values"], r
+    assert not r["types"], r
 
 
 def test_entry_smoke(spark):

@@ -57,6 +57,17 @@ def duck(sf_dir):
     return con
 
 
+# Spark type name -> DuckDB type name, for the schema comparison.
+TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+            "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "float": "FLOAT", "date": "DATE"}
+
+
+def type_mismatches(sdf, con, sql):
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return {c: (t, duck_types.get(c)) for c, t in sdf.dtypes
+            if TYPE_MAP.get(t, t) != duck_types.get(c)}
+
+
 def compare(spark, con, name, fn, sql, sf_dir, verbose=True):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -74,7 +85,7 @@ def compare(spark, con, name, fn, sql, sf_dir, verbose=True):
     ok_rows = len(sv) == len(dv)
     ok_vals = sv == dv
     res = {"name": name, "rows": len(srows), "oracle_rows": len(drows), "cols": ok_cols,
-           "values": ok_vals, "sec": round(t1 - t0, 2)}
+           "values": ok_vals, "types": type_mismatches(sdf, con, sql), "sec": round(t1 - t0, 2)}
     if verbose and not (ok_cols and ok_rows and ok_vals):
         print("  spark cols", sc, "\n  duck  cols", dc)
         diff_s = [x for x in sv if x not in set(dv)][:3]
@@ -103,7 +114,8 @@ def main():
         elif "oracle" in r:
             good = True
         else:
-            good = bool(r["cols"] and r["values"] and r["rows"] == r["oracle_rows"])
+            good = bool(r["cols"] and r["values"] and r["rows"] == r["oracle_rows"]
+                        and not r["types"])
         bad += 0 if good else 1
         print(("OK  " if good else "BAD ") + str(r), flush=True)
     print(f"{len(names or QUERIES) - bad} ok, {bad} bad")
