@@ -22,21 +22,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.operators.sequence import DEFAULT_BUCKET_SECONDS, ordered_scan, time_bucket
+from martlake.operators.sequence import DEFAULT_BUCKET_ROWS, hot_key_buckets, ordered_scan
 
 HISTORY_OPS = ("I", "U", "D")
 
 
 def build_history(changes: DataFrame, key: str, ts: str, seq: str, op: str, payload,
-                  bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  max_bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Change set -> SCD-2 history rows."""
     payload = list(payload)
     c = changes.select(key, ts, seq, op, *payload)
-    is_i = F.when(F.col(op) == "I", 1).otherwise(0)
     is_live = F.when(F.col(op) != "D", 1).otherwise(0)
     scanned = ordered_scan(
-        c.withColumn("_is_i", is_i).withColumn("_live", is_live), key, [ts, seq],
-        time_bucket(ts, bucket_seconds),
+        hot_key_buckets(c.withColumn("_live", is_live), key, ts, max_bucket_rows), key, [ts, seq],
+        None,
         sums={"_live_cum": F.col("_live")},
         leads={"_next_ts": F.col(ts)}, keep_bucket=True)
     # The version base is the live count just before the key's latest insert.
@@ -75,14 +74,15 @@ def history_of_key(history: DataFrame, key: str, value) -> DataFrame:
 
 
 def asof_lookup(history: DataFrame, probes: DataFrame, key: str, t: str,
-                payload, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                payload, max_bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """J5 for many probes: for each (key, t) probe the history row visible
     at t, or NULLs.
 
     Probes and history starts are merged into one ordered stream per key; a
     running max of (valid_from, version, seq, row) carried along the stream
     gives, at each probe, the latest row that started at or before it. The
-    scan is the bucketed one, so a hot key is split by time. No range join
+    scan is the bucketed one, so a hot key is split by time into buckets of
+    about ``max_bucket_rows`` rows. No range join
     and no pairs of rows are formed.
     """
     payload = list(payload)
@@ -93,8 +93,8 @@ def asof_lookup(history: DataFrame, probes: DataFrame, key: str, t: str,
     p = probes.select(F.col(key), F.col(t).alias("_t"), F.lit(1).alias("_kind"),
                       F.lit(None).cast(h.schema["_row"].dataType).alias("_row"))
     merged = h.unionByName(p)
-    scanned = ordered_scan(merged, key, ["_t", "_kind"], time_bucket("_t", bucket_seconds),
-                           maxes={"_last": F.col("_row")})
+    scanned = ordered_scan(hot_key_buckets(merged, key, "_t", max_bucket_rows), key,
+                           ["_t", "_kind"], None, maxes={"_last": F.col("_row")})
     hit = scanned.where(F.col("_kind") == 1)
     ok = F.col("_last").isNotNull() & (F.col("_last.valid_to").isNull() |
                                         (F.col("_last.valid_to") > F.col("_t")))

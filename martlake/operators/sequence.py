@@ -2,18 +2,24 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sorts every row of a key in
 one task; a key holding a third of the data would run in a single task.
-Here each key is cut into consecutive *buckets* of its order column (a time
-bucket by default), so the window is ``partitionBy(key, bucket)``:
+Here each key is cut into consecutive *buckets* of its order column, so the
+window is ``partitionBy(key, bucket)``:
 
 1. inside each (key, bucket): lead / inclusive running aggregates;
 2. per (key, bucket): first row and bucket totals — an aggregate that
    combines map-side; the per-key window over these summaries has one row
-   per non-empty bucket of the key, so its size is bounded by the time span,
-   not by the number of rows;
+   per non-empty bucket of the key;
 3. one equi-join on (key, bucket) brings the carry-ins (offset of the
    running aggregates, first row of the next bucket) back to the rows.
 
 The result is identical to the single-window version.
+
+Bucketing (:func:`hot_key_buckets`): a key with at most ``max_rows`` rows
+is one bucket. A *hot* key (more rows) gets a time width chosen so that a
+bucket holds about ``max_rows`` of its rows on average. Hot keys are found
+by one aggregate; there are at most ``rows / max_rows`` of them, so their
+(key, start, width) table is small — it is checkpointed, its size checked,
+and broadcast only below ``MAX_HOT_KEYS``.
 """
 
 from __future__ import annotations
@@ -21,11 +27,40 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SECONDS = 86400
+DEFAULT_BUCKET_ROWS = 1_000_000
+MAX_HOT_KEYS = 1_000_000
+
+
+def _micros(ts_col: str) -> Column:
+    return F.unix_micros(F.col(ts_col).cast("timestamp"))
+
+
+def hot_key_buckets(df: DataFrame, key: str, ts_col: str,
+                    max_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """Add ``_bk``: 0 for ordinary keys, a time bucket of about ``max_rows``
+    rows for hot keys. Non-decreasing in ``ts_col`` within a key."""
+    us = _micros(ts_col)
+    span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
+    hot = (df.groupBy(key)
+           .agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"), F.max(us).alias("_hi"))
+           .where(F.col("_n") > F.lit(max_rows))
+           .select(key, "_lo", F.greatest(F.lit(1), F.ceil(span * F.lit(float(max_rows)) / F.col("_n")))
+                   .cast("long").alias("_w")))
+    # at most rows / max_rows keys: written once (reliable checkpoint) and
+    # counted, so the broadcast below has a checked size
+    from martlake.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    hot = hot.checkpoint(eager=True)
+    side = F.broadcast(hot) if hot.count() <= MAX_HOT_KEYS else hot
+    j = df.join(side, key, "left")
+    bk = F.when(F.col("_w").isNull(), F.lit(0).cast("long")) \
+        .otherwise(F.floor((us - F.col("_lo")) / F.col("_w")))
+    return j.withColumn("_bk", bk).drop("_lo", "_w")
 
 
-def time_bucket(ts_col: str, seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
-    return F.floor(F.unix_micros(F.col(ts_col).cast("timestamp")) / F.lit(seconds * 1_000_000))
+def time_bucket(ts_col: str, seconds: int) -> Column:
+    """Fixed-width time bucket (for callers that know their data)."""
+    return F.floor(_micros(ts_col) / F.lit(seconds * 1_000_000))
 
 
 def ordered_scan(df: DataFrame, key: str, order: list[str], bucket: Column | None,
