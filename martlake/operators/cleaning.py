@@ -1,8 +1,8 @@
 """Basic cleaning: column names, duplicates, missing values.
 
 The reference does these eagerly in pandas; here each is a lazy plan. The
-statistics a fill needs are one-row aggregates cross-joined (broadcast, one
-row) onto the data, never collected to the driver.
+statistics a fill needs are one-row aggregates read as scalar subqueries in
+the final projection; no join and no driver-side loop over the data.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.numeric import exact_mean
+from martlake.functions.scalars import scalar_row
 from martlake.operators.stats import exact_median, mode_value
 
 log = logging.getLogger(__name__)
@@ -100,13 +101,13 @@ def handle_missing_values(df: DataFrame, strategy: dict) -> DataFrame:
         elif method == "mean":
             cond = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drops], F.lit(True))
             mean_aggs.append(exact_mean(F.when(cond, F.col(column))).alias(stat))
-            fills[column] = F.coalesce(F.col(column).cast("double"), F.col(stat))
+            fills[column] = ("double", stat)
         elif method == "median":
             stat_frames.append(exact_median(kept(df, list(drops)), column, stat))
-            fills[column] = F.coalesce(F.col(column).cast("double"), F.col(stat))
+            fills[column] = ("double", stat)
         elif method == "mode":
             stat_frames.append(mode_value(kept(df, list(drops)), column, stat))
-            fills[column] = F.coalesce(F.col(column), F.col(stat))
+            fills[column] = (None, stat)
         elif method == "zero":
             fills[column] = F.coalesce(F.col(column), F.lit(0).cast(dt))
         elif method == "empty_string":
@@ -116,7 +117,19 @@ def handle_missing_values(df: DataFrame, strategy: dict) -> DataFrame:
                 log.warning("column %s is not a string; empty_string skipped", column)
     if mean_aggs:
         stat_frames.append(df.agg(*mean_aggs))
-    out = kept(df, drops)
+    # every statistics frame has one row: read its values as scalar subqueries
+    scalars = {}
     for sf in stat_frames:
-        out = out.crossJoin(F.broadcast(sf))   # one row each
-    return out.select(*[fills[c].alias(c) if c in fills else F.col(c) for c in df.columns])
+        row = scalar_row(sf)
+        scalars.update({name: row[name] for name in sf.columns})
+
+    def resolve(column):
+        f = fills[column]
+        if not isinstance(f, tuple):
+            return f
+        cast, stat = f
+        x = F.col(column).cast(cast) if cast else F.col(column)
+        return F.coalesce(x, scalars[stat])
+
+    out = kept(df, drops)
+    return out.select(*[resolve(c).alias(c) if c in fills else F.col(c) for c in df.columns])

@@ -2,8 +2,8 @@
 
 Rates arrive as a document ``{"rates": {"USD": 1.1, ...}}`` relative to a
 base currency. They are turned into a tiny ``(currency, rate)`` frame, then
-pivoted to one row that is cross-joined (broadcast, one row) onto the data,
-so converting N rows never shuffles them.
+pivoted to one row that is read as a scalar subquery in the projection, so
+converting N rows never shuffles or joins them.
 
 The set of currency codes decides the output *schema* (one column per target),
 so it is read at plan time; it is bounded by the number of currencies
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.functions.numeric import col_of
+from martlake.functions.scalars import scalar_row
 
 MAX_CURRENCIES = 1000
 RATE_TYPE = "decimal(18,6)"
@@ -92,11 +93,10 @@ def enrich_with_currency(df: DataFrame, rates: DataFrame, price_column: str = "p
     out = df.withColumn(f"{price_column}_currency", F.lit(base_currency))
     if not convert_to:
         return out
-    row = _rate_row(rates, convert_to).select(
-        *[F.col(c).alias(f"_rate_{c}") for c in convert_to])
-    out = out.crossJoin(F.broadcast(row))   # one row
+    rate = scalar_row(_rate_row(rates, convert_to).select(
+        *[F.col(c).alias(f"_rate_{c}") for c in convert_to]))   # one row
     return out.select(*df.columns, f"{price_column}_currency",
-                      *[convert(price_column, f"_rate_{c}").alias(f"{price_column}_{c}")
+                      *[convert(price_column, rate[f"_rate_{c}"]).alias(f"{price_column}_{c}")
                         for c in convert_to])
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.functions.numeric import exact_mean, exact_sum, ratio
+from martlake.functions.scalars import scalar_row
 from martlake.operators.stats import exact_median, quantiles_multi
 
 
@@ -30,16 +31,15 @@ def normalize_numeric_columns(df: DataFrame) -> DataFrame:
     cols = numeric_columns(df)
     if not cols:
         return df
-    stats = df.agg(*[e for c in cols for e in
-                     (F.min(F.col(c).cast("double")).alias(f"_min_{c}"),
-                      F.max(F.col(c).cast("double")).alias(f"_max_{c}"))])
-    j = df.crossJoin(F.broadcast(stats))
+    stats = scalar_row(df.agg(*[e for c in cols for e in
+                                (F.min(F.col(c).cast("double")).alias(f"_min_{c}"),
+                                 F.max(F.col(c).cast("double")).alias(f"_max_{c}"))]))
     new = []
     for c in cols:
-        lo, hi = F.col(f"_min_{c}"), F.col(f"_max_{c}")
+        lo, hi = stats[f"_min_{c}"], stats[f"_max_{c}"]
         new.append(F.when(hi > lo, (F.col(c).cast("double") - lo) / (hi - lo))
                    .alias(f"{c}_normalized"))
-    return j.select(*df.columns, *new)
+    return df.select(*df.columns, *new)
 
 
 def handle_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5) -> DataFrame:
@@ -59,31 +59,29 @@ def handle_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5)
     if method == "iqr":
         spec.update({f"_q1_{c}": (c, 0.25) for c in cols})
         spec.update({f"_q3_{c}": (c, 0.75) for c in cols})
-        stats = quantiles_multi(df, spec)
-    else:
-        moments = df.agg(*[e for c in cols for e in
-                           (exact_mean(c).alias(f"_mean_{c}"),
-                            F.stddev_samp(F.col(c).cast("double")).alias(f"_std_{c}"))])
-        stats = quantiles_multi(df, spec).crossJoin(moments)
-    # all statistics of all columns: one row
-    j = df.crossJoin(F.broadcast(stats))
+    # all statistics of all columns: one row each, read as scalar subqueries
+    q = scalar_row(quantiles_multi(df, spec))
+    if method == "zscore":
+        m = scalar_row(df.agg(*[e for c in cols for e in
+                                (exact_mean(c).alias(f"_mean_{c}"),
+                                 F.stddev_samp(F.col(c).cast("double")).alias(f"_std_{c}"))]))
     out = []
     flags = []
     for c in cols:
         x = F.col(c).cast("double")
         if method == "iqr":
-            q1, q3 = F.col(f"_q1_{c}"), F.col(f"_q3_{c}")
+            q1, q3 = q[f"_q1_{c}"], q[f"_q3_{c}"]
             iqr = q3 - q1
             is_out = (x < q1 - F.lit(threshold) * iqr) | (x > q3 + F.lit(threshold) * iqr)
         else:
-            z = F.abs(F.try_divide(x - F.col(f"_mean_{c}"), F.col(f"_std_{c}")))
+            z = F.abs(F.try_divide(x - m[f"_mean_{c}"], m[f"_std_{c}"]))
             is_out = z > F.lit(threshold)
         is_out = F.coalesce(is_out, F.lit(False))
-        out.append((c, F.when(is_out, F.col(f"_med_{c}")).otherwise(x)))
+        out.append((c, F.when(is_out, q[f"_med_{c}"]).otherwise(x)))
         flags.append(is_out.alias(f"{c}_outlier"))
     replaced = dict(out)
-    return j.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns],
-                    *flags)
+    return df.select(*[replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns],
+                     *flags)
 
 
 def word_count(text) -> F.Column:
@@ -113,10 +111,8 @@ def generate_features(df: DataFrame, price="price", description="description",
     cols = df.columns
     extra = []
     if price in cols:
-        med = exact_median(df, price, "_median_price")
-        out = out.crossJoin(F.broadcast(med))
-        extra.append(F.coalesce(F.col(price) > F.col("_median_price"), F.lit(False))
-                     .alias("is_expensive"))
+        med = scalar_row(exact_median(df, price, "_median_price"))["_median_price"]
+        extra.append(F.coalesce(F.col(price) > med, F.lit(False)).alias("is_expensive"))
     if description in cols:
         extra.append(word_count(description).alias("description_word_count"))
     if category in cols and price in cols:

@@ -215,9 +215,9 @@ def price_to_global_stats(spark, d):
     """One-row global statistics joined back to every row."""
     from martlake.functions.numeric import exact_mean
     p = _products(spark, d)
-    s = p.agg(F.min("price").alias("mn"), F.max("price").alias("mx"),
-              exact_mean("price").alias("mean"))
-    return (p.crossJoin(F.broadcast(s))
-            .select("product_id", "price", (F.col("price") - F.col("mn")).alias("above_min"),
-                    (F.col("mx") - F.col("price")).alias("below_max"),
-                    (F.col("price") - F.col("mean")).alias("from_mean")))
+    from martlake.functions.scalars import scalar_row
+    s = scalar_row(p.agg(F.min("price").alias("mn"), F.max("price").alias("mx"),
+                         exact_mean("price").alias("mean")))
+    return p.select("product_id", "price", (F.col("price") - s["mn"]).alias("above_min"),
+                    (s["mx"] - F.col("price")).alias("below_max"),
+                    (F.col("price") - s["mean"]).alias("from_mean"))
