@@ -397,3 +397,9 @@ def test_history_hot_key_split_equals_plain_windows(spark):
                    F.when(F.col("op") == "D", F.col("t")).otherwise(F.col("nxt")).alias("valid_to")))
     got = {r.change_seq: (r.version, r.valid_to) for r in h.collect()}
     assert got == {r.seq: (r.version, r.valid_to) for r in ref.collect()}
+
+
+def test_required_columns_check_runs_no_job(spark):
+    df = spark.createDataFrame([(1, 2.0)], "id int, price double")
+    assert Q.required_columns_missing(df, ["id", "price"]) == []
+    assert Q.required_columns_missing(df, ["id", "category", "price"]) == ["category"]
