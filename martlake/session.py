@@ -63,16 +63,32 @@ def checkpoint_root(spark: SparkSession) -> str:
     of our own is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    if not d and sc is not None:
+        d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="martlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None under Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
+def parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism", "0") or 0)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written
     intermediate tables, stream checkpoints and sink round trips."""

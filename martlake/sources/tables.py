@@ -59,7 +59,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     tables have many files and are never rebalanced.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    par = spark.sparkContext.defaultParallelism
+    from martlake.session import parallelism
+    par = parallelism(spark)
     files = df.inputFiles()
     if 0 < len(files) < par:
         sizes = [_local_size(f) for f in files]
