@@ -34,6 +34,14 @@ def rates_from_documents(docs: DataFrame, column: str = "value") -> DataFrame:
             .where(F.col("currency").isNotNull()))
 
 
+def rates_from_json_files(spark: SparkSession, path: str) -> DataFrame:
+    """Rate documents stored as JSON files (one document per file, may
+    span lines) -> (currency, rate)."""
+    docs = spark.read.schema("rates map<string,double>").option("multiLine", True).json(path)
+    return (docs.select(F.explode(F.col("rates")).alias("currency", "rate"))
+            .where(F.col("currency").isNotNull()))
+
+
 def rates_frame(spark: SparkSession, rates: dict) -> DataFrame:
     """In-memory rates (S13) as (currency, rate)."""
     return spark.createDataFrame([(k, float(v)) for k, v in rates.items()],
