@@ -154,15 +154,16 @@ def version_history(spark, d):
 
 
 @query("pending_batches", """
-WITH m AS (SELECT DISTINCT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS batch FROM orders),
-a AS (SELECT DISTINCT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS batch FROM lineitem)
+WITH m AS (SELECT DISTINCT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS batch FROM lineitem),
+a AS (SELECT DISTINCT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS batch FROM orders)
 SELECT batch FROM m WHERE batch NOT IN (SELECT batch FROM a) ORDER BY batch""")
 def pending_batches(spark, d):
-    """Monthly order batches without any shipped line (anti join)."""
+    """Monthly shipment batches (the manifest) whose month has no order
+    batch applied yet (the success log), in batch order (anti join)."""
     def month_key(c):
         return (F.year(c) * 100 + F.month(c)).cast("int").alias("batch")
-    manifest = T.table(spark, d, "orders").select(month_key("o_orderdate")).distinct()
-    applied = T.table(spark, d, "lineitem").select(month_key("l_shipdate"))
+    manifest = T.table(spark, d, "lineitem").select(month_key("l_shipdate")).distinct()
+    applied = T.table(spark, d, "orders").select(month_key("o_orderdate"))
     return H.pending(manifest, applied, "batch")
 
 
