@@ -7,6 +7,7 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
 
@@ -37,3 +38,22 @@ def test_lineitem_scan_is_pruned(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     lineitem = [s for s in schemas if "l_orderkey" in s or "l_partkey" in s]
     assert lineitem and all("l_shipdate" not in s and "l_tax" not in s for s in lineitem)
+
+
+def test_bucketed_line_order_join_has_no_exchange(spark, tmp_path):
+    """Co-located join: lineitem and orders bucketed by order key join
+    without shuffling either side; results equal the unbucketed frame."""
+    from martlake.operators import sales as S
+    from martlake.sources import layout as L
+    from martlake.sources import tables as T
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        li, od = L.bucket_sales_inputs(spark, SF_SMALL, str(tmp_path), 4, prefix="bkt")
+        joined = spark.table(li).join(spark.table(od), F.col("l_orderkey") == F.col("o_orderkey"))
+        plan = _plan(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
+        a = S.time_stats(L.sales_from_bucketed(spark, SF_SMALL, li, od)).collect()
+        b = S.time_stats(T.sales(spark, SF_SMALL)).collect()
+        assert a == b
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
