@@ -16,10 +16,12 @@ The result is identical to the single-window version.
 
 Bucketing (:func:`hot_key_buckets`): a key with at most ``max_rows`` rows
 is one bucket. A *hot* key (more rows) gets a time width chosen so that a
-bucket holds about ``max_rows`` of its rows on average. Hot keys are found
-by one aggregate; there are at most ``rows / max_rows`` of them, so their
-(key, start, width) table is small — it is checkpointed, its size checked,
-and broadcast only below ``MAX_HOT_KEYS``.
+bucket holds about ``max_rows`` of its rows on average; a bucket that is
+still too large (a burst) is cut again with its own width. Hot groups are
+found by one aggregate per level; there are at most ``rows / max_rows`` of
+them, so their (key, bucket, start, width) table is small — it is
+checkpointed, its size checked, and broadcast only below ``MAX_HOT_KEYS``.
+Rows sharing one timestamp cannot be split by time and stay together.
 """
 
 from __future__ import annotations
@@ -36,26 +38,44 @@ def _micros(ts_col: str) -> Column:
 
 
 def hot_key_buckets(df: DataFrame, key: str, ts_col: str,
-                    max_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Add ``_bk``: 0 for ordinary keys, a time bucket of about ``max_rows``
-    rows for hot keys. Non-decreasing in ``ts_col`` within a key."""
+                    max_rows: int = DEFAULT_BUCKET_ROWS, levels: int = 2) -> DataFrame:
+    """Add ``_bk``, a bucket non-decreasing in ``ts_col`` within a key.
+
+    Ordinary keys (at most ``max_rows`` rows) stay whole. A hot key is cut
+    into time buckets of about ``max_rows`` rows on average; a bucket that
+    still holds more (a burst) is cut again with its own, finer width, up to
+    ``levels`` times. The bucket is then an array path ``[b1, b2, ...]``
+    (arrays order lexicographically). When no key is hot, no join is added.
+    """
+    from martlake.session import checkpoint_root
     us = _micros(ts_col)
     span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
-    hot = (df.groupBy(key)
-           .agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"), F.max(us).alias("_hi"))
-           .where(F.col("_n") > F.lit(max_rows))
-           .select(key, "_lo", F.greatest(F.lit(1), F.ceil(span * F.lit(float(max_rows)) / F.col("_n")))
-                   .cast("long").alias("_w")))
-    # at most rows / max_rows keys: written once (reliable checkpoint) and
-    # counted, so the broadcast below has a checked size
-    from martlake.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    hot = hot.checkpoint(eager=True)
-    side = F.broadcast(hot) if hot.count() <= MAX_HOT_KEYS else hot
-    j = df.join(side, key, "left")
-    bk = F.when(F.col("_w").isNull(), F.lit(0).cast("long")) \
-        .otherwise(F.floor((us - F.col("_lo")) / F.col("_w")))
-    return j.withColumn("_bk", bk).drop("_lo", "_w")
+    out = df.withColumn("_bk", F.array().cast("array<long>"))
+    split_any = False
+    for _ in range(levels):
+        hot = (out.groupBy(key, "_bk")
+               .agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"), F.max(us).alias("_hi"))
+               .where((F.col("_n") > F.lit(max_rows)) & (F.col("_hi") > F.col("_lo")))
+               .select(key, "_bk", "_lo",
+                       F.greatest(F.lit(1), F.ceil(span * F.lit(float(max_rows)) / F.col("_n")))
+                       .cast("long").alias("_w")))
+        # at most rows / max_rows groups: written once (reliable checkpoint)
+        # and counted, so the broadcast below has a checked size
+        checkpoint_root(df.sparkSession)
+        hot = hot.checkpoint(eager=True)
+        n_hot = hot.count()
+        if n_hot == 0:
+            break
+        split_any = True
+        side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
+        sub = F.when(F.col("_w").isNull(), F.lit(0).cast("long")) \
+            .otherwise(F.floor((us - F.col("_lo")) / F.col("_w")))
+        out = (out.join(side, [key, "_bk"], "left")
+               .withColumn("_bk", F.concat(F.col("_bk"), F.array(sub)))
+               .drop("_lo", "_w"))
+    if not split_any:
+        return df.withColumn("_bk", F.lit(0).cast("long"))
+    return out
 
 
 def time_bucket(ts_col: str, seconds: int) -> Column:

@@ -403,3 +403,19 @@ def test_required_columns_check_runs_no_job(spark):
     df = spark.createDataFrame([(1, 2.0)], "id int, price double")
     assert Q.required_columns_missing(df, ["id", "price"]) == []
     assert Q.required_columns_missing(df, ["id", "category", "price"]) == ["category"]
+
+
+def test_hot_key_burst_is_split_again(spark):
+    """Most of a hot key's rows fall into one short burst; the second level
+    cuts that burst into buckets of about max_rows rows."""
+    from martlake.operators.sequence import hot_key_buckets
+    rows = [(0, 1_700_000_000 + i * 1000) for i in range(20)]             # sparse tail
+    rows += [(0, 1_800_000_000 + i) for i in range(600)]                  # burst
+    rows += [(1, 1_700_000_000 + i) for i in range(10)]                   # ordinary key
+    df = (spark.createDataFrame(rows, "k int, t long")
+          .withColumn("t", F.col("t").cast("timestamp").cast("timestamp_ntz")))
+    one = hot_key_buckets(df, "k", "t", 50, levels=1)
+    two = hot_key_buckets(df, "k", "t", 50, levels=2)
+    biggest = lambda d: max(r["count"] for r in d.groupBy("k", "_bk").count().collect())
+    assert biggest(one) > 500 and biggest(two) <= 120
+    assert hot_key_buckets(df, "k", "t", 10_000).schema["_bk"].dataType.typeName() == "long"
