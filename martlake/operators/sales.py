@@ -17,6 +17,9 @@ Scale notes
 * Money is summed as DECIMAL; averages are exact sum / count at the end.
 * Top-k results are at most k rows, so they are broadcast into the join
   with their dimension (the size bound is k, not the data).
+* Reports that need only order attributes accept a frame pre-aggregated
+  per order (``_lines`` = its number of sale rows); counts then sum
+  ``_lines`` so the results are those of the line-level frame.
 """
 
 from __future__ import annotations
@@ -28,6 +31,20 @@ from martlake.functions.labels import age_band, weekday_name_of
 from martlake.functions.numeric import money, money_product, money_sum, ratio, to_double
 
 
+LINES = "_lines"
+
+
+def _n_sales(df: DataFrame) -> F.Column:
+    """Number of sale rows: ``sum(_lines)`` on a frame pre-aggregated per
+    order (see :func:`martlake.sources.tables.order_sales`), else ``count(*)``."""
+    return F.sum(LINES) if LINES in df.columns else F.count(F.lit(1))
+
+
+def _n_values(df: DataFrame, c: str) -> F.Column:
+    """Number of non-NULL values of ``c`` counted in sale rows."""
+    return F.sum(LINES) if LINES in df.columns else F.count(c)
+
+
 def category_stats(sales: DataFrame, category="category", total="total", price="price",
                    quantity="quantity") -> DataFrame:
     """Count, total amount, average price, quantity and
@@ -62,7 +79,7 @@ def region_stats(customers: DataFrame, sales: DataFrame, customer_id="customer_i
                  region="region", total="total") -> DataFrame:
     """A2: per region distinct customers, sales, total, total per customer."""
     per_c = (sales.groupBy(customer_id)
-             .agg(F.count(F.lit(1)).alias("_n"), money_sum(total).alias("_total")))
+             .agg(_n_sales(sales).alias("_n"), money_sum(total).alias("_total")))
     j = per_c.join(customers.select(customer_id, region), customer_id)
     return (j.groupBy(region)
             .agg(F.count(F.lit(1)).alias("number_of_customers"),
@@ -83,7 +100,7 @@ def top_customers(customers: DataFrame, sales: DataFrame, k: int = 10,
     deterministic; the final order is re-applied after the join.
     """
     top = (sales.groupBy(customer_id)
-           .agg(F.count(F.lit(1)).alias("number_of_purchases"),
+           .agg(_n_sales(sales).alias("number_of_purchases"),
                 money_sum(total).alias("_spent"))
            .orderBy(F.desc("_spent"), F.asc(customer_id))
            .limit(k))
@@ -97,8 +114,8 @@ def top_customers(customers: DataFrame, sales: DataFrame, k: int = 10,
 def time_stats(sales: DataFrame, sale_date="sale_date", total="total") -> DataFrame:
     """Per (year, month) count, total, average sale."""
     return (sales.groupBy(F.year(sale_date).alias("year"), F.month(sale_date).alias("month"))
-            .agg(F.count(F.lit(1)).alias("number_of_sales"),
-                 money_sum(total).alias("_total"), F.count(total).alias("_n"))
+            .agg(_n_sales(sales).alias("number_of_sales"),
+                 money_sum(total).alias("_total"), _n_values(sales, total).alias("_n"))
             .select("year", "month", "number_of_sales",
                     to_double("_total").alias("total_sales_amount"),
                     ratio("_total", "_n").alias("average_sale_value"))
@@ -108,8 +125,8 @@ def time_stats(sales: DataFrame, sale_date="sale_date", total="total") -> DataFr
 def payment_stats(sales: DataFrame, payment_method="payment_method", total="total") -> DataFrame:
     """A5: per payment method count, total, average."""
     return (sales.groupBy(payment_method)
-            .agg(F.count(F.lit(1)).alias("number_of_sales"),
-                 money_sum(total).alias("_total"), F.count(total).alias("_n"))
+            .agg(_n_sales(sales).alias("number_of_sales"),
+                 money_sum(total).alias("_total"), _n_values(sales, total).alias("_n"))
             .select(payment_method, "number_of_sales",
                     to_double("_total").alias("total_amount"),
                     ratio("_total", "_n").alias("average_amount"))

@@ -31,7 +31,7 @@ SELECT region, COUNT(DISTINCT s.customer_id) AS number_of_customers,
 FROM sales s JOIN customers c ON s.customer_id = c.customer_id
 GROUP BY region ORDER BY total_sales_amount DESC, region""")
 def region_stats(spark, d):
-    s, c = T.sales(spark, d, with_products=False), T.customers(spark, d)
+    s, c = T.order_sales(spark, d), T.customers(spark, d)
     return S.region_stats(c, s)
 
 
@@ -44,7 +44,7 @@ SELECT c.customer_id, name, segment, country, region, number_of_purchases,
 FROM top JOIN customers c ON top.customer_id = c.customer_id
 ORDER BY total_spent DESC, customer_id""")
 def top_customers(spark, d):
-    s, c = T.sales(spark, d, with_products=False), T.customers(spark, d)
+    s, c = T.order_sales(spark, d), T.customers(spark, d)
     return S.top_customers(c, s, k=10)
 
 
@@ -54,7 +54,7 @@ SELECT CAST(year(sale_date) AS INTEGER) AS year, CAST(month(sale_date) AS INTEGE
        {ratio('SUM(' + dec('total') + ')', 'COUNT(total)')} AS average_sale_value
 FROM sales GROUP BY 1, 2 ORDER BY 1, 2""")
 def sales_by_month(spark, d):
-    return S.time_stats(T.sales(spark, d, with_products=False))
+    return S.time_stats(T.order_sales(spark, d))
 
 
 @query("payment_stats", with_(SALES) + f"""
@@ -62,7 +62,7 @@ SELECT payment_method, COUNT(*) AS number_of_sales, {msum('total')} AS total_amo
        {ratio('SUM(' + dec('total') + ')', 'COUNT(total)')} AS average_amount
 FROM sales GROUP BY payment_method ORDER BY total_amount DESC, payment_method""")
 def payment_stats(spark, d):
-    return S.payment_stats(T.sales(spark, d, with_products=False))
+    return S.payment_stats(T.order_sales(spark, d))
 
 
 @query("country_category", with_(SALES, CUSTOMERS) + f"""

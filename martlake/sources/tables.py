@@ -130,6 +130,28 @@ def sales(spark: SparkSession, sf_dir: str, with_orders: bool = True,
     return out
 
 
+def order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: its sale-row count ``_lines``, exact total and
+    quantity, with the order attributes.
+
+    For reports that need no product column. The lines are summed per
+    order first (partial aggregation combines the lines of an order, which
+    sit together in the files), so the join with ``orders`` sees about one
+    row per order instead of one per line; the aggregate's output is already
+    partitioned by order key, so only ``orders`` is shuffled for the join.
+    """
+    l = (table(spark, sf_dir, "lineitem")
+         .groupBy(F.col("l_orderkey").alias("order_id"))
+         .agg(F.count(F.lit(1)).alias("_lines"),
+              F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"),
+              F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")))
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("sale_date"),
+        F.col("o_orderpriority").alias("payment_method"))
+    return l.join(o, "order_id")
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The product table of the cleaning and feature operators, derived from
     ``part`` with deterministic gaps (the driver tables hold no NULLs)."""
