@@ -67,10 +67,12 @@ def hot_key_buckets(df: DataFrame, key: str, ts_col: str,
         if n_hot == 0:
             break
         split_any = True
-        side = F.broadcast(hot) if n_hot <= MAX_HOT_KEYS else hot
+        side = hot.withColumnRenamed(key, "_hk").withColumnRenamed("_bk", "_hbk")
+        side = F.broadcast(side) if n_hot <= MAX_HOT_KEYS else side
         sub = F.when(F.col("_w").isNull(), F.lit(0).cast("long")) \
             .otherwise(F.floor((us - F.col("_lo")) / F.col("_w")))
-        out = (out.join(side, [key, "_bk"], "left")
+        out = (out.join(side, out[key].eqNullSafe(side["_hk"]) & (out["_bk"] == side["_hbk"]), "left")
+               .drop("_hk", "_hbk")
                .withColumn("_bk", F.concat(F.col("_bk"), F.array(sub)))
                .drop("_lo", "_w"))
     if not split_any:
@@ -126,9 +128,10 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], bucket: Column | Non
     carry += [F.max(f"_bm_{o}").over(w_prev).alias(f"_cm_{o}") for o in maxes]
     if leads:
         carry.append(F.lead("_first").over(w_b).alias("_next_first"))
-    carried = summ.select(*carry)
+    carried = summ.select(*carry).withColumnRenamed(key, "_ck").withColumnRenamed("_bk", "_cbk")
 
-    j = inner.join(carried, [key, "_bk"])
+    # null-safe on the key: rows with a NULL key form one group, as in a window
+    j = inner.join(carried, inner[key].eqNullSafe(carried["_ck"]) & (inner["_bk"] == carried["_cbk"]))
     outs = []
     for o in sums:
         outs.append((F.col(f"_cs_{o}") + F.col(f"_s_{o}")).alias(o))

@@ -419,3 +419,22 @@ def test_hot_key_burst_is_split_again(spark):
     biggest = lambda d: max(r["count"] for r in d.groupBy("k", "_bk").count().collect())
     assert biggest(one) > 500 and biggest(two) <= 120
     assert hot_key_buckets(df, "k", "t", 10_000).schema["_bk"].dataType.typeName() == "long"
+
+
+def test_ordered_scan_keeps_null_keys(spark):
+    """Rows whose key is NULL form one group, as in a plain window."""
+    rows = [(None if i % 4 == 0 else i % 3, i, i % 5) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, t long, v int")
+    w = Window.partitionBy("k").orderBy("t")
+    ref = {r.t: (r.s, r.n) for r in df.select(
+        "t", F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("s"),
+        F.lead("t").over(w).alias("n")).collect()}
+    got = ordered_scan(df, "k", ["t"], F.floor(F.col("t") / 17), sums={"s": F.col("v")},
+                       leads={"n": F.col("t")})
+    assert {r.t: (r.s, r.n) for r in got.collect()} == ref
+    ch = (spark.createDataFrame([(None, "2024-01-01 00:00:00", 1, "I", 1.0),
+                                 (None, "2024-01-02 00:00:00", 2, "U", 2.0)],
+                                "k int, t string, seq int, op string, v double")
+          .withColumn("t", F.to_timestamp_ntz("t")))
+    h = H.build_history(ch, "k", "t", "seq", "op", ["v"], max_bucket_rows=1)
+    assert sorted(r.version for r in h.collect()) == [1, 2]
