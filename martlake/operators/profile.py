@@ -30,13 +30,17 @@ def describe_long(df: DataFrame, columns=None) -> DataFrame:
                  F.round(F.stddev_samp(x), STD_DIGITS).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     one = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', n{i}, m{i}, s{i}, lo{i}, hi{i}" for i, c in enumerate(cols))
-    return one.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, count, mean, stddev, min, max)")
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
+                              F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
+                              F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+                     for i, c in enumerate(cols)])
+    return one.select(F.inline(rows))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
     """(column_name, null_count) for every column."""
     cols = df.columns
     one = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)])
-    stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(cols))
-    return one.selectExpr(f"stack({len(cols)}, {stack}) AS (column_name, null_count)")
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("null_count"))
+                     for i, c in enumerate(cols)])
+    return one.select(F.inline(rows))

@@ -31,8 +31,10 @@ def rule_report(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
         return df.sparkSession.createDataFrame([], "rule string, failures bigint")
     counts = df.agg(*[F.count_if(definitely(cond)).alias(f"_r{i}")
                       for i, (_, cond) in enumerate(rules)])
-    stack = ", ".join(f"'{name}', _r{i}" for i, (name, _) in enumerate(rules))
-    return counts.selectExpr(f"stack({len(rules)}, {stack}) AS (rule, failures)")
+    # one row -> one row per rule (names are literals, never SQL text)
+    pairs = F.array(*[F.struct(F.lit(name).alias("rule"), F.col(f"_r{i}").alias("failures"))
+                      for i, (name, _) in enumerate(rules)])
+    return counts.select(F.inline(pairs))
 
 
 def basic_rules(price="price", category="category") -> list[tuple[str, Column]]:
