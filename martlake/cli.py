@@ -27,10 +27,8 @@ def _session():
 
 def cmd_sales_report(a) -> int:
     from martlake.plans import flows
-    from martlake.sources import tables as T
     spark = _session()
-    paths = flows.run_sales_job(T.customers(spark, a.data), T.sales(spark, a.data), a.out,
-                                a.run_ts, a.jdbc_url)
+    paths = flows.run_sales_report(spark, a.data, a.out, a.run_ts, a.jdbc_url)
     print(json.dumps(paths))
     return 0
 

@@ -1,8 +1,11 @@
 """End-to-end jobs built from the operators (the reference's scripts and
 scheduled flows, as single lazy Spark plans).
 
-* :func:`analyze_sales` / :func:`run_sales_job` — the batch sales report:
-  six reports, persisted inputs, run-stamped outputs, optional JDBC copy.
+* :func:`analyze_sales` / :func:`run_sales_job` — the batch sales report
+  over given frames: six reports, optionally persisted inputs, run-stamped
+  outputs, optional JDBC copy. :func:`analyze_tables` /
+  :func:`run_sales_report` build the same reports from the tables, each
+  over its smallest input.
 * :func:`run_basic_etl` / :func:`run_advanced_etl` — CSV -> cleaning (->
   features) -> load.
 * :func:`run_currency_etl` — clean -> validate (none/basic/strict) ->
@@ -45,25 +48,62 @@ def analyze_sales(customers: DataFrame, sales: DataFrame) -> dict[str, DataFrame
     }
 
 
+def analyze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The six reports, each over the smallest input that answers it: the
+    category report joins no orders, the order-level reports read lines
+    pre-aggregated per order, only the country x category report needs the
+    full line-level join."""
+    from martlake.sources import tables as T
+    customers = T.customers(spark, sf_dir)
+    by_order = T.order_sales(spark, sf_dir)
+    return {
+        "category_stats": S.category_stats(T.sales(spark, sf_dir, with_orders=False)),
+        "region_stats": S.region_stats(customers, by_order),
+        "top_customers": S.top_customers(customers, by_order, 10),
+        "time_analysis": S.time_stats(by_order),
+        "payment_analysis": S.payment_stats(by_order),
+        "country_category_analysis": S.country_category(customers, T.sales(spark, sf_dir)),
+    }
+
+
+def _save_reports(results: dict, out_root: str, run_ts: str, jdbc_url, jdbc_properties) -> dict:
+    paths = K.save_results(results, out_root, run_ts)
+    if jdbc_url:
+        from martlake.sources import jdbc
+        # read back the written results instead of re-running the plans
+        spark = next(iter(results.values())).sparkSession
+        jdbc.save_results({n: spark.read.parquet(p) for n, p in paths.items()},
+                          jdbc_url, properties=jdbc_properties)
+    return paths
+
+
 def run_sales_job(customers: DataFrame, sales: DataFrame, out_root: str, run_ts: str,
-                  jdbc_url: str | None = None, jdbc_properties: dict | None = None) -> dict:
-    """Persist the inputs once (E1), write every report to a run-stamped
-    folder (K2) and, when a URL is given, to one table per report (K7)."""
-    customers = customers.persist(StorageLevel.MEMORY_AND_DISK)
-    sales = sales.persist(StorageLevel.MEMORY_AND_DISK)
+                  jdbc_url: str | None = None, jdbc_properties: dict | None = None,
+                  persist: bool = False) -> dict:
+    """The six reports over given frames, written to a run-stamped folder
+    (K2) and, when a URL is given, to one table per report (K7).
+
+    ``persist=True`` caches both inputs first (E1): worth it when the sales
+    frame is expensive and fits the cluster's memory and disk; at full
+    scale prefer :func:`run_sales_report`, which gives each report its own
+    minimal input instead of sharing one line-level join."""
+    if persist:
+        customers = customers.persist(StorageLevel.MEMORY_AND_DISK)
+        sales = sales.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        results = analyze_sales(customers, sales)
-        paths = K.save_results(results, out_root, run_ts)
-        if jdbc_url:
-            from martlake.sources import jdbc
-            # read back the written results instead of re-running the plans
-            spark = sales.sparkSession
-            jdbc.save_results({n: spark.read.parquet(p) for n, p in paths.items()},
-                              jdbc_url, properties=jdbc_properties)
-        return paths
+        return _save_reports(analyze_sales(customers, sales), out_root, run_ts,
+                             jdbc_url, jdbc_properties)
     finally:
-        customers.unpersist()
-        sales.unpersist()
+        if persist:
+            customers.unpersist()
+            sales.unpersist()
+
+
+def run_sales_report(spark: SparkSession, sf_dir: str, out_root: str, run_ts: str,
+                     jdbc_url: str | None = None, jdbc_properties: dict | None = None) -> dict:
+    """The batch sales report over the tables of ``sf_dir``
+    (:func:`analyze_tables`), written like :func:`run_sales_job`."""
+    return _save_reports(analyze_tables(spark, sf_dir), out_root, run_ts, jdbc_url, jdbc_properties)
 
 
 BASIC_STRATEGY = {"price": "median", "category": "mode", "description": "empty_string"}

@@ -13,7 +13,7 @@ RATES = {"USD": 1.1, "CZK": 25.5}
 
 def test_sales_job_writes_six_stamped_reports(spark, tmp_path):
     paths = flows.run_sales_job(T.customers(spark, SF_SMALL), T.sales(spark, SF_SMALL),
-                                str(tmp_path / "out"), "2025-01-31 23:59:59")
+                                str(tmp_path / "out"), "2025-01-31 23:59:59", persist=True)
     assert len(paths) == 6
     for name, p in paths.items():
         assert "/20250131_235959/" in p
@@ -78,3 +78,13 @@ def test_config_csv_source(spark, tmp_path):
            "target_table": "cfg_products_csv", "target_path": str(tmp_path / "t")}
     out = flows.run_config(spark, cfg)
     assert out.count() == T.products(spark, SF_SMALL).count()
+
+
+def test_table_report_equals_frame_report(spark, tmp_path):
+    """The per-report minimal inputs give the same six reports as the shared
+    line-level frame."""
+    a = flows.analyze_tables(spark, SF_SMALL)
+    b = flows.analyze_sales(T.customers(spark, SF_SMALL), T.sales(spark, SF_SMALL))
+    assert a.keys() == b.keys()
+    for k in a:
+        assert sorted(map(tuple, a[k].collect())) == sorted(map(tuple, b[k].collect())), k
