@@ -357,12 +357,12 @@ def test_csv_table_insert_values_and_inferred_read(spark, tmp_path):
     from martlake.sources import sinks as K
     loc = str(tmp_path / "csvtab")
     K.create_database(spark, "martlake_test_db")
-    K.create_external_csv_table(spark, "martlake_test_db.prodeje", "id INT, produkt STRING, cena DOUBLE", loc)
-    K.insert_values(spark, "martlake_test_db.prodeje", [(1, "Notebook", 25000.0), (2, "Mobil", 12000.5)])
-    got = sorted((r.id, r.produkt, r.cena) for r in spark.table("martlake_test_db.prodeje").collect())
+    K.create_external_csv_table(spark, "martlake_test_db.sales_csv", "id INT, product STRING, price DOUBLE", loc)
+    K.insert_values(spark, "martlake_test_db.sales_csv", [(1, "Notebook", 25000.0), (2, "Mobil", 12000.5)])
+    got = sorted((r.id, r.product, r.price) for r in spark.table("martlake_test_db.sales_csv").collect())
     assert got == [(1, "Notebook", 25000.0), (2, "Mobil", 12000.5)]
     inferred = FS.read_csv_inferred(spark, loc)
-    assert dict(inferred.dtypes)["cena"] == "double"
+    assert dict(inferred.dtypes)["price"] == "double"
 
 
 def test_booleans_to_double_and_plain_limit(spark):
