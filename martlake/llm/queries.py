@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import common, exact_dedup
+from martlake.llm import common, exact_dedup, simhash_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -35,3 +35,11 @@ def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_duplicates(docs).select(
         F.col("id").alias("doc_id"), "keep_id", "group_size", "kept",
         F.col("sha").alias("text_sha256"))
+
+
+@query("op10_simhash_golay")
+def op10_simhash_golay(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    return simhash_dedup.near_duplicates(docs).select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
