@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import common, exact_dedup, simhash_dedup
+from martlake.llm import common, exact_dedup, simhash_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -43,3 +43,10 @@ def op10_simhash_golay(spark, sf_dir):
     return simhash_dedup.near_duplicates(docs).select(
         F.col("id").alias("doc_id"),
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op4_token_counts")
+def op4_token_counts(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    path = common.tokenizer_path(token_counts.MODEL)
+    return token_counts.token_counts(docs, path).withColumnRenamed("id", "doc_id")
