@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import common, exact_dedup, simhash_dedup, token_counts
+from martlake.llm import common, exact_dedup, packing, simhash_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -50,3 +50,9 @@ def op4_token_counts(spark, sf_dir):
     docs = common.read_table(spark, sf_dir, "documents")
     path = common.tokenizer_path(token_counts.MODEL)
     return token_counts.token_counts(docs, path).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_bin_slack_packing")
+def op3_bin_slack_packing(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    return packing.pack(docs, common.tokenizer_path(packing.VOCABULARY))
