@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import common, exact_dedup, packing, simhash_dedup, token_counts
+from martlake.llm import common, exact_dedup, mixing, packing, simhash_dedup, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +56,41 @@ def op4_token_counts(spark, sf_dir):
 def op3_bin_slack_packing(spark, sf_dir):
     docs = common.read_table(spark, sf_dir, "documents")
     return packing.pack(docs, common.tokenizer_path(packing.VOCABULARY))
+
+
+@query("op7_pareto_mixing", r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size,
+         (('0x' || substr(md5(concat_ws(':', '42', doc_id::VARCHAR, coalesce(text, ''))), 1, 12))::BIGINT::DOUBLE
+          + 0.5) / 281474976710656.0 AS u
+  FROM documents),
+d2 AS (SELECT *, length(bin(size)) AS g FROM d),
+s1 AS (SELECT source, SUM(size)::BIGINT AS source_size FROM d2 GROUP BY source),
+s2 AS (SELECT *, [5.0, 2.0, 1.0][((ROW_NUMBER() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INTEGER]::DOUBLE AS w,
+              source_size * 2.0::DOUBLE AS cap, (SUM(source_size) OVER ())::DOUBLE * 1.5::DOUBLE AS total FROM s1),
+s3 AS (SELECT *, (total - coalesce(SUM(cap) OVER (ORDER BY cap / w, source NULLS FIRST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0))
+              / SUM(w) OVER (ORDER BY cap / w, source NULLS FIRST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s2),
+s4 AS (SELECT arg_min(level, cap / w) FILTER (level * w <= cap) AS common FROM s3),
+s AS (SELECT source, source_size, CASE WHEN common IS NULL THEN cap ELSE least(cap, common * w) END AS target
+      FROM s3, s4),
+c1 AS (SELECT source, g, SUM(size)::BIGINT AS words FROM d2 GROUP BY source, g),
+c2 AS (SELECT c1.*, s.source_size, s.target,
+              coalesce(SUM(words) OVER (PARTITION BY c1.source ORDER BY g DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS above,
+              SUM(g * words) OVER (PARTITION BY c1.source ORDER BY g DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS mass
+       FROM c1 JOIN s ON c1.source IS NOT DISTINCT FROM s.source),
+c3 AS (SELECT *, CASE WHEN mass > 0 THEN (target - above::DOUBLE * 2.0::DOUBLE) / mass::DOUBLE END AS f FROM c2),
+c4 AS (SELECT *, arg_max(f, g) FILTER (f * g::DOUBLE <= 2.0) OVER (PARTITION BY source) AS factor FROM c3),
+c5 AS (SELECT *, CASE WHEN factor IS NULL THEN 2.0::DOUBLE ELSE least(2.0::DOUBLE, factor * g::DOUBLE) END AS copies FROM c4),
+c AS (SELECT *, floor(copies)::BIGINT AS whole, copies - floor(copies) AS p,
+             target - (SUM(floor(copies)::BIGINT * words) OVER (PARTITION BY source))::DOUBLE AS rest FROM c5),
+r AS (SELECT d2.doc_id, d2.size, d2.source, c.source_size, c.target, c.whole, c.rest,
+             CASE WHEN p > 0 AND size > 0 THEN (u / (1.0::DOUBLE - u)) * ((1.0::DOUBLE - p) / p) END AS q
+      FROM d2 JOIN c ON d2.source IS NOT DISTINCT FROM c.source AND d2.g = c.g),
+k AS (SELECT *, q IS NOT NULL AND 2 * coalesce(SUM(size) OVER (PARTITION BY source, q IS NULL ORDER BY q, doc_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + size <= 2 * rest AS picked FROM r)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+       (CASE WHEN size > 0 THEN (whole + picked::BIGINT) * size ELSE 0 END)::BIGINT AS taken FROM k""")
+def op7_pareto_mixing(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    return (mixing.mix_counts(docs).withColumnRenamed("id", "doc_id")
+            .select("doc_id", "size", "source_size", "target", "taken"))
