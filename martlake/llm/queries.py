@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import common, exact_dedup, mixing, packing, simhash_dedup, token_counts
+from martlake.llm import (
+    common, exact_dedup, mixing, packing, quality_classifier, simhash_dedup, token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,7 +62,8 @@ def op3_bin_slack_packing(spark, sf_dir):
 
 @query("op7_pareto_mixing", r"""
 WITH d AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS size,
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS size,
          (('0x' || substr(md5(concat_ws(':', '42', doc_id::VARCHAR, coalesce(text, ''))), 1, 12))::BIGINT::DOUBLE
           + 0.5) / 281474976710656.0 AS u
   FROM documents),
@@ -94,3 +97,10 @@ def op7_pareto_mixing(spark, sf_dir):
     docs = common.read_table(spark, sf_dir, "documents")
     return (mixing.mix_counts(docs).withColumnRenamed("id", "doc_id")
             .select("doc_id", "size", "source_size", "target", "taken"))
+
+
+@query("op6_quality_mil")
+def op6_quality_mil(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    labels = common.read_table(spark, sf_dir, "labels")
+    return quality_classifier.quality_scores(docs, labels).withColumnRenamed("id", "doc_id")
