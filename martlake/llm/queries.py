@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import (
-    common, exact_dedup, mixing, packing, quality_classifier, simhash_dedup, token_counts,
+    common, exact_dedup, fingerprints, mixing, packing, quality_classifier, simhash_dedup,
+    token_counts,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -104,3 +105,46 @@ def op6_quality_mil(spark, sf_dir):
     docs = common.read_table(spark, sf_dir, "documents")
     labels = common.read_table(spark, sf_dir, "labels")
     return quality_classifier.quality_scores(docs, labels).withColumnRenamed("id", "doc_id")
+
+
+def _tree_sql(table: str, text: str, to: str) -> str:
+    """Leaves, body and root of the texts in ``table``, step by step."""
+    return rf"""
+{to}_1 AS (SELECT *, regexp_extract_all({text}, '[^\n]{{1,256}}\n?|\n') AS {to}_blocks FROM {table}),
+{to}_2 AS (SELECT *, list_transform({to}_blocks, lambda b: substr(md5(b), 1, 16) || '.' || length(b)) AS {to}_leaves,
+                  array_to_string(list_transform({to}_blocks, lambda b: substr(md5(b), 1, 16) || '.' || length(b) ||
+                    CASE WHEN ends_with(b, chr(10)) THEN ';' ELSE ',' END), '') AS {to}_flat FROM {to}_1),
+{to}_3 AS (SELECT *, array_to_string(list_transform(regexp_extract_all({to}_flat, '[^;]+;?'), lambda p: p ||
+                    CASE WHEN starts_with(p, substr(md5(chr(10)), 1, 16) || '.1;')
+                           OR substr(md5(p), 1, 1) IN ('0', '1') THEN '/' ELSE '' END), '') AS {to}_body FROM {to}_2),
+{to}_4 AS (SELECT *, sha256(array_to_string(list_transform(regexp_extract_all({to}_body, '[^/]+/?'),
+                    lambda s: substr(md5(array_to_string(list_transform(regexp_extract_all(s, '[^;]+;?/?'),
+                      lambda p: substr(md5(p), 1, 16)), '')), 1, 16)), '')) || '|' || {to}_body AS {to} FROM {to}_3)"""
+
+
+def _near_sql(a: str, b: str) -> str:
+    def length(leaves):
+        return (f"list_sum(list_transform({leaves}, lambda x: split_part(x, '.', 2)::BIGINT))")
+    return (f"CASE WHEN {a} = {b} THEN 1.0::DOUBLE ELSE"
+            f" (2 * coalesce({length(f'list_intersect({a}_leaves, {b}_leaves)')}, 0))::DOUBLE"
+            f" / (coalesce({length(f'list_distinct({a}_leaves)')}, 0)"
+            f" + coalesce({length(f'list_distinct({b}_leaves)')}, 0))::DOUBLE END")
+
+
+@query("op1_merkle_fingerprints", f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n FROM documents),
+{_tree_sql('t', 'text', 'fp')},
+u AS (SELECT doc_id, text, n, fp, fp_leaves,
+             coalesce(LEAD(text) OVER w, FIRST(text) OVER (ORDER BY doc_id)) AS next_text,
+             coalesce(LEAD(fp) OVER w, FIRST(fp) OVER (ORDER BY doc_id)) AS nx,
+             coalesce(LEAD(fp_leaves) OVER w, FIRST(fp_leaves) OVER (ORDER BY doc_id)) AS nx_leaves
+      FROM fp_4 WINDOW w AS (ORDER BY doc_id)),
+e AS (SELECT *, substr(text, 1, n - n // 2) || substr(next_text, 1, n // 2) AS edited FROM u),
+{_tree_sql('e', 'edited', 'ed')}
+SELECT doc_id, n AS n_chars, sha256(edited) AS edited_sha256, fp AS fingerprint, ed AS edited_fingerprint,
+       {_near_sql('fp', 'ed')} AS near_edited, {_near_sql('fp', 'nx')} AS near_next FROM ed_4""")
+def op1_merkle_fingerprints(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    return fingerprints.edited_fingerprints(docs).select(
+        F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
