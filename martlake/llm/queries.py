@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import (
-    common, exact_dedup, fingerprints, mixing, packing, quality_classifier, simhash_dedup,
+    common, exact_dedup, fingerprints, mixing, packing, quality_classifier, secrets, simhash_dedup,
     token_counts,
 )
 
@@ -148,3 +148,50 @@ def op1_merkle_fingerprints(spark, sf_dir):
     return fingerprints.edited_fingerprints(docs).select(
         F.col("id").alias("doc_id"), "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
         "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
+def _hits_sql() -> str:
+    """Matches with the gaps before them, for every kind."""
+    out = []
+    for kind, (rank, role, pattern) in secrets.KINDS.items():
+        p = pattern.replace("'", "''")
+        values = f"regexp_extract_all(text, '{p}', 2)" if kind == "assign" else "[]::VARCHAR[]"
+        out.append(f"SELECT doc_id, '{kind}' AS kind, {rank} AS rank, '{role}' AS role,"
+                   f" string_split_regex(text, '{p}') AS gaps, regexp_extract_all(text, '{p}') AS ms,"
+                   f" {values} AS vs FROM d WHERE regexp_matches(text, '{p}')")
+    return "\n  UNION ALL ".join(out)
+
+
+@query("op2_credential_links", f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+h AS ({_hits_sql()}),
+m AS (SELECT doc_id, kind, rank, role, i, length(gaps[i]) AS gap, ms[i] AS m, vs[i] AS v
+      FROM h, LATERAL (SELECT unnest(range(1, len(ms) + 1)) AS i)),
+p AS (SELECT *, SUM(gap + length(m)) OVER (PARTITION BY doc_id, kind ORDER BY i)::BIGINT AS e FROM m),
+s AS (SELECT doc_id, kind, rank, role, e - length(m) AS b, e FROM p
+      WHERE CASE kind WHEN 'assign' THEN length(v) >= 6
+                      WHEN 'weak' THEN regexp_matches(m, '[0-9]') AND regexp_matches(m, '[A-Za-z]') ELSE true END),
+j AS (SELECT w.doc_id, w.kind, w.rank, w.role, w.b, w.e,
+             bool_or((o.e <= w.b OR o.b >= w.e) AND o.role = 'identifier') AS ident,
+             bool_or((o.e <= w.b OR o.b >= w.e) AND o.role = 'secret') AS secret,
+             bool_or(NOT (o.e <= w.b OR o.b >= w.e) AND o.rank <= 3) AS known
+      FROM s w JOIN s o ON w.doc_id = o.doc_id AND o.e > w.b - {secrets.SCOPE} AND o.b < w.e + {secrets.SCOPE}
+      WHERE w.rank > 3 GROUP BY ALL),
+a AS (SELECT doc_id, kind, rank, b, e FROM s WHERE rank <= 3
+      UNION ALL SELECT doc_id, kind, rank, b, e FROM j
+      WHERE NOT known AND (role = 'secret' OR secret) AND (role = 'identifier' OR ident)),
+g AS (SELECT doc_id, COUNT(*) FILTER (kind = 'assign') AS n_assign, COUNT(*) FILTER (kind = 'access') AS n_access,
+             COUNT(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) FILTER (rank <= 3) AS base,
+             string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) AS spans FROM a GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (doc_id)""")
+def op2_credential_links(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    base = F.filter("spans", lambda s: s["kind"].isin(*secrets.STRONG))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [(F.size("spans") - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}")
+              for k in secrets.STRONG]
+    return secrets.secret_spans(docs).select(
+        F.col("id").alias("doc_id"), *counts, F.sha2(secrets.written_spans(base), 256).alias("base_sha256"),
+        secrets.written_spans(F.col("spans")).alias("spans"))
