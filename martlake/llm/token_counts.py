@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.common import ship, text_of
+from martlake.llm.common import ship, text_of, written
 
 MODEL = "piece_bpe_32k.model"
 LIMIT = 4096
@@ -157,12 +157,23 @@ def frequent_table(docs: DataFrame, path: str, text_col: str = "text",
                    table_size: int = TABLE_SIZE, summary_size: int = SUMMARY_SIZE) -> dict[str, int]:
     """At most ``table_size`` frequent pre-tokens with their token counts."""
     ship(docs.sparkSession)
-    rows = (docs.select(text_of(f"`{text_col}`").alias("text"))
-            .mapInArrow(_summaries(table_size, summary_size), "word string, n long")
-            .groupBy("word").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "word").limit(table_size).collect())
-    words = [r["word"] for r in rows]
-    return dict(zip(words, TwoTierCounter(path, {}).encode(words))) if words else {}
+    counts = written(docs.select(text_of(f"`{text_col}`").alias("text"))
+                     .mapInArrow(_summaries(table_size, summary_size), "word string, n long")
+                     .groupBy("word").agg(F.sum("n").alias("n"))
+                     .withColumn("step", F.floor(8 * F.log2("n"))), "token-words")
+    # The least step of the counts above which at most table_size words lie:
+    # neither a sort nor more than the table itself reaches the driver.
+    steps = {r["step"]: r["n"] for r in counts.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect()}
+    least, size = None, 0
+    for step in sorted(steps, reverse=True):
+        size += steps[step]
+        if size > table_size:
+            break
+        least = step
+    if least is None:
+        return {}
+    words = sorted(r["word"] for r in counts.filter(F.col("step") >= least).select("word").collect())
+    return dict(zip(words, TwoTierCounter(path, {}).encode(words)))
 
 
 def _count_batches(path: str, shared):
