@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import (
-    common, exact_dedup, fingerprints, mixing, packing, quality_classifier, secrets, simhash_dedup,
+    chat_template, common, exact_dedup, fingerprints, mixing, packing, quality_classifier, secrets, simhash_dedup,
     token_counts,
 )
 
@@ -195,3 +195,13 @@ def op2_credential_links(spark, sf_dir):
     return secrets.secret_spans(docs).select(
         F.col("id").alias("doc_id"), *counts, F.sha2(secrets.written_spans(base), 256).alias("base_sha256"),
         secrets.written_spans(F.col("spans")).alias("spans"))
+
+
+@query("op9_chat_template")
+def op9_chat_template(spark, sf_dir):
+    turns = common.read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)],
+                                  "conv_id long, turn long, role string, text string")
+    return (chat_template.formatted_digests(turns.unionByName(extra))
+            .withColumnRenamed("conv", "conv_id"))
