@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import (
-    chat_template, common, exact_dedup, fingerprints, mixing, packing, quality_classifier, secrets, simhash_dedup,
+    chat_template, common, exact_dedup, fingerprints, licenses, mixing, packing, quality_classifier, secrets, simhash_dedup,
     token_counts,
 )
 
@@ -205,3 +205,44 @@ def op9_chat_template(spark, sf_dir):
                                   "conv_id long, turn long, role string, text string")
     return (chat_template.formatted_digests(turns.unionByName(extra))
             .withColumnRenamed("conv", "conv_id"))
+
+
+def _license_sql() -> str:
+    def lit(s):
+        return "'" + s.replace("'", "''") + "'"
+    rows, unknown = licenses.template_vectors()
+    vectors = ", ".join(f"({lit(t)}, {i!r}::DOUBLE, {k}, {lit(n)}, {w!r}::DOUBLE)" for t, i, k, n, w in rows)
+    return f"""
+WITH v(term, idf, template, license, weight) AS (VALUES {vectors}),
+f AS (SELECT doc_id, coalesce(text, '') AS text, {licenses.DOC_PATH_SQL} AS path FROM documents),
+c AS (SELECT doc_id, i AS n, lines[i] AS body
+      FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM f), LATERAL (SELECT unnest(range(1, len(lines) + 1)) AS i)
+      WHERE regexp_matches(lines[i], {lit(licenses.MARKERS)})),
+t AS (SELECT doc_id, n, term, COUNT(*) AS tf
+      FROM (SELECT doc_id, n, unnest(regexp_extract_all(lower(body), {lit(licenses.TERM)})) AS term FROM c) GROUP BY ALL),
+x AS (SELECT t.*, tf * coalesce(i.idf, {unknown!r}::DOUBLE) AS x FROM t LEFT JOIN (SELECT DISTINCT term, idf FROM v) i USING (term)),
+nm AS (SELECT doc_id, n, sqrt(SUM(x * x)) AS norm, SUM(tf) AS words FROM x GROUP BY ALL),
+dt AS (SELECT doc_id, n, template, license, SUM(x * weight) AS dot FROM x JOIN v USING (term) GROUP BY ALL),
+sc AS (SELECT doc_id, n, words, license, round(dot / norm, 6) AS s FROM dt JOIN nm USING (doc_id, n)),
+b AS (SELECT * FROM sc QUALIFY ROW_NUMBER() OVER (PARTITION BY doc_id, n ORDER BY s DESC, license) = 1),
+o AS (SELECT doc_id, arg_min(license, struct_pack(s := -s, l := license)) AS own, MAX(s) AS os, SUM(words) AS w, COUNT(*) AS nh
+      FROM b WHERE s >= {licenses.LEAST} GROUP BY doc_id),
+r AS (SELECT f.doc_id, path, regexp_replace(path, '/?[^/]*$', '') AS dir, own, os, w, nh,
+             len(regexp_extract_all(lower(text), {lit(licenses.TERM)})) AS nt FROM f LEFT JOIN o USING (doc_id)),
+sp AS (SELECT dir AS anc, arg_min(own, struct_pack(s := -os, l := own)) AS license, MAX(os) AS s
+       FROM r WHERE own IS NOT NULL AND w >= {licenses.FILE_SHARE} * nt GROUP BY dir),
+ds AS (SELECT dir, i AS depth, array_to_string(string_split(dir, '/')[1:i], '/') AS anc
+       FROM (SELECT DISTINCT dir FROM r), LATERAL (SELECT unnest(range(0, len(string_split(dir, '/')) + 1)) AS i)),
+ne AS (SELECT dir, depth, anc, license, s FROM ds JOIN sp USING (anc)
+       QUALIFY ROW_NUMBER() OVER (PARTITION BY dir ORDER BY depth DESC, anc DESC) = 1)
+SELECT doc_id, path, coalesce(own, license) AS license, coalesce(os, s) AS similarity,
+       CASE WHEN own IS NOT NULL THEN 'own' WHEN license IS NOT NULL THEN 'inherited' END AS origin,
+       CASE WHEN own IS NULL AND license IS NOT NULL THEN anc END AS directory, coalesce(nh, 0) AS n_headers
+FROM r LEFT JOIN ne USING (dir)"""
+
+
+@query("op5_license_scan", _license_sql())
+def op5_license_scan(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    files = docs.select("doc_id", "text", F.expr(licenses.DOC_PATH).alias("path"))
+    return licenses.scan(files, "doc_id", "path").withColumnRenamed("id", "doc_id")
