@@ -1,10 +1,9 @@
-"""Global statistics as scalar subqueries.
+"""Global statistics as literals.
 
-A one-row aggregate (min/max, quantiles, means, rates) is attached to every
-row as a scalar subquery: Spark computes the aggregate once (partial
-aggregates combined map-side, then one row) and substitutes the value in the
-projection. No join is planned, and several references to the same
-statistics frame are merged into one subquery by the optimizer.
+A one-row aggregate (min/max, quantiles, means, rates) is run once and its
+row, whose size does not depend on the data, becomes literals of the plan
+that uses it. That plan then has neither a join nor a subquery for it, reads
+its input once, and the literals take part in constant folding.
 """
 
 from __future__ import annotations
@@ -13,7 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def scalar_row(one_row: DataFrame) -> Column:
-    """The single row of ``one_row`` as a struct column; read a field with
-    ``scalar_row(df)[name]``."""
-    return one_row.select(F.struct(*[F.col(c) for c in one_row.columns]).alias("_row")).scalar()
+def scalar_row(*one_row: DataFrame) -> dict[str, Column]:
+    """The fields of the single row of each frame, by name, as literals of
+    their types."""
+    out = {}
+    for df in one_row:
+        row = df.first()
+        for f in df.schema.fields:
+            out[f.name] = F.lit(row[f.name]).cast(f.dataType)
+    return out

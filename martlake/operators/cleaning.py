@@ -1,8 +1,8 @@
 """Basic cleaning: column names, duplicates, missing values.
 
-The reference does these eagerly in pandas; here each is a lazy plan. The
-statistics a fill needs are one-row aggregates read as scalar subqueries in
-the final projection; no join and no driver-side loop over the data.
+The statistics a fill needs are one-row aggregates, taken for all columns
+together and read as literals in the final projection: no join, no subquery
+and no driver-side loop over the data.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from martlake.functions.numeric import exact_mean
 from martlake.functions.scalars import scalar_row
-from martlake.operators.stats import exact_median, mode_value
+from martlake.operators.stats import modes, quantiles_multi
 
 log = logging.getLogger(__name__)
 
@@ -77,13 +77,13 @@ def handle_missing_values(df: DataFrame, strategy: dict) -> DataFrame:
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     drops: list[str] = []
-    fills: dict[str, object] = {}      # column -> Column expression
-    stat_frames: list[DataFrame] = []
-    mean_aggs = []
+    fills: dict[str, object] = {}      # column -> Column, or (type, statistic)
+    means, medians, mode_of = {}, {}, {}
 
-    def kept(frame: DataFrame, cols: list[str]) -> DataFrame:
-        return frame.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])) \
-            if cols else frame
+    def kept(column: str):
+        """The column in the rows that the drops so far leave, else NULL."""
+        cond = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drops], F.lit(True))
+        return F.when(cond, F.col(column))
 
     for i, (column, method) in enumerate(strategy.items()):
         if column not in types:
@@ -99,14 +99,13 @@ def handle_missing_values(df: DataFrame, strategy: dict) -> DataFrame:
         elif method in ("mean", "median") and not _is_numeric(dt):
             log.warning("column %s is not numeric; %s skipped", column, method)
         elif method == "mean":
-            cond = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drops], F.lit(True))
-            mean_aggs.append(exact_mean(F.when(cond, F.col(column))).alias(stat))
+            means[stat] = kept(column)
             fills[column] = ("double", stat)
         elif method == "median":
-            stat_frames.append(exact_median(kept(df, list(drops)), column, stat))
+            medians[stat] = (kept(column), 0.5)
             fills[column] = ("double", stat)
         elif method == "mode":
-            stat_frames.append(mode_value(kept(df, list(drops)), column, stat))
+            mode_of[stat] = kept(column)
             fills[column] = (None, stat)
         elif method == "zero":
             fills[column] = F.coalesce(F.col(column), F.lit(0).cast(dt))
@@ -115,13 +114,12 @@ def handle_missing_values(df: DataFrame, strategy: dict) -> DataFrame:
                 fills[column] = F.coalesce(F.col(column), F.lit(""))
             else:
                 log.warning("column %s is not a string; empty_string skipped", column)
-    if mean_aggs:
-        stat_frames.append(df.agg(*mean_aggs))
-    # every statistics frame has one row: read its values as scalar subqueries
-    scalars = {}
-    for sf in stat_frames:
-        row = scalar_row(sf)
-        scalars.update({name: row[name] for name in sf.columns})
+    frames = modes(df, mode_of) if mode_of else []
+    if means:
+        frames.append(df.agg(*[exact_mean(x).alias(stat) for stat, x in means.items()]))
+    if medians:
+        frames.append(quantiles_multi(df, medians))
+    scalars = scalar_row(*frames)
 
     def resolve(column):
         f = fills[column]
@@ -131,5 +129,5 @@ def handle_missing_values(df: DataFrame, strategy: dict) -> DataFrame:
         x = F.col(column).cast(cast) if cast else F.col(column)
         return F.coalesce(x, scalars[stat])
 
-    out = kept(df, drops)
+    out = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in drops])) if drops else df
     return out.select(*[resolve(c).alias(c) if c in fills else F.col(c) for c in df.columns])

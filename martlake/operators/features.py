@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from martlake.functions.numeric import exact_mean, exact_sum, ratio
 from martlake.functions.scalars import scalar_row
 from martlake.operators.stats import exact_median, quantiles_multi
+from martlake.session import written
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -59,7 +60,7 @@ def handle_outliers(df: DataFrame, method: str = "iqr", threshold: float = 1.5)
     if method == "iqr":
         spec.update({f"_q1_{c}": (c, 0.25) for c in cols})
         spec.update({f"_q3_{c}": (c, 0.75) for c in cols})
-    # all statistics of all columns: one row each, read as scalar subqueries
+    # all statistics of all columns: one row each, read as literals
     q = scalar_row(quantiles_multi(df, spec))
     if method == "zscore":
         m = scalar_row(df.agg(*[e for c in cols for e in
@@ -93,14 +94,23 @@ def word_count(text) -> F.Column:
         .otherwise(F.size(F.split(t, r"(?U)\s+")))
 
 
+#: Groups whose means are broadcast to the rows (a few MB); beyond that the
+#: rows are joined to them by shuffle.
+BROADCAST_GROUPS = 100_000
+
+
 def group_mean(df: DataFrame, key: str, value: str, name: str) -> DataFrame:
     """Mean of ``value`` per ``key`` attached to every row; NULL
-    for a NULL key. Aggregate-then-join instead of a window: the aggregate
-    combines map-side and AQE turns the join into a broadcast when the
-    per-key result is small, so a hot key is never sorted in one task."""
-    means = (df.where(F.col(key).isNotNull()).groupBy(key)
-             .agg(ratio(exact_sum(value), F.count(value)).alias(name)))
-    return df.join(means, key, "left").select(*df.columns, name)
+    for a NULL key. The means are aggregated (combined map-side), written
+    once and counted. Up to ``BROADCAST_GROUPS`` they are broadcast, so the
+    rows are not shuffled; beyond, rows with a key are joined by shuffle (AQE
+    splits hot keys) and rows without one stay out of the join."""
+    means = written(df.where(F.col(key).isNotNull()).groupBy(key)
+                    .agg(ratio(exact_sum(value), F.count(value)).alias(name)), "group-means")
+    if means.count() <= BROADCAST_GROUPS:
+        return df.join(F.broadcast(means), key, "left").select(*df.columns, name)
+    keyed = df.where(F.col(key).isNotNull()).join(means, key, "left").select(*df.columns, name)
+    return keyed.unionByName(df.where(F.col(key).isNull()).withColumn(name, F.lit(None).cast("double")))
 
 
 def generate_features(df: DataFrame, price="price", description="description",
@@ -137,18 +147,12 @@ def apply_transformations(df: DataFrame, materialize: bool = True) -> DataFrame:
     statistics are taken over the previous stage's output, so the outlier
     stage also processes the new ``*_normalized`` columns.
 
-    Every stage reads its input twice (statistics, then rows), so without a
-    cut the third stage would re-run the first two several times. With
-    ``materialize`` each stage's output is written once with a reliable
-    ``checkpoint()`` into ``spark.checkpoint.dir`` (survives executor loss).
+    Every stage reads its input for the statistics and for the rows, so with
+    ``materialize`` each stage's output is written once as Parquet into the
+    shared scratch folder: the next stage reads only the columns it needs.
     """
-    from martlake.session import checkpoint_root
-
     def cut(frame: DataFrame) -> DataFrame:
-        if not materialize:
-            return frame
-        checkpoint_root(frame.sparkSession)
-        return frame.checkpoint(eager=True)
+        return written(frame, "features") if materialize else frame
 
     stage1 = cut(normalize_numeric_columns(df))
     stage2 = cut(handle_outliers(stage1))

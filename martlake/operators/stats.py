@@ -1,20 +1,18 @@
-"""Distributed statistics with bounded per-task memory.
-
-``percentile`` and ``mode`` in Spark keep a map of every distinct value of
-the group inside one aggregation buffer, so a global median over a huge
-column ends in a single task holding all distinct values. The versions here
-never do that:
-
-* the requested columns are unpivoted to ``(k, v)`` and reduced to
-  ``(k, v, cnt)`` (partial + final hash aggregate; a value holding a third
-  of all rows becomes one row), so all columns are ranked in one pass;
-* the pairs of each column are cut into value ranges whose bounds come from
-  a deterministic hash sample of at most ~``SAMPLE_TARGET`` values per
-  column (no random sampling: a recomputed stage yields the same ranges);
-* a running count is taken inside each range (window partitioned by
-  column and range) and range offsets come from a frame with at most
-  ``buckets`` rows per column;
-* only the two ranks around each requested position are kept.
+"""Exact distributed statistics with bounded per-task memory.
+
+Spark's ``percentile`` and ``mode`` keep every distinct value of a group in
+one aggregation buffer. Here a quantile is found in two reads of its column,
+for all requested columns and positions at once:
+
+1. mergeable sketches (``percentile_approx``) give a bracket of values around
+   each requested rank;
+2. the values inside the brackets are counted, with the number of values
+   below; each bracket holds about ``2 / ACCURACY`` of the rows.
+
+The bracket is checked against the exact counts; one that misses its rank is
+widened, one that holds more than ``MAX_BRACKET`` distinct values is narrowed
+by another sketch inside it. So results are exact, no task ever holds a whole
+column, and the work follows the data at every size.
 
 Interpolation is that of Spark's ``percentile``: with ``pos = p * (n - 1)``,
 ``lo = floor(pos)``, ``hi = ceil(pos)``: ``(hi - pos) * x[lo] + (pos - lo) *
@@ -23,98 +21,163 @@ x[hi]``, or ``x[lo]`` when ``lo == hi``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 256
-SAMPLE_TARGET = 20000
-
-
-def long_values(df: DataFrame, columns) -> DataFrame:
-    """(k, v) rows: every non-null value of each column, as DOUBLE."""
-    columns = list(columns)
-    pairs = F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v"))
-                      for c in columns])
-    return (df.select(F.inline(pairs))
-            .where(F.col("v").isNotNull()))
-
-
-def value_counts(df: DataFrame, columns) -> DataFrame:
-    """(k, v, cnt) for the non-null values of each column."""
-    return long_values(df, columns).groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt"))
-
-
-def _ranked(vc: DataFrame, buckets: int) -> DataFrame:
-    """Add ``start`` (0-based rank of the first copy of ``v`` within its
-    column ``k``) and the column size ``n`` to (k, v, cnt)."""
-    per_k = vc.groupBy("k").agg(F.count(F.lit(1)).alias("nd"), F.sum("cnt").alias("n"))
-    stride = F.greatest(F.lit(1), (F.col("nd") / F.lit(SAMPLE_TARGET)).cast("long"))
-    sample = (vc.join(F.broadcast(per_k), "k")
-              .where(F.pmod(F.xxhash64("v"), stride) == 0)
-              .groupBy("k").agg(F.sort_array(F.collect_list("v")).alias("s")))
-    bounds = sample.select("k", F.expr(
-        f"array_distinct(transform(sequence(1, {buckets - 1}), "
-        f"i -> s[CAST(floor(i * size(s) / {buckets}) AS INT)]))").alias("bounds"))
-    # one row per column: broadcast size is bounded by columns x buckets
-    vb = (vc.join(F.broadcast(bounds), "k", "left")
-          .select("k", "v", "cnt",
-                  F.coalesce(F.expr("size(filter(bounds, b -> b < v))"), F.lit(0)).alias("bucket")))
-    w = Window.partitionBy("k", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    within = vb.withColumn("run", F.sum("cnt").over(w))
-    per_bucket = vb.groupBy("k", "bucket").agg(F.sum("cnt").alias("bn"))
-    wb = Window.partitionBy("k").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.select("k", "bucket",
-                                F.coalesce(F.sum("bn").over(wb), F.lit(0)).alias("off"))
-    return (within.join(F.broadcast(offsets), ["k", "bucket"])
-            .join(F.broadcast(per_k.select("k", "n")), "k")
-            .select("k", "v", "cnt", "n", (F.col("off") + F.col("run") - F.col("cnt")).alias("start")))
-
-
-def quantiles_multi(df: DataFrame, spec: dict, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+from martlake.functions.numeric import col_of
+from martlake.session import written
+
+ACCURACY = 2000
+MAX_BRACKET = 5_000_000
+
+
+class _Bracket:
+    """What is known of one requested rank: its value lies in [lo, hi]
+    (None: unbounded)."""
+
+    def __init__(self, p: float):
+        self.p, self.lo, self.hi = p, None, None
+        self.margin = 2.0 / ACCURACY
+
+    def inside(self, x: Column) -> Column:
+        cond = x.isNotNull()
+        if self.lo is not None:
+            cond = cond & (x >= F.lit(self.lo))
+        if self.hi is not None:
+            cond = cond & (x <= F.lit(self.hi))
+        return cond
+
+
+def _sketch(df: DataFrame, columns: dict, todo: dict) -> None:
+    """Set the brackets of ``todo`` ({name: (column, bracket, inside, share)})
+    from one sketch each, taken over the values inside the present bracket;
+    ``share`` is the rank's position among those."""
+    aggs = []
+    for name, (c, b, inside, share) in todo.items():
+        x = columns[c] if inside is None else F.when(inside, columns[c])
+        lo, hi = max(0.0, share - b.margin), min(1.0, share + b.margin)
+        aggs.append(F.percentile_approx(x, [lo, hi], ACCURACY).alias(name))
+    row = df.agg(*aggs).first()
+    for name, (c, b, inside, share) in todo.items():
+        got = row[name]
+        if got is not None:
+            if share - b.margin > 0:
+                b.lo = got[0]
+            if share + b.margin < 1:
+                b.hi = got[1]
+
+
+def _counted(df: DataFrame, columns: dict, brackets: dict) -> DataFrame:
+    """(name, part, v, cnt): per rank the number of values below its bracket
+    (part 0) and the values inside it with their counts (part 1); part 2 is
+    what lies above."""
+    rows = F.array(*[F.struct(
+        F.lit(name).alias("name"),
+        F.when(b.inside(columns[c]), F.lit(1))
+         .when(columns[c].isNotNull() & ((columns[c] < F.lit(b.lo)) if b.lo is not None else F.lit(False)), F.lit(0))
+         .when(columns[c].isNotNull(), F.lit(2)).alias("part"),
+        F.when(b.inside(columns[c]), columns[c]).alias("v")) for name, (c, b) in brackets.items()])
+    return written(df.select(F.inline(rows)).where(F.col("part").isNotNull())
+                   .groupBy("name", "part", "v").agg(F.count(F.lit(1)).alias("cnt")), "quantiles")
+
+
+def quantiles_multi(df: DataFrame, spec: dict) -> DataFrame:
     """One-row DataFrame of exact quantiles.
 
-    ``spec`` maps an output name to ``(column, p)``. NULLs are ignored; a
-    column without values gives NULL.
+    ``spec`` maps an output name to ``(column, p)``; a column is a name or an
+    expression. NULL and NaN are ignored; a column without values gives NULL.
     """
-    cols = sorted({c for c, _ in spec.values()})
-    ranked = _ranked(value_counts(df, cols), buckets)
-    aggs, keep = [], None
-    for name, (c, p) in spec.items():
-        pos = F.lit(float(p)) * (F.col("n") - 1)
-        lo, hi = F.floor(pos), F.ceil(pos)
-        is_k = F.col("k") == F.lit(c)
-        at_lo = is_k & (F.col("start") <= lo) & (lo < F.col("start") + F.col("cnt"))
-        at_hi = is_k & (F.col("start") <= hi) & (hi < F.col("start") + F.col("cnt"))
-        keep = (at_lo | at_hi) if keep is None else keep | at_lo | at_hi
-        aggs += [F.max(F.when(at_lo, F.col("v"))).alias(f"_{name}_a"),
-                 F.max(F.when(at_hi, F.col("v"))).alias(f"_{name}_b"),
-                 F.max(F.when(is_k, pos)).alias(f"_{name}_pos")]
-    picked = ranked.where(keep).agg(*aggs)
+    columns = {f"c{i}": F.nanvl(col_of(c).cast("double"), F.lit(None).cast("double"))
+               for i, (c, _) in enumerate(spec.values())}
+    names = {name: f"c{i}" for i, name in enumerate(spec)}
+    brackets = {name: (names[name], _Bracket(float(p))) for name, (_, p) in spec.items()}
+    _sketch(df, columns, {n: (c, b, None, b.p) for n, (c, b) in brackets.items()})
+    done, todo = [], dict(brackets)
+    ranks = {}
+    while todo:
+        counted = _counted(df, columns, todo)
+        parts = {(r["name"], r["part"]): r for r in counted.groupBy("name", "part").agg(
+            F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()}
+        again, fine = {}, []
+        for name, (c, b) in todo.items():
+            below, inside, above = (parts[name, k]["n"] if (name, k) in parts else 0 for k in range(3))
+            n = below + inside + above
+            pos = b.p * (n - 1)
+            lo, hi = math.floor(pos), math.ceil(pos)
+            if n and not (below <= lo and hi < below + inside):
+                b.margin *= 8
+                b.lo = b.hi = None
+                again[name] = (c, b, None, b.p)
+            elif n and parts[name, 1]["distinct"] > MAX_BRACKET and b.lo != b.hi:
+                b.margin = 2.0 / ACCURACY
+                again[name] = (c, b, b.inside(columns[c]), (pos - below) / max(1, inside - 1))
+            else:
+                fine.append(name)
+                ranks[name] = (below, pos)
+        if fine:
+            done.append(counted.where(F.col("name").isin(fine) & (F.col("part") == 1)))
+        if again:
+            _sketch(df, columns, again)
+        todo = {name: brackets[name] for name in again}
+    inside = done[0]
+    for more in done[1:]:
+        inside = inside.unionByName(more)
+    run = F.sum("cnt").over(Window.partitionBy("name").orderBy("v"))
+    ranked = inside.withColumn("start", run - F.col("cnt"))
     out = []
     for name in spec:
-        a, b, pos = F.col(f"_{name}_a"), F.col(f"_{name}_b"), F.col(f"_{name}_pos")
-        lo, hi = F.floor(pos), F.ceil(pos)
-        out.append(F.when(lo == hi, a)
-                   .otherwise((hi - pos) * a + (pos - lo) * b).alias(name))
-    return picked.select(*out)
+        below, pos = ranks[name]
+        if pos < 0:
+            out.append(F.lit(None).cast("double").alias(name))
+            continue
+        lo, hi = math.floor(pos), math.ceil(pos)
 
+        def at(rank):
+            k = F.lit(rank - below)
+            return F.max(F.when((F.col("name") == name) & (F.col("start") <= k)
+                                & (k < F.col("start") + F.col("cnt")), F.col("v")))
+        out.append((at(lo) if lo == hi else F.lit(hi - pos) * at(lo) + F.lit(pos - lo) * at(hi)).alias(name))
+    return ranked.agg(*out)
 
-def exact_quantiles(df: DataFrame, column: str, probs, names=None,
-                    buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+
+def exact_quantiles(df: DataFrame, column, probs, names=None) -> DataFrame:
     """One-row DataFrame with exact quantiles of one column."""
     probs = list(probs)
     names = list(names or [f"q{i}" for i in range(len(probs))])
-    return quantiles_multi(df, {n: (column, p) for n, p in zip(names, probs)}, buckets)
+    return quantiles_multi(df, {n: (column, p) for n, p in zip(names, probs)})
 
 
-def exact_median(df: DataFrame, column: str, name: str = "median") -> DataFrame:
+def exact_median(df: DataFrame, column, name: str = "median") -> DataFrame:
     return exact_quantiles(df, column, [0.5], [name])
 
 
-def mode_value(df: DataFrame, column: str, name: str = "mode") -> DataFrame:
-    """One-row frame with the most frequent non-null value (smallest value
-    on ties); NULL when the column has no values."""
-    vc = (df.where(F.col(column).isNotNull())
-          .groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("cnt")))
-    best = vc.agg(F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("v").alias("v"))).alias("b"))
-    return best.select(F.col("b.v").alias(name))
+def approx_quantiles(df: DataFrame, column, probs, names=None, accuracy: int = 10_000) -> DataFrame:
+    """A26 for very large data: one read, rank error at most 1 / accuracy."""
+    names = list(names or [f"q{i}" for i in range(len(list(probs)))])
+    return df.agg(*[F.percentile_approx(col_of(column), float(p), accuracy).alias(n)
+                    for n, p in zip(names, probs)])
+
+
+def modes(df: DataFrame, spec: dict) -> list[DataFrame]:
+    """One-row frames, one for each type among the columns or expressions of
+    ``spec`` ({name: column}): the most frequent non-null value of each (the
+    smallest on ties; NULL without values), from one read per type."""
+    types = df.select(*[col_of(c).alias(n) for n, c in spec.items()]).schema
+    out = []
+    for kind in dict.fromkeys(f.dataType.simpleString() for f in types):
+        group = [n for n in spec if types[n].dataType.simpleString() == kind]
+        pairs = F.array(*[F.struct(F.lit(n).alias("name"), col_of(spec[n]).alias("v")) for n in group])
+        counts = (df.select(F.inline(pairs)).where(F.col("v").isNotNull())
+                  .groupBy("name", "v").agg(F.count(F.lit(1)).alias("cnt")))
+        best = F.struct((-F.col("cnt")).alias("neg"), F.col("v"))
+        one = counts.agg(*[F.min(F.when(F.col("name") == n, best)).alias(n) for n in group])
+        out.append(one.select(*[F.col(f"{n}.v").alias(n) for n in group]))
+    return out
+
+
+def mode_value(df: DataFrame, column, name: str = "mode") -> DataFrame:
+    """One-row frame with the most frequent non-null value (smallest
+    value on ties); NULL when the column has no values."""
+    return modes(df, {name: column})[0]

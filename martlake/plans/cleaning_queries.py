@@ -212,7 +212,7 @@ SELECT product_id, price, price - mn AS above_min, mx - price AS below_max,
        price - mean AS from_mean
 FROM products, s""")
 def price_to_global_stats(spark, d):
-    """One-row global statistics attached to every row (scalar subquery)."""
+    """One-row global statistics attached to every row (as literals)."""
     from martlake.functions.numeric import exact_mean
     p = _products(spark, d)
     from martlake.functions.scalars import scalar_row

@@ -89,6 +89,14 @@ def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.default.parallelism", "0") or 0)
 
 
+def written(df, name: str):
+    """``df`` written once as Parquet in the shared scratch folder and read
+    back: cuts the lineage and keeps statistics and column pruning."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written
     intermediate tables, stream checkpoints and sink round trips."""

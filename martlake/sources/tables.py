@@ -19,8 +19,6 @@ product   part with deterministic NULLs / empty strings / extreme prices,
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,45 +27,9 @@ TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders",
                "benchmark", "labels", "conversations"]
 
 
-# A table read as fewer files than the session has cores, and between these
-# sizes, is spread over all cores by a round-robin repartition after the scan
-# (below the minimum one task is cheaper than an extra exchange).
-REBALANCE_MIN_BYTES = 4 << 20
-REBALANCE_MAX_BYTES = 1 << 30
-
-
-def _local_size(uri: str) -> int | None:
-    if uri.startswith("file:"):
-        path = uri[5:]
-        while path.startswith("//"):
-            path = path[1:]
-        try:
-            return os.path.getsize(path)
-        except OSError:
-            return None
-    return None
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table.
-
-    Parquet splits only at row-group boundaries, so a small table written as
-    one row group is read by one task however many cores there are. Such a
-    table (fewer files than cores, all local, 4 MB to 1 GB)
-    is rebalanced round-robin right after the scan. Column pruning and
-    filters still reach the scan below the repartition. On a cluster the
-    tables have many files and are never rebalanced.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    from martlake.session import parallelism
-    par = parallelism(spark)
-    files = df.inputFiles()
-    if 0 < len(files) < par:
-        sizes = [_local_size(f) for f in files]
-        if (all(s is not None for s in sizes)
-                and REBALANCE_MIN_BYTES <= sum(sizes) < REBALANCE_MAX_BYTES):
-            df = df.repartition(par)
-    return df
+    """A driver table, read the same way at every size."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=None) -> None:
@@ -137,8 +99,8 @@ def order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     quantity, with the order attributes.
 
     For reports that need no product column. The lines are summed per
-    order first (partial aggregation combines the lines of an order, which
-    sit together in the files), so the join with ``orders`` sees about one
+    order first (partial aggregation combines the lines of an order where
+    they sit together in the files), so the join with ``orders`` sees one
     row per order instead of one per line; the aggregate's output is already
     partitioned by order key, so only ``orders`` is shuffled for the join.
     """
