@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 from martlake.llm import packing as P
 from martlake.llm.common import tokenizer_path
 
-PATH = tokenizer_path(P.VOCABULARY)
+PATH, RANKS = tokenizer_path(P.VOCABULARY), tokenizer_path(P.RANKS)
 LIB = Tokenizer.from_file(PATH)
 
 
@@ -24,12 +24,25 @@ def ids(text):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'stx12.,|<>é½"), st.characters(exclude_categories=["Cs"])), max_size=40))
 def test_ids_equal_the_library(text):
-    assert np.frombuffer(P.encoder(PATH).encode(text), "<u4").tolist() == ids(text)
+    assert np.frombuffer(P.encoder(PATH, RANKS).encode(text), "<u4").tolist() == ids(text)
+
+
+def test_ids_of_documents_equal_the_library():
+    import duckdb
+    docs = duckdb.sql("SELECT text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    for (t,) in docs:
+        assert np.frombuffer(P.encoder(PATH, RANKS).encode(t), "<u4").tolist() == ids(t)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.characters(codec="latin-1"), max_size=30))
+def test_usual_characters_equal_the_library(text):
+    assert np.frombuffer(P.encoder(PATH, RANKS).encode(text), "<u4").tolist() == ids(text)
 
 
 def test_special_strings():
     for t in ["<|endoftext|>", "a <|endoftext|>b", "it's  we'll\n\n x", "\xa0a", "a\x85b", "x" * 5000]:
-        assert np.frombuffer(P.encoder(PATH).encode(t), "<u4").tolist() == ids(t)
+        assert np.frombuffer(P.encoder(PATH, RANKS).encode(t), "<u4").tolist() == ids(t)
 
 
 @settings(max_examples=200, deadline=None)
@@ -65,7 +78,7 @@ def test_documents(spark):
              for i in range(150)]
     df = spark.createDataFrame([(i, t, 9, 8) for i, t in rows],
                                "doc_id long, text string, length long, number long").repartition(3)
-    got = P.pack(df, PATH, window=64, with_ids=True, group_rows=20).collect()
+    got = P.pack(df, PATH, RANKS, window=64, with_ids=True, group_rows=20).collect()
     want = []
     for i, t in rows:
         full = [*ids(t or ""), 1]
@@ -86,4 +99,4 @@ def test_documents(spark):
 
 
 def test_empty_table(spark):
-    assert P.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).count() == 0
+    assert P.pack(spark.createDataFrame([], "doc_id long, text string"), PATH, RANKS).count() == 0
