@@ -8,8 +8,9 @@ one distributed plan:
 
 * I or U opens a row at its change time; the row is closed by the key's
   next change (``valid_to`` = next change time, NULL while open);
-* D closes the open row and is recorded as ``valid_from = valid_to`` (a
-  zero-length row, never visible to a point-in-time read);
+* D closes the open row and is recorded with the closed row's payload as
+  ``valid_from = valid_to`` (a zero-length row, never visible to a
+  point-in-time read); a delete with nothing before it keeps its own payload;
 * ``version`` counts the I/U changes since the key's last insert (a D row
   carries the version it deleted).
 
@@ -19,32 +20,45 @@ at the same time (two updates inside one transaction give a zero-length row).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlake.operators.sequence import DEFAULT_BUCKET_ROWS, hot_key_buckets, ordered_scan
+from martlake.operators.sequence import DEFAULT_BUCKET_ROWS, has_hot_key, hot_key_buckets, ordered_scan
 
 HISTORY_OPS = ("I", "U", "D")
 
 
 def build_history(changes: DataFrame, key: str, ts: str, seq: str, op: str, payload,
                   max_bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Change set -> SCD-2 history rows."""
+    """Change set -> SCD-2 history rows.
+
+    One job counts the rows of each key (reading only the key). Where no key
+    has more than ``max_bucket_rows``, all is one scan, one shuffle and one
+    sort: three windows over the key. Else hot keys are split by time
+    (:mod:`martlake.operators.sequence`); the results are equal.
+    """
     payload = list(payload)
     c = changes.select(key, ts, seq, op, *payload)
-    is_live = F.when(F.col(op) != "D", 1).otherwise(0)
-    scanned = ordered_scan(
-        hot_key_buckets(c.withColumn("_live", is_live), key, ts, max_bucket_rows), key, [ts, seq],
-        None,
-        sums={"_live_cum": F.col("_live")},
-        leads={"_next_ts": F.col(ts)}, keep_bucket=True)
-    # The version base is the live count just before the key's latest insert.
-    # It needs the running live count, so it is a second scan (running max);
-    # it reuses the first scan's (key, bucket) partitioning.
+    live = F.col(op) != "D"
+    # What a delete closes: the latest row before it that is no delete.
+    closed = F.when(live, F.struct(ts, seq, *payload))
     base_src = F.when(F.col(op) == "I", F.col("_live_cum") - 1).otherwise(F.lit(0))
-    scanned = ordered_scan(scanned, key, [ts, seq], None, maxes={"_base": base_src})
-    return scanned.select(
-        key, *payload,
+    if has_hot_key(c, key, max_bucket_rows):
+        c = hot_key_buckets(c.withColumn("_live", live.cast("int")), key, ts, max_bucket_rows)
+        c = ordered_scan(c, key, [ts, seq], None, sums={"_live_cum": F.col("_live")},
+                         maxes={"_closed": closed}, leads={"_next_ts": F.col(ts)}, keep_bucket=True)
+        # The live count just before the latest insert needs the running one.
+        c = ordered_scan(c, key, [ts, seq], None, maxes={"_base": base_src})
+    else:
+        w = Window.partitionBy(key).orderBy(ts, seq)
+        run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        c = (c.withColumn("_live_cum", F.sum(live.cast("int")).over(run))
+             .withColumn("_closed", F.last(closed, ignorenulls=True).over(run))
+             .withColumn("_next_ts", F.lead(ts).over(w))
+             .withColumn("_base", F.max(base_src).over(run)))
+    deleted = (F.col(op) == "D") & F.col("_closed").isNotNull()
+    return c.select(
+        key, *[F.when(deleted, F.col(f"_closed.{p}")).otherwise(F.col(p)).alias(p) for p in payload],
         (F.col("_live_cum") - F.col("_base")).cast("int").alias("version"),
         F.col(ts).alias("valid_from"),
         F.when(F.col(op) == "D", F.col(ts)).otherwise(F.col("_next_ts")).alias("valid_to"),
@@ -67,9 +81,11 @@ def state_at(history: DataFrame, key: str, t) -> DataFrame:
             .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols]))
 
 
-def history_of_key(history: DataFrame, key: str, value) -> DataFrame:
-    """H2: the history of one key, newest first."""
-    return (history.where(F.col(key) == F.lit(value))
+def history_of_key(changes: DataFrame, key: str, ts: str, seq: str, op: str, payload, value) -> DataFrame:
+    """H2: the history of one key, newest first (O5); only that key's changes
+    are scanned and ordered."""
+    own = changes.where(F.col(key) == F.lit(value))
+    return (build_history(own, key, ts, seq, op, payload)
             .orderBy(F.desc("valid_from"), F.desc("version"), F.desc("change_seq")))
 
 
@@ -79,11 +95,11 @@ def asof_lookup(history: DataFrame, probes: DataFrame, key: str, t: str,
     at t, or NULLs.
 
     Probes and history starts are merged into one ordered stream per key; a
-    running max of (valid_from, version, seq, row) carried along the stream
-    gives, at each probe, the latest row that started at or before it. The
-    scan is the bucketed one, so a hot key is split by time into buckets of
-    about ``max_bucket_rows`` rows. No range join
-    and no pairs of rows are formed.
+    running max of (valid_from, seq, row) carried along the stream gives, at
+    each probe, the latest row that started at or before it. It is a window
+    over the key, or, where a key has more than ``max_bucket_rows`` rows, the
+    scan that splits hot keys by time. No range join and no pairs of rows are
+    formed.
     """
     payload = list(payload)
     row = F.struct(F.col("valid_from"), F.col("change_seq"), F.col("version"),
@@ -93,8 +109,13 @@ def asof_lookup(history: DataFrame, probes: DataFrame, key: str, t: str,
     p = probes.select(F.col(key), F.col(t).alias("_t"), F.lit(1).alias("_kind"),
                       F.lit(None).cast(h.schema["_row"].dataType).alias("_row"))
     merged = h.unionByName(p)
-    scanned = ordered_scan(hot_key_buckets(merged, key, "_t", max_bucket_rows), key,
-                           ["_t", "_kind"], None, maxes={"_last": F.col("_row")})
+    if has_hot_key(merged, key, max_bucket_rows):
+        scanned = ordered_scan(hot_key_buckets(merged, key, "_t", max_bucket_rows), key,
+                               ["_t", "_kind"], None, maxes={"_last": F.col("_row")})
+    else:
+        run = (Window.partitionBy(key).orderBy("_t", "_kind")
+               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        scanned = merged.withColumn("_last", F.max("_row").over(run))
     hit = scanned.where(F.col("_kind") == 1)
     ok = F.col("_last").isNotNull() & (F.col("_last.valid_to").isNull() |
                                         (F.col("_last.valid_to") > F.col("_t")))
@@ -133,6 +154,24 @@ def pending(manifest: DataFrame, applied: DataFrame, key: str) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Child rows whose foreign key has no parent."""
-    return child.join(parent.select(F.col(parent_key).alias(child_key)).distinct(),
-                      child_key, "left_anti")
+    """Child rows whose foreign key has no parent; a NULL key refers to
+    nothing and is no orphan."""
+    return (child.where(F.col(child_key).isNotNull())
+            .join(parent.select(F.col(parent_key).alias(child_key)), child_key, "left_anti"))
+
+
+def write_version(df: DataFrame, path: str, version: int) -> None:
+    """H7: ``df`` as one version of a table partitioned by ``version``; a
+    rerun rewrites that version alone."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={int(version)}")
+
+
+def as_of_version(table: DataFrame, version: int, column: str = "version") -> DataFrame:
+    """H7: the rows of all versions up to ``version`` (a filter on the
+    partition column, so later versions are not read)."""
+    return table.where(F.col(column) <= F.lit(version))
+
+
+def version_counts(table: DataFrame, column: str = "version") -> DataFrame:
+    """H8: rows by version, in order."""
+    return table.groupBy(column).agg(F.count(F.lit(1)).alias("rows")).orderBy(column)

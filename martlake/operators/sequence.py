@@ -17,11 +17,12 @@ The result is identical to the single-window version.
 Bucketing (:func:`hot_key_buckets`): a key with at most ``max_rows`` rows
 is one bucket. A *hot* key (more rows) gets a time width chosen so that a
 bucket holds about ``max_rows`` of its rows on average; a bucket that is
-still too large (a burst) is cut again with its own width. Hot groups are
-found by one aggregate per level; there are at most ``rows / max_rows`` of
-them, so their (key, bucket, start, width) table is small — it is
-checkpointed, its size checked, and broadcast only below ``MAX_HOT_KEYS``.
-Rows sharing one timestamp cannot be split by time and stay together.
+still too large (a burst) is cut again with its own width, as often as it
+takes. Hot groups are found by one aggregate per level; there are at most
+``rows / max_rows`` of them, so their (key, bucket, start, width) table is
+small — it is written once, its size checked, and broadcast only below
+``MAX_HOT_KEYS``. Rows sharing one timestamp cannot be split by time and stay
+together.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from martlake.session import written
+
 DEFAULT_BUCKET_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000_000
 
@@ -37,36 +40,42 @@ def _micros(ts_col: str) -> Column:
     return F.unix_micros(F.col(ts_col).cast("timestamp"))
 
 
+def has_hot_key(df: DataFrame, key: str, max_rows: int = DEFAULT_BUCKET_ROWS) -> bool:
+    """Whether a key has more than ``max_rows`` rows (one job over the key
+    column, counts combined map-side)."""
+    hot = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_rows)
+    return bool(hot.limit(1).count())
+
+
 def hot_key_buckets(df: DataFrame, key: str, ts_col: str,
-                    max_rows: int = DEFAULT_BUCKET_ROWS, levels: int = 2) -> DataFrame:
+                    max_rows: int = DEFAULT_BUCKET_ROWS, levels: int | None = None) -> DataFrame:
     """Add ``_bk``, a bucket non-decreasing in ``ts_col`` within a key.
 
     Ordinary keys (at most ``max_rows`` rows) stay whole. A hot key is cut
     into time buckets of about ``max_rows`` rows on average; a bucket that
-    still holds more (a burst) is cut again with its own, finer width, up to
-    ``levels`` times. The bucket is then an array path ``[b1, b2, ...]``
-    (arrays order lexicographically). When no key is hot, no join is added.
+    still holds more (a burst) is cut again with its own, finer width, until
+    none is left that time can cut (or ``levels`` times). The bucket is then
+    an array path ``[b1, b2, ...]`` (arrays order lexicographically). When no
+    key is hot, no join is added.
     """
-    from martlake.session import checkpoint_root
     us = _micros(ts_col)
     span = (F.col("_hi") - F.col("_lo") + 1).cast("double")
     out = df.withColumn("_bk", F.array().cast("array<long>"))
-    split_any = False
-    for _ in range(levels):
+    cuts = 0
+    while levels is None or cuts < levels:
         hot = (out.groupBy(key, "_bk")
                .agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_lo"), F.max(us).alias("_hi"))
                .where((F.col("_n") > F.lit(max_rows)) & (F.col("_hi") > F.col("_lo")))
                .select(key, "_bk", "_lo",
                        F.greatest(F.lit(1), F.ceil(span * F.lit(float(max_rows)) / F.col("_n")))
                        .cast("long").alias("_w")))
-        # at most rows / max_rows groups: written once (reliable checkpoint)
-        # and counted, so the broadcast below has a checked size
-        checkpoint_root(df.sparkSession)
-        hot = hot.checkpoint(eager=True)
+        # at most rows / max_rows groups: written once and counted, so the
+        # broadcast below has a checked size
+        hot = written(hot, "hot-keys")
         n_hot = hot.count()
         if n_hot == 0:
             break
-        split_any = True
+        cuts += 1
         side = hot.withColumnRenamed(key, "_hk").withColumnRenamed("_bk", "_hbk")
         side = F.broadcast(side) if n_hot <= MAX_HOT_KEYS else side
         sub = F.when(F.col("_w").isNull(), F.lit(0).cast("long")) \
@@ -75,16 +84,11 @@ def hot_key_buckets(df: DataFrame, key: str, ts_col: str,
                .drop("_hk", "_hbk")
                .withColumn("_bk", F.concat(F.col("_bk"), F.array(sub)))
                .drop("_lo", "_w"))
-    if not split_any:
+    if not cuts:
         return df.withColumn("_bk", F.lit(0).cast("long"))
     return out
 
 
-def time_bucket(ts_col: str, seconds: int) -> Column:
-    """Fixed-width time bucket (for callers that know their data)."""
-    return F.floor(_micros(ts_col) / F.lit(seconds * 1_000_000))
-
-
 def ordered_scan(df: DataFrame, key: str, order: list[str], bucket: Column | None,
                  sums: dict | None = None, maxes: dict | None = None,
                  leads: dict | None = None, keep_bucket: bool = False) -> DataFrame:
@@ -94,9 +98,8 @@ def ordered_scan(df: DataFrame, key: str, order: list[str], bucket: Column | Non
     maxes: {out: column} inclusive running max (any orderable type)
     leads: {out: column} value of the next row of the key (NULL at the end)
     ``bucket`` must be non-decreasing along ``order`` within a key. Pass
-    ``bucket=None`` to reuse the ``_bk`` column kept by a previous scan
-    (``keep_bucket=True``): the rows are then already partitioned by
-    (key, _bk) and the second scan adds no shuffle of the rows.
+    ``bucket=None`` to use the ``_bk`` column that the frame has, for instance
+    one kept by a previous scan (``keep_bucket=True``).
     """
     sums, maxes, leads = sums or {}, maxes or {}, leads or {}
     b = df if bucket is None else df.withColumn("_bk", bucket)

@@ -15,7 +15,6 @@ from martlake.plans.registry import query
 from martlake.plans.sql_helpers import PRODUCTS, with_
 from martlake.session import scratch_path
 from martlake.sources import tables as T
-from martlake.sources import versioned as V
 
 STATE_TS = "2024-01-15 12:00:00"
 HISTORY_KEY = 7
@@ -38,11 +37,15 @@ ch AS (SELECT user_id, ts, event_id,
               CASE event_type WHEN 'signup' THEN 'I' WHEN 'error' THEN 'D' ELSE 'U' END AS op,
               event_type, value FROM events),
 s AS (SELECT *, SUM(CASE WHEN op <> 'D' THEN 1 ELSE 0 END) OVER w AS live_cum,
+             LAST_VALUE(CASE WHEN op <> 'D' THEN event_id END IGNORE NULLS) OVER w AS closed_seq,
+             LAST_VALUE(CASE WHEN op <> 'D' THEN event_type END IGNORE NULLS) OVER w AS closed_type,
+             LAST_VALUE(CASE WHEN op <> 'D' THEN value END IGNORE NULLS) OVER w AS closed_value,
              LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS next_ts
       FROM ch WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)),
 b AS (SELECT *, MAX(CASE WHEN op = 'I' THEN live_cum - 1 ELSE 0 END) OVER
                 (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS base FROM s),
-hist AS (SELECT user_id, event_type, value, CAST(live_cum - base AS INTEGER) AS version,
+hist AS (SELECT user_id, CASE WHEN op = 'D' AND closed_seq IS NOT NULL THEN closed_type ELSE event_type END AS event_type,
+                CASE WHEN op = 'D' AND closed_seq IS NOT NULL THEN closed_value ELSE value END AS value, CAST(live_cum - base AS INTEGER) AS version,
                 ts AS valid_from, CASE WHEN op = 'D' THEN ts ELSE next_ts END AS valid_to,
                 op AS operation, event_id AS change_seq FROM b)"""
 
@@ -58,7 +61,8 @@ SELECT * FROM hist WHERE user_id = {HISTORY_KEY}
 ORDER BY valid_from DESC, version DESC, change_seq DESC""")
 def history_of_key(spark, d):
     """The listing of one key, newest first."""
-    return H.history_of_key(history(spark, d), "user_id", HISTORY_KEY)
+    return H.history_of_key(changes(spark, d), "user_id", "ts", "event_id", "op",
+                            ["event_type", "value"], HISTORY_KEY)
 
 
 @query("state_at", with_(CHANGES_SQL) + f"""
@@ -125,32 +129,48 @@ def add_column_default(spark, d):
 def _versioned(spark, d):
     path = scratch_path(spark, "versioned-orders")
     o = T.table(spark, d, "orders")
-    V.commit(o.where(F.year("o_orderdate") <= 1996), path, 1, "append", "2025-01-01 00:00:00")
-    V.commit(o.where(F.year("o_orderdate") == 1997), path, 2, "append", "2025-01-02 00:00:00")
-    V.commit(o.withColumn("o_discount", F.lit(0.0)), path, 3, "overwrite", "2025-01-03 00:00:00")
-    return path
+    H.write_version(o.where(F.year("o_orderdate") <= 1996), path, 1)
+    H.write_version(o.where(F.year("o_orderdate") == 1997), path, 2)
+    H.write_version(o.where(F.year("o_orderdate") >= 1998).withColumn("o_discount", F.lit(0.0)), path, 3)
+    return spark.read.option("mergeSchema", True).parquet(path)
 
 
-@query("version_as_of", "SELECT * FROM orders WHERE year(o_orderdate) <= 1997")
+@query("version_as_of", """
+SELECT *, CAST(NULL AS DOUBLE) AS o_discount, CASE WHEN year(o_orderdate) <= 1996 THEN 1 ELSE 2 END AS version
+FROM orders WHERE year(o_orderdate) <= 1997""")
 def version_as_of(spark, d):
-    """H7 / H8: create, append, replace with a wider schema; read version 2."""
-    return V.read_version(spark, _versioned(spark, d), 2)
+    """H7: rows appended in three versions, the last with a further column;
+    read as of version 2."""
+    return H.as_of_version(_versioned(spark, d), 2)
 
 
-@query("version_latest", "SELECT *, CAST(0.0 AS DOUBLE) AS o_discount FROM orders")
+@query("version_latest", """
+SELECT *, CASE WHEN year(o_orderdate) >= 1998 THEN CAST(0.0 AS DOUBLE) END AS o_discount,
+       CASE WHEN year(o_orderdate) <= 1996 THEN 1 WHEN year(o_orderdate) = 1997 THEN 2 ELSE 3 END AS version FROM orders""")
 def version_latest(spark, d):
-    """H7: the latest version after a schema-widening overwrite."""
-    return V.read_version(spark, _versioned(spark, d))
+    """H7: all versions; older rows lack the column that came later."""
+    return _versioned(spark, d)
 
 
 @query("version_history", """
-SELECT 1 AS version, 'append' AS operation, '2025-01-01 00:00:00' AS commit_time,
-       COUNT(*) FILTER (WHERE year(o_orderdate) <= 1996) AS rows FROM orders
-UNION ALL SELECT 2, 'append', '2025-01-02 00:00:00', COUNT(*) FILTER (WHERE year(o_orderdate) = 1997) FROM orders
-UNION ALL SELECT 3, 'overwrite', '2025-01-03 00:00:00', COUNT(*) FROM orders""")
+SELECT CASE WHEN year(o_orderdate) <= 1996 THEN 1 WHEN year(o_orderdate) = 1997 THEN 2 ELSE 3 END AS version,
+       COUNT(*) AS rows FROM orders GROUP BY 1""")
 def version_history(spark, d):
-    """H8: the commit history with rows per commit."""
-    return V.version_history(spark, _versioned(spark, d))
+    """H8: rows by version."""
+    return H.version_counts(_versioned(spark, d))
+
+
+@query("orphan_rows_with_nulls", """
+WITH c AS (SELECT CASE WHEN o_custkey % 7 <> 0 THEN o_custkey END AS o_custkey FROM orders)
+SELECT o_custkey, COUNT(*) AS orders FROM c
+WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0) GROUP BY o_custkey""")
+def orphan_rows_with_nulls(spark, d):
+    """Orders without a customer refer to nothing and are no orphans;
+    those of customers that are missing are."""
+    o = T.table(spark, d, "orders").select(
+        F.when(F.col("o_custkey") % 7 != 0, F.col("o_custkey")).alias("o_custkey"))
+    c = T.table(spark, d, "customer").where(F.col("c_custkey") % 5 != 0)
+    return H.orphans(o, c, "o_custkey", "c_custkey").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("orders"))
 
 
 @query("pending_batches", """
