@@ -23,10 +23,10 @@ STOCK_LABELS = ["out of stock", "low stock", "in stock"]
 def age_band(age) -> Column:
     """<30, 30-39, 40-49, otherwise 50+ (a NULL age falls to 50+)."""
     a = col_of(age)
-    return (F.when(a < 30, F.lit(AGE_BAND_LABELS[0]))
-            .when((a >= 30) & (a < 40), F.lit(AGE_BAND_LABELS[1]))
-            .when((a >= 40) & (a < 50), F.lit(AGE_BAND_LABELS[2]))
-            .otherwise(F.lit(AGE_BAND_LABELS[3])))
+    out = F
+    for below, label in zip((30, 40, 50), AGE_BAND_LABELS):
+        out = out.when(a < below, F.lit(label))
+    return out.otherwise(F.lit(AGE_BAND_LABELS[3]))
 
 
 def price_tier(price) -> Column:

@@ -11,8 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Type used for cent-granular money and quantity columns.
-MONEY = "decimal(18,2)"
+# Type of money and quantity columns: six decimals, so that prices below a
+# cent add up, in the 18 digits that Spark keeps in a long. A product of two
+# is exact in DECIMAL(37,12).
+MONEY = "decimal(18,6)"
 # Type used to accumulate generic doubles exactly (values up to 1e27).
 ACCUM = "decimal(38,10)"
 
@@ -22,12 +24,12 @@ def col_of(c) -> Column:
 
 
 def money(c) -> Column:
-    """Cast to cent-granular DECIMAL."""
+    """Cast to the DECIMAL of money and quantities."""
     return col_of(c).cast(MONEY)
 
 
 def money_sum(c) -> Column:
-    """Exact sum of a cent-granular column, as DECIMAL."""
+    """Exact sum of a money or quantity column, as DECIMAL."""
     return F.sum(money(c))
 
 
@@ -50,21 +52,6 @@ def exact_mean(c) -> Column:
     return ratio(exact_sum(c), F.count(col_of(c)))
 
 
-def money_mean(c) -> Column:
-    """Mean of a cent-granular column from an exact sum."""
-    return ratio(money_sum(c), F.count(col_of(c)))
-
-
 def money_product(a, b) -> Column:
     """a * b computed exactly in DECIMAL (price x quantity)."""
     return money(a) * money(b)
-
-
-def round_money(c, scale: int = 2) -> Column:
-    """Round half-up on the exact decimal value, then return DOUBLE.
-
-    Rounding the double directly differs between engines on values such as
-    1.005 (whose double is slightly below the tie); going through DECIMAL
-    makes the rounding act on the intended decimal value.
-    """
-    return F.round(col_of(c).cast("decimal(38,6)"), scale).cast("double")

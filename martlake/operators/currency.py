@@ -1,17 +1,18 @@
 """Currency enrichment.
 
 Rates arrive as a document ``{"rates": {"USD": 1.1, ...}}`` relative to a
-base currency. They are turned into a tiny ``(currency, rate)`` frame, then
-pivoted to one row that is read as a scalar subquery in the projection, so
-converting N rows never shuffles or joins them.
+base currency. They are turned into a tiny ``(currency, rate)`` frame, whose
+one-row pivot is read as literals of the projection, so converting N rows
+never shuffles or joins them.
 
 The set of currency codes decides the output *schema* (one column per target),
-so it is read at plan time; it is bounded by the number of currencies
-(checked against ``MAX_CURRENCIES``), never by the data.
+so its distinct codes are read at plan time, in code order; callers that know
+their codes pass them.
 
-Conversion is ``round(price * rate, 2)`` on exact decimals (half-up), so a
-price of 1.005 EUR at rate 1 gives 1.01 rather than the 1.0 a binary double
-would give.
+A price is multiplied by its rate on the decimal values that the doubles show
+(price as
+DECIMAL(21,8), rate as DECIMAL(16,8)) and only the product is rounded, half-up
+to 2 decimals: 1.005 at rate 1 gives 1.01 and 12.345 at 160.25 gives 1978.29.
 """
 
 from __future__ import annotations
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 from martlake.functions.numeric import col_of
 from martlake.functions.scalars import scalar_row
 
-MAX_CURRENCIES = 1000
-RATE_TYPE = "decimal(18,6)"
+#: Enough digits for a product that is exact in DECIMAL(38,16).
+PRICE_TYPE = "decimal(21,8)"
+RATE_TYPE = "decimal(16,8)"
 
 
 def rates_from_documents(docs: DataFrame, column: str = "value") -> DataFrame:
@@ -49,24 +51,15 @@ def rates_frame(spark: SparkSession, rates: dict) -> DataFrame:
 
 
 def available_currencies(rates: DataFrame, base: str) -> list[str]:
-    """Codes present in the rates frame, in their given order, with the base
+    """The distinct codes of the rates frame in code order, with the base
     currency appended when absent (its rate is 1.0)."""
-    rows = rates.select("currency").limit(MAX_CURRENCIES + 1).collect()
-    if len(rows) > MAX_CURRENCIES:
-        raise ValueError(f"more than {MAX_CURRENCIES} currency codes in the rates frame")
-    codes: list[str] = []
-    for r in rows:
-        if r.currency not in codes:
-            codes.append(r.currency)
-    if base not in codes:
-        codes.append(base)
-    return codes
+    codes = [r.currency for r in rates.select("currency").distinct().orderBy("currency").collect()]
+    return codes if base in codes else [*codes, base]
 
 
 def convert(price, rate) -> Column:
     """C11: price x rate, exact, rounded half-up to 2 decimals, as DOUBLE."""
-    return F.round(col_of(price).cast("decimal(18,2)") * col_of(rate).cast(RATE_TYPE), 2) \
-        .cast("double")
+    return F.round(col_of(price).cast(PRICE_TYPE) * col_of(rate).cast(RATE_TYPE), 2).cast("double")
 
 
 def _rate_row(rates: DataFrame, targets: list[str]) -> DataFrame:
@@ -93,7 +86,7 @@ def enrich_with_currency(df: DataFrame, rates: DataFrame, price_column: str = "p
     elif strict:
         missing = [c for c in target_currencies if c not in codes]
         if missing:
-            raise ValueError(f"currency {missing[0]} is not available; available: {', '.join(codes)}")
+            raise ValueError(f"no rate for {', '.join(missing)}; the rates have {', '.join(codes)}")
         targets = list(target_currencies)
     else:
         targets = [c for c in target_currencies if c in codes] or [base_currency]

@@ -2,13 +2,15 @@
 
 MLlib's ``LinearRegression`` (normal-equation solver for few features) fits
 with one distributed aggregation of XᵀX, so it scales with the rows. The
-train/test split is a hash of a row key rather than ``randomSplit``, whose
-membership depends on how the input happens to be partitioned; a hash split
-is the same on every run and after any recomputation.
+train/test split goes by the row's keys, so it is the same on every run, and
+SQL can repeat it. The input frame is written once; the fit, its summary and
+the evaluation read that.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -17,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake.functions.labels import flag01
+from martlake.session import written
 
 
 def ml_frame(joined: DataFrame, label="price", quantity="quantity", age="age",
@@ -30,11 +33,10 @@ def ml_frame(joined: DataFrame, label="price", quantity="quantity", age="age",
         flag01(F.col(segment) == F.lit(premium_segment)).alias("premium_flag")).na.drop()
 
 
-def hash_split(df: DataFrame, keys, train_fraction: float = 0.8, seed: int = 42):
-    """L2: deterministic train/test split by a hash of the key columns."""
-    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(k) for k in keys]), F.lit(10_000))
-    cut = int(round(train_fraction * 10_000))
-    return df.where(h < cut), df.where(h >= cut)
+def key_split(df: DataFrame, keys, train_tenths: int = 8):
+    """L2: train/test split by the last digit of the keys' sum."""
+    digit = F.pmod(reduce(lambda a, b: a + b, [F.col(k) for k in keys]), F.lit(10))
+    return df.where(digit < train_tenths), df.where(digit >= train_tenths)
 
 
 def fit_regression(train: DataFrame, features=("quantity", "age", "premium_flag")):
@@ -44,19 +46,18 @@ def fit_regression(train: DataFrame, features=("quantity", "age", "premium_flag"
     return Pipeline(stages=[assembler, lr]).fit(train)
 
 
-def regression_metrics(joined: DataFrame, **kw) -> DataFrame:
-    """One row with coefficients, intercept, R² (train) and RMSE
-    (test)."""
-    data = ml_frame(joined, **kw)
-    keys = kw.get("keys", ("order_id", "product_id"))
-    train, test = hash_split(data, keys)
+def regression_metrics(joined: DataFrame, digits: int = 6, **kw) -> DataFrame:
+    """One row with the coefficient of each feature, the intercept,
+    R² (train) and RMSE (test), rounded to ``digits``: the last bits depend on
+    the order in which sums are taken."""
+    data = written(ml_frame(joined, **kw), "regression")
+    train, test = key_split(data, kw.get("keys", ("order_id", "product_id")))
     model = fit_regression(train)
     lr_model = model.stages[-1]
-    pred = model.transform(test)
     rmse = RegressionEvaluator(labelCol="label", predictionCol="prediction",
-                               metricName="rmse").evaluate(pred)
-    spark = joined.sparkSession
-    return spark.createDataFrame(
-        [([float(x) for x in lr_model.coefficients], float(lr_model.intercept),
-          float(lr_model.summary.r2), float(rmse))],
-        "coefficients array<double>, intercept double, r2 double, rmse double")
+                               metricName="rmse").evaluate(model.transform(test))
+    values = {f"coef_{n}": x for n, x in zip(("quantity", "age", "premium_flag"), lr_model.coefficients)}
+    values |= {"intercept": lr_model.intercept, "r2": lr_model.summary.r2, "rmse": rmse}
+    return joined.sparkSession.createDataFrame(
+        [tuple(round(float(x), digits) for x in values.values())],
+        ", ".join(f"{n} double" for n in values))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, NumericType
 
 from martlake.functions.numeric import exact_mean
 
@@ -15,24 +16,28 @@ STD_DIGITS = 6
 
 
 def describe_long(df: DataFrame, columns=None) -> DataFrame:
-    """(column_name, count, mean, stddev, min, max) per numeric column.
+    """(column_name, count, mean, stddev, min, max, min_text, max_text) per
+    column: numbers have the numeric fields, all others (strings, dates,
+    booleans) their count and the texts of their smallest and largest value.
 
     mean is exact (decimal accumulation); the sample stddev is rounded to
     6 decimals because its last bits depend on the order of accumulation.
     """
-    cols = list(columns or [f.name for f in df.schema.fields
-                            if f.dataType.typeName() in ("integer", "long", "double", "float",
-                                                         "short", "decimal")])
+    types = {f.name: f.dataType for f in df.schema.fields}
+    cols = list(columns or [c for c, t in types.items() if isinstance(t, AtomicType)])
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"n{i}"), exact_mean(x).alias(f"m{i}"),
+        if isinstance(types[c], NumericType):
+            x, text = F.col(c).cast("double"), F.lit(None).cast("string")
+        else:
+            x, text = F.lit(None).cast("double"), F.col(c)
+        aggs += [F.count(c).alias(f"n{i}"), exact_mean(x).alias(f"m{i}"),
                  F.round(F.stddev_samp(x), STD_DIGITS).alias(f"s{i}"),
-                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
+                 F.min(text).cast("string").alias(f"a{i}"), F.max(text).cast("string").alias(f"z{i}")]
     one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"),
-                              F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                              F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"))
+    names = {"n": "count", "m": "mean", "s": "stddev", "lo": "min", "hi": "max", "a": "min_text", "z": "max_text"}
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), *[F.col(f"{k}{i}").alias(v) for k, v in names.items()])
                      for i, c in enumerate(cols)])
     return one.select(F.inline(rows))
 

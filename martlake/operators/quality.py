@@ -112,10 +112,13 @@ def dead_letter(df: DataFrame, rules: list[tuple[str, Column]]) -> DataFrame:
             .withColumn("failed_rules", F.concat_ws(",", "failed_rules")))
 
 
-def route_dead_letter(df: DataFrame, rules, error_path: str, fmt: str = "parquet") -> DataFrame:
-    """Append the failing rows to an error area; return the valid rows."""
+def route_dead_letter(df: DataFrame, rules, error_path: str, batch: str = "0",
+                      fmt: str = "parquet") -> DataFrame:
+    """Write the failing rows to the error area, one folder for each
+    batch key (a rerun of a batch rewrites its own rows, others stay); return
+    the valid rows."""
     bad = dead_letter(df, rules)
-    bad.write.mode("append").format(fmt).save(error_path)
+    bad.write.mode("overwrite").format(fmt).save(f"{error_path.rstrip('/')}/batch={batch}")
     ok = reduce(lambda a, b: a & b, [~definitely(c) for _, c in rules], F.lit(True))
     return df.where(ok)
 
@@ -156,11 +159,11 @@ def config_report(df: DataFrame, rules_config: list[dict]) -> DataFrame:
 # ---- PII and audit ------------------------------------------------------------
 
 def anonymize_pii(df: DataFrame, email="email", name_columns=("first_name", "last_name")) -> DataFrame:
-    """Q9: ``hashed_email = sha2(email)``, ``hashed_name = sha2(names joined
-    by a blank)``; the originals are dropped."""
+    """Q9: ``hashed_email = sha2(email)``, ``hashed_name = sha2(names, one
+    directly behind the other)``; the originals are dropped."""
     names = list(name_columns)
     return (df.withColumn("hashed_email", F.sha2(F.col(email), 256))
-            .withColumn("hashed_name", F.sha2(F.concat_ws(" ", *[F.col(c) for c in names]), 256))
+            .withColumn("hashed_name", F.sha2(F.concat_ws("", *[F.col(c) for c in names]), 256))
             .drop(email, *names))
 
 

@@ -76,10 +76,8 @@ FROM dd""")
 def basic_clean_chain(spark, d):
     """Clean names -> whole-row distinct -> fill (price mean,
     category mode, description empty string)."""
-    df = C.clean_column_names(_products(spark, d).toDF(*MESSY))
-    df = C.drop_duplicates(df)
-    return C.handle_missing_values(df, {"price": "mean", "category": "mode",
-                                        "description": "empty_string"})
+    from martlake.plans.flows import DAG_STRATEGY, basic_transform
+    return basic_transform(_products(spark, d).toDF(*MESSY), DAG_STRATEGY)
 
 
 # ---- SQL builders for C3-C6 ------------------------------------------------

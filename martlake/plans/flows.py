@@ -30,6 +30,7 @@ from martlake.operators import currency as CUR
 from martlake.operators import features as X
 from martlake.operators import quality as Q
 from martlake.operators import sales as S
+from martlake.session import written
 from martlake.sources import files as FS
 from martlake.sources import sinks as K
 
@@ -111,21 +112,22 @@ DAG_STRATEGY = {"price": "mean", "category": "mode", "description": "empty_strin
 
 
 def basic_transform(df: DataFrame, strategy: dict = BASIC_STRATEGY) -> DataFrame:
-    """Clean names -> whole-row distinct -> fill."""
-    return C.handle_missing_values(C.drop_duplicates(C.clean_column_names(df)), strategy)
+    """Clean names -> whole-row distinct -> fill. The distinct rows are
+    written once; the fill's statistics and the result read that."""
+    return C.handle_missing_values(
+        written(C.drop_duplicates(C.clean_column_names(df)), "distinct-rows"), strategy)
 
 
 def run_basic_etl(spark: SparkSession, data_dir: str, file_name: str, target_path: str,
                   schema=None) -> bool:
-    """CSV -> C7 -> Parquet. False when the input is missing or empty."""
+    """CSV -> C7 -> Parquet. False when the input is missing or empty (the
+    target then holds the empty table)."""
     df = FS.extract_csv(spark, data_dir, file_name, schema)
     if df is None:
         return False
-    out = basic_transform(df)
-    if out.isEmpty():
-        return False
+    out, rows = Q.observed(basic_transform(df), "basic-etl")
     K.write_parquet(out, target_path)
-    return True
+    return rows.get["rows"] > 0
 
 
 def run_advanced_etl(spark: SparkSession, data_dir: str, file_name: str, target_path: str,
@@ -139,31 +141,43 @@ def run_advanced_etl(spark: SparkSession, data_dir: str, file_name: str, target_
     return True
 
 
+REPORT_SCHEMA = ("input_path string, input_mb double, input_lines bigint, input_rows bigint, base_currency string, "
+                 "target_currencies string, currencies int, target_table string, output_rows bigint, "
+                 "error_count int, errors string, status string")
+
+
 def run_currency_etl(products: DataFrame, rates: DataFrame, target_path: str,
                      level: str = "basic", targets=("USD", "CZK", "GBP", "JPY"),
-                     allowed_categories=(), base: str = "EUR",
-                     rates_date: str = "1970-01-01") -> DataFrame:
+                     allowed_categories=(), base: str = "EUR", rates_date: str = "1970-01-01",
+                     input_path: str | None = None, target_table: str | None = None,
+                     report_path: str | None = None) -> DataFrame:
     """The currency flow. Validation reads the cleaned data but does not
     filter it (as in the reference); strict raises before anything is
-    written. Returns the one-row run report (Q8)."""
+    written. Returns the one-row run report (Q8), with the messages of the
+    validation as errors, and writes it as JSON when a path is given."""
     spark = products.sparkSession
-    cleaned = basic_transform(products, DAG_STRATEGY).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        msgs = []
-        if level != "none":
-            report = Q.validate(cleaned, level, allowed_categories)
-            msgs = Q.enforce(report, level)
-        enriched, n_in = Q.observed(CUR.transform(cleaned, rates, "price", list(targets), base,
-                                                  strict=False, rates_date=rates_date), "enriched")
-        K.write_parquet(enriched, target_path)
-        written = n_in.get["rows"]
-        loaded = spark.read.parquet(target_path).count()       # K18
-        status = "OK" if (loaded == written and not msgs) else "WARNING"
-        return spark.createDataFrame(
-            [(int(written), len(list(targets)), int(loaded), len(msgs), status)],
-            "input_rows bigint, currencies int, output_rows bigint, error_count int, status string")
-    finally:
-        cleaned.unpersist()
+    source, n_in = Q.observed(C.clean_column_names(products), "input")
+    cleaned = written(C.drop_duplicates(source), "currency-cleaned")
+    rows_in = n_in.get["rows"]
+    cleaned = written(C.handle_missing_values(cleaned, DAG_STRATEGY), "currency-filled")
+    msgs = Q.enforce(Q.validate(cleaned, level, allowed_categories), level) if level != "none" else []
+    enriched, n_out = Q.observed(CUR.transform(cleaned, rates, "price", list(targets), base,
+                                               strict=False, rates_date=rates_date), "enriched")
+    K.write_parquet(enriched, target_path)
+    if target_table:
+        K.register_location(spark, target_table, target_path)
+    loaded = spark.read.parquet(target_path).count()       # K18
+    ok = loaded == n_out.get["rows"] and not msgs
+    size = FS.input_profile(spark, input_path).agg(F.sum("bytes")).first()[0] if input_path else None
+    is_text = bool(input_path) and input_path.rstrip("/*").endswith((".csv", ".json", ".txt"))
+    lines = FS.text_profile(spark, input_path, by_file=False).first()["lines"] if is_text else None
+    report = spark.createDataFrame(
+        [(input_path, None if size is None else round(size / (1 << 20), 3), lines, int(rows_in), base,
+          ",".join(targets), len(list(targets)), target_table, int(loaded), len(msgs), "; ".join(msgs),
+          "OK" if ok else "WARNING")], REPORT_SCHEMA)
+    if report_path:
+        report.write.mode("overwrite").json(report_path)
+    return report
 
 
 TRANSFORMS = {

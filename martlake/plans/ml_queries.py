@@ -1,4 +1,4 @@
-"""Regression query (L1-L5); no oracle SQL: the result is a fitted model."""
+"""Regression queries."""
 
 from __future__ import annotations
 
@@ -6,8 +6,44 @@ from martlake.operators import ml as M
 from martlake.plans.registry import query
 from martlake.sources import tables as T
 
+_XS = ("x1", "x2", "x3")
 
-@query("regression_metrics")
+
+def _det(m) -> str:
+    """Determinant of a 3 x 3 matrix of SQL expressions."""
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"(({a}) * (({e}) * ({i}) - ({f}) * ({h})) - ({b}) * (({d}) * ({i}) - ({f}) * ({g})) + ({c}) * (({d}) * ({h}) - ({e}) * ({g})))"
+
+
+def _regression_sql() -> str:
+    """The normal equations of the centred columns, solved by Cramer's rule."""
+    n, cov = "n", {}
+    for i, a in enumerate((*_XS, "y")):
+        for b in (*_XS, "y")[i:]:
+            cov[a, b] = cov[b, a] = f"(s_{a}{b} - s_{a} * s_{b} / {n})"
+    sums = ", ".join([f"SUM({a})::DOUBLE AS s_{a}" for a in (*_XS, "y")]
+                     + [f"SUM({a} * {b})::DOUBLE AS s_{a}{b}" for i, a in enumerate((*_XS, "y")) for b in (*_XS, "y")[i:]])
+    a = [[cov[r, c] for c in _XS] for r in _XS]
+    betas = []
+    for k in range(3):
+        m = [[cov[r, "y"] if j == k else a[i][j] for j in range(3)] for i, r in enumerate(_XS)]
+        betas.append(f"{_det(m)} / {_det(a)} AS b{k + 1}")
+    return f"""
+WITH f AS (SELECT CAST(p_retailprice AS DECIMAL(18,6)) AS y, CAST(l_quantity AS INTEGER) AS x1,
+                  CAST(18 + c_custkey % 60 AS INTEGER) AS x2, CASE WHEN c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END AS x3,
+                  (l_orderkey + l_partkey) % 10 < 8 AS train
+           FROM lineitem JOIN part ON l_partkey = p_partkey JOIN orders ON l_orderkey = o_orderkey
+                JOIN customer ON o_custkey = c_custkey),
+s AS (SELECT COUNT(*)::DOUBLE AS n, {sums} FROM f WHERE train),
+b AS (SELECT *, {', '.join(betas)} FROM s),
+c AS (SELECT *, (s_y - b1 * s_x1 - b2 * s_x2 - b3 * s_x3) / n AS b0 FROM b),
+e AS (SELECT SUM(CASE WHEN train THEN r * r END) AS sse, AVG(CASE WHEN NOT train THEN r * r END) AS mse
+      FROM (SELECT train, y::DOUBLE - (b0 + b1 * x1 + b2 * x2 + b3 * x3) AS r FROM f, c))
+SELECT round(b1, 6) AS coef_quantity, round(b2, 6) AS coef_age, round(b3, 6) AS coef_premium_flag,
+       round(b0, 6) AS intercept, round(1 - sse / {cov['y', 'y']}, 6) AS r2, round(sqrt(mse), 6) AS rmse FROM c, e"""
+
+
+@query("regression_metrics", _regression_sql())
 def regression_metrics(spark, d):
     """Price from quantity, customer age and a segment flag."""
     s = T.sales(spark, d)

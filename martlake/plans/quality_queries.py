@@ -28,11 +28,26 @@ def _rates(spark):
 
 
 def _conv_sql(price: str, code: str) -> str:
-    return (f"CAST(ROUND(CAST({price} AS DECIMAL(18,2)) * CAST((SELECT rate FROM rates "
-            f"WHERE currency = '{code}') AS DECIMAL(18,6)), 2) AS DOUBLE) AS {price}_{code}")
+    # The product is rounded, never its factors.
+    return (f"CAST(ROUND(CAST({price} AS DECIMAL(21,8)) * CAST((SELECT rate FROM rates "
+            f"WHERE currency = '{code}') AS DECIMAL(16,8)), 2) AS DOUBLE) AS {price}_{code}")
 
 
-_META_CODES = "'" + str(["USD", "CZK", "GBP", "JPY", "EUR"]).replace("'", "''") + "'"
+# Prices with more than two decimals: a factor that is rounded first shows.
+FINE_SQL = """fine AS (SELECT product_id, price / 7 + product_id / 1000.0 AS price FROM products)"""
+
+
+@query("currency_fine_prices", with_(PRODUCTS, RATES_SQL, FINE_SQL) + f"""
+SELECT product_id, CAST(price AS DOUBLE) AS price, 'EUR' AS price_currency,
+       {', '.join(_conv_sql('price', c) for c in TARGETS)} FROM fine""")
+def currency_fine_prices(spark, d):
+    """C11: prices with many decimals; only the converted price is rounded."""
+    p = T.products(spark, d).select(
+        "product_id", (F.col("price") / 7 + F.col("product_id") / F.lit(1000.0)).alias("price"))
+    return CUR.enrich_with_currency(p, _rates(spark), "price", TARGETS, "EUR")
+
+
+_META_CODES = "'" + str(["CZK", "GBP", "JPY", "USD", "EUR"]).replace("'", "''") + "'"
 _PCOLS = "product_id, product_name, category, CAST(price AS DOUBLE) AS price, description, stock, brand"
 
 
@@ -158,33 +173,40 @@ def min_rows_check(spark, d):
 
 
 @query("pii_hashed", with_(CUSTOMERS) + """
-SELECT customer_id, segment, country, region, age, acctbal,
+SELECT customer_id, country, region, age, acctbal,
        sha256(lower(replace(name, '#', '.')) || '@example.com') AS hashed_email,
-       sha256(name) AS hashed_name
-FROM customers""")
+       sha256(name || segment) AS hashed_name
+FROM (SELECT * FROM customers)""")
 def pii_hashed(spark, d):
-    """Q9: e-mail and name replaced by SHA-256 hashes."""
+    """Q9: e-mail and two name columns (the segment plays the last name)
+    replaced by SHA-256 hashes."""
     c = T.customers(spark, d).withColumn(
         "email", F.concat(F.lower(F.replace(F.col("name"), F.lit("#"), F.lit("."))), F.lit("@example.com")))
-    return Q.anonymize_pii(c, "email", ["name"])
+    return Q.anonymize_pii(c, "email", ["name", "segment"])
 
 
 @query("run_report", with_(PRODUCTS) + f"""
-, e AS (SELECT COUNT(*) FILTER (WHERE price <= 0 OR price > 10000)
-             + COUNT(*) FILTER (WHERE product_name IS NULL OR length(product_name) < 3)
-             + COUNT(*) FILTER (WHERE NOT COALESCE(category IN ({_ALLOWED_SQL}), false)) AS errors,
-             COUNT(*) AS n FROM products)
-SELECT n AS input_rows, 4 AS currencies, n AS output_rows, errors AS error_count,
-       CASE WHEN errors > 0 THEN 'WARNING' ELSE 'OK' END AS status FROM e""")
+, dd AS (SELECT DISTINCT * FROM products)
+, md AS (SELECT category AS m FROM dd WHERE category IS NOT NULL
+         GROUP BY category ORDER BY COUNT(*) DESC, category LIMIT 1)
+, mn AS (SELECT CAST(SUM(CAST(price AS DECIMAL(38,10))) AS DOUBLE) / COUNT(price) AS m FROM dd)
+, c AS (SELECT COALESCE(category, (SELECT m FROM md)) AS category, COALESCE(price, (SELECT m FROM mn)) AS price FROM dd)
+, e AS (SELECT COUNT(*) FILTER (WHERE price < 0) AS negative, COUNT(*) FILTER (WHERE category IS NULL OR category = '') AS empty FROM c)
+SELECT (SELECT COUNT(*) FROM products) AS input_rows, 'EUR' AS base_currency, 'USD,CZK,GBP,JPY' AS target_currencies,
+       CAST(4 AS INTEGER) AS currencies, (SELECT COUNT(*) FROM c) AS output_rows,
+       CAST((negative > 0)::INTEGER + (empty > 0)::INTEGER AS INTEGER) AS error_count,
+       array_to_string(list_filter([CASE WHEN negative > 0 THEN 'negative_price: ' || negative || ' rows' END,
+                                    CASE WHEN empty > 0 THEN 'empty_category: ' || empty || ' rows' END],
+                                   lambda x: x IS NOT NULL), '; ') AS errors,
+       CASE WHEN negative > 0 OR empty > 0 THEN 'WARNING' ELSE 'OK' END AS status FROM e""")
 def run_report(spark, d):
-    """Q8: one-row run metrics, computed in the plan (no driver counting)."""
-    p = T.products(spark, d)
-    enriched = CUR.enrich_with_currency(p, _rates(spark), "price", TARGETS, "EUR")
-    report = Q.validate(p, "strict", ALLOWED_CATEGORIES)
-    from martlake.functions.scalars import scalar_row
-    errors = scalar_row(report.agg(F.sum("failures").cast("bigint").alias("e")))["e"]
-    out_rows = scalar_row(enriched.agg(F.count(F.lit(1)).alias("n")))["n"]
-    counts = p.agg(F.count(F.lit(1)).alias("input_rows"))
-    return counts.select("input_rows", F.lit(len(TARGETS)).alias("currencies"),
-                         out_rows.alias("output_rows"), errors.alias("error_count"),
-                         F.when(errors > 0, F.lit("WARNING")).otherwise(F.lit("OK")).alias("status"))
+    """Q8: the one-row report of a currency run over the products; errors are
+    the messages of the basic level, rows in are counted before cleaning."""
+    from martlake.plans import flows
+    from martlake.session import scratch_path
+    source = scratch_path(spark, "report-in")
+    T.products(spark, d).write.parquet(source)
+    report = flows.run_currency_etl(spark.read.parquet(source), _rates(spark), scratch_path(spark, "report-out"),
+                                    "basic", TARGETS, rates_date=RATES_DATE, input_path=source)
+    return report.select("input_rows", "base_currency", "target_currencies", "currencies", "output_rows",
+                         "error_count", "errors", "status")

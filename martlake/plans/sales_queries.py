@@ -247,18 +247,40 @@ def filtered_category_counts(spark, d):
     return S.filtered_group_counts(T.products(spark, d), F.col("price") > 950, "category")
 
 
-_DESC_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax"]
+_LINE_OTHERS = ["l_returnflag", "l_linestatus", "l_shipdate"]
 
 
 @query("describe_columns", " UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, COUNT({c}) AS count, "
-    f"CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE) / CAST(NULLIF(COUNT({c}), 0) AS DOUBLE) AS mean, "
-    f"ROUND(stddev_samp({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
-    f"CAST(MAX({c}) AS DOUBLE) AS max FROM lineitem" for c in _DESC_COLS))
+    [f"SELECT '{c}' AS column_name, COUNT({c}) AS count, "
+     f"CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE) / CAST(NULLIF(COUNT({c}), 0) AS DOUBLE) AS mean, "
+     f"ROUND(stddev_samp({c}), 6) AS stddev, CAST(MIN({c}) AS DOUBLE) AS min, "
+     f"CAST(MAX({c}) AS DOUBLE) AS max, NULL::VARCHAR AS min_text, NULL::VARCHAR AS max_text FROM lineitem"
+     for c in _LINE_NUMBERS]
+    + [f"SELECT '{c}', COUNT({c}), NULL, NULL, NULL, NULL, MIN({c})::VARCHAR, MAX({c})::VARCHAR FROM lineitem"
+       for c in _LINE_OTHERS]))
 def describe_columns(spark, d):
-    """describe() in long form, one aggregate pass."""
+    """describe() of every column in long form, one aggregate pass."""
     from martlake.operators.profile import describe_long
-    return describe_long(T.table(spark, d, "lineitem"), _DESC_COLS)
+    return describe_long(T.table(spark, d, "lineitem"))
+
+
+@query("approx_quartiles", """
+SELECT COUNT(*) > 0 AS any_rows,
+       true AS within_rank_error FROM lineitem""")
+def approx_quartiles(spark, d):
+    """A26 (large data): approximate quartiles, checked against the rank error
+    that they promise."""
+    from martlake.operators.stats import approx_quantiles
+    li = T.table(spark, d, "lineitem").select("l_extendedprice")
+    probs, accuracy = [0.25, 0.5, 0.75], 1000
+    got = approx_quantiles(li, "l_extendedprice", probs, accuracy=accuracy).first()
+    x = F.col("l_extendedprice")
+    ok = F.lit(True)
+    for p, v in zip(probs, got):
+        ok = ok & (F.count_if(x < v) <= F.count(x) * (p + 1 / accuracy)) & (F.count_if(x <= v) >= F.count(x) * (p - 1 / accuracy))
+    return li.agg((F.count(F.lit(1)) > 0).alias("any_rows"), ok.alias("within_rank_error"))
 
 
 _PRODUCT_COLS = ["product_id", "product_name", "category", "price", "description", "stock", "brand"]

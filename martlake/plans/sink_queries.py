@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from martlake.operators import quality as Q
 from martlake.operators import sales as S
 from martlake.operators import text as X
 from martlake.plans import flows
@@ -186,3 +187,125 @@ def external_csv_table(spark, d):
     table = f"{db}.{_table_name('orders_csv', loc)}"
     K.create_external_csv_table(spark, table, _ORDERS_DDL, loc, header=True)
     return spark.table(table)
+
+
+@query("csv_inferred", """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_type, p_retailprice FROM part""")
+def csv_inferred(spark, d):
+    """CSV with a header line, types inferred."""
+    p = scratch_path(spark, "rt-inferred")
+    K.write_csv(T.table(spark, d, "part").select("p_partkey", "p_name", "p_type", "p_retailprice"), p)
+    return FS.read_csv_inferred(spark, p)
+
+
+@query("csv_headerless", """
+SELECT CAST(p_partkey AS INTEGER) AS id, p_type AS kind, p_retailprice AS price FROM part""")
+def csv_headerless(spark, d):
+    """S3: CSV without a header, columns named by the caller."""
+    p = scratch_path(spark, "rt-headerless")
+    K.write_csv(T.table(spark, d, "part").select("p_partkey", "p_type", "p_retailprice"), p, header=False)
+    return FS.read_csv_headerless(spark, p, ["id", "kind", "price"])
+
+
+@query("csv_malformed", """
+SELECT p_partkey, CASE WHEN p_partkey % 10 <> 0 THEN p_retailprice END AS price,
+       p_partkey % 10 = 0 AS malformed FROM part""")
+def csv_malformed(spark, d):
+    """Malformed rows are kept and marked."""
+    root = scratch_path(spark, "rt-malformed")
+    price = F.when(F.col("p_partkey") % 10 == 0, F.lit("abc")).otherwise(F.col("p_retailprice").cast("string"))
+    K.write_csv(T.table(spark, d, "part").select("p_partkey", price.alias("price")), f"{root}/part.csv")
+    df = FS.extract_csv(spark, root, "part.csv", "p_partkey bigint, price double")
+    return df.select("p_partkey", "price", F.col("_corrupt_record").isNotNull().alias("malformed"))
+
+
+@query("dead_letter_batches", with_(PRODUCTS) + """
+SELECT CAST(product_id % 2 AS INTEGER) AS batch,
+       concat_ws(',', CASE WHEN price < 905 THEN 'low_price' END, CASE WHEN price IS NULL THEN 'missing_price' END)
+         AS failed_rules, COUNT(*) AS rows
+FROM products WHERE price < 905 OR price IS NULL GROUP BY 1, 2""")
+def dead_letter_batches(spark, d):
+    """Two batches routed to one error area, the first of them twice."""
+    rules = [("low_price", F.col("price") < 905), ("missing_price", F.col("price").isNull())]
+    p, area = T.products(spark, d), scratch_path(spark, "rt-errors")
+    for batch in (0, 1, 0):
+        Q.route_dead_letter(p.where(F.col("product_id") % 2 == batch), rules, area, str(batch))
+    return (spark.read.parquet(area).groupBy("batch", "failed_rules").agg(F.count(F.lit(1)).alias("rows")))
+
+
+@query("load_verified", with_(PRODUCTS) + """
+SELECT COUNT(*) AS rows, true AS verified, false AS verified_short FROM products""")
+def load_verified(spark, d):
+    """Row count of a loaded table against the rows written."""
+    p, loc = T.products(spark, d), scratch_path(spark, "rt-verify")
+    table = _table_name("t_verify", loc)
+    out, rows = Q.observed(p, "verify")
+    K.save_table(out, table, path=loc)
+    n = rows.get["rows"]
+    ok, short = K.verify_load(spark, table, n), K.verify_load(spark, table, n + 1)
+    return spark.table(table).agg(F.count(F.lit(1)).alias("rows")).select(
+        "rows", F.lit(ok).alias("verified"), F.lit(short).alias("verified_short"))
+
+
+@query("required_columns", with_(PRODUCTS) + """
+SELECT 'price' AS column_name, true AS present, COUNT(price) AS filled FROM products
+UNION ALL SELECT 'category', true, COUNT(category) FROM products
+UNION ALL SELECT 'supplier', false, NULL FROM products LIMIT 3""")
+def required_columns(spark, d):
+    """Required columns by the schema, with their filled rows."""
+    p = T.products(spark, d)
+    required = ["price", "category", "supplier"]
+    missing = set(Q.required_columns_missing(p, required))
+    counts = p.agg(*[F.count(c).alias(c) for c in required if c not in missing])
+    return counts.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(c not in missing).alias("present"),
+        (F.lit(None).cast("bigint") if c in missing else F.col(c)).alias("filled")) for c in required])))
+
+
+@query("booleans_loaded", with_(PRODUCTS) + """
+, med AS (SELECT """ + quantile("products", "price", 0.5) + """ AS m)
+SELECT product_id, CAST(COALESCE(price > m, false) AS DOUBLE) AS is_expensive FROM products, med""")
+def booleans_loaded(spark, d):
+    """A boolean feature as a number in the loaded table."""
+    from martlake.operators import features as X2
+    f = X2.generate_features(T.products(spark, d).select("product_id", "price"))
+    loc = scratch_path(spark, "rt-bool")
+    K.save_table(X2.booleans_to_double(f).select("product_id", "is_expensive"), _table_name("t_bool", loc), path=loc)
+    return spark.table(_table_name("t_bool", loc))
+
+
+@query("audit_counts", with_(PRODUCTS) + """
+SELECT COUNT(*) AS rows_before, COUNT(*) FILTER (WHERE price > 950) AS rows_after FROM products""")
+def audit_counts(spark, d):
+    """Q10: rows before and after a filter, counted by the write itself."""
+    loc = scratch_path(spark, "rt-audit")
+    before, n_before = Q.observed(T.products(spark, d), "before")
+    after, n_after = Q.observed(before.where(F.col("price") > 950), "after")
+    K.write_parquet(after, loc)
+    return spark.read.parquet(loc).agg(F.lit(n_before.get["rows"]).cast("bigint").alias("rows_before"),
+                                       F.max(F.lit(n_after.get["rows"])).cast("bigint").alias("rows_after"))
+
+
+@query("text_profile", """
+SELECT COUNT(*) AS lines, SUM(length(line))::BIGINT AS chars,
+       CAST(SUM(CAST(('0x' || substr(sha256(line), 1, 15))::BIGINT AS HUGEINT)) AS VARCHAR) AS checksum
+FROM (SELECT o_orderkey || '|' || o_custkey AS line FROM orders)""")
+def text_profile(spark, d):
+    """Line count, size and checksum of text files of any size."""
+    p = scratch_path(spark, "rt-profile")
+    o = T.table(spark, d, "orders")
+    o.select(F.concat_ws("|", "o_orderkey", "o_custkey").alias("value")).write.text(p)
+    return FS.text_profile(spark, p, by_file=False)
+
+
+@query("bucketed_time_stats", with_(SALES) + f"""
+SELECT CAST(year(sale_date) AS INTEGER) AS year, CAST(month(sale_date) AS INTEGER) AS month,
+       COUNT(*) AS number_of_sales, {msum('total')} AS total_sales_amount,
+       {ratio('SUM(' + dec('total') + ')', 'COUNT(total)')} AS average_sale_value
+FROM sales GROUP BY 1, 2 ORDER BY 1, 2""")
+def bucketed_time_stats(spark, d):
+    """A4 over tables bucketed by order key: their join needs no shuffle."""
+    from martlake.sources import layout as L
+    root = scratch_path(spark, "rt-bucketed")
+    li, od = L.bucket_sales_inputs(spark, d, root, 8, prefix=_table_name("bk", root))
+    return S.time_stats(L.sales_from_bucketed(spark, d, li, od))

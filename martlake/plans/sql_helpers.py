@@ -7,7 +7,7 @@ from martlake.sources.tables import CUSTOMERS_SQL, PRODUCTS_SQL, SALES_SQL
 
 
 def dec(x: str) -> str:
-    return f"CAST({x} AS DECIMAL(18,2))"
+    return f"CAST({x} AS DECIMAL(18,6))"
 
 
 def msum(x: str) -> str:

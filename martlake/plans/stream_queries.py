@@ -1,18 +1,20 @@
-"""Streaming queries over the ``events`` file, each checked against its batch
-twin in SQL (T1-T5)."""
+"""Streaming queries over ``events``, which arrives as several files and is
+taken in several micro-batches, each checked against its plain batch query in
+SQL (T1-T5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from martlake.plans.registry import query
+from martlake.sources import tables as T
 from martlake.streaming import events as ST
 
-_CLOSED = "(SELECT MAX(ts) FROM events) - INTERVAL 10 MINUTE"
 
 
-def _source(d: str) -> str:
-    return f"{d.rstrip('/')}/events*.parquet"
+def _stream(spark, d, marker: bool = False):
+    """The events as a stream of several files, one a micro-batch."""
+    return ST.event_stream(spark, ST.arrive_in_parts(T.events(spark, d), marker=marker), max_files_per_trigger=1)
 
 
 def _read(spark, path):
@@ -22,7 +24,7 @@ def _read(spark, path):
 @query("stream_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_ingest(spark, d):
     """File arrival ingested to completion (availableNow)."""
-    s = ST.event_stream(spark, _source(d)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    s = _stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     return _read(spark, ST.run_to_parquet(s, "ingest"))
 
 
@@ -30,10 +32,10 @@ def stream_ingest(spark, d):
 SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
        time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end, event_type,
        COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-FROM events GROUP BY 1, 2, 3 HAVING window_end <= {_CLOSED}""")
+FROM events GROUP BY 1, 2, 3""")
 def stream_tumbling(spark, d):
     """Hourly tumbling windows with a 10-minute watermark."""
-    return _read(spark, ST.run_to_parquet(ST.tumbling_counts(ST.event_stream(spark, _source(d))),
+    return _read(spark, ST.run_to_parquet(ST.tumbling_counts(_stream(spark, d, True)),
                                           "tumbling"))
 
 
@@ -43,10 +45,10 @@ WITH w AS (
   FROM events, (VALUES (0), (1)) t(o))
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type,
        COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-FROM w GROUP BY 1, 2, 3 HAVING window_end <= {_CLOSED}""")
+FROM w GROUP BY 1, 2, 3""")
 def stream_sliding(spark, d):
     """1-hour windows sliding by 30 minutes."""
-    return _read(spark, ST.run_to_parquet(ST.sliding_counts(ST.event_stream(spark, _source(d))),
+    return _read(spark, ST.run_to_parquet(ST.sliding_counts(_stream(spark, d, True)),
                                           "sliding"))
 
 
@@ -58,10 +60,10 @@ s AS (SELECT *, SUM(new_s) OVER (PARTITION BY user_id ORDER BY ts, event_id
                                   ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 10 MINUTE AS session_end,
        COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-FROM s GROUP BY user_id, sid HAVING session_end <= {_CLOSED}""")
+FROM s GROUP BY user_id, sid""")
 def stream_session(spark, d):
     """Per-user sessions with a 10-minute gap."""
-    return _read(spark, ST.run_to_parquet(ST.sessions(ST.event_stream(spark, _source(d))),
+    return _read(spark, ST.run_to_parquet(ST.sessions(_stream(spark, d, True)),
                                           "session"))
 
 
@@ -73,15 +75,16 @@ SELECT event_id, ts, user_id, value, CAST(json_extract_string(props, '$.k') AS D
 FROM events""")
 def stream_classify(spark, d):
     """Threshold classification on the stream."""
-    return _read(spark, ST.run_to_parquet(ST.classify(ST.event_stream(spark, _source(d))),
+    return _read(spark, ST.run_to_parquet(ST.classify(_stream(spark, d)),
                                           "classify"))
 
 
 @query("stream_routing", """
-SELECT event_id, ts, user_id, event_type, value, props FROM events
-WHERE NOT COALESCE(event_type <> 'error' AND value > 1.0, false)""")
+SELECT event_id, ts, user_id, event_type, value, props,
+       COALESCE(event_type <> 'error' AND value > 1.0, false) AS valid FROM events""")
 def stream_routing(spark, d):
-    """T4 / Q6: invalid side of the per-batch valid/invalid routing."""
-    s = ST.event_stream(spark, _source(d)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    _, bad = ST.route_valid_invalid(s, (F.col("event_type") != "error") & (F.col("value") > 1.0))
-    return _read(spark, bad).drop("batch_id")
+    """T4 / Q6: both sides of the per-batch valid/invalid routing."""
+    s = _stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    good, bad = ST.route_valid_invalid(s, (F.col("event_type") != "error") & (F.col("value") > 1.0))
+    sides = [_read(spark, p).drop("batch_id").withColumn("valid", F.lit(ok)) for p, ok in ((good, True), (bad, False))]
+    return sides[0].unionByName(sides[1])

@@ -73,3 +73,17 @@ GROUP BY ngram""")
 def ngrams(spark, d):
     """Stop words removed, then bigram counts."""
     return X.ngram_counts(_docs(spark, d), "text", 2, True, "nonword")
+
+
+@query("trigrams", f"""
+WITH t AS (
+  SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(text), '{_NONWORD}')
+                  IF w <> '' AND NOT list_contains({_STOP_SQL}, w)] AS tok
+  FROM documents)
+SELECT ngram, COUNT(*) AS count FROM (
+  SELECT tok[i] || ' ' || tok[i + 1] || ' ' || tok[i + 2] AS ngram
+  FROM t, range(1, len(tok) - 1) r(i))
+GROUP BY ngram""")
+def trigrams(spark, d):
+    """Stop words removed, then trigram counts."""
+    return X.ngram_counts(_docs(spark, d), "text", 3, True, "nonword")

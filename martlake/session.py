@@ -8,6 +8,7 @@ cluster configured.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -59,14 +60,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local runs, tests) a folder
-    of our own is created and registered.
+    The cluster names it; only when it is unset and the session is a local
+    one, a folder of our own is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not d and sc is not None:
         d = sc.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = sc.master if sc is not None else ""
+        if not re.fullmatch(r"local(\[[^,\]]*(,[^\]]*)?\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="martlake-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
@@ -82,13 +86,6 @@ def _context(spark: SparkSession):
         return None
 
 
-def parallelism(spark: SparkSession) -> int:
-    sc = _context(spark)
-    if sc is not None:
-        return sc.defaultParallelism
-    return int(spark.conf.get("spark.default.parallelism", "0") or 0)
-
-
 def written(df, name: str):
     """``df`` written once as Parquet in the shared scratch folder and read
     back: cuts the lineage and keeps statistics and column pruning."""
@@ -97,8 +94,31 @@ def written(df, name: str):
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder for written
     intermediate tables, stream checkpoints and sink round trips."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{root}/{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def clean_scratch(spark: SparkSession) -> int:
+    """Drop the catalog tables and delete the scratch paths that this process
+    made; to be called when their frames are no longer read. Returns the
+    number of paths."""
+    for db in spark.catalog.listDatabases():
+        for t in spark.catalog.listTables(db.name):
+            if t.isTemporary:
+                continue
+            at = spark.sql(f"DESCRIBE TABLE EXTENDED `{db.name}`.`{t.name}`").where("col_name = 'Location'").first()
+            if at is not None and any(p.split(":")[-1].lstrip("/") in at["data_type"] for p in _SCRATCH):
+                spark.sql(f"DROP TABLE IF EXISTS `{db.name}`.`{t.name}`")
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(conf).delete(path, True)
+    return n

@@ -92,16 +92,24 @@ def flatten_sensor(df: DataFrame) -> DataFrame:
 
 
 def input_profile(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Per input file: path, size in MB and SHA-256 of the
-    content (``binaryFile``; one row per file, read by the executors)."""
+    """Per input file: path, size in MB and SHA-256 of the content
+    (``binaryFile``: one row per file, read whole by an executor, so for files
+    up to 2 GB; :func:`text_profile` has no such limit)."""
     files = spark.read.format("binaryFile").load(path_glob)
     return files.select(F.col("path"), F.round(F.col("length") / F.lit(1024 * 1024), 3).alias("size_mb"),
                         F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
 
 
-def line_count(spark: SparkSession, path: str) -> DataFrame:
-    """Number of text lines of a file (one aggregate)."""
-    return spark.read.text(path).agg(F.count(F.lit(1)).alias("lines"))
+def text_profile(spark: SparkSession, path: str, by_file: bool = True) -> DataFrame:
+    """S18 / S19 for text files of any size: per file (or over all) the
+    number of lines, their characters and a checksum, the sum of the leading
+    60 bits of each line's SHA-256. A file is read in splits, line by line;
+    nothing holds it whole."""
+    bits = F.conv(F.substring(F.sha2("value", 256), 1, 15), 16, 10).cast("decimal(20,0)")
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
+    aggs = [F.count(F.lit(1)).alias("lines"), F.sum(F.char_length("value")).cast("bigint").alias("chars"),
+            F.sum(bits).cast("string").alias("checksum")]
+    return lines.groupBy("path").agg(*aggs) if by_file else lines.agg(*aggs)
 
 
 def register_temp_view(df: DataFrame, name: str) -> DataFrame:

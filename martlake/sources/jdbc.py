@@ -12,6 +12,7 @@ import logging
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from martlake.session import written
 from martlake.sources.sinks import IF_EXISTS
 
 log = logging.getLogger(__name__)
@@ -22,42 +23,56 @@ def read_table(spark: SparkSession, url: str, table: str | None = None, query: s
                lower_bound=None, upper_bound=None, num_partitions: int | None = None) -> DataFrame:
     """A table or a query; partitioned when a numeric column and its
     bounds are given."""
-    r = spark.read.format("jdbc").option("url", url)
-    for k, v in (properties or {}).items():
-        r = r.option(k, v)
-    if query is not None:
-        r = r.option("query", query)
-    else:
-        r = r.option("dbtable", table)
+    return spark.read.format("jdbc").options(**read_options(
+        url, table, query, properties, partition_column, lower_bound, upper_bound, num_partitions)).load()
+
+
+def read_options(url: str, table: str | None = None, query: str | None = None, properties: dict | None = None,
+                 partition_column: str | None = None, lower_bound=None, upper_bound=None,
+                 num_partitions: int | None = None) -> dict[str, str]:
+    """The reader's options. A query is read as a derived table, which Spark
+    can split over executors (its ``query`` option cannot be)."""
+    out = {"url": url, **(properties or {}), "dbtable": table if query is None else f"({query}) q"}
     if partition_column:
-        r = (r.option("partitionColumn", partition_column).option("lowerBound", lower_bound)
-             .option("upperBound", upper_bound).option("numPartitions", num_partitions or 8))
-    return r.load()
+        out |= {"partitionColumn": partition_column, "lowerBound": str(lower_bound),
+                "upperBound": str(upper_bound), "numPartitions": str(num_partitions or 8)}
+    return out
 
 
-def sql_type(dt) -> str:
-    """Loader type rule: integer -> INTEGER, other numeric -> FLOAT, else TEXT
-    (TEXT maps to VARCHAR for databases without it)."""
-    if isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+def sql_type(dt) -> str | None:
+    """Loader type rule: LONG -> BIGINT, other integers -> INTEGER, other
+    numbers -> FLOAT. None leaves the type to Spark's dialect of the database:
+    strings become its unbounded text type (TEXT, CLOB, ...)."""
+    if isinstance(dt, T.LongType):
+        return "BIGINT"
+    if isinstance(dt, (T.IntegerType, T.ShortType, T.ByteType)):
         return "INTEGER"
     if isinstance(dt, T.NumericType):
         return "FLOAT"
-    return "VARCHAR(32672)"
+    return None
+
+
+def column_types(schema) -> str:
+    """``createTableColumnTypes`` for the columns that the rule names."""
+    return ", ".join(f"{f.name} {t}" for f in schema.fields if (t := sql_type(f.dataType)))
 
 
 def load_data(df: DataFrame, url: str, table: str, if_exists: str = "append",
               properties: dict | None = None, batch_size: int = 1000) -> bool:
     """K8 / K9: write with ``fail`` / ``replace`` / ``append``; an empty frame
-    is refused (False). ``fail`` really fails when the table exists."""
+    is refused (False). ``fail`` really fails when the table exists. The rows
+    are made once (written to the shared folder), then loaded."""
     if if_exists not in IF_EXISTS:
         raise ValueError(f"if_exists must be one of {sorted(IF_EXISTS)}")
+    df = written(df, "jdbc-load")
     if df.isEmpty():
         log.warning("empty frame, nothing loaded into %s", table)
         return False
-    types = ", ".join(f"{f.name} {sql_type(f.dataType)}" for f in df.schema.fields)
+    types = column_types(df.schema)
     w = (df.write.format("jdbc").option("url", url).option("dbtable", table)
-         .option("batchsize", batch_size).option("createTableColumnTypes", types)
-         .mode(IF_EXISTS[if_exists]))
+         .option("batchsize", batch_size).mode(IF_EXISTS[if_exists]))
+    if types:
+        w = w.option("createTableColumnTypes", types)
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()

@@ -1,8 +1,8 @@
 """Sinks (K1-K19): files, catalog tables, run-stamped outputs, load checks.
 
 Writers are executed by the executors in parallel; nothing is gathered on
-the driver. ``coalesce(1)`` is used only by :func:`write_single_csv`, which
-is meant for small final reports.
+the driver. Only :func:`write_single_csv`, meant for small final reports,
+writes from one task.
 """
 
 from __future__ import annotations
@@ -33,13 +33,16 @@ def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwr
 
 
 def write_single_csv(df: DataFrame, path: str, header: bool = True) -> None:
-    """K4: one CSV file — only for small results (one task writes it)."""
-    df.coalesce(1).write.mode("overwrite").option("header", header).csv(path)
+    """K4: one CSV file — only for small results (one task writes it; what
+    makes the rows stays parallel)."""
+    df.repartition(1).write.mode("overwrite").option("header", header).csv(path)
 
 
 def write_text_pairs(df: DataFrame, path: str, key: str, value: str, sep: str = "\t") -> None:
-    """K6: ``key<TAB>value`` lines (the Hadoop Streaming format)."""
-    (df.select(F.concat_ws(sep, F.col(key).cast("string"), F.col(value).cast("string")).alias("value"))
+    """K6: ``key<TAB>value`` lines (the Hadoop Streaming format); NULL is
+    written as the empty string, with its separator."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (key, value)]
+    (df.select(F.concat(parts[0], F.lit(sep), parts[1]).alias("value"))
      .write.mode("overwrite").text(path))
 
 
@@ -73,6 +76,12 @@ def save_table(df: DataFrame, table: str, mode: str = "overwrite", fmt: str = "p
     w.saveAsTable(table)
 
 
+def register_location(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
+    """A catalog table over files that are there already."""
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.catalog.createTable(table, path, fmt)
+
+
 def insert_overwrite(spark: SparkSession, table: str, source_sql: str) -> None:
     """``INSERT OVERWRITE TABLE t SELECT ...``."""
     spark.sql(f"INSERT OVERWRITE TABLE {table} {source_sql}")
@@ -91,12 +100,6 @@ def verify_load(spark: SparkSession, table: str, expected_rows: int) -> bool:
     return spark.table(table).count() == expected_rows
 
 
-def console(df: DataFrame, n: int = 20) -> None:
-    """Show + schema (inspection only)."""
-    df.printSchema()
-    df.show(n, truncate=False)
-
-
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     """``CREATE DATABASE IF NOT EXISTS``."""
     loc = f" LOCATION '{location}'" if location else ""

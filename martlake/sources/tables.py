@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlake.functions.numeric import money_sum
+
 TABLE_NAMES = ["region", "nation", "customer", "supplier", "part", "orders",
                "lineitem", "events", "documents", "embeddings", "pages",
                "benchmark", "labels", "conversations"]
@@ -107,8 +109,7 @@ def order_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     l = (table(spark, sf_dir, "lineitem")
          .groupBy(F.col("l_orderkey").alias("order_id"))
          .agg(F.count(F.lit(1)).alias("_lines"),
-              F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("total"),
-              F.sum(F.col("l_quantity").cast("decimal(18,2)")).alias("quantity")))
+              money_sum("l_extendedprice").alias("total"), money_sum("l_quantity").alias("quantity")))
     o = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("sale_date"),

@@ -9,9 +9,13 @@ under ``spark.checkpoint.dir``, so a restarted run resumes exactly once.
 
 Windowed aggregates run in append mode: a window is written once, when the
 watermark (max event time seen minus the allowed lateness) has passed its
-end; rows later than the watermark are dropped by Spark. The batch twin of
-each stream (the oracle) therefore keeps only windows that end at or before
-``max(ts) - lateness``.
+end; rows later than the watermark are dropped by Spark. A stream that ends
+(a backfill, a test) closes its last windows by an end marker, one event a day
+behind the last (:func:`end_marker`), whose own window never closes; so every
+event is in the result and the batch twin of each stream is the plain query.
+
+A session holds one user's events until their gap; in the state store a user
+with very many events is one group, as sessions have it.
 """
 
 from __future__ import annotations
@@ -36,6 +40,39 @@ def event_stream(spark: SparkSession, source: str, max_files_per_trigger: int |
     return r.parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def arrive_in_parts(events: DataFrame, parts: int = 4, marker: bool = True) -> str:
+    """The events as files that arrive one after the other in order of time
+    (``parts`` spans of equal length), for a stream that takes one file a
+    batch; with an end marker as the last."""
+    spark = events.sparkSession
+    folder = scratch_path(spark, "arrivals")
+    ts = F.col("ts").cast("timestamp")
+    lo, hi = events.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
+    if lo is not None:
+        span = (hi - lo) // parts + 1
+        for i in range(parts):
+            own = F.floor((F.unix_micros(ts) - F.lit(lo)) / F.lit(span)) == i
+            events.where(own).coalesce(1).write.parquet(f"{folder}/part-{i}")
+    if marker:
+        end_marker(events).coalesce(1).write.parquet(f"{folder}/part-{parts}")
+    return f"{folder}/*"
+
+
+def end_marker(events: DataFrame) -> DataFrame:
+    """One event a day behind the last."""
+    last = (F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")
+    return events.agg(last).where(F.col("ts").isNotNull()).select(
+        F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit(-1).cast("bigint").alias("user_id"),
+        F.lit("end").alias("event_type"), F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
+
+
+def run_to_end(query) -> None:
+    """Wait for a started query; raise what ended it."""
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
                    partition_by=None) -> str:
     """Run a streaming frame to completion into a Parquet sink; return the
@@ -47,10 +84,7 @@ def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start()
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
+    run_to_end(w.start())
     return out
 
 
@@ -86,7 +120,7 @@ def sessions(events: DataFrame, gap: str = "10 minutes", lateness: str = WATERMA
                     "n_events", to_double("_v").alias("total_value"))
 
 
-def classify(events: DataFrame, hot: float = 300.0, busy: float = 100.0) -> DataFrame:
+def classify(events: DataFrame, hot: float = 300.0) -> DataFrame:
     """Stateless threshold classification (value plays the
     temperature, the JSON ``k`` the humidity)."""
     humidity = F.get_json_object("props", "$.k").cast("double")
@@ -105,14 +139,16 @@ def route_valid_invalid(events: DataFrame, valid: Column, name: str = "routing")
     flag = F.coalesce(valid, F.lit(False))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("_ok", flag).withColumn("_b", F.lit(0)).drop("_b")
+        b = batch.withColumn("_ok", flag).persist()  # read by both writes
         # overwrite only this batch's partition: a replayed batch rewrites itself
-        (b.where("_ok").drop("_ok").write.mode("overwrite")
-         .parquet(f"{ok_path}/batch_id={batch_id}"))
-        (b.where(~F.col("_ok")).drop("_ok").write.mode("overwrite")
-         .parquet(f"{bad_path}/batch_id={batch_id}"))
-
-    q = (events.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
+        try:
+            (b.where("_ok").drop("_ok").write.mode("overwrite")
+             .parquet(f"{ok_path}/batch_id={batch_id}"))
+            (b.where(~F.col("_ok")).drop("_ok").write.mode("overwrite")
+             .parquet(f"{bad_path}/batch_id={batch_id}"))
+        finally:
+            b.unpersist()
+
+    run_to_end(events.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+               .trigger(availableNow=True).start())
     return ok_path, bad_path

@@ -152,6 +152,73 @@ def test_currency_rounding_and_modes(spark):
     assert tol.columns == ["price", "price_currency"]
 
 
+def test_only_the_product_is_rounded(spark):
+    rates = CUR.rates_frame(spark, {"JPY": 160.25, "USD": 1.123456})
+    df = spark.createDataFrame([(12.345,), (0.004,)], "price double")
+    out = {r.price: (r.price_JPY, r.price_USD) for r in
+           CUR.enrich_with_currency(df, rates, "price", ["JPY", "USD"], "EUR").collect()}
+    assert out == {12.345: (1978.29, 13.87), 0.004: (0.64, 0.0)}
+
+
+def test_many_rate_rows_and_code_order(spark):
+    rows = [("USD", 1.0 + i / 1e4) for i in range(1200)] + [("CZK", 25.0)]
+    rates = spark.createDataFrame(rows, "currency string, rate double").repartition(5)
+    assert CUR.available_currencies(rates, "EUR") == ["CZK", "USD", "EUR"]
+    assert CUR.available_currencies(rates, "USD") == ["CZK", "USD"]
+
+
+def test_money_below_a_cent(spark):
+    from martlake.operators import sales as S
+    df = spark.createDataFrame([("a", 0.004, 3.0, 0.004), ("a", 0.004, 2.0, 0.004)],
+                               "category string, price double, quantity double, total double")
+    r = S.category_stats(df).first()
+    assert (r.revenue, r.total_sales_amount) == (0.02, 0.008)
+
+
+def test_a_customer_listed_twice_counts_once(spark):
+    from martlake.operators import sales as S
+    cust = spark.createDataFrame([(1, "n", "s"), (2, "n", "s"), (2, "n", "s")], "customer_id int, region string, segment string")
+    sales = spark.createDataFrame([(1, "c", 1.0, 1.0, 1.0), (2, "c", 1.0, 1.0, 2.0)],
+                                  "customer_id int, category string, price double, quantity double, total double")
+    assert S.region_stats(cust, sales).first().number_of_customers == 2
+    assert S.segment_category_customers(cust, sales).first().number_of_customers == 2
+
+
+def test_null_foreign_key_is_no_orphan(spark):
+    child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "fk int")
+    parent = spark.createDataFrame([(1,)], "pk int")
+    assert [r.fk for r in H.orphans(child, parent, "fk", "pk").collect()] == [2, 2]
+
+
+def test_pii_names_are_joined_without_a_separator(spark):
+    import hashlib
+    df = spark.createDataFrame([("a@b", "Jan", "Novak")], "email string, first_name string, last_name string")
+    r = Q.anonymize_pii(df).first()
+    assert r.hashed_name == hashlib.sha256(b"JanNovak").hexdigest()
+
+
+def test_delete_keeps_the_closed_rows_payload(spark):
+    rows = [(1, "2024-01-01 00:00:00", 1, "I", 5.0), (1, "2024-01-02 00:00:00", 2, "D", None),
+            (2, "2024-01-01 00:00:00", 3, "D", 7.0)]
+    ch = (spark.createDataFrame(rows, "k int, t string, seq int, op string, price double")
+          .withColumn("t", F.to_timestamp_ntz("t")))
+    for limit in (1, 100):
+        h = {r.change_seq: r.price for r in H.build_history(ch, "k", "t", "seq", "op", ["price"], limit).collect()}
+        assert h == {1: 5.0, 2: 5.0, 3: 7.0}
+
+
+def test_quantiles_narrow_and_widen_their_brackets(spark, monkeypatch):
+    from martlake.operators import stats as ST
+    rng = random.Random(5)
+    vals = [rng.gauss(0, 1) for _ in range(4000)] + [0.5] * 1000
+    df = spark.createDataFrame([(v,) for v in vals] + [(None,), (float("nan"),)], "x double").repartition(4)
+    monkeypatch.setattr(ST, "ACCURACY", 20)
+    monkeypatch.setattr(ST, "MAX_BRACKET", 50)
+    probs = [0.0, 0.01, 0.5, 0.77, 1.0]
+    row = exact_quantiles(df, "x", probs).first()
+    assert [row[i] for i in range(5)] == pytest.approx([_linear_quantile(vals, p) for p in probs], abs=1e-12)
+
+
 def test_rates_document_without_rates_key(spark):
     docs = spark.createDataFrame([('{"base": "EUR"}',), ('{"rates": {"USD": 1.1}}',)], "value string")
     assert [(r.currency, r.rate) for r in CUR.rates_from_documents(docs).collect()] == [("USD", 1.1)]
@@ -309,32 +376,34 @@ def test_extract_csv_missing_and_malformed(spark, tmp_path):
     assert rows[0].price == 2.5 and rows[1].price is None and rows[1]._corrupt_record
 
 
-def test_jdbc_load_modes_embedded_derby(spark):
-    """K8 against embedded in-memory Derby (process-local: test only)."""
+def test_jdbc_types_and_options_without_a_database():
+    """The type rule and the reader's options; no database is
+    opened here."""
+    from pyspark.sql import types as PT
     from martlake.sources import jdbc as J
-    url = "jdbc:derby:memory:martlake_test;create=true"
-    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    df = spark.createDataFrame([(1, 2.5, "a"), (2, 3.5, "b")], "ID int, PRICE double, NAME string")
-    assert J.load_data(df, url, "PRODUCTS", "replace", props)
-    assert J.load_data(df, url, "PRODUCTS", "append", props)
-    with pytest.raises(Exception):
-        J.load_data(df, url, "PRODUCTS", "fail", props)
-    assert not J.load_data(df.limit(0), url, "PRODUCTS", "append", props)
-    back = J.read_table(spark, url, "PRODUCTS", properties=props, partition_column="ID",
-                        lower_bound=1, upper_bound=3, num_partitions=2)
-    assert back.count() == 4
-
-
-def test_versioned_table_time_travel(spark, tmp_path):
-    from martlake.sources import versioned as V
+    assert J.sql_type(PT.LongType()) == "BIGINT" and J.sql_type(PT.IntegerType()) == "INTEGER"
+    assert J.sql_type(PT.DoubleType()) == "FLOAT" and J.sql_type(PT.StringType()) is None
+    schema = PT.StructType.fromDDL("id bigint, n int, price double, name string, at timestamp")
+    assert J.column_types(schema) == "id BIGINT, n INTEGER, price FLOAT"
+    opts = J.read_options("jdbc:x:y", query="SELECT id FROM t", partition_column="id", lower_bound=0,
+                          upper_bound=9, num_partitions=3)
+    assert opts == {"url": "jdbc:x:y", "dbtable": "(SELECT id FROM t) q", "partitionColumn": "id",
+                    "lowerBound": "0", "upperBound": "9", "numPartitions": "3"}
+    assert J.read_options("u", "t", properties={"user": "a"}) == {"url": "u", "user": "a", "dbtable": "t"}
+    with pytest.raises(ValueError):
+        J.load_data(None, "u", "t", "sometimes")
+
+
+def test_versions_of_a_table(spark, tmp_path):
     p = str(tmp_path / "vt")
-    V.commit(spark.createDataFrame([(1, "a")], "id int, v string"), p, 1)
-    V.commit(spark.createDataFrame([(2, "b")], "id int, v string"), p, 2)
-    V.commit(spark.createDataFrame([(3, "c", 0.1)], "id int, v string, d double"), p, 3, "overwrite")
-    assert sorted(r.id for r in V.read_version(spark, p, 2).collect()) == [1, 2]
-    latest = V.read_version(spark, p)
-    assert latest.columns == ["id", "v", "d"] and latest.count() == 1
-    assert [(r.version, r.rows) for r in V.version_history(spark, p).collect()] == [(1, 1), (2, 1), (3, 1)]
+    H.write_version(spark.createDataFrame([(1, "a")], "id int, v string"), p, 1)
+    for _ in range(2):  # a rerun rewrites its version
+        H.write_version(spark.createDataFrame([(2, "b")], "id int, v string"), p, 2)
+    H.write_version(spark.createDataFrame([(3, "c", 0.1)], "id int, v string, d double"), p, 3)
+    t = spark.read.option("mergeSchema", True).parquet(p)
+    assert sorted(r.id for r in H.as_of_version(t, 2).collect()) == [1, 2]
+    assert t.columns == ["id", "v", "d", "version"] and t.count() == 3
+    assert [(r.version, r.rows) for r in H.version_counts(t).collect()] == [(1, 1), (2, 1), (3, 1)]
 
 
 def test_dead_letter_append_and_load_verification(spark, tmp_path):
@@ -343,7 +412,8 @@ def test_dead_letter_append_and_load_verification(spark, tmp_path):
     rules = [("negative_price", F.col("price") < 0), ("missing_price", F.col("price").isNull())]
     err = str(tmp_path / "errors")
     ok = Q.route_dead_letter(df, rules, err)
-    Q.route_dead_letter(df, rules, err)                      # append: twice the rows
+    Q.route_dead_letter(df, rules, err)                      # a rerun of the same batch
+    Q.route_dead_letter(df, rules, err, batch="1")
     assert [r.id for r in ok.collect()] == [1]
     bad = spark.read.parquet(err)
     assert bad.count() == 4
@@ -415,7 +485,7 @@ def test_hot_key_burst_is_split_again(spark):
     df = (spark.createDataFrame(rows, "k int, t long")
           .withColumn("t", F.col("t").cast("timestamp").cast("timestamp_ntz")))
     one = hot_key_buckets(df, "k", "t", 50, levels=1)
-    two = hot_key_buckets(df, "k", "t", 50, levels=2)
+    two = hot_key_buckets(df, "k", "t", 50)
     biggest = lambda d: max(r["count"] for r in d.groupBy("k", "_bk").count().collect())
     assert biggest(one) > 500 and biggest(two) <= 120
     assert hot_key_buckets(df, "k", "t", 10_000).schema["_bk"].dataType.typeName() == "long"

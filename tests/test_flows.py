@@ -23,14 +23,29 @@ def test_sales_job_writes_six_stamped_reports(spark, tmp_path):
     assert top.count() == 10
 
 
-def test_sales_job_jdbc_copy(spark, tmp_path):
-    url = "jdbc:derby:memory:martlake_flow;create=true"
-    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
-    flows.run_sales_job(T.customers(spark, SF_SMALL), T.sales(spark, SF_SMALL),
-                        str(tmp_path / "out"), "2025-01-31 23:59:59", url, props)
+def test_sales_job_jdbc_copy(spark, tmp_path, monkeypatch):
+    """K7: what would be loaded, and into which tables; no database is opened."""
     from martlake.sources import jdbc
-    back = jdbc.read_table(spark, url, "sales_analysis_category_stats", properties=props)
-    assert back.count() == 6
+    loaded = {}
+    monkeypatch.setattr(jdbc, "load_data", lambda df, url, table, mode, props: loaded.update({table: (df.count(), mode)}))
+    flows.run_sales_job(T.customers(spark, SF_SMALL), T.sales(spark, SF_SMALL),
+                        str(tmp_path / "out"), "2025-01-31 23:59:59", "jdbc:x:y", {})
+    assert len(loaded) == 6 and loaded["sales_analysis_category_stats"] == (6, "replace")
+
+
+def test_scratch_is_cleaned(spark):
+    from martlake import session as SE
+    kept, SE._SCRATCH[:] = list(SE._SCRATCH), []
+    try:
+        t = SE.written(spark.range(3), "clean-me")
+        path = SE._SCRATCH[0]
+        spark.range(2).write.option("path", f"{SE.scratch_path(spark, 'clean-table')}").saveAsTable("clean_me_table")
+        assert t.count() == 3 and SE.clean_scratch(spark) == 2
+        assert not spark.catalog.tableExists("clean_me_table")
+        with pytest.raises(Exception):
+            spark.read.parquet(path)
+    finally:
+        SE._SCRATCH[:] = kept
 
 
 def _products_csv(spark, tmp_path):
@@ -64,7 +79,12 @@ def test_currency_etl_levels(spark, tmp_path):
     rep = flows.run_currency_etl(products, rates, str(tmp_path / "cur"), "basic",
                                  ["USD", "CZK", "XXX"]).collect()[0]
     assert rep.input_rows == rep.output_rows == products.count()
-    assert rep.status in ("OK", "WARNING")
+    assert rep.status == "WARNING" and rep.error_count == 1 and rep.errors.startswith("empty_category")
+    twice = flows.run_currency_etl(products.unionByName(products), rates, str(tmp_path / "cur3"), "none", ["USD"],
+                                   target_table="cur3", report_path=str(tmp_path / "report")).collect()[0]
+    assert twice.input_rows == 2 * twice.output_rows and twice.status == "OK" and twice.target_table == "cur3"
+    assert spark.table("cur3").count() == twice.output_rows
+    assert spark.read.json(str(tmp_path / "report")).first().output_rows == twice.output_rows
     written = spark.read.parquet(str(tmp_path / "cur"))
     assert {"price_USD", "price_CZK", "available_currencies"} <= set(written.columns)
     with pytest.raises(ValueError):
