@@ -26,21 +26,33 @@ def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     """``df`` as a Parquet table in the shared scratch folder.
 
     Cuts the lineage: what follows survives the loss of an executor without
-    running ``df`` again, and reads only the columns it needs.
+    running ``df`` again, and reads only the columns it needs. Tables of short
+    rows go to at most two files for each core; ``wide`` keeps one file for
+    each task, for what comes out of a scan of texts or holds texts.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
+    if not wide:
+        df = df.coalesce(2 * max(1, spark.sparkContext.defaultParallelism))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch: texts are long, and a worker holds a few copies.
+BATCH_BYTES = 8 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this library to the Python workers (once for each session), so
-    that functions used in ``mapInArrow`` can be imported there."""
+    """Ready for Python workers: batches are bounded in bytes, and this library
+    is sent to them (once for each session), so that functions used in
+    ``mapInArrow`` can be imported there."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(str(spark.conf.get(key)).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
     sc = spark.sparkContext
     if getattr(sc, "_martlake_shipped", False):
         return

@@ -151,7 +151,7 @@ def _spill(docs: DataFrame, id_col: str, text_col: str, table_bytes: int) -> Dat
         T.StructField("lead", T.LongType()), T.StructField("h", T.LongType()),
         T.StructField("nbytes", T.LongType()), T.StructField("sha", T.StringType()),
         T.StructField("row", base.schema["row"].dataType)])
-    return written(base.mapInArrow(_split_leaders(table_bytes), schema), "dedup-spill")
+    return written(base.mapInArrow(_split_leaders(table_bytes), schema), "dedup-spill", wide=True)
 
 
 def _bucket_paths(leaders: DataFrame, bucket_bytes: int, table_bytes: int):
@@ -251,4 +251,4 @@ def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
         found, salted = _resolve(leaders, text_col, True, bucket_bytes, table_bytes)
         if not salted:
             return found.select("row.*")
-        leaders = written(found, "dedup-left").select("rid", "id", "h", "nbytes", "row")
+        leaders = written(found, "dedup-left", wide=True).select("rid", "id", "h", "nbytes", "row")

@@ -99,11 +99,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return _with_tree(base, "text", "fingerprint").drop("text")
 
 
-def successors(ids: DataFrame) -> DataFrame:
-    """(k, next_k): each of the distinct ids in ``k`` and the next larger one,
-    for the largest the smallest."""
-    dealt = written(ids.select("k").repartitionByRange("k")
-                    .withColumn("part", F.spark_partition_id()), "fingerprint-order")
+def in_order(ids: DataFrame) -> DataFrame:
+    """``ids`` (distinct in ``k``) dealt by range, with the range as ``part``;
+    a written table, since the ranges come from a sample."""
+    return written(ids.repartitionByRange("k").withColumn("part", F.spark_partition_id()), "fingerprint-order")
+
+
+def successors(dealt: DataFrame) -> DataFrame:
+    """(k, next_k) from ``in_order``: each id and the next larger one, for the
+    largest the smallest."""
     firsts = dealt.groupBy("part").agg(F.min("k").alias("first"))
     by_part = Window.orderBy("part")  # one row for each range
     firsts = firsts.select("part", F.coalesce(
@@ -121,19 +125,16 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``."""
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"),
                         text_of(f"`{text_col}`").alias("text"))
-    sizes = written(texts.select("k", F.xxhash64("text").alias("h"),
-                                 F.floor(F.char_length("text") / 2).cast("int").alias("half")),
-                    "fingerprint-sizes")
-    ids = sizes.groupBy("k").agg(F.min("h").alias("h"), F.max("half").alias("half"),
-                                 F.count(F.lit(1)).alias("n"))
-    ids = written(ids, "fingerprint-ids")
+    half = F.floor(F.char_length("text") / 2).cast("int")
+    ids = in_order(texts.select("k", F.xxhash64("text").alias("h"), half.alias("half"))
+                   .groupBy("k").agg(F.min("h").alias("h"), F.max("half").alias("half"),
+                                     F.count(F.lit(1)).alias("n")))
     follow = successors(ids).join(ids.select("k", "half"), "k")
     giver = texts.withColumnRenamed("k", "next_k").withColumnRenamed("text", "next_text")
     repeats = bool(ids.filter("n > 1").limit(1).count())
     if repeats:
         follow = follow.join(ids.select(F.col("k").alias("next_k"), F.col("h").alias("next_h")), "next_k")
         giver = giver.withColumn("h", F.xxhash64("next_text"))
-    follow = written(follow, "fingerprint-follow")
     given = giver.join(follow, "next_k")
     if repeats:
         given = given.filter(F.col("h") == F.col("next_h")).dropDuplicates(["k"])

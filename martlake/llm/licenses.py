@@ -152,7 +152,7 @@ def scan(files: DataFrame, id_col: str, path_col: str, text_col: str = "text", t
     known = F.col("text").rlike(MARKERS) | named
     words = F.when(known, F.size(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).otherwise(F.lit(0))
     kept = written(base.select("rid", "id", "path", words.cast("long").alias("n_terms"), named.alias("named"),
-                               F.when(known, F.col("text")).otherwise(F.lit("")).alias("text")), "license-files")
+                               F.when(known, F.col("text")).otherwise(F.lit("")).alias("text")), "license-files", wide=True)
     found = _similarities(_candidates(kept.filter("n_terms > 0")), templates).filter(F.col("similarity") >= least)
     own = found.groupBy("rid").agg(
         F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("b"),

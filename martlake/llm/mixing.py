@@ -138,7 +138,7 @@ def _cut_offs(ranked: DataFrame) -> DataFrame:
 def _decided(measured: DataFrame, weights, share: float, most: float) -> DataFrame:
     """``measured`` with source_size, target and copies."""
     small = measured.select("id", "key", "size", "g", "u")
-    small = written(small, "mixing-sizes")
+    small = written(small, "mixing-sizes", wide=True)
     classes = written(small.groupBy("key", "g").agg(F.sum("size").alias("words"),
                                                     F.count(F.lit(1)).alias("n")), "mixing-classes")
     plan = written(_plan(classes, targets(classes, weights, share, most), most), "mixing-plan")

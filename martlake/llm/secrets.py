@@ -111,7 +111,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = docs.select(F.monotonically_increasing_id().alias("rid"),
                        F.col(f"`{id_col}`").cast("long").alias("id"), text_of(f"`{text_col}`").alias("text"))
     found = written(base.select("rid", "id", *[_matches(F.col("text"), k).alias(k) for k in KINDS]),
-                    "secrets-found")
+                    "secrets-found", wide=True)
     spans = written(_spans(found), "secrets-spans")
     all_spans = spans.filter(F.col("kind").isin(*STRONG)).unionByName(_linked(spans, scope))
     rank = F.element_at(F.create_map(*[F.lit(x) for k, v in KINDS.items() for x in (k, v[0])]), F.col("kind"))

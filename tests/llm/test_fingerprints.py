@@ -109,7 +109,7 @@ def test_branches_locate_an_edit(spark):
 
 def test_successors_over_many_ranges(spark):
     ids = random.Random(4).sample(range(10 ** 6), 500)
-    got = {r["k"]: r["next_k"] for r in M.successors(
-        spark.createDataFrame([(i,) for i in ids], "k long").repartition(5)).collect()}
+    got = {r["k"]: r["next_k"] for r in M.successors(M.in_order(
+        spark.createDataFrame([(i,) for i in ids], "k long").repartition(5))).collect()}
     order = sorted(ids)
     assert got == dict(zip(order, order[1:] + order[:1]))
