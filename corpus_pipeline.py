@@ -59,5 +59,5 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.read_table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = common.written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"))
+        docs = common.written(stage(spark, docs, sf_dir), "pipeline-" + name.replace(" ", "-"), wide=True)
     return docs
