@@ -30,7 +30,7 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     from martlake.plans.registry import QUERIES, load_all
-    from martlake.session import build_session
+    from martlake.session import build_session, clean_scratch
     load_all()
     spark = build_session(master=f"local[{cpus}]", app="martlake-bench",
                           shuffle_partitions=int(cpus) * 2)
@@ -50,6 +50,7 @@ def main() -> None:
                       "unit": "sec", "queries": times, "sf": sf,
                       "config": {"master": f"local[{cpus}]", "repeat": repeat,
                                  "spark": spark.version}}))
+    clean_scratch(spark)
     spark.stop()
 
 

@@ -252,6 +252,36 @@ _LINE_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quan
 _LINE_OTHERS = ["l_returnflag", "l_linestatus", "l_shipdate"]
 
 
+_TWICE = """
+twice AS (SELECT * FROM customers UNION ALL SELECT * FROM customers WHERE customer_id % 10 = 0)"""
+
+
+def _customers_twice(spark, d):
+    """The customers with every tenth listed a second time."""
+    c = T.customers(spark, d)
+    return c.unionByName(c.where(F.col("customer_id") % 10 == 0))
+
+
+@query("region_stats_listed_twice", with_(SALES, CUSTOMERS, _TWICE) + f"""
+SELECT region, COUNT(DISTINCT customer_id) AS number_of_customers, COUNT(*) AS number_of_sales,
+       {msum('total')} AS total_sales_amount,
+       {ratio('SUM(' + dec('total') + ')', 'COUNT(DISTINCT customer_id)')} AS average_per_customer
+FROM sales JOIN twice USING (customer_id) GROUP BY region""")
+def region_stats_listed_twice(spark, d):
+    """A2: a customer that is listed twice counts once."""
+    return S.region_stats(_customers_twice(spark, d), T.order_sales(spark, d))
+
+
+@query("segment_category_listed_twice", with_(SALES, CUSTOMERS, _TWICE) + f"""
+SELECT segment, category,
+       CAST(SUM({dec('price')} * {dec('quantity')}) AS DOUBLE) AS revenue,
+       COUNT(DISTINCT customer_id) AS number_of_customers
+FROM sales JOIN twice USING (customer_id) GROUP BY segment, category""")
+def segment_category_listed_twice(spark, d):
+    """The same for segments and categories."""
+    return S.segment_category_customers(_customers_twice(spark, d), T.sales(spark, d))
+
+
 @query("describe_columns", " UNION ALL ".join(
     [f"SELECT '{c}' AS column_name, COUNT({c}) AS count, "
      f"CAST(SUM(CAST({c} AS DECIMAL(38,10))) AS DOUBLE) / CAST(NULLIF(COUNT({c}), 0) AS DOUBLE) AS mean, "

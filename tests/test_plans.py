@@ -57,3 +57,38 @@ def test_bucketed_line_order_join_has_no_exchange(spark, tmp_path):
         assert a == b
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _nodes(df) -> dict:
+    names = re.findall(r"^\(\d+\) (\w+)", _plan(df), re.M)
+    return {n: names.count(n) for n in set(names)} | {"Subquery": _plan(df).count("Subquery:")}
+
+
+def test_statistics_are_literals_of_the_final_plan(spark):
+    """One scan, no shuffle and no subquery, however many statistics."""
+    for name in ("outliers_iqr", "outliers_zscore", "minmax_scaled", "fill_missing_sequence", "price_to_global_stats"):
+        n = _nodes(QUERIES[name](spark, SF_SMALL))
+        assert n.get("Scan", 0) == 1 and not n.get("Exchange") and not n["Subquery"], (name, n)
+
+
+def test_history_is_one_scan_and_one_shuffle(spark):
+    n = _nodes(QUERIES["history_build"](spark, SF_SMALL))
+    assert n["Scan"] == 1 and n["Exchange"] == 1 and n["Sort"] == 1, n
+    n = _nodes(QUERIES["asof_lookup"](spark, SF_SMALL))
+    assert n["Scan"] == 2 and n["Exchange"] <= 3, n
+
+
+def test_history_of_one_key_filters_first(spark):
+    plan = _plan(QUERIES["history_of_key"](spark, SF_SMALL))
+    assert re.search(r"PushedFilters: .*EqualTo\(user_id,7\)", plan), plan
+
+
+def test_group_means_do_not_shuffle_the_rows(spark):
+    n = _nodes(QUERIES["category_avg_price"](spark, SF_SMALL))
+    assert not n.get("Exchange") and n["BroadcastExchange"] == 1, n
+
+
+def test_one_plan_at_every_size(spark):
+    from martlake.sources import tables as T
+    plan = _plan(T.table(spark, SF_SMALL, "lineitem"))
+    assert "Exchange" not in plan
