@@ -31,6 +31,7 @@ rows; further columns are not read.
 from __future__ import annotations
 
 import functools
+import math
 import re
 import zlib
 
@@ -45,8 +46,8 @@ VOCABULARY = "byte_bpe_50k.json"
 RANKS = "byte_bpe_50k.tiktoken"
 WINDOW = 2048
 END_ID = 1
-#: Pieces that one salted group of a length aims at.
-GROUP_ROWS = 100_000
+#: A length is dealt in the root of (all pieces / ROOT_SHARE) groups.
+ROOT_SHARE = 200
 #: Characters outside the ranges whose classes every version of Unicode shares.
 UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 
@@ -196,10 +197,10 @@ def _place_batches(shared):
     return run
 
 
-def numbered(df: DataFrame, key: str, order: list[str], group_rows: int = GROUP_ROWS) -> DataFrame:
+def numbered(df: DataFrame, key: str, order: list[str], root_share: int = ROOT_SHARE) -> DataFrame:
     """``df`` with ``number``, 0, 1, ... within each value of ``key``."""
-    total = df.count()
-    salts = max(1, -(-total // group_rows))
+    # Groups and rows in a group grow alike, with the root of the rows.
+    salts = max(1, math.isqrt(df.count() // root_share))
     salted = df.withColumn("salt", F.pmod(F.xxhash64(*order), F.lit(salts)))
     before = (salted.groupBy(key, "salt").agg(F.count(F.lit(1)).alias("n"))
               .select(key, "salt", (F.sum("n").over(
@@ -212,14 +213,14 @@ def numbered(df: DataFrame, key: str, order: list[str], group_rows: int = GROUP_
 
 def pack(docs: DataFrame, path: str, ranks_path: str, id_col: str = "doc_id", text_col: str = "text",
          window: int = WINDOW, end_id: int = END_ID, with_ids: bool = False,
-         group_rows: int = GROUP_ROWS) -> DataFrame:
+         root_share: int = ROOT_SHARE) -> DataFrame:
     """One row per piece: ``doc_id``, ``start``, ``length``, ``ids_crc32``,
     ``doc_tokens``, ``sequence_id``, ``offset`` and, if asked for, ``ids``."""
-    cut = written(pieces(docs, path, ranks_path, id_col, text_col, window, end_id, with_ids), "packing-pieces")
+    cut = written(pieces(docs, path, ranks_path, id_col, text_col, window, end_id, with_ids), "packing-pieces", wide=True)
     counts = {r["length"]: r["n"]
               for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     shared = docs.sparkSession.sparkContext.broadcast(_ranges(minimum_bin_slack(counts, window)))
     order = ["doc_id", "start", "ids_crc32"]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
-    ranked = numbered(cut, "length", order, group_rows).select(*cut.columns, "number")
+    ranked = numbered(cut, "length", order, root_share).select(*cut.columns, "number")
     return ranked.mapInArrow(_place_batches(shared), schema + ", sequence_id long, `offset` long")

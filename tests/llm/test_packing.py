@@ -78,7 +78,7 @@ def test_documents(spark):
              for i in range(150)]
     df = spark.createDataFrame([(i, t, 9, 8) for i, t in rows],
                                "doc_id long, text string, length long, number long").repartition(3)
-    got = P.pack(df, PATH, RANKS, window=64, with_ids=True, group_rows=20).collect()
+    got = P.pack(df, PATH, RANKS, window=64, with_ids=True, root_share=1).collect()
     want = []
     for i, t in rows:
         full = [*ids(t or ""), 1]
