@@ -11,7 +11,7 @@ for all requested columns and positions at once:
 
 The bracket is checked against the exact counts; one that misses its rank is
 widened, one that holds more than ``MAX_BRACKET`` distinct values is narrowed
-by another sketch inside it. So results are exact, no task ever holds a whole
+by another sketch inside it, as long as that at least halves it. So results are exact, no task ever holds a whole
 column, and the work follows the data at every size.
 
 Interpolation is that of Spark's ``percentile``: with ``pos = p * (n - 1)``,
@@ -40,6 +40,7 @@ class _Bracket:
     def __init__(self, p: float):
         self.p, self.lo, self.hi = p, None, None
         self.margin = 2.0 / ACCURACY
+        self.good, self.last = None, False  # (lo, hi, distinct) before narrowing
 
     def inside(self, x: Column) -> Column:
         cond = x.isNotNull()
@@ -100,27 +101,32 @@ def quantiles_multi(df: DataFrame, spec: dict) -> DataFrame:
         counted = _counted(df, columns, todo)
         parts = {(r["name"], r["part"]): r for r in counted.groupBy("name", "part").agg(
             F.sum("cnt").alias("n"), F.count(F.lit(1)).alias("distinct")).collect()}
-        again, fine = {}, []
+        sketch, again, fine = {}, {}, []
         for name, (c, b) in todo.items():
             below, inside, above = (parts[name, k]["n"] if (name, k) in parts else 0 for k in range(3))
             n = below + inside + above
             pos = b.p * (n - 1)
-            lo, hi = math.floor(pos), math.ceil(pos)
-            if n and not (below <= lo and hi < below + inside):
-                b.margin *= 8
-                b.lo = b.hi = None
-                again[name] = (c, b, None, b.p)
-            elif n and parts[name, 1]["distinct"] > MAX_BRACKET and b.lo != b.hi:
-                b.margin = 2.0 / ACCURACY
-                again[name] = (c, b, b.inside(columns[c]), (pos - below) / max(1, inside - 1))
+            hit = not n or (below <= math.floor(pos) and math.ceil(pos) < below + inside)
+            distinct = parts[name, 1]["distinct"] if (name, 1) in parts else 0
+            if not hit:
+                again[name] = (c, b)
+                if b.good:  # narrowing went wrong: take the bracket before it
+                    (b.lo, b.hi, _), b.last = b.good, True
+                else:
+                    b.margin, b.lo, b.hi = 8 * b.margin, None, None
+                    sketch[name] = (c, b, None, b.p)
+            elif distinct > MAX_BRACKET and not b.last and (not b.good or 2 * distinct < b.good[2]):
+                again[name] = (c, b)
+                sketch[name] = (c, b, b.inside(columns[c]), (pos - below) / max(1, inside - 1))
+                b.good, b.margin = (b.lo, b.hi, distinct), 2.0 / ACCURACY
             else:
                 fine.append(name)
                 ranks[name] = (below, pos)
         if fine:
             done.append(counted.where(F.col("name").isin(fine) & (F.col("part") == 1)))
-        if again:
-            _sketch(df, columns, again)
-        todo = {name: brackets[name] for name in again}
+        if sketch:
+            _sketch(df, columns, sketch)
+        todo = again
     inside = done[0]
     for more in done[1:]:
         inside = inside.unionByName(more)
