@@ -48,6 +48,8 @@ SEED = 42
 MAX_RUN = 256
 #: A key is dealt apart when one task alone holds so many of its fingerprints.
 HOT_IN_TASK = 64
+#: Fingerprints that one task gives keys (about 185 each) or points (2081).
+KEY_ROWS, POINT_ROWS = 20_000, 2_000
 #: Lengths of the segments, from the lowest bit.
 SEGMENTS = (22, 21, 21)
 #: Generator polynomial of the Golay code, x^11+x^9+x^7+x^6+x^5+x+1.
@@ -313,9 +315,10 @@ def links(fps: DataFrame, most: int = MAX_BITS, max_run: int = MAX_RUN,
     with at most ``most`` differing bits; not each such pair, but a path."""
     if not 0 <= most <= 4:
         raise ValueError("these keys find links of at most 4 bits")
-    hot = written(fps.select("fp").mapInArrow(_hot_key_batches(hot_in_task), "key long").distinct(),
+    fps = _spread(fps.select("fp"), KEY_ROWS)
+    hot = written(fps.mapInArrow(_hot_key_batches(hot_in_task), "key long").distinct(),
                   "simhash-hot")
-    keyed = fps.select("fp").mapInArrow(_key_batches, "key long, fp long")
+    keyed = fps.mapInArrow(_key_batches, "key long, fp long")
     cold = keyed
     some_hot = bool(hot.limit(1).count())
     if some_hot:
@@ -329,13 +332,19 @@ def links(fps: DataFrame, most: int = MAX_BITS, max_run: int = MAX_RUN,
         dense = dense.unionByName(keyed.join(hot, "key", "left_semi").select("fp"))
     dense = written(dense.distinct(), "simhash-dense")
     if dense.limit(1).count():
-        points = (dense.mapInArrow(_ball_batches, "key long, fp long")
+        points = (_spread(dense, POINT_ROWS).mapInArrow(_ball_batches, "key long, fp long")
                   .repartition("key").sortWithinPartitions("key", "fp"))
         stars = points.mapInArrow(_link_points(most), "a long, b long")
         pairs = pairs.unionByName(stars.distinct())
     return pairs
 
 
+def _spread(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, a written table of short rows, dealt out to tasks that make
+    many rows of each of theirs."""
+    return df.repartition(max(1, -(-df.count() // rows)))
+
+
 def _link_points(most: int):
     """Rows sorted by (point, fp) -> links within ``most`` bits. At 4 bits
     all fingerprints of a point link, so each links to the point's first."""
@@ -402,7 +411,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     hot_in_task: int = HOT_IN_TASK) -> DataFrame:
     """One row per row of ``docs``: ``id``, ``content``, ``fp`` and
     ``component_id``, the smallest id that links reach."""
-    signed = written(fingerprints(docs, id_col, text_col, words), "simhash-fp")
+    signed = written(fingerprints(docs, id_col, text_col, words), "simhash-fp", wide=True)
     fps = written(signed.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     nodes = components(links(fps, most, max_run, hot_in_task))
     rooted = (fps.join(nodes, fps["fp"] == nodes["node"], "left")
