@@ -32,7 +32,7 @@ def written(df: DataFrame, name: str, wide: bool = False) -> DataFrame:
     Cuts the lineage: what follows survives the loss of an executor without
     running ``df`` again, and reads only the columns it needs. Tables of short
     rows go to at most two files for each core; ``wide`` keeps one file for
-    each task, for what comes out of a scan of texts or holds texts.
+    each task, for what comes out of a scan of texts or a large shuffle.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)

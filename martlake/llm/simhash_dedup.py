@@ -325,7 +325,7 @@ def links(fps: DataFrame, most: int = MAX_BITS, max_run: int = MAX_RUN,
         cold = keyed.join(hot, "key", "left_anti")
     found = written(
         cold.repartition("key").sortWithinPartitions("key", "fp")
-        .mapInArrow(_link_runs(most, max_run), "a long, b long"), "simhash-links")
+        .mapInArrow(_link_runs(most, max_run), "a long, b long"), "simhash-links", wide=True)
     pairs = found.filter(F.col("b").isNotNull())
     dense = found.filter(F.col("b").isNull()).select(F.col("a").alias("fp"))
     if some_hot:
