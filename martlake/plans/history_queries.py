@@ -1,4 +1,4 @@
-"""History, point-in-time, apply-changes and versioned-table queries (H1-H8,
+"""History, point-in-time, apply-changes and table-version queries (H1-H8,
 J5, J9, J10, W3-W5, O5).
 
 The change set is derived from ``events``: key = user_id, change time = ts,
