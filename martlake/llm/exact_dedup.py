@@ -215,7 +215,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     while True:
         found, salted = _resolve(leaders.select("rid", "id", "h", "nbytes", "row"), text_col,
                                  False, bucket_bytes, table_bytes)
-        found = written(found, "dedup-roots").select("rid", "root")
+        found = written(found, "dedup-roots", wide=True).select("rid", "root")
         if roots is None:
             roots = found
         else:
