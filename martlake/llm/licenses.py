@@ -1,15 +1,19 @@
 """License scans: TF-IDF cosine to templates, then directory inheritance.
 
-Headers are the lines of a text that hold a marker word; a licence file (by its
-name) is one candidate as a whole, too. Each candidate becomes a sparse vector
-of term counts times inverse document frequency (over the templates; terms
-that no template has weigh most, so other words on a line count against it).
-Its cosine to the templates comes from a join on terms with the templates'
-vectors, a fixed table of a few hundred rows that is broadcast. A file's own
-licence is its best candidate of ``LEAST`` similarity or more.
-
-Licence files (by name, or since ``FILE_SHARE`` of their words are licence
-lines) speak for their directory. A file without a licence of its own takes
+Candidates are each line, and a licence file (by its name) as a whole. Each becomes a sparse vector of term counts times inverse document
+frequency (over ``TEMPLATES``; terms that none of them has weigh most, so other
+words count against it). It counts for a template if it holds a word of
+``MARKERS``, as headers do that name a licence; templates without such a word
+(grants) are reached by ``SHARED`` of their terms as well. Texts are left out without
+loss: without a template's heaviest terms (``heaviest``) none can reach
+``LEAST``. A file's own
+licence is its best candidate of ``LEAST`` similarity or more; a copyright line
+(``RESERVED``) only if no other licence reaches it. Headers are the candidates
+taken best first (longer first, then earlier) as long as none overlaps one that
+is taken already.
+
+Licence files (by name, or since ``FILE_SHARE`` of their words are in headers)
+speak for their directory. A file without a licence of its own takes
 that of its nearest ancestor directory. Ancestors are looked up once for each
 directory, by a join of its path's prefixes with the speaking directories;
 files then join their directory, so neither a file's ancestors nor a
@@ -25,17 +29,20 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlake.llm.common import text_of, written
+from martlake.llm.common import ship, text_of, written
 
 LEAST = 0.55
 FILE_SHARE = 0.3
 MARKERS = r"(?i)licen[cs]|copyright|spdx|public domain|creative commons|cc by|cc0|warrant"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+SHARED = 5
 FILE_NAME = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([.-][^/]*)?$"
 
 #: The documents have no paths; the query gives them directories of 1024 and
@@ -77,6 +84,12 @@ TEMPLATES = [
     ("Proprietary", "Copyright. All rights reserved."),
 ]
 
+#: Templates besides ``TEMPLATES``; weighed by the same frequencies.
+FURTHER = []
+
+#: Stands over most grants and withdraws none.
+RESERVED = "Proprietary"
+
 
 def terms_of(text: str) -> list[str]:
     return re.findall(TERM, text.lower())
@@ -99,37 +112,112 @@ def _directory(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def _candidates(files: DataFrame) -> DataFrame:
-    """(rid, n, whole, body): licence lines and whole licence files."""
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(MARKERS))
-    named = F.col("path").rlike(FILE_NAME)
-    parts = F.concat(F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("body"))),
-                     F.when(named, F.array(F.struct(F.lit(True).alias("whole"), F.col("text").alias("body"))))
-                     .otherwise(F.array().cast("array<struct<whole:boolean,body:string>>")))
-    return files.select("rid", F.posexplode(parts).alias("n", "c")).select("rid", "n", "c.whole", "c.body")
+def _with_further(templates, further) -> list[tuple[str, dict[str, float], int]]:
+    """(license, unit vector, length in terms) of all templates."""
+    rows, unknown = template_vectors(templates)
+    idf = {term: i for term, i, *_ in rows}
+    out = []
+    for name, text in [*templates, *further]:
+        c = Counter(terms_of(text))
+        x = {t: n * idf.get(t, unknown) for t, n in c.items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        out.append((name, {t: v / norm for t, v in x.items()}, sum(c.values())))
+    return out
 
 
-def _similarities(candidates: DataFrame, templates) -> DataFrame:
-    """(rid, n, whole, words, license, similarity): the best template of each
-    candidate that shares a term with any."""
-    rows, unknown = template_vectors(templates)
-    spark = candidates.sparkSession
-    vectors = spark.createDataFrame(rows, "term string, idf double, template int, license string, weight double")
-    idf = vectors.select("term", "idf").distinct()
-    terms = (candidates.select("rid", "n", "whole", F.explode(
-        F.regexp_extract_all(F.lower("body"), F.lit(TERM), F.lit(0))).alias("term"))
-        .groupBy("rid", "n", "whole", "term").agg(F.count(F.lit(1)).alias("tf"))
-        .join(F.broadcast(idf), "term", "left")
-        .withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unknown))))
-    terms = written(terms.select("rid", "n", "whole", "term", "tf", "x"), "license-terms")
-    norms = terms.groupBy("rid", "n", "whole").agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"),
-                                                   F.sum("tf").alias("words"))
-    dots = (terms.join(F.broadcast(vectors.drop("idf")), "term")
-            .groupBy("rid", "n", "template", "license").agg(F.sum(F.col("x") * F.col("weight")).alias("dot")))
-    scored = dots.join(norms, ["rid", "n"]).withColumn("similarity", F.round(F.col("dot") / F.col("norm"), 6))
-    best = F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("b")
-    return (scored.groupBy("rid", "n", "whole", "words").agg(best)
-            .select("rid", "n", "whole", "words", F.col("b.license").alias("license"), (-F.col("b.s")).alias("similarity")))
+def heaviest(vector: dict[str, float], least: float) -> set[str]:
+    """Terms of a template without which nothing is as similar to it as
+    ``least``: what the other terms weigh together is less."""
+    left, out = sum(w * w for w in vector.values()), set()
+    for term in sorted(vector, key=lambda t: (-vector[t], -len(t), t)):
+        if left < max(least - 1e-5, 0) ** 2:
+            break
+        out.add(term)
+        left -= vector[term] ** 2
+    return out
+
+
+class Scanner:
+    """Headers of one text after the other."""
+
+    def __init__(self, templates, further, least: float):
+        rows, self.unknown = template_vectors(templates)
+        self.idf = {term: i for term, i, *_ in rows}
+        self.least = least
+        self.templates = _with_further(templates, further)
+        self.grants = {k for k, (_, t) in enumerate([*templates, *further]) if not re.search(MARKERS, t)}
+        self.anchors = {}
+        for k, (_, vector, _) in enumerate(self.templates):
+            for term in heaviest(vector, least):
+                self.anchors.setdefault(term, []).append(k)
+
+    def pattern(self) -> str:
+        """Matches every text, in lower case, that can hold a candidate."""
+        terms = [re.escape(t) for t, ks in sorted(self.anchors.items()) if self.grants.intersection(ks)]
+        return "|".join([MARKERS, *(f"(?<![a-z0-9])(?:{t})(?![a-z0-9])" for t in ["|".join(terms)] if terms)])
+
+    def _counts_for(self, k: int, marked: bool, terms) -> bool:
+        return marked or k in self.grants and len(self.templates[k][1].keys() & set(terms)) >= SHARED
+
+    def _best(self, terms, among) -> tuple[float, str]:
+        """(-similarity, license) of the best of the templates ``among``."""
+        x = {t: n * self.idf.get(t, self.unknown) for t, n in Counter(terms).items()}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        return min((-round(sum(v * self.templates[k][1].get(t, 0.0) for t, v in x.items()) / norm, 6), self.templates[k][0])
+                   for k in among)
+
+    def scan(self, text: str, named: bool) -> tuple | None:
+        """(license, similarity, words in headers, headers), None without any."""
+        terms, lines, every = [], [], range(len(self.templates))
+        for line in text.lower().split("\n"):
+            begin = len(terms)
+            terms += re.findall(TERM, line)
+            marked, own = bool(re.search(MARKERS, line)), terms[begin:]
+            some = [k for k in (every if marked else self.grants) if self._counts_for(k, marked, own)]
+            if own and some:
+                lines.append((begin, len(terms), some))
+        found = []
+        for begin, end, some in lines:
+            s, name = self._best(terms[begin:end], some)
+            if -s >= self.least:
+                found.append((s, begin - end, begin, end, name))
+        best = [(s, name) for s, _, _, _, name in found]
+        if named and terms:
+            s, name = self._best(terms, every)
+            if -s >= self.least:
+                best.append((s, name))
+        if not best:
+            return None
+        begins, ends, words = [], [], 0
+        for _, _, b, e, _ in sorted(found):
+            i = bisect_left(begins, b)
+            if (i == 0 or ends[i - 1] <= b) and (i == len(begins) or begins[i] >= e):
+                begins.insert(i, b)
+                ends.insert(i, e)
+                words += e - b
+        s, name = min(best, key=lambda x: (x[1] == RESERVED, x))
+        return name, -s, words, len(begins)
+
+
+def _own(files: DataFrame, scanner: Scanner) -> DataFrame:
+    """(rid, own, own_similarity, in_headers, n_headers) of the files that have
+    a licence of their own."""
+    ship(files.sparkSession)
+
+    def run(batches):
+        for batch in batches:
+            rows = []
+            for rid, named, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                r = scanner.scan(text, named)
+                if r is not None:
+                    rows.append((rid, *r))
+            if rows:
+                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
+    names = ["rid", "own", "own_similarity", "in_headers", "n_headers"]
+    types = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
+    return files.select("rid", "named", "text").mapInArrow(
+        run, "rid long, own string, own_similarity double, in_headers long, n_headers long")
 
 
 def _prefixes(directory: Column) -> Column:
@@ -140,7 +228,7 @@ def _prefixes(directory: Column) -> Column:
 
 
 def scan(files: DataFrame, id_col: str, path_col: str, text_col: str = "text", templates=TEMPLATES,
-         least: float = LEAST, file_share: float = FILE_SHARE) -> DataFrame:
+         least: float = LEAST, file_share: float = FILE_SHARE, further=FURTHER) -> DataFrame:
     """One row per row of ``files``: ``id``, ``path``, ``license`` (null if
     none), ``similarity`` (of what it rests on), ``origin`` (own, inherited or
     null), ``directory`` (the one that it inherits from) and ``n_headers``."""
@@ -149,17 +237,12 @@ def scan(files: DataFrame, id_col: str, path_col: str, text_col: str = "text", t
                         F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")).alias("path"),
                         text_of(f"`{text_col}`").alias("text"))
     named = F.col("path").rlike(FILE_NAME)
-    known = F.col("text").rlike(MARKERS) | named
+    scanner = Scanner(templates, further, least)
+    known = F.lower("text").rlike(scanner.pattern()) | named
     words = F.when(known, F.size(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).otherwise(F.lit(0))
     kept = written(base.select("rid", "id", "path", words.cast("long").alias("n_terms"), named.alias("named"),
                                F.when(known, F.col("text")).otherwise(F.lit("")).alias("text")), "license-files", wide=True)
-    found = _similarities(_candidates(kept.filter("n_terms > 0")), templates).filter(F.col("similarity") >= least)
-    own = found.groupBy("rid").agg(
-        F.min(F.struct((-F.col("similarity")).alias("s"), "license")).alias("b"),
-        F.sum(F.when(~F.col("whole"), F.col("words")).otherwise(0)).alias("in_headers"),
-        F.count_if(~F.col("whole")).alias("n_headers"))
-    own = own.select("rid", F.col("b.license").alias("own"), (-F.col("b.s")).alias("own_similarity"),
-                     "in_headers", "n_headers")
+    own = _own(kept.filter("n_terms > 0"), scanner)
     rows = written(kept.select("rid", "id", "path", "named", "n_terms").join(own, "rid", "left")
                    .withColumn("at", _directory(F.col("path"))), "license-own")
     speaks = rows.filter(F.col("own").isNotNull() & (F.col("named") | (F.col("in_headers") >= file_share * F.col("n_terms"))))

@@ -98,3 +98,47 @@ def test_every_template_names_itself():
 
 def test_empty_table(spark):
     assert L.scan(spark.createDataFrame([], "doc_id long, p string, text string"), "doc_id", "p").count() == 0
+
+
+def plain_best(body, templates):
+    rows, unknown = L.template_vectors()
+    idf = {t: i for t, i, *_ in rows}
+    v = vector(body, idf, unknown)
+    return max(((cosine(v, vector(t, idf, unknown)), n) for n, t in templates), default=(0.0, ""))
+
+
+def scanned(spark, texts):
+    df = spark.createDataFrame([(i, f"{i}/f", t) for i, t in enumerate(texts)], "doc_id long, p string, text string")
+    return [r for r in L.scan(df.repartition(3), "doc_id", "p").orderBy("id").collect()]
+
+
+def test_every_template_is_reached_alone(spark):
+    for (name, t), r in zip(L.TEMPLATES, scanned(spark, [t for _, t in L.TEMPLATES])):
+        assert (r["license"], r["similarity"], r["origin"]) == (name, pytest.approx(1), "own"), t
+
+
+def test_heaviest_terms_lose_no_candidate():
+    templates = L.TEMPLATES + L.FURTHER
+    scanner = L.Scanner(L.TEMPLATES, L.FURTHER, L.LEAST)
+    rng = random.Random(2)
+    for _ in range(3000):
+        name, t = rng.choice(templates)
+        body = " ".join(x for x in L.terms_of(t) if rng.random() < .6)
+        best = plain_best(body, templates if re.search(L.MARKERS, body) else [
+            (n, x) for n, x in templates if not re.search(L.MARKERS, x) and len(set(L.terms_of(x)) & set(L.terms_of(body))) >= L.SHARED])
+        if abs(best[0] - L.LEAST) > 1e-5:
+            assert (scanner.scan(body, False) is not None) == (best[0] > L.LEAST), body
+            assert best[0] < L.LEAST or re.search(scanner.pattern(), body)
+
+
+def test_words_without_a_marker_are_no_header(spark):
+    assert [r["license"] for r in scanned(spark, ["All rights reserved.", "er kam mit mit uns", "to be with or without it"])] == [None] * 3
+
+
+def test_grants_without_a_title_and_copyright_lines(spark):
+    bsd = ("Copyright (c) 2020, Jane Doe. All rights reserved.\n\nRedistribution and use in source and binary forms, with or"
+           " without\nmodification, are permitted provided that the following conditions are met:\n")
+    mit = ("Copyright. All rights reserved.\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+           "of this software and associated documentation files")
+    assert [r["license"] for r in scanned(spark, [bsd, mit, "Copyright (c) 2020, Jane Doe. All rights reserved."])] == [
+        "BSD-3-Clause", "MIT", "Proprietary"]
