@@ -1,12 +1,15 @@
 """License scans: TF-IDF cosine to templates, then directory inheritance.
 
-Candidates are each line, and a licence file (by its name) as a whole. Each becomes a sparse vector of term counts times inverse document
+A text is a sequence of terms. Candidates are each line, each window of a
+template's length (over line ends, so that wrapped headers are joined and
+sentences within long lines are found), and a licence file (by its name) as a
+whole. Each becomes a sparse vector of term counts times inverse document
 frequency (over ``TEMPLATES``; terms that none of them has weigh most, so other
 words count against it). It counts for a template if it holds a word of
 ``MARKERS``, as headers do that name a licence; templates without such a word
-(grants) are reached by ``SHARED`` of their terms as well. Texts are left out without
-loss: without a template's heaviest terms (``heaviest``) none can reach
-``LEAST``. A file's own
+(grants) are reached by ``SHARED`` of their terms as well. Windows are bounded
+without loss: without a template's heaviest terms (``heaviest``) none can reach
+``LEAST``, so they are taken around these. A file's own
 licence is its best candidate of ``LEAST`` similarity or more; a copyright line
 (``RESERVED``) only if no other licence reaches it. Headers are the candidates
 taken best first (longer first, then earlier) as long as none overlaps one that
@@ -84,8 +87,27 @@ TEMPLATES = [
     ("Proprietary", "Copyright. All rights reserved."),
 ]
 
-#: Templates besides ``TEMPLATES``; weighed by the same frequencies.
-FURTHER = []
+_NOTICE = ("This {} is free software{} you can redistribute it and/or modify it under the terms of the GNU {}General"
+           " Public License as published by the Free Software Foundation, either version {}")
+
+#: Versions, identifiers and grants that ``TEMPLATES`` lacks; weighed by the same frequencies.
+FURTHER = [
+    ("GPL-2.0", _NOTICE.format("program", ";", "", "2")),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-2.1", _NOTICE.format("library", ";", "Lesser ", "2.1")),
+    ("LGPL-3.0", _NOTICE.format("library", ":", "Lesser ", "3")),
+    ("LGPL-3.0", _NOTICE.format("program", ":", "Lesser ", "3")),
+    ("AGPL-3.0", _NOTICE.format("program", ":", "Affero ", "3")),
+    ("LGPL-2.1", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
+            " hereby granted"),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    *((name, f"SPDX-License-Identifier: {name}{end}") for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+      for end in ("", "-only", "-or-later") if (name, end) not in (("GPL-2.0", "-only"), ("GPL-3.0", "-only"))),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (
+        "BSD-3-Clause", "BSD-2-Clause", "MPL-2.0", "ISC", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0",
+        "Unlicense")),
+]
 
 #: Stands over most grants and withdraws none.
 RESERVED = "Proprietary"
@@ -166,12 +188,51 @@ class Scanner:
         return min((-round(sum(v * self.templates[k][1].get(t, 0.0) for t, v in x.items()) / norm, 6), self.templates[k][0])
                    for k in among)
 
+    def _windows(self, terms, k, hits):
+        """(similarity, begin, end) of the windows of template ``k``'s length
+        that hold one of the positions ``hits`` and are similar enough."""
+        _, vector, m = self.templates[k]
+        last = max(len(terms) - m, 0)
+        at, done = 0, -1
+        while at < len(hits):
+            begin, end = max(hits[at] - m + 1, done + 1, 0), min(hits[at], last)
+            while at + 1 < len(hits) and hits[at + 1] - m + 1 <= end + 1:
+                at += 1
+                end = min(hits[at], last)
+            at += 1
+            counts = Counter(terms[begin:begin + m])
+            x = {t: self.idf.get(t, self.unknown) for t in counts}
+            dot = sum(n * x[t] * vector.get(t, 0.0) for t, n in counts.items())
+            square = sum((n * x[t]) ** 2 for t, n in counts.items())
+            for i in range(begin, end + 1):
+                if i > begin:
+                    out, new = terms[i - 1], terms[i + m - 1]
+                    if out != new:
+                        w, n = self.idf.get(out, self.unknown), counts[out]
+                        dot -= w * vector.get(out, 0.0)
+                        square -= (2 * n - 1) * w * w
+                        counts[out] = n - 1
+                        if n == 1:
+                            del counts[out]
+                        w, n = self.idf.get(new, self.unknown), counts.get(new, 0)
+                        dot += w * vector.get(new, 0.0)
+                        square += (2 * n + 1) * w * w
+                        counts[new] = n + 1
+                similarity = round(dot / math.sqrt(square), 6)
+                if similarity >= self.least and self._counts_for(
+                        k, bool(re.search(MARKERS, " ".join(terms[i:i + m]))), counts):
+                    yield similarity, i, min(i + m, len(terms))
+            done = end
+
     def scan(self, text: str, named: bool) -> tuple | None:
         """(license, similarity, words in headers, headers), None without any."""
-        terms, lines, every = [], [], range(len(self.templates))
+        terms, lines, hits, every = [], [], {}, range(len(self.templates))
         for line in text.lower().split("\n"):
             begin = len(terms)
-            terms += re.findall(TERM, line)
+            for t in re.findall(TERM, line):
+                for k in self.anchors.get(t, ()):
+                    hits.setdefault(k, []).append(len(terms))
+                terms.append(t)
             marked, own = bool(re.search(MARKERS, line)), terms[begin:]
             some = [k for k in (every if marked else self.grants) if self._counts_for(k, marked, own)]
             if own and some:
@@ -181,6 +242,8 @@ class Scanner:
             s, name = self._best(terms[begin:end], some)
             if -s >= self.least:
                 found.append((s, begin - end, begin, end, name))
+        for k, own in hits.items():
+            found += [(-s, b - e, b, e, self.templates[k][0]) for s, b, e in self._windows(terms, k, own)]
         best = [(s, name) for s, _, _, _, name in found]
         if named and terms:
             s, name = self._best(terms, every)

@@ -112,9 +112,14 @@ def scanned(spark, texts):
     return [r for r in L.scan(df.repartition(3), "doc_id", "p").orderBy("id").collect()]
 
 
-def test_every_template_is_reached_alone(spark):
-    for (name, t), r in zip(L.TEMPLATES, scanned(spark, [t for _, t in L.TEMPLATES])):
+def test_every_template_is_reached_alone_and_within_a_line(spark):
+    templates = L.TEMPLATES + L.FURTHER
+    rest = "qq ww ee rr tt yy uu ii oo pp"
+    texts = [t for _, t in templates] + [f"{rest} {t} {rest}" for _, t in templates] + [
+        f"{rest}\n" + "\n".join(f"# {x}" for x in re.findall(r"\S+(?: \S+){0,3}", t)) + f"\n{rest}" for _, t in templates]
+    for (name, t), r in zip(templates * 3, scanned(spark, texts)):
         assert (r["license"], r["similarity"], r["origin"]) == (name, pytest.approx(1), "own"), t
+        assert r["n_headers"] >= 1
 
 
 def test_heaviest_terms_lose_no_candidate():
@@ -142,3 +147,15 @@ def test_grants_without_a_title_and_copyright_lines(spark):
            "of this software and associated documentation files")
     assert [r["license"] for r in scanned(spark, [bsd, mit, "Copyright (c) 2020, Jane Doe. All rights reserved."])] == [
         "BSD-3-Clause", "MIT", "Proprietary"]
+
+
+def test_wrapped_notices_and_sentences_in_paragraphs(spark):
+    gpl = (" * This program is free software; you can redistribute it and/or modify\n * it under the terms of the GNU {}General"
+           " Public License as published by\n * the Free Software Foundation; either version {} of the License, or\n"
+           " * (at your option) any later version.\n")
+    texts = [gpl.format("", 2), gpl.format("", 3), gpl.format("Lesser ", 3), gpl.format("Affero ", 3),
+             "We did this in two years of work, and it was Released under the MIT License. Thanks go to all of you.",
+             "// SPDX-License-Identifier: BSD-3-Clause", "x\nSPDX-License-Identifier: LGPL-2.1-or-later\ny"]
+    assert [r["license"] for r in scanned(spark, texts)] == [
+        "GPL-2.0", "GPL-3.0", "LGPL-3.0", "AGPL-3.0", "MIT", "BSD-3-Clause", "LGPL-2.1"]
+    assert scanned(spark, ["\n".join([T["MIT"]] * 3) + "\nother words"])[0]["n_headers"] == 3
