@@ -13,8 +13,10 @@ from martlake.streaming import events as ST
 
 
 def _stream(spark, d, marker: bool = False):
-    """The events as a stream of several files, one a micro-batch."""
-    return ST.event_stream(spark, ST.arrive_in_parts(T.events(spark, d), marker=marker), max_files_per_trigger=1)
+    """The events as a stream that arrives in several parts, one a micro-batch,
+    and what lets the further parts arrive."""
+    source, arrivals = ST.arrive_in_parts(T.events(spark, d), marker=marker)
+    return ST.event_stream(spark, source), arrivals
 
 
 def _read(spark, path):
@@ -24,8 +26,9 @@ def _read(spark, path):
 @query("stream_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_ingest(spark, d):
     """File arrival ingested to completion (availableNow)."""
-    s = _stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    return _read(spark, ST.run_to_parquet(s, "ingest"))
+    s, arrivals = _stream(spark, d)
+    s = s.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return _read(spark, ST.run_to_parquet(s, "ingest", arrivals=arrivals))
 
 
 @query("stream_tumbling", f"""
@@ -35,8 +38,8 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
 FROM events GROUP BY 1, 2, 3""")
 def stream_tumbling(spark, d):
     """Hourly tumbling windows with a 10-minute watermark."""
-    return _read(spark, ST.run_to_parquet(ST.tumbling_counts(_stream(spark, d, True)),
-                                          "tumbling"))
+    s, arrivals = _stream(spark, d, True)
+    return _read(spark, ST.run_to_parquet(ST.tumbling_counts(s), "tumbling", arrivals=arrivals))
 
 
 @query("stream_sliding", f"""
@@ -48,8 +51,8 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type,
 FROM w GROUP BY 1, 2, 3""")
 def stream_sliding(spark, d):
     """1-hour windows sliding by 30 minutes."""
-    return _read(spark, ST.run_to_parquet(ST.sliding_counts(_stream(spark, d, True)),
-                                          "sliding"))
+    s, arrivals = _stream(spark, d, True)
+    return _read(spark, ST.run_to_parquet(ST.sliding_counts(s), "sliding", arrivals=arrivals))
 
 
 @query("stream_session", f"""
@@ -63,8 +66,8 @@ SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 10 MINUTE AS sessio
 FROM s GROUP BY user_id, sid""")
 def stream_session(spark, d):
     """Per-user sessions with a 10-minute gap."""
-    return _read(spark, ST.run_to_parquet(ST.sessions(_stream(spark, d, True)),
-                                          "session"))
+    s, arrivals = _stream(spark, d, True)
+    return _read(spark, ST.run_to_parquet(ST.sessions(s), "session", arrivals=arrivals))
 
 
 @query("stream_classify", """
@@ -75,8 +78,8 @@ SELECT event_id, ts, user_id, value, CAST(json_extract_string(props, '$.k') AS D
 FROM events""")
 def stream_classify(spark, d):
     """Threshold classification on the stream."""
-    return _read(spark, ST.run_to_parquet(ST.classify(_stream(spark, d)),
-                                          "classify"))
+    s, arrivals = _stream(spark, d)
+    return _read(spark, ST.run_to_parquet(ST.classify(s), "classify", arrivals=arrivals))
 
 
 @query("stream_routing", """
@@ -84,7 +87,8 @@ SELECT event_id, ts, user_id, event_type, value, props,
        COALESCE(event_type <> 'error' AND value > 1.0, false) AS valid FROM events""")
 def stream_routing(spark, d):
     """T4 / Q6: both sides of the per-batch valid/invalid routing."""
-    s = _stream(spark, d).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    good, bad = ST.route_valid_invalid(s, (F.col("event_type") != "error") & (F.col("value") > 1.0))
+    s, arrivals = _stream(spark, d)
+    s = s.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    good, bad = ST.route_valid_invalid(s, (F.col("event_type") != "error") & (F.col("value") > 1.0), arrivals=arrivals)
     sides = [_read(spark, p).drop("batch_id").withColumn("valid", F.lit(ok)) for p, ok in ((good, True), (bad, False))]
     return sides[0].unionByName(sides[1])

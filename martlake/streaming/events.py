@@ -20,6 +20,8 @@ with very many events is one group, as sessions have it.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,22 +42,27 @@ def event_stream(spark: SparkSession, source: str, max_files_per_trigger: int |
     return r.parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def arrive_in_parts(events: DataFrame, parts: int = 4, marker: bool = True) -> str:
+def arrive_in_parts(events: DataFrame, parts: int = 4, marker: bool = True) -> tuple[str, list[Callable[[], None]]]:
     """The events as files that arrive one after the other in order of time
-    (``parts`` spans of equal length), for a stream that takes one file a
-    batch; with an end marker as the last."""
-    spark = events.sparkSession
-    folder = scratch_path(spark, "arrivals")
-    ts = F.col("ts").cast("timestamp")
-    lo, hi = events.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
-    if lo is not None:
-        span = (hi - lo) // parts + 1
-        for i in range(parts):
-            own = F.floor((F.unix_micros(ts) - F.lit(lo)) / F.lit(span)) == i
-            events.where(own).coalesce(1).write.parquet(f"{folder}/part-{i}")
+    (``parts`` spans of equal length; those without a time come first), with
+    an end marker as the last. Of the source that is returned the first part is
+    there; each further call lets the next arrive. A part has one file for each
+    task that has rows of it, and all of them belong into one micro-batch:
+    those left for the next would be late."""
+    folder = scratch_path(events.sparkSession, "arrivals")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(at), F.max(at)).first()
+    span = 1 if lo is None else (hi - lo) // parts + 1
+    part = F.coalesce(F.floor((at - F.lit(lo or 0)) / F.lit(span)), F.lit(0))
+
+    def arrival(df: DataFrame, i: int) -> Callable[[], None]:
+        return lambda: df.write.parquet(f"{folder}/part-{i}")
+
+    arrivals = [arrival(events.where(part == i), i) for i in range(1 if lo is None else parts)]
     if marker:
-        end_marker(events).coalesce(1).write.parquet(f"{folder}/part-{parts}")
-    return f"{folder}/*"
+        arrivals.append(arrival(end_marker(events).coalesce(1), parts))
+    arrivals[0]()
+    return f"{folder}/*", arrivals[1:]
 
 
 def end_marker(events: DataFrame) -> DataFrame:
@@ -74,9 +81,9 @@ def run_to_end(query) -> None:
 
 
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
-                   partition_by=None) -> str:
-    """Run a streaming frame to completion into a Parquet sink; return the
-    sink path."""
+                   partition_by=None, arrivals: Iterable[Callable[[], None]] = ()) -> str:
+    """Run a streaming frame to completion into a Parquet sink, and again from
+    its checkpoint after each of ``arrivals``; return the sink path."""
     spark = df.sparkSession
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     w = (df.writeStream.format("parquet").option("path", out)
@@ -85,6 +92,9 @@ def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
     if partition_by:
         w = w.partitionBy(*partition_by)
     run_to_end(w.start())
+    for arrive in arrivals:
+        arrive()
+        run_to_end(w.start())
     return out
 
 
@@ -130,9 +140,11 @@ def classify(events: DataFrame, hot: float = 300.0) -> DataFrame:
                          .alias("condition"))
 
 
-def route_valid_invalid(events: DataFrame, valid: Column, name: str = "routing") -> tuple[str, str]:
+def route_valid_invalid(events: DataFrame, valid: Column, name: str = "routing",
+                        arrivals: Iterable[Callable[[], None]] = ()) -> tuple[str, str]:
     """T4 / Q6: each micro-batch split into a valid and an invalid sink
-    (``foreachBatch``; both writes are idempotent per batch id)."""
+    (``foreachBatch``; both writes are idempotent per batch id); run again
+    after each of ``arrivals``."""
     spark = events.sparkSession
     ok_path, bad_path = scratch_path(spark, f"{name}-valid"), scratch_path(spark, f"{name}-invalid")
     ckpt = scratch_path(spark, f"{name}-ckpt")
@@ -149,6 +161,9 @@ def route_valid_invalid(events: DataFrame, valid: Column, name: str = "routing")
         finally:
             b.unpersist()
 
-    run_to_end(events.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
-               .trigger(availableNow=True).start())
+    w = events.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).trigger(availableNow=True)
+    run_to_end(w.start())
+    for arrive in arrivals:
+        arrive()
+        run_to_end(w.start())
     return ok_path, bad_path

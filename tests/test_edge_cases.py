@@ -364,6 +364,24 @@ def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
     assert res.get("2024-01-01 10:00:00") == 1          # the late row was not counted
 
 
+def test_arrivals_keep_null_times_and_files_of_all_tasks(spark):
+    from martlake.streaming import events as ST
+    df = spark.range(400).select(
+        F.col("id").alias("event_id"), F.expr("CASE WHEN id % 10 > 0 THEN timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, id) END").alias("ts"),
+        F.lit(1).cast("bigint").alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"),
+        F.lit("{}").alias("props")).repartition(3)
+    for events, n in ((df, 400), (df.where("ts IS NULL"), 40), (df.limit(0), 0)):
+        source, arrivals = ST.arrive_in_parts(events, marker=False)
+        assert len(spark.read.parquet(source).inputFiles()) == (3 if n else 1)
+        out = ST.run_to_parquet(ST.event_stream(spark, source), "arrivals-test", arrivals=arrivals)
+        got = spark.read.schema(ST.EVENTS_SCHEMA).parquet(out)
+        assert (got.count(), got.where("ts IS NULL").count()) == (n, n // 10 if n == 400 else n)
+    source, arrivals = ST.arrive_in_parts(df)
+    counts = ST.tumbling_counts(ST.event_stream(spark, source), "1 minute")
+    out = ST.run_to_parquet(counts, "arrivals-test", arrivals=arrivals)
+    assert spark.read.parquet(out).agg(F.sum("n_events")).first()[0] == 360
+
+
 # ---- sources / sinks -----------------------------------------------------------
 
 def test_extract_csv_missing_and_malformed(spark, tmp_path):
