@@ -113,3 +113,30 @@ def test_successors_over_many_ranges(spark):
         spark.createDataFrame([(i,) for i in ids], "k long").repartition(5))).collect()}
     order = sorted(ids)
     assert got == dict(zip(order, order[1:] + order[:1]))
+
+
+def test_short_one_line_texts_are_near_their_edits(spark):
+    rng = random.Random(5)
+    def word():
+        return "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
+    lines = []
+    for n in range(100, 501, 10):
+        line = ""
+        while len(line) < n:
+            line += word() + rng.choice([" ", " ", " ", ", ", ". "])
+        lines.append(line[:n])
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    for r in M.edited_fingerprints(df).collect():
+        assert r["fine_edited"] > .25 and r["fine_next"] < .15
+    # An insertion early in a long line moves the cuts near it only.
+    text = " ".join(word() for _ in range(300))
+    two = spark.createDataFrame([(text, "x" + text)], "a string, b string").select(
+        M._fine_leaves(F.col("a")).alias("a_fine"), M._fine_leaves(F.col("b")).alias("b_fine"),
+        F.lit("1|").alias("a"), F.lit("2|").alias("b"))
+    assert two.select(M.likeness("a", "b", "fine").alias("x")).first()["x"] > .9
+
+
+def test_fine_leaves_cover_the_text(spark):
+    df = spark.createDataFrame([(t or "",) for t in texts(random.Random(6), 20)], "t string")
+    for r in df.select(F.char_length("t").alias("n"), M._length(M._fine_leaves(F.col("t"))).alias("m")).collect():
+        assert r["n"] == r["m"]
