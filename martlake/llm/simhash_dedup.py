@@ -406,17 +406,24 @@ def components(pairs: DataFrame) -> DataFrame:
     return roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    words: int = SHINGLE_WORDS, most: int = MAX_BITS, max_run: int = MAX_RUN,
-                    hot_in_task: int = HOT_IN_TASK) -> DataFrame:
-    """One row per row of ``docs``: ``id``, ``content``, ``fp`` and
-    ``component_id``, the smallest id that links reach."""
+def _rooted(docs: DataFrame, id_col: str, text_col: str, words: int, most: int, max_run: int = MAX_RUN,
+            hot_in_task: int = HOT_IN_TASK) -> tuple[DataFrame, DataFrame]:
+    """The signed rows (id, content, fp), and (fp, least, root): the component
+    of every fingerprint and its smallest id."""
     signed = written(fingerprints(docs, id_col, text_col, words), "simhash-fp", wide=True)
     fps = written(signed.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     nodes = components(links(fps, most, max_run, hot_in_task))
     rooted = (fps.join(nodes, fps["fp"] == nodes["node"], "left")
               .select("fp", "least", F.coalesce("root", "fp").alias("root")))
-    rooted = written(rooted, "simhash-roots")
+    return signed, written(rooted, "simhash-roots")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    words: int = SHINGLE_WORDS, most: int = MAX_BITS, max_run: int = MAX_RUN,
+                    hot_in_task: int = HOT_IN_TASK) -> DataFrame:
+    """One row per row of ``docs``: ``id``, ``content``, ``fp`` and
+    ``component_id``, the smallest id that links reach."""
+    signed, rooted = _rooted(docs, id_col, text_col, words, most, max_run, hot_in_task)
     named = (rooted.groupBy("root").agg(F.min("least").alias("component_id"))
              .join(rooted.select("root", "fp"), "root").select("fp", "component_id"))
     return signed.join(named, "fp").select("id", "content", "fp", "component_id")
@@ -424,11 +431,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          words: int = SHINGLE_WORDS, most: int = MAX_BITS) -> DataFrame:
-    """``docs`` with one row of each component, the one with the smallest id.
-    Ids are expected to be distinct; of rows that repeat id and text one stays."""
-    found = near_duplicates(docs, id_col, text_col, words, most)
-    kept = (found.filter(F.col("id").eqNullSafe(F.col("component_id")))
-            .groupBy("id", "content").agg(F.count(F.lit(1)).alias("n")))
+    """``docs`` with one row of each component, the one with the smallest id
+    (nulls last), of its rows one with the smallest content hash."""
+    signed, rooted = _rooted(docs, id_col, text_col, words, most)
+    kept = (signed.join(rooted.select("fp", "root"), "fp").groupBy("root", "id", "content").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "content", "n")).alias("b"))
+            .select("b.id", "b.content", "b.n"))
     kept = written(kept, "simhash-kept")
     rows = (docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
             .withColumn("rid", F.col(f"row.`{id_col}`").cast("long"))

@@ -126,3 +126,17 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.near_duplicates(df).count() == 0
     assert S.drop_near_duplicates(df).count() == 0
+
+
+def test_one_row_of_a_component_with_repeated_and_null_ids(spark):
+    rng = random.Random(7)
+    words = [[f"w{rng.randrange(10 ** 6)}" for _ in range(400)] for _ in range(3)]
+    near = [[" ".join(w), " ".join(w[:-1] + ["other"]), " ".join(w[:-1] + ["another"])] for w in words]
+    fps = [[brute_fp(t) for t in ts] for ts in near]
+    for f in fps:
+        assert len(set(brute_roots(f))) == 1
+    rows = ([(1, t) for t in near[0]] + [(None, t) for t in near[1]] + [(None, near[2][0]), (7, near[2][1]), (7, near[2][1])])
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = [(r["doc_id"], r["text"]) for r in S.drop_near_duplicates(df).collect()]
+    signed = lambda t: xxhash.xxh64_intdigest(t.encode(), 42) - ((xxhash.xxh64_intdigest(t.encode(), 42) >> 63) << 64)
+    assert sorted(kept, key=repr) == sorted([(1, min(near[0], key=signed)), (None, min(near[1], key=signed)), (7, near[2][1])], key=repr)
