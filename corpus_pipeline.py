@@ -52,7 +52,8 @@ STAGES = [
 ]
 
 #: The classifier's fit, the fingerprints and the token ids are beyond SQL;
-#: tests/llm/test_pipeline.py holds each stage against a brute-force version.
+#: tests/llm/test_pipeline.py holds the dedup stages against brute force, the
+#: other stages against their operators' results, offsets and totals.
 ORACLE_SQL = None
 
 
