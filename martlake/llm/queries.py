@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import (
-    chat_template, common, exact_dedup, fingerprints, licenses, mixing, packing, quality_classifier, secrets, simhash_dedup,
-    token_counts,
+    bpe_codec, chat_template, common, exact_dedup, fill_middle, fingerprints, licenses, mixing, packing, quality_classifier,
+    secrets, simhash_dedup, token_counts, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -246,3 +246,52 @@ def op5_license_scan(spark, sf_dir):
     docs = common.read_table(spark, sf_dir, "documents")
     files = docs.select("doc_id", "text", F.expr(licenses.DOC_PATH).alias("path"))
     return licenses.scan(files, "doc_id", "path").withColumnRenamed("id", "doc_id")
+
+
+@query("op11_bpe_codec")
+def op11_bpe_codec(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    path = common.tokenizer_path(bpe_codec.VOCABULARY)
+    encoded = bpe_codec.encode(docs, path).select(
+        F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"), "ids")
+    return bpe_codec.decode(encoded, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("text", 256).alias("decoded_sha256"))
+
+
+@query("op12_fill_in_middle", r"""
+WITH u AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+c AS (
+  SELECT *, len(units) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(units) + 1) AS a,
+         ('0x' || substr(h, 9, 8))::BIGINT % (len(units) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM u),
+p AS (
+  SELECT doc_id, text, n, form, array_to_string(units[1:least(a, b)], '') AS prefix,
+         array_to_string(units[least(a, b) + 1:greatest(a, b)], '') AS middle,
+         array_to_string(units[greatest(a, b) + 1:n], '') AS suffix FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text
+                        WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p""")
+def op12_fill_in_middle(spark, sf_dir):
+    docs = common.read_table(spark, sf_dir, "documents")
+    return fill_middle.restored_texts(fill_middle.fill_in_middle(docs)).select(
+        F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark, sf_dir):
+    """``deviation`` is null where it is beyond a long."""
+    vectors = common.read_table(spark, sf_dir, "embeddings")
+    return whitening.whiten(vectors).select(
+        F.col("id").alias("vec_id"), "component", "n", F.expr("try_cast(deviation AS BIGINT)").alias("deviation"),
+        "whitened", "explained", "identity_error")

@@ -9,11 +9,12 @@ import sentencepiece
 from tokenizers import Tokenizer
 
 import __spark_entry__ as E
-from martlake.llm import common, packing, token_counts
+from martlake.llm import bpe_codec, common, packing, token_counts
 from martlake.llm.queries import ORACLE, QUERIES
 from martlake.session import configure
 from tests.conftest import SF_SMALL
 from tests.llm.test_simhash_dedup import brute_fp, brute_roots
+from tests.llm.test_whitening import check
 from tools.check_oracle import compare, duck
 
 
@@ -33,7 +34,7 @@ def rows(spark, name):
 
 
 def test_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in E.queries()) == 1
     assert "pipeline" in E.queries() and set(ORACLE) <= set(E.oracle_sql())
 
@@ -99,3 +100,18 @@ def test_simhash_query(spark, documents):
     roots = brute_roots(fps)
     for k, (i, _) in enumerate(documents):
         assert got[i] == (f"{fps[k]:016x}", documents[roots[k]][0])
+
+
+def test_codec_query(spark, documents):
+    lib = Tokenizer.from_file(common.tokenizer_path(bpe_codec.VOCABULARY))
+    got = {r["doc_id"]: tuple(r)[1:] for r in rows(spark, "op11_bpe_codec")}
+    assert len(got) == len(documents)
+    for i, t in documents:
+        ids = lib.encode(t, add_special_tokens=False).ids
+        assert got[i] == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+                          hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+
+
+def test_whitening_query(spark, con):
+    vectors = dict(con.execute("SELECT vec_id, embedding FROM embeddings").fetchall())
+    check(rows(spark, "op13_embedding_whitening"), vectors, 16)
