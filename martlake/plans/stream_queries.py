@@ -1,22 +1,20 @@
-"""Streaming queries over ``events``, which arrives as several files and is
-taken in several micro-batches, each checked against its plain batch query in
-SQL (T1-T5)."""
+"""Streaming queries over the files of ``events``, each checked against its
+plain batch query in SQL (T1-T5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from martlake.plans.registry import query
+from martlake.session import scratch_path
 from martlake.sources import tables as T
 from martlake.streaming import events as ST
 
 
-
-def _stream(spark, d, marker: bool = False):
-    """The events as a stream that arrives in several parts, one a micro-batch,
-    and what lets the further parts arrive."""
-    source, arrivals = ST.arrive_in_parts(T.events(spark, d), marker=marker)
-    return ST.event_stream(spark, source), arrivals
+def _source(d) -> str:
+    """The given table as a stream's source: a pattern, which may match a file
+    or a folder (a plain path must be a folder)."""
+    return f"{d.rstrip('/')}/events.parque[t]"
 
 
 def _read(spark, path):
@@ -26,9 +24,8 @@ def _read(spark, path):
 @query("stream_ingest", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_ingest(spark, d):
     """File arrival ingested to completion (availableNow)."""
-    s, arrivals = _stream(spark, d)
-    s = s.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    return _read(spark, ST.run_to_parquet(s, "ingest", arrivals=arrivals))
+    s = ST.event_stream(spark, _source(d)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return _read(spark, ST.run_to_parquet(s, "ingest"))
 
 
 @query("stream_tumbling", f"""
@@ -38,8 +35,7 @@ SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start,
 FROM events GROUP BY 1, 2, 3""")
 def stream_tumbling(spark, d):
     """Hourly tumbling windows with a 10-minute watermark."""
-    s, arrivals = _stream(spark, d, True)
-    return _read(spark, ST.run_to_parquet(ST.tumbling_counts(s), "tumbling", arrivals=arrivals))
+    return _read(spark, ST.run_to_parquet(ST.tumbling_counts(ST.closed_stream(spark, _source(d))), "tumbling"))
 
 
 @query("stream_sliding", f"""
@@ -51,8 +47,7 @@ SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, event_type,
 FROM w GROUP BY 1, 2, 3""")
 def stream_sliding(spark, d):
     """1-hour windows sliding by 30 minutes."""
-    s, arrivals = _stream(spark, d, True)
-    return _read(spark, ST.run_to_parquet(ST.sliding_counts(s), "sliding", arrivals=arrivals))
+    return _read(spark, ST.run_to_parquet(ST.sliding_counts(ST.closed_stream(spark, _source(d))), "sliding"))
 
 
 @query("stream_session", f"""
@@ -66,8 +61,7 @@ SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 10 MINUTE AS sessio
 FROM s GROUP BY user_id, sid""")
 def stream_session(spark, d):
     """Per-user sessions with a 10-minute gap."""
-    s, arrivals = _stream(spark, d, True)
-    return _read(spark, ST.run_to_parquet(ST.sessions(s), "session", arrivals=arrivals))
+    return _read(spark, ST.run_to_parquet(ST.sessions(ST.closed_stream(spark, _source(d))), "session"))
 
 
 @query("stream_classify", """
@@ -78,8 +72,7 @@ SELECT event_id, ts, user_id, value, CAST(json_extract_string(props, '$.k') AS D
 FROM events""")
 def stream_classify(spark, d):
     """Threshold classification on the stream."""
-    s, arrivals = _stream(spark, d)
-    return _read(spark, ST.run_to_parquet(ST.classify(s), "classify", arrivals=arrivals))
+    return _read(spark, ST.run_to_parquet(ST.classify(ST.event_stream(spark, _source(d))), "classify"))
 
 
 @query("stream_routing", """
@@ -87,8 +80,53 @@ SELECT event_id, ts, user_id, event_type, value, props,
        COALESCE(event_type <> 'error' AND value > 1.0, false) AS valid FROM events""")
 def stream_routing(spark, d):
     """T4 / Q6: both sides of the per-batch valid/invalid routing."""
-    s, arrivals = _stream(spark, d)
-    s = s.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    good, bad = ST.route_valid_invalid(s, (F.col("event_type") != "error") & (F.col("value") > 1.0), arrivals=arrivals)
+    s = ST.event_stream(spark, _source(d)).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    good, bad = ST.route_valid_invalid(s, (F.col("event_type") != "error") & (F.col("value") > 1.0))
     sides = [_read(spark, p).drop("batch_id").withColumn("valid", F.lit(ok)) for p, ok in ((good, True), (bad, False))]
     return sides[0].unionByName(sides[1])
+
+
+def _in_two_halves(spark, d):
+    """The events as two files for each task: those of even ids and, arriving
+    after them, those of odd ids, which are late but for the last windows."""
+    folder = scratch_path(spark, "halves")
+    e = T.events(spark, d)
+    e.where("event_id % 2 = 0").write.parquet(f"{folder}/even")
+    return f"{folder}/*", lambda: e.where("event_id % 2 <> 0").write.parquet(f"{folder}/odd")
+
+
+LATE_SQL = """
+e AS (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS w FROM events),
+m AS (SELECT MAX(ts) AS latest FROM events WHERE event_id % 2 = 0),
+f AS (SELECT e.*, event_id % 2 <> 0 AND w + INTERVAL 1 HOUR + INTERVAL 10 MINUTE <= latest AS late FROM e, m)"""
+
+
+@query("stream_in_time", f"""
+WITH {LATE_SQL}
+SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, event_type, COUNT(*) AS n_events,
+       CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+FROM f WHERE NOT late GROUP BY w, event_type""")
+def stream_in_time(spark, d):
+    """Windows of the events in time, where half of them arrive later."""
+    source, arrive = _in_two_halves(spark, d)
+    return ST.windows_with_late_rows(spark, source, arrivals=[arrive])[0]
+
+
+@query("stream_late_rows", f"""
+WITH {LATE_SQL}
+SELECT event_id, ts, user_id, event_type, value, props FROM f WHERE late""")
+def stream_late_rows(spark, d):
+    """The late ones of the same events, as a dead letter."""
+    source, arrive = _in_two_halves(spark, d)
+    return ST.windows_with_late_rows(spark, source, arrivals=[arrive])[1]
+
+
+@query("stream_distinct", "SELECT DISTINCT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_distinct(spark, d):
+    """Files that are delivered twice change nothing."""
+    folder = scratch_path(spark, "twice")
+    e = T.events(spark, d)
+    for name in ("first", "again"):
+        e.write.parquet(f"{folder}/{name}")
+    s = ST.distinct_events(ST.event_stream(spark, f"{folder}/*"))
+    return _read(spark, ST.run_to_parquet(s.withColumn("ts", F.col("ts").cast("timestamp_ntz")), "distinct"))

@@ -11,8 +11,10 @@ Windowed aggregates run in append mode: a window is written once, when the
 watermark (max event time seen minus the allowed lateness) has passed its
 end; rows later than the watermark are dropped by Spark. A stream that ends
 (a backfill, a test) closes its last windows by an end marker, one event a day
-behind the last (:func:`end_marker`), whose own window never closes; so every
+behind the last (:func:`closed_stream`), whose own window never closes; so every
 event is in the result and the batch twin of each stream is the plain query.
+Rows behind the watermark need not be lost: :func:`windows_with_late_rows` puts
+them into a sink of their own.
 
 A session holds one user's events until their gap; in the state store a user
 with very many events is one group, as sessions have it.
@@ -35,34 +37,21 @@ WATERMARK = "10 minutes"
 
 
 def event_stream(spark: SparkSession, source: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """File source over ``source`` (a directory or glob of Parquet files)."""
+    """File source over ``source`` (a file, directory or glob of Parquet
+    files). Without ``max_files_per_trigger`` all files that are there are one
+    micro-batch, so that none of their rows is late."""
     r = spark.readStream.schema(EVENTS_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(source).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-def arrive_in_parts(events: DataFrame, parts: int = 4, marker: bool = True) -> tuple[str, list[Callable[[], None]]]:
-    """The events as files that arrive one after the other in order of time
-    (``parts`` spans of equal length; those without a time come first), with
-    an end marker as the last. Of the source that is returned the first part is
-    there; each further call lets the next arrive. A part has one file for each
-    task that has rows of it, and all of them belong into one micro-batch:
-    those left for the next would be late."""
-    folder = scratch_path(events.sparkSession, "arrivals")
-    at = F.unix_micros(F.col("ts").cast("timestamp"))
-    lo, hi = events.agg(F.min(at), F.max(at)).first()
-    span = 1 if lo is None else (hi - lo) // parts + 1
-    part = F.coalesce(F.floor((at - F.lit(lo or 0)) / F.lit(span)), F.lit(0))
-
-    def arrival(df: DataFrame, i: int) -> Callable[[], None]:
-        return lambda: df.write.parquet(f"{folder}/part-{i}")
-
-    arrivals = [arrival(events.where(part == i), i) for i in range(1 if lo is None else parts)]
-    if marker:
-        arrivals.append(arrival(end_marker(events).coalesce(1), parts))
-    arrivals[0]()
-    return f"{folder}/*", arrivals[1:]
+def closed_stream(spark: SparkSession, source: str) -> DataFrame:
+    """The events of ``source`` and their end marker as one stream: the
+    watermark that closes the last windows moves once all of them are in."""
+    marker = scratch_path(spark, "end-marker")
+    end_marker(spark.read.schema(EVENTS_SCHEMA).parquet(source)).write.parquet(marker)
+    return event_stream(spark, source).unionByName(event_stream(spark, marker))
 
 
 def end_marker(events: DataFrame) -> DataFrame:
@@ -83,7 +72,8 @@ def run_to_end(query) -> None:
 def run_to_parquet(df: DataFrame, name: str, output_mode: str = "append",
                    partition_by=None, arrivals: Iterable[Callable[[], None]] = ()) -> str:
     """Run a streaming frame to completion into a Parquet sink, and again from
-    its checkpoint after each of ``arrivals``; return the sink path."""
+    its checkpoint after each of ``arrivals`` (calls that add files to the
+    source); return the sink path."""
     spark = df.sparkSession
     out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
     w = (df.writeStream.format("parquet").option("path", out)
@@ -167,3 +157,63 @@ def route_valid_invalid(events: DataFrame, valid: Column, name: str = "routing",
         arrive()
         run_to_end(w.start())
     return ok_path, bad_path
+
+
+def windows_with_late_rows(spark: SparkSession, source: str, size_minutes: int = 60, lateness_minutes: int = 10,
+                           arrivals: Iterable[Callable[[], None]] = ()) -> tuple[DataFrame, DataFrame]:
+    """T2 with a dead letter: (counts by window and type, late rows).
+
+    A row is late when its window had ended ``lateness_minutes`` or more before
+    the latest event of the micro-batches before. Each micro-batch splits its
+    rows by that watermark, read from the parts that the batches before have
+    left: rows in time are added up by window and type, late rows are kept as
+    they are. A part holds sums, so the windows of all parts are one more
+    aggregate, and a batch that is run again rewrites its own part. Rows without
+    a time belong to no window and are late ones too. Counts and late rows
+    together are the input, which no drop inside an operator allows.
+    """
+    root = scratch_path(spark, "late-split")
+    ckpt = scratch_path(spark, "late-split-ckpt")
+    parts = "window_start timestamp, window_end timestamp, event_type string, n_events bigint, _v decimal(28,6)"
+    seen = "batch_id bigint, latest timestamp"
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        before = 0
+        if batch_id:
+            before = s.read.schema(seen).parquet(f"{root}/seen").where(F.col("batch_id") < batch_id).agg(
+                F.max(F.unix_micros("latest"))).first()[0]
+        width = size_minutes * 60_000_000
+        start = F.unix_micros("ts") - F.pmod(F.unix_micros("ts"), F.lit(width))
+        closed = start + F.lit(width + lateness_minutes * 60_000_000) <= F.lit(before or 0)
+        b = (batch.withColumn("window_start", F.timestamp_micros(start)).withColumn("window_end", F.timestamp_micros(start + width))
+             .withColumn("_late", F.coalesce(closed, F.lit(True))).persist())
+        try:
+            (b.where(~F.col("_late")).groupBy("window_start", "window_end", "event_type")
+             .agg(F.count(F.lit(1)).alias("n_events"), money_sum("value").alias("_v"))
+             .write.mode("overwrite").parquet(f"{root}/windows/batch_id={batch_id}"))
+            (b.where("_late").drop("_late", "window_start", "window_end").write.mode("overwrite").parquet(f"{root}/late/batch_id={batch_id}"))
+            (b.agg(F.max("ts").alias("latest")).select(F.lit(batch_id).cast("bigint").alias("batch_id"), "latest")
+             .write.mode("overwrite").parquet(f"{root}/seen/part={batch_id}"))
+        finally:
+            b.unpersist()
+
+    w = (event_stream(spark, source).writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True))
+    run_to_end(w.start())
+    for arrive in arrivals:
+        arrive()
+        run_to_end(w.start())
+    windows = spark.read.schema(parts).parquet(f"{root}/windows/*").groupBy("window_start", "window_end", "event_type").agg(
+        F.sum("n_events").alias("n_events"), F.sum("_v").alias("_v"))
+    late = spark.read.schema(EVENTS_SCHEMA.replace("ts timestamp_ntz", "ts timestamp")).parquet(f"{root}/late/*")
+    return (windows.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                           F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n_events",
+                           to_double("_v").alias("total_value")),
+            late.withColumn("ts", F.col("ts").cast("timestamp_ntz")))
+
+
+def distinct_events(events: DataFrame, lateness: str = "1 hour", key: str = "event_id") -> DataFrame:
+    """Each event once, however often its file is delivered again
+    within ``lateness``; the state holds the keys of that time alone."""
+    return events.withWatermark("ts", lateness).dropDuplicatesWithinWatermark([key])

@@ -348,7 +348,7 @@ def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
     late = [(3, "2024-01-01 10:10:00", 1, "view", 5.0, "{}")]   # 2h late after the watermark moved
     mk = lambda rows: spark.createDataFrame(rows, "event_id long, ts string, user_id long, event_type string, value double, props string") \
         .withColumn("ts", F.to_timestamp_ntz("ts")).select(*[c.split()[0] for c in schema.split(", ")])
-    mk(first).write.parquet(str(src / "a"))
+    mk(first).coalesce(1).write.parquet(str(src / "a"))   # one file is one micro-batch
     stream = ST.event_stream(spark, str(src / "*"), max_files_per_trigger=1)
     agg = ST.tumbling_counts(stream)
     from martlake.session import scratch_path
@@ -356,7 +356,7 @@ def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
     q = agg.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
         .outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
-    mk(late).write.parquet(str(src / "b"))
+    mk(late).coalesce(1).write.parquet(str(src / "b"))
     q = agg.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck) \
         .outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
@@ -364,22 +364,56 @@ def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
     assert res.get("2024-01-01 10:00:00") == 1          # the late row was not counted
 
 
-def test_arrivals_keep_null_times_and_files_of_all_tasks(spark):
+def _event_rows(spark, rows):
+    """(event_id, ts or None, value) as events."""
+    return spark.createDataFrame([(i, t, 1, "view", v, "{}") for i, t, v in rows],
+                                 "event_id long, ts string, user_id long, event_type string, value double, props string") \
+        .withColumn("ts", F.to_timestamp_ntz("ts"))
+
+
+def test_files_that_arrive_one_after_the_other(spark, tmp_path):
+    """Each arrival is one micro-batch; rows without a time pass through."""
+    from martlake.streaming import events as ST
+    rows = [(i, None if i % 10 == 0 else f"2024-01-01 0{i // 100}:{i % 60:02d}:00", 1.0) for i in range(400)]
+    df = _event_rows(spark, rows).repartition(3)
+
+    def part(i):
+        return lambda: df.where((F.col("event_id") / 100).cast("int") == i).write.parquet(str(tmp_path / f"part-{i}"))
+    part(0)()
+    out = ST.run_to_parquet(ST.event_stream(spark, str(tmp_path / "*")), "arrivals-test", arrivals=[part(i) for i in (1, 2, 3)])
+    got = spark.read.schema(ST.EVENTS_SCHEMA).parquet(out)
+    assert (got.count(), got.where("ts IS NULL").count()) == (400, 40)
+    closed = ST.closed_stream(spark, str(tmp_path / "*"))
+    counts = spark.read.parquet(ST.run_to_parquet(ST.tumbling_counts(closed, "1 minute"), "closed-test"))
+    assert counts.agg(F.sum("n_events")).first()[0] == 360
+    none = str(tmp_path / "none")
+    df.limit(0).write.parquet(none)
+    empty = ST.run_to_parquet(ST.tumbling_counts(ST.closed_stream(spark, none)), "empty-test")
+    assert spark.read.schema("window_start timestamp_ntz").parquet(empty).count() == 0
+
+
+def test_late_rows_are_kept_beside_the_windows(spark, tmp_path):
+    from martlake.streaming import events as ST
+    first = [(1, "2024-01-01 10:05:00", 1.0), (2, "2024-01-01 12:09:00", 1.0)]
+    second = [(3, "2024-01-01 10:10:00", 5.0), (4, "2024-01-01 11:59:00", 5.0), (5, "2024-01-01 13:30:00", 5.0), (6, None, 1.0)]
+    third = [(7, "2024-01-01 12:01:00", 7.0), (8, "2024-01-01 13:31:00", 7.0)]
+    arrive = [lambda r=r, n=n: _event_rows(spark, r).repartition(2).write.parquet(str(tmp_path / n))
+              for n, r in (("b", second), ("c", third))]
+    _event_rows(spark, first).write.parquet(str(tmp_path / "a"))
+    windows, late = ST.windows_with_late_rows(spark, str(tmp_path / "*"), arrivals=arrive)
+    assert {(r.window_start.hour, r.n_events, r.total_value) for r in windows.collect()} == {
+        (10, 1, 1.0), (11, 1, 5.0), (12, 1, 1.0), (13, 2, 12.0)}
+    assert sorted(r.event_id for r in late.collect()) == [3, 6, 7]
+
+
+def test_events_delivered_again_count_once(spark, tmp_path):
     from martlake.streaming import events as ST
-    df = spark.range(400).select(
-        F.col("id").alias("event_id"), F.expr("CASE WHEN id % 10 > 0 THEN timestamp_ntz'2024-01-01' + make_interval(0, 0, 0, 0, 0, id) END").alias("ts"),
-        F.lit(1).cast("bigint").alias("user_id"), F.lit("view").alias("event_type"), F.lit(1.0).alias("value"),
-        F.lit("{}").alias("props")).repartition(3)
-    for events, n in ((df, 400), (df.where("ts IS NULL"), 40), (df.limit(0), 0)):
-        source, arrivals = ST.arrive_in_parts(events, marker=False)
-        assert len(spark.read.parquet(source).inputFiles()) == (3 if n else 1)
-        out = ST.run_to_parquet(ST.event_stream(spark, source), "arrivals-test", arrivals=arrivals)
-        got = spark.read.schema(ST.EVENTS_SCHEMA).parquet(out)
-        assert (got.count(), got.where("ts IS NULL").count()) == (n, n // 10 if n == 400 else n)
-    source, arrivals = ST.arrive_in_parts(df)
-    counts = ST.tumbling_counts(ST.event_stream(spark, source), "1 minute")
-    out = ST.run_to_parquet(counts, "arrivals-test", arrivals=arrivals)
-    assert spark.read.parquet(out).agg(F.sum("n_events")).first()[0] == 360
+    df = _event_rows(spark, [(i, f"2024-01-01 10:{i:02d}:00", 1.0) for i in range(40)])
+    again = lambda n: (lambda: df.repartition(2).write.parquet(str(tmp_path / n)))
+    again("a")()
+    stream = ST.distinct_events(ST.event_stream(spark, str(tmp_path / "*")))
+    out = ST.run_to_parquet(stream, "distinct-test", arrivals=[again("b"), again("c")])
+    assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == list(range(40))
 
 
 # ---- sources / sinks -----------------------------------------------------------
