@@ -20,8 +20,11 @@ at the same time (two updates inside one transaction give a zero-length row).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlake.operators.sequence import DEFAULT_BUCKET_ROWS, has_hot_key, hot_key_buckets, ordered_scan
 
@@ -38,13 +41,23 @@ def build_history(changes: DataFrame, key: str, ts: str, seq: str, op: str, payl
     (:mod:`martlake.operators.sequence`); the results are equal.
     """
     payload = list(payload)
-    c = changes.select(key, ts, seq, op, *payload)
-    live = F.col(op) != "D"
+    return _scanned(changes.select(key, ts, seq, op, *payload), key, ts, seq, op, payload, max_bucket_rows)
+
+
+def _scanned(c: DataFrame, key: str, ts: str, seq: str, op: str, payload: list[str], max_bucket_rows: int,
+             seed: str | None = None) -> DataFrame:
+    """History of the changes ``c``. A row with a ``seed`` stands for all rows
+    of its key up to it, of which the seed is the version."""
+    live, own, opens = (F.col(op) != "D").cast("int"), F.col(op) != "D", F.col(op) == "I"
+    if seed is not None:
+        is_seed = F.col(seed).isNotNull()
+        live = F.coalesce(F.col(seed), live)
+        own, opens = F.when(is_seed, F.col(seed) > 0).otherwise(own), opens & ~is_seed
     # What a delete closes: the latest row before it that is no delete.
-    closed = F.when(live, F.struct(ts, seq, *payload))
-    base_src = F.when(F.col(op) == "I", F.col("_live_cum") - 1).otherwise(F.lit(0))
+    closed = F.when(own, F.struct(ts, seq, *payload))
+    base_src = F.when(opens, F.col("_live_cum") - 1).otherwise(F.lit(0))
     if has_hot_key(c, key, max_bucket_rows):
-        c = hot_key_buckets(c.withColumn("_live", live.cast("int")), key, ts, max_bucket_rows)
+        c = hot_key_buckets(c.withColumn("_live", live), key, ts, max_bucket_rows)
         c = ordered_scan(c, key, [ts, seq], None, sums={"_live_cum": F.col("_live")},
                          maxes={"_closed": closed}, leads={"_next_ts": F.col(ts)}, keep_bucket=True)
         # The live count just before the latest insert needs the running one.
@@ -52,7 +65,7 @@ def build_history(changes: DataFrame, key: str, ts: str, seq: str, op: str, payl
     else:
         w = Window.partitionBy(key).orderBy(ts, seq)
         run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        c = (c.withColumn("_live_cum", F.sum(live.cast("int")).over(run))
+        c = (c.withColumn("_live_cum", F.sum(live).over(run))
              .withColumn("_closed", F.last(closed, ignorenulls=True).over(run))
              .withColumn("_next_ts", F.lead(ts).over(w))
              .withColumn("_base", F.max(base_src).over(run)))
@@ -66,6 +79,66 @@ def build_history(changes: DataFrame, key: str, ts: str, seq: str, op: str, payl
         F.col(seq).alias("change_seq"))
 
 
+def merge_history(history: DataFrame, changes: DataFrame, key: str, ts: str, seq: str, op: str, payload,
+                  max_bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
+    """H1 / W3 / W4 kept up: the history after further ``changes``, equal to
+    :func:`build_history` over all changes there ever were.
+
+    The new changes of most keys follow all old ones. Then only the key's last
+    row is scanned with them: it may be closed, and it carries the version and
+    the payload that a delete closes. A key with a late change, one that falls
+    between old rows, is scanned anew from its own rows, which hold all that
+    its changes said. Rows of other keys, and all but the last rows of most
+    touched keys, pass through one join with the touched keys.
+    """
+    payload = list(payload)
+    columns = [key, *payload, "version", "valid_from", "valid_to", "operation", "change_seq"]
+    new = changes.select(F.col(key).alias("_k"), F.struct(F.col(ts), F.col(seq)).alias("_at"))
+    touched = new.groupBy("_k").agg(F.min("_at").alias("_first"))
+    at = F.struct(F.col("valid_from").alias(ts), F.col("change_seq").alias(seq))
+    old = history.select(*columns).join(touched, F.col(key).eqNullSafe(F.col("_k")), "left")
+    # The last row of each touched key: one aggregate, combined map-side.
+    hit = F.col("_first").isNotNull()
+    last = (old.where(hit).groupBy(F.col(key).alias("_lk")).agg(F.max(at).alias("_last"), F.first("_first").alias("_f"))
+            .select("_lk", "_last", (F.col("_f") <= F.col("_last")).alias("_late")))
+    marked = old.join(last, F.col(key).eqNullSafe(F.col("_lk")), "left")
+    scanned = hit & (F.col("_late") | (at == F.col("_last")))
+    kept = marked.where(~F.coalesce(scanned, F.lit(False))).select(*columns)
+    again = marked.where(scanned).select(
+        key, F.col("valid_from").alias(ts), F.col("change_seq").alias(seq), F.col("operation").alias(op), *payload,
+        F.when(~F.col("_late"), F.col("version")).alias("_seed"))
+    fresh = changes.select(key, ts, seq, op, *payload, F.lit(None).cast("int").alias("_seed"))
+    return kept.unionByName(
+        _scanned(again.unionByName(fresh), key, ts, seq, op, payload, max_bucket_rows, "_seed").select(*columns))
+
+
+def _bucket(key: str, buckets: int) -> F.Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")
+
+
+def write_history(history: DataFrame, path: str, key: str, buckets: int) -> None:
+    """A history as a table of ``buckets`` folders by hash of the key."""
+    history.withColumn("bucket", _bucket(key, buckets)).write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def touched_buckets(history: DataFrame, changes: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The rows of the written ``history`` that share a bucket with a change;
+    the other buckets' files are not read."""
+    hit = [r[0] for r in changes.select(_bucket(key, buckets)).distinct().collect()]  # at most ``buckets`` numbers
+    return history.where(F.col("bucket").isin(hit) if hit else F.lit(False))
+
+
+def merge_into_history(spark, path: str, changes: DataFrame, key: str, ts: str, seq: str, op: str, payload, buckets: int,
+                       max_bucket_rows: int = DEFAULT_BUCKET_ROWS) -> None:
+    """:func:`merge_history` into the table that :func:`write_history` made.
+    Only folders of buckets with a change are read and replaced, each at the
+    commit of the job; all others keep their files."""
+    old = touched_buckets(spark.read.parquet(path), changes, key, buckets).drop("bucket")
+    merged = merge_history(old, changes, key, ts, seq, op, payload, max_bucket_rows)
+    (merged.withColumn("bucket", _bucket(key, buckets)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+
+
 def visible_at(t) -> F.Column:
     """J5 predicate: ``valid_from <= t AND (valid_to IS NULL OR valid_to > t)``."""
     t = F.lit(t) if not isinstance(t, F.Column) else t
@@ -166,6 +239,66 @@ def write_version(df: DataFrame, path: str, version: int) -> None:
     df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={int(version)}")
 
 
+MANIFEST = "version int, operation string, base int, committed_at timestamp_ntz, schema string"
+
+
+def commit_version(df: DataFrame, path: str, version: int, operation: str, committed_at: str) -> None:
+    """H7 / H8: ``df`` as a version, and its line in the manifest beside the
+    data: the operation (create, append or replace), the version that a reader
+    begins with (itself unless it appends), the commit time that is passed, and
+    the columns. The line is written last, so a version without one is not
+    there for :func:`read_version`; a rerun rewrites both."""
+    spark, path = df.sparkSession, path.rstrip("/")
+    if operation not in ("create", "append", "replace"):
+        raise ValueError(f"unknown operation {operation!r}")
+    before = {r["version"]: r for r in _manifest(spark, path, version - 1)} if version > 1 else {}
+    if operation == "append" and not before:
+        raise ValueError("append to a table without versions")
+    base = before[max(before)]["base"] if operation == "append" else version
+    write_version(df, path, version)
+    (spark.createDataFrame([(version, operation, base, df.schema.json())], "version int, operation string, base int, schema string")
+     .withColumn("committed_at", F.lit(committed_at).cast("timestamp_ntz")).select("version", "operation", "base", "committed_at", "schema")
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/_manifest/line={version}"))
+
+
+def _manifest(spark, path: str, upto: int | None = None) -> list:
+    """The manifest's lines up to a version: one small row for each version."""
+    lines = spark.read.schema(MANIFEST).parquet(f"{path.rstrip('/')}/_manifest/line=*")
+    lines = lines if upto is None else lines.where(F.col("version") <= upto)
+    return sorted(lines.collect(), key=lambda r: r["version"])
+
+
+def read_version(spark, path: str, version: int | None = None) -> DataFrame:
+    """H7: the table as of ``version`` (the latest without one). The manifest
+    is resolved before the scan: the versions from the base that holds there on,
+    with all columns that these versions have; rows of a version that lacks a
+    column read null. What a replacing version replaced is not read."""
+    lines = _manifest(spark, path, version)
+    if not lines or (version is not None and lines[-1]["version"] != version):
+        raise ValueError(f"no version {version} in {path}")
+    lines = [r for r in lines if r["version"] >= lines[-1]["base"]]
+    fields = {}
+    for r in lines:
+        for f in T.StructType.fromJson(json.loads(r["schema"])).fields:
+            fields[f.name] = T.StructField(f.name, f.dataType, True)
+    schema = T.StructType([*fields.values(), T.StructField("version", T.IntegerType())])
+    root = path.rstrip("/")
+    return (spark.read.schema(schema).option("basePath", root)
+            .parquet(*[f"{root}/version={r['version']}" for r in lines]))
+
+
+def version_log(spark, path: str) -> DataFrame:
+    """H8: (version, operation, committed_at, rows, total) by version: the rows
+    it brought and those that a reader of it sees."""
+    root = path.rstrip("/")
+    lines = spark.read.schema(MANIFEST).parquet(f"{root}/_manifest/line=*").drop("schema")
+    counts = (spark.read.schema("version int").option("basePath", root).parquet(f"{root}/version=*")
+              .groupBy("version").agg(F.count(F.lit(1)).alias("rows")))
+    rows = lines.join(counts, "version", "left").withColumn("rows", F.coalesce("rows", F.lit(0)))
+    total = F.sum("rows").over(Window.partitionBy("base").orderBy("version"))
+    return rows.withColumn("total", total).select("version", "operation", "committed_at", "rows", "total").orderBy("version")
+
+
 def as_of_version(table: DataFrame, version: int, column: str = "version") -> DataFrame:
     """H7: the rows of all versions up to ``version`` (a filter on the
     partition column, so later versions are not read)."""

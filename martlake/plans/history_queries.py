@@ -206,3 +206,66 @@ def orphan_rows(spark, d):
         r = frame.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("relation"), "orphans")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+BUCKETS = 16
+
+
+@query("history_merge", with_(CHANGES_SQL) + "SELECT * FROM hist")
+def history_merge(spark, d):
+    """H1 / W3 / W4 kept up: a history of the changes up to a time, merged
+    twice, with later changes and with late ones of any time, equals the
+    history of all changes."""
+    c = changes(spark, d)
+    late = F.col("event_id") % 97 == 0
+    early = F.col("ts") <= F.expr(f"TIMESTAMP_NTZ '{STATE_TS}'")
+    names = ("user_id", "ts", "event_id", "op", ["event_type", "value"])
+    path = scratch_path(spark, "kept-history")
+    H.write_history(H.build_history(c.where(early & ~late), *names), path, "user_id", BUCKETS)
+    for part in (c.where(~early & ~late), c.where(late)):
+        H.merge_into_history(spark, path, part, *names, buckets=BUCKETS)
+    return spark.read.parquet(path).drop("bucket")
+
+
+def _replaced(spark, d):
+    """Orders created and appended to, then replaced by a wider table that is
+    appended to again."""
+    path = scratch_path(spark, "replaced-orders")
+    o = T.table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderdate")
+    year = F.year("o_orderdate")
+    wide = o.withColumn("o_year", year)
+    for version, (operation, rows) in enumerate([
+            ("create", o.where(year <= 1995)), ("append", o.where(year == 1996)),
+            ("replace", wide.where(year >= 1997)), ("append", wide.where(year == 1992))], 1):
+        H.commit_version(rows, path, version, operation, f"2024-03-0{version} 12:00:00")
+    return path
+
+
+@query("version_before_replace", """
+SELECT o_orderkey, o_totalprice, o_orderdate, CASE WHEN year(o_orderdate) <= 1995 THEN 1 ELSE 2 END AS version
+FROM orders WHERE year(o_orderdate) <= 1996""")
+def version_before_replace(spark, d):
+    """H7: as of the version before a replacing one."""
+    return H.read_version(spark, _replaced(spark, d), 2)
+
+
+@query("version_after_replace", """
+SELECT o_orderkey, o_totalprice, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+       CASE WHEN year(o_orderdate) = 1992 THEN 4 ELSE 3 END AS version
+FROM orders WHERE year(o_orderdate) >= 1997 OR year(o_orderdate) = 1992""")
+def version_after_replace(spark, d):
+    """H7: the latest version hides what the replacing one replaced."""
+    return H.read_version(spark, _replaced(spark, d))
+
+
+@query("version_commits", """
+WITH c AS (
+  SELECT 1 AS version, 'create' AS operation, COUNT(*) FILTER (year(o_orderdate) <= 1995) AS rows FROM orders
+  UNION ALL SELECT 2, 'append', COUNT(*) FILTER (year(o_orderdate) = 1996) FROM orders
+  UNION ALL SELECT 3, 'replace', COUNT(*) FILTER (year(o_orderdate) >= 1997) FROM orders
+  UNION ALL SELECT 4, 'append', COUNT(*) FILTER (year(o_orderdate) = 1992) FROM orders)
+SELECT version, operation, TIMESTAMP '2024-02-29 12:00:00' + INTERVAL 1 DAY * version AS committed_at, rows,
+       CAST(SUM(rows) OVER (PARTITION BY version >= 3 ORDER BY version) AS BIGINT) AS total FROM c""")
+def version_commits(spark, d):
+    """H8: versions with operation, commit time and rows."""
+    return H.version_log(spark, _replaced(spark, d))
