@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from martlake.operators import sessions as SE
 from martlake.plans.registry import query
 from martlake.session import scratch_path
 from martlake.sources import tables as T
@@ -50,7 +51,7 @@ def stream_sliding(spark, d):
     return _read(spark, ST.run_to_parquet(ST.sliding_counts(ST.closed_stream(spark, _source(d))), "sliding"))
 
 
-@query("stream_session", f"""
+SESSION_SQL = """
 WITH g AS (
   SELECT *, CASE WHEN ts - LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
                       < INTERVAL 10 MINUTE THEN 0 ELSE 1 END AS new_s FROM events),
@@ -58,12 +59,27 @@ s AS (SELECT *, SUM(new_s) OVER (PARTITION BY user_id ORDER BY ts, event_id
                                   ROWS UNBOUNDED PRECEDING) AS sid FROM g)
 SELECT user_id, MIN(ts) AS session_start, MAX(ts) + INTERVAL 10 MINUTE AS session_end,
        COUNT(*) AS n_events, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
-FROM s GROUP BY user_id, sid""")
+FROM s GROUP BY user_id, sid"""
+
+
+@query("stream_session", SESSION_SQL)
 def stream_session(spark, d):
     """Per-user sessions with a 10-minute gap."""
     return _read(spark, ST.run_to_parquet(ST.sessions(ST.closed_stream(spark, _source(d))), "session"))
 
 
+@query("session_batch", SESSION_SQL)
+def session_batch(spark, d):
+    """T3 in batch: sessions in pieces, which splits users with very many events."""
+    return SE.sessions(T.events(spark, d))
+
+
+@query("session_batch_pieces", SESSION_SQL)
+def session_batch_pieces(spark, d):
+    """T3 in batch with small pieces: a user of over eight events is several."""
+    return SE.sessions(T.events(spark, d), max_bucket_rows=8)
+
+
 @query("stream_classify", """
 SELECT event_id, ts, user_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS humidity,
        CASE WHEN value / 10.0 > 30 THEN 'high temperature'
