@@ -61,6 +61,15 @@ def top_words(spark, d):
     return X.top_words(X.word_counts(_docs(spark, d), "text", "nonword"), 20)
 
 
+@query("top_words_summary", f"""
+SELECT word, COUNT(*) AS count FROM (
+  SELECT unnest(regexp_split_to_array(lower(text), '{_NONWORD}')) AS word FROM documents)
+WHERE word <> '' GROUP BY word ORDER BY count DESC, word LIMIT 50""")
+def top_words_summary(spark, d):
+    """The 50 most frequent words by summaries and a recount."""
+    return X.top_words_by_summary(_docs(spark, d), 50, "text", "nonword")
+
+
 @query("ngrams", f"""
 WITH t AS (
   SELECT doc_id, [w FOR w IN regexp_split_to_array(lower(text), '{_NONWORD}')
