@@ -168,7 +168,7 @@ def run_currency_etl(products: DataFrame, rates: DataFrame, target_path: str,
         K.register_location(spark, target_table, target_path)
     loaded = spark.read.parquet(target_path).count()       # K18
     ok = loaded == n_out.get["rows"] and not msgs
-    size = FS.input_profile(spark, input_path).agg(F.sum("bytes")).first()[0] if input_path else None
+    size = FS.file_sizes(spark, input_path).agg(F.sum("bytes")).first()[0] if input_path else None
     is_text = bool(input_path) and input_path.rstrip("/*").endswith((".csv", ".json", ".txt"))
     lines = FS.text_profile(spark, input_path, by_file=False).first()["lines"] if is_text else None
     report = spark.createDataFrame(

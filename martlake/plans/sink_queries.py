@@ -3,6 +3,8 @@ what was written (K1-K15, S1-S3, S5, S7-S11, S15, S17-S19)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from martlake.operators import quality as Q
@@ -166,10 +168,38 @@ def config_driven_load(spark, d):
     return flows.run_config(spark, cfg)
 
 
-@query("input_profile")
+#: Columns of the given tables, for the oracle: plain ones, and those that are
+#: doubles (d), times (t) or lists of floats (l).
+_COLUMNS = {
+    "region": "r_regionkey r_name", "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal:d c_mktsegment", "supplier": "s_suppkey s_name s_nationkey s_acctbal:d",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice:d",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice:d o_orderdate:t o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity:d l_extendedprice:d l_discount:d l_tax:d l_returnflag"
+                " l_linestatus l_shipdate:t",
+    "events": "event_id ts:t user_id event_type value:d props", "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding:l label", "pages": "page_id url html", "benchmark": "item_id text",
+    "labels": "doc_id quality toxic", "conversations": "conv_id turn role text",
+}
+
+
+def _profile_sql(table: str) -> str:
+    def text(column: str) -> str:
+        name, _, kind = column.partition(":")
+        double = "replace(printf('%a', {}::DOUBLE), 'p+', 'p')"
+        value = {"d": double.format(name), "t": f"epoch_us({name})::VARCHAR", "": f"{name}::VARCHAR",
+                 "l": f"'[' || array_to_string(list_transform({name}, lambda e: coalesce({double.format('e')}, 'null')), ',') || ']'"}[kind]
+        return f"CASE WHEN {name} IS NULL THEN '-' ELSE length({value}) || ':' || {value} END"
+    row = " || ".join(map(text, _COLUMNS[table].split()))
+    return (f"SELECT '{table}' AS name, COUNT(*) AS rows,"
+            f" CAST(coalesce(SUM(CAST('0x' || substr(sha256({row}), 1, 15) AS BIGINT)), 0) AS VARCHAR) AS checksum FROM {table}")
+
+
+@query("input_profile", " UNION ALL ".join(map(_profile_sql, _COLUMNS)))
 def input_profile(spark, d):
-    """Size and SHA-256 of each input table file (rows-only)."""
-    return FS.input_profile(spark, f"{d.rstrip('/')}/*.parquet").drop("path")
+    """Rows and content checksum of each input table."""
+    profiles = [FS.table_profile(T.table(spark, d, t)).select(F.lit(t).alias("name"), "rows", "checksum") for t in _COLUMNS]
+    return reduce(lambda a, b: a.unionByName(b), profiles)
 
 
 _ORDERS_DDL = ("o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "

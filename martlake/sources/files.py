@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 log = logging.getLogger(__name__)
@@ -91,13 +92,52 @@ def flatten_sensor(df: DataFrame) -> DataFrame:
                      F.col("metadata.location").alias("location"))
 
 
-def input_profile(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Per input file: path, size in MB and SHA-256 of the content
-    (``binaryFile``: one row per file, read whole by an executor, so for files
-    up to 2 GB; :func:`text_profile` has no such limit)."""
+def _canonical(x: Column, kind: T.DataType) -> Column:
+    """The value as text, exact and the same in every engine: doubles with all
+    their bits as hexadecimal fractions, times as microseconds, lists by element."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.regexp_replace(F.format_string("%a", x.cast("double")), r"\.0p", "p")
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(x.cast("timestamp")).cast("string")
+    if isinstance(kind, T.ArrayType):
+        return F.concat(F.lit("["), F.array_join(F.transform(x, lambda e: F.coalesce(
+            _canonical(e, kind.elementType), F.lit("null"))), ","), F.lit("]"))
+    if isinstance(kind, (T.StructType, T.MapType)):
+        return F.to_json(x)
+    return x.cast("string")
+
+
+def row_hash(schema: T.StructType) -> Column:
+    """60 bits of the SHA-256 of a row: each value behind its length, so that
+    no two rows are one text; nulls are a sign of their own."""
+    parts = []
+    for f in schema.fields:
+        x = F.col(f"`{f.name}`")
+        text = _canonical(x, f.dataType)
+        parts.append(F.when(x.isNull(), F.lit("-")).otherwise(F.concat(F.char_length(text).cast("string"), F.lit(":"), text)))
+    return F.conv(F.substring(F.sha2(F.concat(*parts), 256), 1, 15), 16, 10).cast("decimal(20,0)")
+
+
+def table_profile(df: DataFrame, by_file: bool = False) -> DataFrame:
+    """S18 / S19 for tables of any size and format: rows and a checksum of the
+    content, the sum of the rows' hashes; per file also path, size_mb and bytes.
+    The checksum is the same in whatever order, files and splits the rows lie,
+    so it tells whether two tables hold the same rows. Files are read in splits
+    by many tasks, and nothing holds one whole."""
+    aggs = [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("_h"), F.lit(0)).cast("string").alias("checksum")]
+    hashed = row_hash(df.schema).alias("_h")
+    if not by_file:
+        return df.select(hashed).agg(*aggs)
+    size = F.col("_metadata.file_size")
+    return (df.select(F.col("_metadata.file_path").alias("path"), size.alias("bytes"), hashed).groupBy("path", "bytes").agg(*aggs)
+            .select("path", F.round(F.col("bytes") / F.lit(1024 * 1024), 3).alias("size_mb"), "bytes", "rows", "checksum"))
+
+
+def file_sizes(spark: SparkSession, path_glob: str) -> DataFrame:
+    """Path, size in MB and bytes of the files of any size; their content
+    is not read."""
     files = spark.read.format("binaryFile").load(path_glob)
-    return files.select(F.col("path"), F.round(F.col("length") / F.lit(1024 * 1024), 3).alias("size_mb"),
-                        F.col("length").alias("bytes"), F.sha2(F.col("content"), 256).alias("sha256"))
+    return files.select("path", F.round(F.col("length") / F.lit(1024 * 1024), 3).alias("size_mb"), F.col("length").alias("bytes"))
 
 
 def text_profile(spark: SparkSession, path: str, by_file: bool = True) -> DataFrame:
