@@ -7,9 +7,12 @@ whole. Each becomes a sparse vector of term counts times inverse document
 frequency (over ``TEMPLATES``; terms that none of them has weigh most, so other
 words count against it). It counts for a template if it holds a word of
 ``MARKERS``, as headers do that name a licence; templates without such a word
-(grants) are reached by ``SHARED`` of their terms as well. Windows are bounded
-without loss: without a template's heaviest terms (``heaviest``) none can reach
-``LEAST``, so they are taken around these. A file's own
+(grants) are reached by ``SHARED`` of their terms as well. Nothing is lost by the
+bounds that spare most of the work: a candidate without heavy enough terms of a
+template cannot be as similar as ``LEAST`` (with the terms that both have, the
+cosine is at most the root of their squared weights), and counting every term
+once at least bounds a window's length from below, by prefix sums. Only windows
+within both bounds are counted. A file's own
 licence is its best candidate of ``LEAST`` similarity or more; a copyright line
 (``RESERVED``) only if no other licence reaches it. Headers are the candidates
 taken best first (longer first, then earlier) as long as none overlaps one that
@@ -25,16 +28,20 @@ directory's files multiply.
 Defined results: a null text counts as empty; a null path is a file in the
 root; of equally similar licences the first by name holds; of equally good
 licence files in a directory likewise; rows that repeat give equal rows; an
-empty table gives no rows; further columns are not read.
+empty table gives no rows; further columns are not read. Long texts are read
+whole, in parts that end at a blank; a task holds about 100 bytes for each of a
+text's terms.
 """
 
 from __future__ import annotations
 
+import functools
 import math
 import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +53,8 @@ FILE_SHARE = 0.3
 MARKERS = r"(?i)licen[cs]|copyright|spdx|public domain|creative commons|cc by|cc0|warrant"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
 SHARED = 5
+#: Characters of a part of a text, and windows that are counted at once.
+BLOCK, CHUNK = 1 << 20, 512
 FILE_NAME = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([.-][^/]*)?$"
 
 #: The documents have no paths; the query gives them directories of 1024 and
@@ -112,6 +121,13 @@ FURTHER = [
 #: Stands over most grants and withdraws none.
 RESERVED = "Proprietary"
 
+_MARKER = re.compile(MARKERS)
+#: What a text in lower case must hold for ``MARKERS`` to match.
+_MARKS = [m for part in MARKERS.removeprefix("(?i)").split("|")
+          for m in ([part[:-4] + c for c in part[-3:-1]] if part.endswith("]") else [part])]
+_TERM_OR_LINE = re.compile(TERM + r"|\n")
+_BLANK = re.compile(r"[ \n]")
+
 
 def terms_of(text: str) -> list[str]:
     return re.findall(TERM, text.lower())
@@ -147,18 +163,6 @@ def _with_further(templates, further) -> list[tuple[str, dict[str, float], int]]
     return out
 
 
-def heaviest(vector: dict[str, float], least: float) -> set[str]:
-    """Terms of a template without which nothing is as similar to it as
-    ``least``: what the other terms weigh together is less."""
-    left, out = sum(w * w for w in vector.values()), set()
-    for term in sorted(vector, key=lambda t: (-vector[t], -len(t), t)):
-        if left < max(least - 1e-5, 0) ** 2:
-            break
-        out.add(term)
-        left -= vector[term] ** 2
-    return out
-
-
 class Scanner:
     """Headers of one text after the other."""
 
@@ -168,87 +172,107 @@ class Scanner:
         self.least = least
         self.templates = _with_further(templates, further)
         self.grants = {k for k, (_, t) in enumerate([*templates, *further]) if not re.search(MARKERS, t)}
-        self.anchors = {}
+        # Terms of templates are numbered first; all others weigh alike.
+        self.known = {t: i for i, t in enumerate(dict.fromkeys(t for _, v, _ in self.templates for t in v))}
+        self.n = len(self.known)
+        self.weigh = np.array([self.idf.get(t, self.unknown) for t in self.known] + [self.unknown])
+        self.weights = np.zeros((len(self.templates), self.n + 1))
         for k, (_, vector, _) in enumerate(self.templates):
-            for term in heaviest(vector, least):
-                self.anchors.setdefault(term, []).append(k)
-
-    def pattern(self) -> str:
-        """Matches every text, in lower case, that can hold a candidate."""
-        terms = [re.escape(t) for t, ks in sorted(self.anchors.items()) if self.grants.intersection(ks)]
-        return "|".join([MARKERS, *(f"(?<![a-z0-9])(?:{t})(?![a-z0-9])" for t in ["|".join(terms)] if terms)])
-
-    def _counts_for(self, k: int, marked: bool, terms) -> bool:
-        return marked or k in self.grants and len(self.templates[k][1].keys() & set(terms)) >= SHARED
-
-    def _best(self, terms, among) -> tuple[float, str]:
-        """(-similarity, license) of the best of the templates ``among``."""
-        x = {t: n * self.idf.get(t, self.unknown) for t, n in Counter(terms).items()}
-        norm = math.sqrt(sum(v * v for v in x.values()))
-        return min((-round(sum(v * self.templates[k][1].get(t, 0.0) for t, v in x.items()) / norm, 6), self.templates[k][0])
-                   for k in among)
-
-    def _windows(self, terms, k, hits):
+            for t, w in vector.items():
+                self.weights[k, self.known[t]] = w
+        self.has = (self.weights > 0).astype(int)
+        self.floor = max(least - 1e-5, 0)
+        self.marked = functools.lru_cache(maxsize=1 << 16)(lambda body: bool(_MARKER.search(body)))
+
+    def _terms(self, text: str) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """The numbers of the terms, all terms by number, and where lines end."""
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        number.update(self.known)
+        line_feed, parts, at = number["\n"], [], 0
+        while at < len(text):
+            m = _BLANK.search(text, at + BLOCK) if len(text) - at > BLOCK else None
+            end = m.start() if m else len(text)
+            found = _TERM_OR_LINE.findall(text, at, end)
+            parts.append(np.fromiter(map(number.__getitem__, found), np.int32, len(found)))
+            at = end
+        numbers = np.concatenate(parts) if parts else np.zeros(0, np.int32)
+        breaks = np.flatnonzero(numbers == line_feed)
+        ends = np.append(breaks - np.arange(len(breaks)), len(numbers) - len(breaks))
+        return np.delete(numbers, breaks) if len(breaks) else numbers, list(number), ends
+
+    def _alive(self, present: np.ndarray, marked: bool) -> list[int]:
+        """Templates that something with these known terms can be as similar to."""
+        near = np.flatnonzero((self.weights ** 2) @ present >= self.floor ** 2).tolist()
+        return near if marked else [k for k in near if k in self.grants and self.has[k] @ present >= SHARED]
+
+    def _similarities(self, numbers: np.ndarray, among: list[int]) -> list[tuple[float, str]]:
+        """(-similarity, license) of the whole of ``numbers``."""
+        each, n = np.unique(numbers, return_counts=True)
+        x = n * self.weigh[np.minimum(each, self.n)]
+        dots = self.weights[among][:, np.minimum(each, self.n)] @ x
+        return [(-round(float(s), 6), self.templates[k][0]) for k, s in zip(among, dots / math.sqrt(x @ x))]
+
+    def _line(self, numbers: np.ndarray, marked: bool) -> tuple[float, str] | None:
+        """The best template of one line, None if none is similar enough."""
+        some = self._alive(np.bincount(np.minimum(numbers, self.n), minlength=self.n + 1) > 0, marked)
+        best = min(self._similarities(numbers, some), default=(0.0, ""))
+        return best if -best[0] >= self.least else None
+
+    def _windows(self, numbers, dot, square, k, names):
         """(similarity, begin, end) of the windows of template ``k``'s length
-        that hold one of the positions ``hits`` and are similar enough."""
-        _, vector, m = self.templates[k]
-        last = max(len(terms) - m, 0)
-        at, done = 0, -1
-        while at < len(hits):
-            begin, end = max(hits[at] - m + 1, done + 1, 0), min(hits[at], last)
-            while at + 1 < len(hits) and hits[at + 1] - m + 1 <= end + 1:
-                at += 1
-                end = min(hits[at], last)
-            at += 1
-            counts = Counter(terms[begin:begin + m])
-            x = {t: self.idf.get(t, self.unknown) for t in counts}
-            dot = sum(n * x[t] * vector.get(t, 0.0) for t, n in counts.items())
-            square = sum((n * x[t]) ** 2 for t, n in counts.items())
-            for i in range(begin, end + 1):
-                if i > begin:
-                    out, new = terms[i - 1], terms[i + m - 1]
-                    if out != new:
-                        w, n = self.idf.get(out, self.unknown), counts[out]
-                        dot -= w * vector.get(out, 0.0)
-                        square -= (2 * n - 1) * w * w
-                        counts[out] = n - 1
-                        if n == 1:
-                            del counts[out]
-                        w, n = self.idf.get(new, self.unknown), counts.get(new, 0)
-                        dot += w * vector.get(new, 0.0)
-                        square += (2 * n + 1) * w * w
-                        counts[new] = n + 1
-                similarity = round(dot / math.sqrt(square), 6)
-                if similarity >= self.least and self._counts_for(
-                        k, bool(re.search(MARKERS, " ".join(terms[i:i + m]))), counts):
-                    yield similarity, i, min(i + m, len(terms))
-            done = end
+        that are similar enough."""
+        m = min(self.templates[k][2], len(numbers))
+        bound = (dot[m:] - dot[:-m]) / np.sqrt(square[m:] - square[:-m])
+        near = np.flatnonzero(bound >= self.floor)
+        views = np.lib.stride_tricks.sliding_window_view(numbers, m)
+        for i in range(0, len(near), CHUNK):
+            begins = near[i:i + CHUNK]
+            own = views[begins]
+            times = (own[:, :, None] == own[:, None, :]).sum(axis=2)  # how often each term is there
+            own = np.minimum(own, self.n)
+            length = (times * self.weigh[own] ** 2).sum(axis=1)
+            similar = np.round((self.weigh * self.weights[k])[own].sum(axis=1) / np.sqrt(length), 6)
+            shared = np.rint((self.has[k][own] / times).sum(axis=1))
+            for begin, s, n in zip(begins[similar >= self.least].tolist(), similar[similar >= self.least].tolist(),
+                                   shared[similar >= self.least].tolist()):
+                if (k in self.grants and n >= SHARED) or self.marked(" ".join(
+                        [names[j] for j in numbers[begin:begin + m].tolist()])):
+                    yield s, begin, begin + m
 
     def scan(self, text: str, named: bool) -> tuple | None:
-        """(license, similarity, words in headers, headers), None without any."""
-        terms, lines, hits, every = [], [], {}, range(len(self.templates))
-        for line in text.lower().split("\n"):
-            begin = len(terms)
-            for t in re.findall(TERM, line):
-                for k in self.anchors.get(t, ()):
-                    hits.setdefault(k, []).append(len(terms))
-                terms.append(t)
-            marked, own = bool(re.search(MARKERS, line)), terms[begin:]
-            some = [k for k in (every if marked else self.grants) if self._counts_for(k, marked, own)]
-            if own and some:
-                lines.append((begin, len(terms), some))
-        found = []
-        for begin, end, some in lines:
-            s, name = self._best(terms[begin:end], some)
-            if -s >= self.least:
-                found.append((s, begin - end, begin, end, name))
-        for k, own in hits.items():
-            found += [(-s, b - e, b, e, self.templates[k][0]) for s, b, e in self._windows(terms, k, own)]
-        best = [(s, name) for s, _, _, _, name in found]
-        if named and terms:
-            s, name = self._best(terms, every)
-            if -s >= self.least:
-                best.append((s, name))
+        """(license, similarity, words in headers, headers, words of the text),
+        None without any."""
+        text = text.lower()
+        numbers, names, ends = self._terms(text)
+        if not len(numbers):
+            return None
+        folded = np.minimum(numbers, self.n)
+        any_mark = any(m in text for m in _MARKS)
+        alive = self._alive(np.bincount(folded, minlength=self.n + 1) > 0, any_mark)
+        found, best = [], []
+        if alive:
+            begins = np.append(0, ends[:-1])
+            square = np.append(0.0, np.cumsum(self.weigh[folded] ** 2))
+            lines = np.flatnonzero(ends > begins)
+            near = np.zeros(len(ends), bool)
+            for k in alive:
+                dot = np.append(0.0, np.cumsum((self.weigh * self.weights[k])[folded]))
+                b, e = begins[lines], ends[lines]
+                near[lines] |= (dot[e] - dot[b]) / np.sqrt(square[e] - square[b]) >= self.floor
+                found += [(-s, b - e, b, e, self.templates[k][0])
+                          for s, b, e in self._windows(numbers, dot, square, k, names)]
+            marked = self._marked_lines(text) if any_mark and near.any() else set()
+            for i in np.flatnonzero(near).tolist():
+                b, e = int(begins[i]), int(ends[i])
+                line = self._line(numbers[b:e], i in marked)
+                if line is not None:
+                    found.append((line[0], b - e, b, e, line[1]))
+            best = [(s, name) for s, _, _, _, name in found]
+        if named:
+            whole = min(self._similarities(numbers, list(range(len(self.templates)))))
+            if -whole[0] >= self.least:
+                best.append(whole)
         if not best:
             return None
         begins, ends, words = [], [], 0
@@ -259,28 +283,43 @@ class Scanner:
                 ends.insert(i, e)
                 words += e - b
         s, name = min(best, key=lambda x: (x[1] == RESERVED, x))
-        return name, -s, words, len(begins)
+        return name, -s, words, len(begins), len(numbers)
 
+    @staticmethod
+    def _marked_lines(text: str) -> set[int]:
+        out, line, at = set(), 0, 0
+        for m in _MARKER.finditer(text):
+            line += text.count("\n", at, m.start())
+            at = m.start()
+            out.add(line)
+        return out
 
-def _own(files: DataFrame, scanner: Scanner) -> DataFrame:
-    """(rid, own, own_similarity, in_headers, n_headers) of the files that have
-    a licence of their own."""
+
+def _own(files: DataFrame, scanner: tuple) -> DataFrame:
+    """(id, path, named, own, own_similarity, in_headers, n_headers, n_terms),
+    the latter null without a licence of its own, of every file."""
     ship(files.sparkSession)
 
     def run(batches):
+        scan = _scanner(*scanner).scan
         for batch in batches:
-            rows = []
-            for rid, named, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                r = scanner.scan(text, named)
-                if r is not None:
-                    rows.append((rid, *r))
-            if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            found = [scan(text.as_py(), named) or (None,) * 5 for named, text in zip(
+                batch.column("named").to_pylist(), batch.column("text"))]
+            columns = list(zip(*found)) or [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(n) for n in ("id", "path", "named")), *(pa.array(c, t) for c, t in zip(columns, types))],
+                ["id", "path", "named", *names])
+
+    names = ["own", "own_similarity", "in_headers", "n_headers", "n_terms"]
+    types = [pa.string(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
+    return files.mapInArrow(run, "id long, path string, named boolean, own string, own_similarity double, in_headers long,"
+                                 " n_headers long, n_terms long")
+
 
-    names = ["rid", "own", "own_similarity", "in_headers", "n_headers"]
-    types = [pa.int64(), pa.string(), pa.float64(), pa.int64(), pa.int64()]
-    return files.select("rid", "named", "text").mapInArrow(
-        run, "rid long, own string, own_similarity double, in_headers long, n_headers long")
+@functools.lru_cache(maxsize=4)
+def _scanner(templates: tuple, further: tuple, least: float) -> Scanner:
+    """One for each Python worker, kept between its tasks."""
+    return Scanner(templates, further, least)
 
 
 def _prefixes(directory: Column) -> Column:
@@ -295,19 +334,12 @@ def scan(files: DataFrame, id_col: str, path_col: str, text_col: str = "text", t
     """One row per row of ``files``: ``id``, ``path``, ``license`` (null if
     none), ``similarity`` (of what it rests on), ``origin`` (own, inherited or
     null), ``directory`` (the one that it inherits from) and ``n_headers``."""
-    base = files.select(F.monotonically_increasing_id().alias("rid"),
-                        F.col(f"`{id_col}`").cast("long").alias("id"),
+    base = files.select(F.col(f"`{id_col}`").cast("long").alias("id"),
                         F.coalesce(F.col(f"`{path_col}`").cast("string"), F.lit("")).alias("path"),
                         text_of(f"`{text_col}`").alias("text"))
-    named = F.col("path").rlike(FILE_NAME)
-    scanner = Scanner(templates, further, least)
-    known = F.lower("text").rlike(scanner.pattern()) | named
-    words = F.when(known, F.size(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).otherwise(F.lit(0))
-    kept = written(base.select("rid", "id", "path", words.cast("long").alias("n_terms"), named.alias("named"),
-                               F.when(known, F.col("text")).otherwise(F.lit("")).alias("text")), "license-files", wide=True)
-    own = _own(kept.filter("n_terms > 0"), scanner)
-    rows = written(kept.select("rid", "id", "path", "named", "n_terms").join(own, "rid", "left")
-                   .withColumn("at", _directory(F.col("path"))), "license-own")
+    base = base.select("id", "path", F.col("path").rlike(FILE_NAME).alias("named"), "text")
+    own = _own(base, (tuple(templates), tuple(further), least))
+    rows = written(own.withColumn("at", _directory(F.col("path"))), "license-own", wide=True)
     speaks = rows.filter(F.col("own").isNotNull() & (F.col("named") | (F.col("in_headers") >= file_share * F.col("n_terms"))))
     speaks = speaks.groupBy(F.col("at").alias("ancestor")).agg(
         F.min(F.struct((-F.col("own_similarity")).alias("s"), F.col("own").alias("license"))).alias("b"))
