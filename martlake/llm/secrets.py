@@ -26,8 +26,9 @@ small rows are shuffled, no text. The join is on the text and on buckets of
 bounded number of them however many a text has.
 
 Defined results: a null text counts as empty and has no spans; a null id is
-kept; rows that repeat are scanned each for itself; an empty table gives no
-rows; further columns are not read.
+kept; rows that repeat are scanned each for itself; texts of any length are
+scanned whole, in time that grows with the length; an empty table gives no rows;
+further columns are not read.
 """
 
 from __future__ import annotations
@@ -40,29 +41,32 @@ from martlake.llm.common import text_of, written
 SCOPE = 200
 BUCKET = 512
 #: Kind: (order, role, pattern). Failing matches of ``assign`` and ``weak``
-#: are dropped after matching.
+#: are dropped after matching. Host names have at most 16 labels of at most 63
+#: characters, so the time for a text grows with its length alone.
 KINDS = {
     "assign": (1, "secret", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
     "access": (2, "identifier", r"AKIA[A-Z0-9]{16,}"),
     "hex": (3, "secret", r"[0-9a-f]{24,}"),
     "ident": (4, "identifier", r"""(?i:user(?:_?name)?|login|account|client_?id|key_?id)["']?\x20*[:=]\x20*["']?[A-Za-z0-9@._-]{3,}"""),
-    "endpoint": (5, "endpoint", r"""https?://[^\x20\x09-\x0D"'<>]+|[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+:[0-9]{2,5}"""),
+    "endpoint": (5, "endpoint", r"""https?://[^\x20\x09-\x0D"'<>]+|[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,15}:[0-9]{2,5}"""),
     "weak": (6, "secret", r"[A-Za-z0-9+/_-]{16,}"),
 }
 STRONG = ("assign", "access", "hex")
 
 
 def _matches(text: Column, kind: str) -> Column:
-    """array<struct<kind, n, gap, len>>: matches, with the gap before each
-    measured from the end of the match before, and whether it holds."""
+    """array<struct<kind, n, gap, len, holds>>: matches, with the gap before
+    each measured from the end of the match before, and whether it holds."""
     pattern = F.lit(KINDS[kind][2])
-    value = F.regexp_extract_all(text, pattern, F.lit(2)) if kind == "assign" else F.array().cast("array<string>")
-    gaps = F.split(text, KINDS[kind][2], -1)
-    found = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda m, i: F.struct(
-        F.lit(kind).alias("kind"), i.alias("n"), F.char_length(F.get(gaps, i)).alias("gap"),
-        F.char_length(m).alias("len"),
-        (F.char_length(F.get(value, i)) >= 6 if kind == "assign" else
-         (m.rlike("[0-9]") & m.rlike("[A-Za-z]")) if kind == "weak" else F.lit(True)).alias("holds")))
+    parts = [F.regexp_extract_all(text, pattern, F.lit(0)), F.split(text, KINDS[kind][2], -1)]
+    if kind == "assign":
+        parts.append(F.regexp_extract_all(text, pattern, F.lit(2)))
+    # Zipped, so that no part is made again for each match; the last gap has no match.
+    zipped = F.filter(F.arrays_zip(*parts), lambda x: x["0"].isNotNull())
+    found = F.transform(zipped, lambda x, i: F.struct(
+        F.lit(kind).alias("kind"), i.alias("n"), F.char_length(x["1"]).alias("gap"), F.char_length(x["0"]).alias("len"),
+        (F.char_length(x["2"]) >= 6 if kind == "assign" else
+         (x["0"].rlike("[0-9]") & x["0"].rlike("[A-Za-z]")) if kind == "weak" else F.lit(True)).alias("holds")))
     none = F.array().cast("array<struct<kind:string,n:int,gap:int,len:int,holds:boolean>>")
     return F.when(text.rlike(KINDS[kind][2]), found).otherwise(none)
 
