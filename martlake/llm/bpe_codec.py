@@ -35,6 +35,7 @@ from __future__ import annotations
 import functools
 import heapq
 import json
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,9 +53,9 @@ PATTERN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\
 UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 #: No pre-token holds a sign and the blank behind it.
 BORDER = regex.compile(r"(?<=[!-~])(?=[ \n])")
-#: Characters that are encoded at once, pre-tokens that a worker keeps, and their longest.
+#: Characters of a text's part and of a block of new pre-tokens; pre-tokens that a worker keeps, and their longest.
 BLOCK = 1 << 20
-CACHE_SIZE = 500_000
+CACHE_SIZE = 300_000
 LONG_WORD = 100
 _NO_RANK = np.iinfo(np.int64).max
 
@@ -88,36 +89,43 @@ class PairIndex:
         self.enter(np.arange(n))
 
     def enter(self, at: np.ndarray) -> None:
+        """No position comes twice with one pair: tokens only grow."""
         ranks = self.codec.ranks_of(self.tokens[at], self.tokens[self.after[at]])
-        known = ranks != _NO_RANK
+        known = np.flatnonzero(ranks != _NO_RANK)
+        if not len(known):
+            return
         at, ranks = at[known], ranks[known]
-        order = np.argsort(ranks, kind="stable")
+        order = ranks.argsort(kind="stable")
         at, ranks = at[order], ranks[order]
-        starts = np.flatnonzero(np.diff(ranks, prepend=-1))
-        for begin, end in zip(starts.tolist(), [*starts[1:].tolist(), len(at)]):
-            rank = int(ranks[begin])
-            if rank not in self.positions:
-                self.positions[rank] = []
+        starts = [0, *(np.flatnonzero(ranks[1:] != ranks[:-1]) + 1).tolist()]
+        for rank, begin, end in zip(ranks[starts].tolist(), starts, [*starts[1:], len(at)]):
+            known = self.positions.get(rank)
+            if known is None:
+                self.positions[rank] = [at[begin:end]]
                 heapq.heappush(self.active, rank)
-            self.positions[rank].append(at[begin:end])
+            else:
+                known.append(at[begin:end])
 
     def merge(self, rank: int) -> None:
-        left, right, whole = (int(x[rank]) for x in (self.codec.left, self.codec.right, self.codec.whole))
-        tokens, after, before, guard = self.tokens, self.after, self.before, self.codec.guard
-        at = np.unique(np.concatenate(self.positions.pop(rank)))
+        left, right, whole = self.codec.merges[rank]
+        tokens, after, before = self.tokens, self.after, self.before
+        at = np.concatenate(self.positions.pop(rank))
+        at.sort()
         at = at[(tokens[at] == left) & (tokens[after[at]] == right)]
-        if left == right and len(at):
+        if not len(at):
+            return
+        if left == right:
             number = np.arange(len(at))
             follows = np.append(False, after[at[:-1]] == at[1:])
             at = at[(number - np.maximum.accumulate(np.where(follows, 0, number))) % 2 == 0]
-        if not len(at):
-            return
         gone = after[at]
         behind = after[gone]
-        tokens[at], tokens[gone] = whole, guard
+        tokens[at], tokens[gone] = whole, self.codec.guard
         after[at], before[behind] = behind, at
         front = before[at]
-        self.enter(np.concatenate([front[front < len(after) - 1], at]))
+        new = front < len(after) - 1
+        new[1:] &= front[1:] != at[:-1]  # entered as a merged position already
+        self.enter(np.concatenate([front[new], at]))
 
     def run(self) -> list[bytes]:
         """The ids of each word, as little-endian 32-bit integers."""
@@ -130,7 +138,7 @@ class PairIndex:
 
 
 class Codec:
-    """Encodes and decodes by one vocabulary."""
+    """Encodes by one vocabulary."""
 
     def __init__(self, path: str, cache_size: int = CACHE_SIZE, block: int = BLOCK):
         from tokenizers import Tokenizer
@@ -139,22 +147,22 @@ class Codec:
         self.check_kind(spec)
         self.cut = Tokenizer.from_file(path).pre_tokenizer.pre_tokenize_str
         vocabulary = spec["model"]["vocab"]
-        byte_of = {sign: b for b, sign in enumerate(byte_signs())}
-        self.pieces = {i: bytes(byte_of[c] for c in token) for token, i in vocabulary.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.pieces |= {i: content.encode() for content, i in self.special.items()}
+        self.special_ids = {s: i.to_bytes(4, "little") for s, i in self.special.items()}
         self.special_pattern = regex.compile("|".join(
             regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.guard = max(self.pieces) + 1
+        self.guard = max([*vocabulary.values(), *self.special.values()]) + 1
         self.first = np.array([vocabulary[sign] for sign in byte_signs()])
         pairs = [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]]
         self.left, self.right, self.whole = (np.array(x, np.int64) for x in (
             [vocabulary[a] for a, _ in pairs], [vocabulary[b] for _, b in pairs], [vocabulary[a + b] for a, b in pairs]))
+        self.merges = list(zip(self.left.tolist(), self.right.tolist(), self.whole.tolist()))
         keys = self.left * (self.guard + 1) + self.right
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+        order = np.argsort(keys)
+        self.keys, self.order = np.append(keys[order], _NO_RANK), np.append(order, _NO_RANK)
         self.check_merges()
-        self.cache: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.cache_size = cache_size
         self.block = block
 
@@ -179,7 +187,7 @@ class Codec:
 
     def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         keys = left * (self.guard + 1) + right
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        at = self.keys.searchsorted(keys)
         return np.where(self.keys[at] == keys, self.order[at], _NO_RANK)
 
     def words(self, text: str) -> list[str]:
@@ -209,40 +217,49 @@ class Codec:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian 32-bit integers."""
-        out: list[list[bytes]] = [[] for _ in texts]
+        out, group, size = [], [], 0
+        for n, text in enumerate(texts, 1):
+            group.append(text)
+            size += len(text)
+            if size >= 4 * self.block or n == len(texts):
+                out += self._encode_group(group)
+                group, size = [], 0
+        return out
+
+    def _encode_group(self, texts: list[str]) -> list[bytes]:
+        number: dict[str, int] = defaultdict()
+        number.default_factory = number.__len__
+        coded = [[np.fromiter(map(number.__getitem__, words), np.int32, len(words)) for words in self.parts(text)]
+                 for text in texts]
+        table = self.ids_of(list(number))
+        return [b"".join(b"".join(map(table.__getitem__, part.tolist())) for part in parts) for parts in coded]
+
+    def ids_of(self, words: list[str]) -> list[bytes]:
+        """The ids of each of the distinct ``words``."""
+        found = [self.young.get(w) or self.old.get(w) or self.special_ids.get(w) for w in words]
         block, size = [], 0
-        for i, text in enumerate(texts):
-            for words in self.parts(text):
-                block.append((out[i], words))
-                size += sum(map(len, words))
-                if size >= self.block:
-                    self._encode_block(block)
-                    block, size = [], 0
-        self._encode_block(block)
-        return [b"".join(ids) for ids in out]
-
-    def _encode_block(self, block: list[tuple[list[bytes], list[str]]]) -> None:
-        new = set().union(*(words for _, words in block))
-        if len(self.cache) + len(new) > self.cache_size:
-            self.cache.clear()
-        new = [w for w in new if w not in self.cache and w not in self.special]
-        table = self.cache
-        table.update((s, i.to_bytes(4, "little")) for s, i in self.special.items())
-        if new:
-            table.update(zip(new, PairIndex(self, [w.encode() for w in new]).run()))
-        for out, words in block:
-            out.append(b"".join(map(table.__getitem__, words)))
-        for w in new:
-            if len(w) > LONG_WORD:
-                del table[w]
-
-    def decode(self, ids: np.ndarray) -> str:
-        """The text of the ids."""
-        found = []
-        for begin in range(0, len(ids), self.block):
-            pieces = map(self.pieces.get, ids[begin:begin + self.block].tolist())
-            found.append(b"".join(p for p in pieces if p is not None))
-        return b"".join(found).decode("utf-8", "replace")
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for n, i in enumerate(missing, 1):
+            block.append(i)
+            size += len(words[i])
+            if size >= self.block or n == len(missing):
+                for j, ids in zip(block, PairIndex(self, [words[j].encode() for j in block]).run()):
+                    found[j] = ids
+                block, size = [], 0
+        # What was met lately is kept: all of the young, and the old until the young are as many.
+        if len(self.young) + len(words) > self.cache_size // 2:
+            self.young, self.old = {}, self.young
+        self.young.update((w, ids) for w, ids in zip(words[:self.cache_size // 2], found) if len(w) <= LONG_WORD)
+        return found
+
+
+def decode_ids(pieces: dict[int, bytes], ids: np.ndarray) -> str:
+    """The text of the ids."""
+    found = []
+    for begin in range(0, len(ids), BLOCK):
+        known = map(pieces.get, ids[begin:begin + BLOCK].tolist())
+        found.append(b"".join(p for p in known if p is not None))
+    return b"".join(found).decode("utf-8", "replace")
 
 
 @functools.lru_cache(maxsize=2)
@@ -251,6 +268,16 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
+@functools.lru_cache(maxsize=2)
+def pieces_of(path: str) -> dict[int, bytes]:
+    """The bytes of each id."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    byte_of = {sign: b for b, sign in enumerate(byte_signs())}
+    pieces = {i: bytes(byte_of[c] for c in token) for token, i in spec["model"]["vocab"].items()}
+    return pieces | {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+
+
 # --- on Spark -----------------------------------------------------------------
 
 def _encode_batches(path: str):
@@ -275,12 +302,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
 def _decode_batches(path: str, ids_col: str, to: str):
     def run(batches):
-        decode = codec(path).decode
+        pieces = pieces_of(path)
         for b in batches:
             lists = b.column(ids_col)
             values = lists.values.to_numpy(zero_copy_only=False)
             ends = lists.offsets.to_numpy()
-            texts = [decode(values[i:j]) for i, j in zip(ends, ends[1:])]
+            texts = [decode_ids(pieces, values[i:j]) for i, j in zip(ends, ends[1:])]
             kept = [n for n in b.schema.names if n != ids_col]
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in kept), pa.array(texts, pa.string())], [*kept, to])
     return run
