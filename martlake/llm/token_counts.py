@@ -14,17 +14,18 @@ model that lacks them.
 
 Tier 1 is a compact table of the frequent pre-tokens with their numbers of
 tokens, built from counts over all texts: each task keeps a bounded summary of
-its pre-tokens (lossy counting: when the summary is full, its rarer half goes)
-and passes on at most ``table_size`` of them. So only small summaries are
-merged, no pre-token is shuffled, and the table that is broadcast has at most
-``table_size`` entries of at most ``LONG_WORD`` characters. What the summaries
-miss costs time, never a result.
+its pre-tokens of at most ``LONG_WORD`` characters (lossy counting: when the
+summary is full, its rarer half goes) and passes on one row with at most twice
+``table_size`` of them. These rows are merged in a tree, ``FAN_IN`` at a time,
+into one of the same size: so pre-tokens are never dealt out by a shuffle, and no
+task holds more than a few summaries. What they miss costs time, never a result.
 Tier 2 encodes misses, once for each worker while its bounded cache holds them.
 
 Defined results: a null text counts as empty and has 0 tokens; texts of blanks
 alone, very long words (never cached) and all other texts count as the library
 says; repeated rows repeat; an empty table gives no rows; further columns
-are not read.
+are not read. Texts of any length are counted whole, with about 100 bytes for
+each pre-token of one text.
 """
 
 from __future__ import annotations
@@ -32,7 +33,9 @@ from __future__ import annotations
 import functools
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +48,8 @@ TABLE_SIZE = 40_000
 SUMMARY_SIZE = 400_000
 CACHE_SIZE = 1_000_000
 LONG_WORD = 200
+#: Summaries that are merged at once.
+FAN_IN = 16
 BLANK = "▁"
 
 
@@ -138,18 +143,49 @@ class TwoTierCounter:
         return total + sum(counts)
 
 
+SUMMARY = "part long, words array<string>, counts array<long>"
+
+
+def most_frequent(seen: dict[str, int], size: int) -> dict[str, int]:
+    """At most ``size`` of the most frequent words, without those that tie with
+    the first one left out."""
+    if len(seen) <= size:
+        return seen
+    counts = np.fromiter(seen.values(), np.int64, len(seen))
+    cut = np.partition(counts, -size - 1)[-size - 1]
+    return {w: n for w, n in seen.items() if n > cut}
+
+
+def _summary(part: int, seen: dict[str, int], table_size: int) -> pa.RecordBatch:
+    top = most_frequent(seen, 2 * table_size)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part], pa.int64()), pa.array([list(top)], pa.list_(pa.string())),
+         pa.array([list(top.values())], pa.list_(pa.int64()))], ["part", "words", "counts"])
+
+
 def _summaries(table_size: int, summary_size: int):
     def run(batches):
         seen: Counter = Counter()
         for b in batches:
             for t in b.column("text"):
-                seen.update(pre_tokens(t.as_py()))
+                words = pre_tokens(t.as_py())
+                if words and len(max(words, key=len)) > LONG_WORD:
+                    words = [w for w in words if len(w) <= LONG_WORD]
+                seen.update(words)
                 if len(seen) > summary_size:
                     seen = Counter(dict(seen.most_common(summary_size // 2)))
-        top = [(w, n) for w, n in seen.most_common(table_size) if len(w) <= LONG_WORD]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())],
-            ["word", "n"])
+        if seen:
+            yield _summary(TaskContext.get().partitionId(), seen, table_size)
+    return run
+
+
+def _merged(table_size: int):
+    def run(table: pa.Table) -> pa.Table:
+        seen: Counter = Counter()
+        for words, counts in zip(table.column("words"), table.column("counts")):
+            for w, n in zip(words.as_py(), counts.as_py()):
+                seen[w] += n
+        return pa.Table.from_batches([_summary(table.column("part")[0].as_py() // FAN_IN, seen, table_size)])
     return run
 
 
@@ -157,22 +193,16 @@ def frequent_table(docs: DataFrame, path: str, text_col: str = "text",
                    table_size: int = TABLE_SIZE, summary_size: int = SUMMARY_SIZE) -> dict[str, int]:
     """At most ``table_size`` frequent pre-tokens with their token counts."""
     ship(docs.sparkSession)
-    counts = written(docs.select(text_of(f"`{text_col}`").alias("text"))
-                     .mapInArrow(_summaries(table_size, summary_size), "word string, n long")
-                     .groupBy("word").agg(F.sum("n").alias("n"))
-                     .withColumn("step", F.floor(8 * F.log2("n"))), "token-words")
-    # The least step of the counts above which at most table_size words lie:
-    # neither a sort nor more than the table itself reaches the driver.
-    steps = {r["step"]: r["n"] for r in counts.groupBy("step").agg(F.count(F.lit(1)).alias("n")).collect()}
-    least, size = None, 0
-    for step in sorted(steps, reverse=True):
-        size += steps[step]
-        if size > table_size:
-            break
-        least = step
-    if least is None:
+    rows = written(docs.select(text_of(f"`{text_col}`").alias("text"))
+                   .mapInArrow(_summaries(table_size, summary_size), SUMMARY), "token-summaries", wide=True)
+    part = rows.agg(F.max("part")).first()[0]
+    if part is None:
         return {}
-    words = sorted(r["word"] for r in counts.filter(F.col("step") >= least).select("word").collect())
+    while part:
+        rows = rows.groupBy(F.floor(F.col("part") / FAN_IN)).applyInArrow(_merged(table_size), SUMMARY)
+        part //= FAN_IN
+    last = rows.first()
+    words = sorted(most_frequent(dict(zip(last["words"], last["counts"])), table_size))
     return dict(zip(words, TwoTierCounter(path, {}).encode(words)))
 
 
