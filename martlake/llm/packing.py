@@ -21,11 +21,12 @@ many groups) and a row number in each group, so no task gets a whole length.
 Ids are those of the tokenizers library. The same vocabulary as ranks gives
 them several times faster by tiktoken, where both must agree: texts of
 characters whose classes every version of Unicode shares, without the
-vocabulary's special strings. All other texts go to the tokenizers library.
+vocabulary's special strings and of shorter runs of blanks than it refuses. All
+other texts go to the tokenizers library.
 
 Defined results: a null or empty text is one piece that holds ``end_id``
-alone; rows that repeat are packed each for itself; an empty table gives no
-rows; further columns are not read.
+alone; rows that repeat are packed each for itself; texts of any length are
+encoded whole; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -70,11 +71,12 @@ class Encoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of the whole text, as little-endian 32-bit integers."""
-        if UNUSUAL.search(text) or any(s in text for s in self.special):
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-        else:
-            ids = self.fast.encode_to_numpy(text, disallowed_special=())
-        return ids.astype("<u4", copy=False).tobytes()
+        if not (UNUSUAL.search(text) or any(s in text for s in self.special)):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:  # a run of about a million blanks is too long for it
+                pass
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 @functools.lru_cache(maxsize=2)
