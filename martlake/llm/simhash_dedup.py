@@ -27,12 +27,15 @@ in a bucket. Components are found by star contraction of the links.
 Defined results: a null text counts as empty; texts without a word have the
 fingerprint zero and link like any other; a text with fewer words than a
 shingle is one shingle; equal rows link; a null id never becomes a component's
-id unless it holds no other (then null); an empty table gives no rows.
+id unless it holds no other (then null); texts of any length are hashed whole,
+a block of words at a time; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import functools
+import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,37 +57,54 @@ KEY_ROWS, POINT_ROWS = 20_000, 2_000
 SEGMENTS = (22, 21, 21)
 #: Generator polynomial of the Golay code, x^11+x^9+x^7+x^6+x^5+x+1.
 GENERATOR = 0b101011100011
-_BLOCK = 1 << 16
+#: Bytes of a text that are hashed at once.
+_BLOCK = 1 << 20
+_BLANK = re.compile(rb"[\x20\x09-\x0D]")
 
 
 # --- fingerprints -----------------------------------------------------------
 
-def shingle_hashes(text: bytes, words: int = SHINGLE_WORDS) -> list[int]:
-    """XXH64 of each shingle of the text, repeats included."""
+def _word_blocks(text: bytes) -> Iterator[list[bytes]]:
+    """The words of the text, a block of bytes that ends at a blank at a time."""
+    at = 0
+    while at < len(text):
+        m = _BLANK.search(text, at + _BLOCK)
+        end = m.start() if m else len(text)
+        yield text[at:end].lower().split()
+        at = end
+
+
+def shingle_hashes(tokens: list[bytes], words: int = SHINGLE_WORDS) -> np.ndarray:
+    """XXH64 of each shingle of the words, repeats included; of fewer words
+    than a shingle has, of all of them."""
     import xxhash
-    tokens = text.lower().split()
-    if not tokens:
-        return []
     joined = b" ".join(tokens)
+    digest = xxhash.xxh64_intdigest
     if len(tokens) <= words:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
+        return np.array([digest(joined, SEED)], "<u8")
     ends = np.cumsum([len(t) + 1 for t in tokens])
     starts = np.concatenate(([0], ends[:-1]))[: len(tokens) - words + 1].tolist()
     stops = (ends[words - 1:] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], SEED) for a, b in zip(starts, stops)]
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), "<u8", len(starts))
 
 
 def simhash(text: bytes, words: int = SHINGLE_WORDS) -> int:
     """A bit is 1 if it is set in over half of the shingles' hashes."""
-    hashes = np.array(shingle_hashes(text, words), dtype="<u8")
-    if not len(hashes):
-        return 0
-    counts = np.zeros(64, np.int64)
-    for k in range(0, len(hashes), _BLOCK):
-        part = hashes[k:k + _BLOCK].view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    bits = (2 * counts > len(hashes)).astype(np.uint8)
+    counts, total, held = np.zeros(64, np.int64), 0, []
+
+    def count(hashes: np.ndarray) -> int:
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        counts[:] += bits.sum(axis=0, dtype=np.int64)
+        return len(hashes)
+
+    for tokens in _word_blocks(text):
+        held += tokens
+        if len(held) >= words:
+            total += count(shingle_hashes(held, words))
+            held = held[len(held) - words + 1:]
+    if not total and held:
+        total = count(shingle_hashes(held, words))
+    bits = (2 * counts > total).astype(np.uint8)
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
