@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 # cent add up, in the 18 digits that Spark keeps in a long. A product of two
 # is exact in DECIMAL(37,12).
 MONEY = "decimal(18,6)"
-# Type used to accumulate generic doubles exactly (values up to 1e27).
+# Type used to accumulate generic doubles (values up to 1e27, each to ten
+# decimals; what a value has beyond them is rounded before it is added).
 ACCUM = "decimal(38,10)"
 
 
@@ -34,7 +35,7 @@ def money_sum(c) -> Column:
 
 
 def exact_sum(c) -> Column:
-    """Exact, order-independent sum of a double column, as DECIMAL."""
+    """Order-independent sum of a double column, each value to ten decimals, as DECIMAL."""
     return F.sum(col_of(c).cast(ACCUM))
 
 
@@ -48,7 +49,8 @@ def ratio(num, den) -> Column:
 
 
 def exact_mean(c) -> Column:
-    """Mean of a double column from an exact sum; NULL for no values."""
+    """Mean of a double column from the order-independent sum of its values to
+    ten decimals; NULL for no values."""
     return ratio(exact_sum(c), F.count(col_of(c)))
 
 

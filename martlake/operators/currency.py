@@ -10,9 +10,10 @@ so its distinct codes are read at plan time, in code order; callers that know
 their codes pass them.
 
 A price is multiplied by its rate on the decimal values that the doubles show
-(price as
-DECIMAL(21,8), rate as DECIMAL(16,8)) and only the product is rounded, half-up
-to 2 decimals: 1.005 at rate 1 gives 1.01 and 12.345 at 160.25 gives 1978.29.
+(price as DECIMAL(21,8), rate as DECIMAL(30,18), so that small rates keep their
+digits) and the product is rounded half-up to 2 decimals: 1.005 at rate 1 gives
+1.01, 12.345 at 160.25 gives 1978.29 and 10,000,000 at 0.0000392123 gives 392.12.
+Spark holds the product to 12 decimals before that.
 """
 
 from __future__ import annotations
@@ -23,9 +24,8 @@ from pyspark.sql import functions as F
 from martlake.functions.numeric import col_of
 from martlake.functions.scalars import scalar_row
 
-#: Enough digits for a product that is exact in DECIMAL(38,16).
 PRICE_TYPE = "decimal(21,8)"
-RATE_TYPE = "decimal(16,8)"
+RATE_TYPE = "decimal(30,18)"
 
 
 def rates_from_documents(docs: DataFrame, column: str = "value") -> DataFrame:
@@ -58,7 +58,7 @@ def available_currencies(rates: DataFrame, base: str) -> list[str]:
 
 
 def convert(price, rate) -> Column:
-    """C11: price x rate, exact, rounded half-up to 2 decimals, as DOUBLE."""
+    """C11: price x rate, rounded half-up to 2 decimals, as DOUBLE."""
     return F.round(col_of(price).cast(PRICE_TYPE) * col_of(rate).cast(RATE_TYPE), 2).cast("double")
 
 

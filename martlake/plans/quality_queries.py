@@ -62,6 +62,18 @@ def currency_strict(spark, d):
                          strict=True, rates_date=RATES_DATE)
 
 
+SMALL_RATES = {"IRR": 0.0000392123, "TNY": 0.000000001234, "BIG": 123456.789}
+
+
+@query("currency_small_rates", "SELECT o_orderkey, o_totalprice, 'EUR' AS o_totalprice_currency, " + ", ".join(
+    f"CAST(ROUND(CAST(o_totalprice AS DECIMAL(18,6)) * CAST('{rate:.12f}' AS DECIMAL(20,12)), 2) AS DOUBLE) AS o_totalprice_{code}"
+    for code, rate in sorted(SMALL_RATES.items())) + " FROM orders")
+def currency_small_rates(spark, d):
+    """Rates of many decimals and large ones."""
+    orders = T.table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return CUR.enrich_with_currency(orders, CUR.rates_frame(spark, SMALL_RATES), "o_totalprice", sorted(SMALL_RATES))
+
+
 @query("currency_tolerant", with_(PRODUCTS, RATES_SQL) + f"""
 SELECT {_PCOLS}, 'EUR' AS price_currency, {_conv_sql('price', 'USD')}, {_conv_sql('price', 'CZK')}
 FROM products""")

@@ -416,6 +416,14 @@ def test_events_delivered_again_count_once(spark, tmp_path):
     assert sorted(r.event_id for r in spark.read.parquet(out).collect()) == list(range(40))
 
 
+def test_small_and_large_rates_keep_their_digits(spark):
+    from martlake.operators import currency as CUR
+    df = spark.createDataFrame([(1e7,), (0.5,), (None,)], "price double")
+    rates = CUR.rates_frame(spark, {"A": 0.0000392123, "B": 0.000000001234, "C": 1e6})
+    got = CUR.enrich_with_currency(df, rates, "price", ["A", "B", "C"]).collect()
+    assert [tuple(r)[2:] for r in got] == [(392.12, 0.01, 1e13), (0.0, 0.0, 500000.0), (None, None, None)]
+
+
 # ---- sources / sinks -----------------------------------------------------------
 
 def test_extract_csv_missing_and_malformed(spark, tmp_path):
