@@ -1,11 +1,14 @@
 """Document fingerprints: a Merkle tree over paragraphs and sections.
 
-The leaves are blocks of at most ``BLOCK`` code points of a paragraph (a line
-with its line feed), so that a long paragraph, too, shows where it was edited.
+The leaves are pieces of a paragraph (a line with its line feed), cut by content:
+behind a blank that follows a sign of ``[^ g-z]``, after ``LEAF`` code points at
+the latest. So an edit voids the leaves around it only, a text of one line too
+keeps those away from the edit, and an insertion moves no cut but the next ones.
 A paragraph's node is the hash of its leaves; a section ends behind a blank
 paragraph, or where the paragraph's hash begins with 0 or 1, so an edit moves
 no other section's borders; its node is the hash of its paragraphs. The root,
-a SHA-256 of the sections, is equal for equal texts only.
+a SHA-256 of the sections' hashes, is equal for equal texts; hashes below it have
+64 bits, so different texts share a root if two of their pieces collide.
 
 A fingerprint is written as ``root|section/section/...`` with the paragraphs
 of a section separated by ``;`` and their leaves (hash.length) by ``,``. All
@@ -14,13 +17,6 @@ the root down: ``differing_paragraphs`` walks only into sections that differ.
 Their likeness is 1 for equal roots, else twice the code points of common
 leaves (each leaf once) over those of both.
 
-One changed character voids a whole leaf, so that a short text, or a text of
-one line, can lose all of them. ``fine_edited`` and ``fine_next`` are the same
-likeness over finer leaves: pieces cut by content, behind a blank that follows
-a sign of ``[^ g-z]``, of at most ``FINE`` code points. An edit moves the cuts
-of its neighbourhood only. The SQL of the query has the blocks alone, so the
-query does not show them.
-
 Edited texts need the next document by id. Only ids go through the ordering:
 they are dealt by range, followed within each range, and the first ids of the
 ranges (one row each) tie the ends together. Texts are dealt by id once;
@@ -41,8 +37,8 @@ from pyspark.sql import functions as F
 
 from martlake.llm.common import text_of, written
 
-BLOCK = 256
-FINE = 32
+LEAF = 32
+LEAF_PATTERN = f"[^\n]{{0,{LEAF - 2}}}?[^ \ng-z] |[^\n]{{1,{LEAF}}}\n?|\n"
 _NULL_ID = -(1 << 63)
 
 
@@ -52,7 +48,7 @@ def _short(value: Column) -> Column:
 
 def _with_tree(df: DataFrame, text: str, to: str) -> DataFrame:
     """``df`` with ``{to}`` (the fingerprint) and ``{to}_leaves``."""
-    blocks = F.regexp_extract_all(F.col(text), F.lit(f"[^\n]{{1,{BLOCK}}}\n?|\n"), F.lit(0))
+    blocks = F.regexp_extract_all(F.col(text), F.lit(LEAF_PATTERN), F.lit(0))
     df = df.withColumn("_leaves", F.transform(blocks, lambda b: F.concat(
         _short(b), F.lit("."), F.char_length(b).cast("string"),
         F.when(F.endswith(b, F.lit("\n")), F.lit(";")).otherwise(F.lit(",")))))
@@ -70,20 +66,15 @@ def _with_tree(df: DataFrame, text: str, to: str) -> DataFrame:
             .drop("_leaves", "_paragraphs", "_body"))
 
 
-def _fine_leaves(text: Column) -> Column:
-    pieces = F.regexp_extract_all(text, F.lit(f"[^\n]{{0,{FINE - 2}}}?[^ \ng-z] |[^\n]{{1,{FINE}}}\n?|\n"), F.lit(0))
-    return F.transform(pieces, lambda b: F.concat(_short(b), F.lit("."), F.char_length(b).cast("string")))
-
-
 def _length(leaves: Column) -> Column:
     return F.aggregate(leaves, F.lit(0).cast("long"), lambda s, x: s + F.substring_index(x, ".", -1).cast("long"))
 
 
-def likeness(a: str, b: str, leaves: str = "leaves") -> Column:
+def likeness(a: str, b: str) -> Column:
     """Likeness of the fingerprints in columns ``a`` and ``b`` (with their
-    ``_leaves``, or the columns of another suffix), 0 to 1."""
-    la, lb = F.array_distinct(f"{a}_{leaves}"), F.array_distinct(f"{b}_{leaves}")
-    both = 2 * _length(F.array_intersect(f"{a}_{leaves}", f"{b}_{leaves}"))
+    ``_leaves``), 0 to 1."""
+    la, lb = F.array_distinct(f"{a}_leaves"), F.array_distinct(f"{b}_leaves")
+    both = 2 * _length(F.array_intersect(f"{a}_leaves", f"{b}_leaves"))
     return (F.when(_root(F.col(a)) == _root(F.col(b)), F.lit(1.0))
             .otherwise(both / (_length(la) + _length(lb))))
 
@@ -135,8 +126,7 @@ def successors(dealt: DataFrame) -> DataFrame:
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id``, ``n_chars``, ``edited`` (the text
     whose last half is replaced by the next document's beginning),
-    ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``,
-    ``fine_edited``, ``fine_next``."""
+    ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``."""
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"),
                         text_of(f"`{text_col}`").alias("text"))
     half = F.floor(F.char_length("text") / 2).cast("int")
@@ -154,19 +144,14 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         given = given.filter(F.col("h") == F.col("next_h")).dropDuplicates(["k"])
     given = _with_tree(given, "next_text", "next_fp").select(
         "k", F.substring(F.col("next_text"), F.lit(1), F.col("half")).alias("piece"),
-        _root(F.col("next_fp")).alias("next_fp"), "next_fp_leaves",
-        _fine_leaves(F.col("next_text")).alias("next_fp_fine"))
+        _root(F.col("next_fp")).alias("next_fp"), "next_fp_leaves")
     both = texts.join(given, "k").withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     both = both.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half),
         F.substring(F.col("piece"), F.lit(1), half)))
-    both = both.withColumn("fingerprint_fine", _fine_leaves(F.col("text"))).withColumn(
-        "edited_fingerprint_fine", _fine_leaves(F.col("edited")))
     both = _with_tree(_with_tree(both, "text", "fingerprint"), "edited", "edited_fingerprint")
     return both.select(
         F.when(F.col("k") != _NULL_ID, F.col("k")).alias("id"), "n_chars", "edited", "fingerprint",
         "edited_fingerprint", likeness("fingerprint", "edited_fingerprint").alias("near_edited"),
-        likeness("fingerprint", "next_fp").alias("near_next"),
-        likeness("fingerprint", "edited_fingerprint", "fine").alias("fine_edited"),
-        likeness("fingerprint", "next_fp", "fine").alias("fine_next"))
+        likeness("fingerprint", "next_fp").alias("near_next"))

@@ -110,7 +110,7 @@ def op6_quality_mil(spark, sf_dir):
 def _tree_sql(table: str, text: str, to: str) -> str:
     """Leaves, body and root of the texts in ``table``, step by step."""
     return rf"""
-{to}_1 AS (SELECT *, regexp_extract_all({text}, '[^\n]{{1,256}}\n?|\n') AS {to}_blocks FROM {table}),
+{to}_1 AS (SELECT *, regexp_extract_all({text}, '{fingerprints.LEAF_PATTERN}') AS {to}_blocks FROM {table}),
 {to}_2 AS (SELECT *, list_transform({to}_blocks, lambda b: substr(md5(b), 1, 16) || '.' || length(b)) AS {to}_leaves,
                   array_to_string(list_transform({to}_blocks, lambda b: substr(md5(b), 1, 16) || '.' || length(b) ||
                     CASE WHEN ends_with(b, chr(10)) THEN ';' ELSE ',' END), '') AS {to}_flat FROM {to}_1),

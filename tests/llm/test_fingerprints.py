@@ -20,8 +20,14 @@ def tree(text):
     paragraphs = []
     for line in re.findall(r"[^\n]*\n|[^\n]+$", text):
         body, end = line.rstrip("\n"), line.endswith("\n")
-        blocks = [body[i:i + M.BLOCK] for i in range(0, len(body), M.BLOCK)] or [""]
-        if end:
+        blocks, now = [], ""
+        while body:   # up to the first cut that is not too far, else the longest leaf
+            cut = next((n for n in range(2, M.LEAF + 1) if body[n - 1:n] == " " and re.fullmatch("[^ g-z]", body[n - 2])), M.LEAF)
+            blocks.append(body[:cut])
+            body = body[cut:]
+        if end and (not blocks or re.search("[^ g-z] $", blocks[-1])):
+            blocks.append("\n")   # behind a cut the line feed is a leaf of its own
+        elif end:
             blocks[-1] += "\n"
         leaves = [f"{short(b)}.{len(b)}" for b in blocks]
         paragraphs.append((",".join(leaves) + (";" if end else ","), leaves, line == "\n"))
@@ -127,16 +133,16 @@ def test_short_one_line_texts_are_near_their_edits(spark):
         lines.append(line[:n])
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
     for r in M.edited_fingerprints(df).collect():
-        assert r["fine_edited"] > .25 and r["fine_next"] < .15
+        assert r["near_edited"] > .25 and r["near_next"] < .15
     # An insertion early in a long line moves the cuts near it only.
     text = " ".join(word() for _ in range(300))
-    two = spark.createDataFrame([(text, "x" + text)], "a string, b string").select(
-        M._fine_leaves(F.col("a")).alias("a_fine"), M._fine_leaves(F.col("b")).alias("b_fine"),
-        F.lit("1|").alias("a"), F.lit("2|").alias("b"))
-    assert two.select(M.likeness("a", "b", "fine").alias("x")).first()["x"] > .9
+    two = M.fingerprints(spark.createDataFrame([(0, text), (1, "x" + text)], "doc_id long, text string")).collect()
+    pair = spark.createDataFrame([(two[0][1], two[0][2], two[1][1], two[1][2])], "a string, a_leaves array<string>, b string, b_leaves array<string>")
+    assert pair.select(M.likeness("a", "b").alias("x")).first()["x"] > .9
 
 
-def test_fine_leaves_cover_the_text(spark):
-    df = spark.createDataFrame([(t or "",) for t in texts(random.Random(6), 20)], "t string")
-    for r in df.select(F.char_length("t").alias("n"), M._length(M._fine_leaves(F.col("t"))).alias("m")).collect():
+def test_leaves_cover_the_text(spark):
+    df = spark.createDataFrame([(i, t or "") for i, t in enumerate(texts(random.Random(6), 20))], "doc_id long, text string")
+    for r in M.fingerprints(df).join(df, F.col("id") == F.col("doc_id")).select(
+            F.char_length("text").alias("n"), M._length(F.col("fingerprint_leaves")).alias("m")).collect():
         assert r["n"] == r["m"]
