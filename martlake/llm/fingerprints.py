@@ -20,7 +20,7 @@ leaves (each leaf once) over those of both.
 Edited texts need the next document by id. Only ids go through the ordering:
 they are dealt by range, followed within each range, and the first ids of the
 ranges (one row each) tie the ends together. Texts are dealt by id once;
-each then passes the half that its predecessor asks for on to it.
+each then passes on to its predecessor.
 
 Defined results: a null text counts as empty; the empty text has the root of
 no sections and no leaves, and is wholly like another empty text; a null id is
@@ -129,11 +129,9 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``fingerprint``, ``edited_fingerprint``, ``near_edited``, ``near_next``."""
     texts = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(_NULL_ID)).alias("k"),
                         text_of(f"`{text_col}`").alias("text"))
-    half = F.floor(F.char_length("text") / 2).cast("int")
-    ids = in_order(texts.select("k", F.xxhash64("text").alias("h"), half.alias("half"))
-                   .groupBy("k").agg(F.min("h").alias("h"), F.max("half").alias("half"),
-                                     F.count(F.lit(1)).alias("n")))
-    follow = successors(ids).join(ids.select("k", "half"), "k")
+    ids = in_order(texts.select("k", F.xxhash64("text").alias("h"))
+                   .groupBy("k").agg(F.min("h").alias("h"), F.count(F.lit(1)).alias("n")))
+    follow = successors(ids)
     giver = texts.withColumnRenamed("k", "next_k").withColumnRenamed("text", "next_text")
     repeats = bool(ids.filter("n > 1").limit(1).count())
     if repeats:
@@ -142,14 +140,13 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     given = giver.join(follow, "next_k")
     if repeats:
         given = given.filter(F.col("h") == F.col("next_h")).dropDuplicates(["k"])
-    given = _with_tree(given, "next_text", "next_fp").select(
-        "k", F.substring(F.col("next_text"), F.lit(1), F.col("half")).alias("piece"),
-        _root(F.col("next_fp")).alias("next_fp"), "next_fp_leaves")
-    both = texts.join(given, "k").withColumn("n_chars", F.char_length("text").cast("long"))
+    # The text goes to its predecessor, which makes its leaves: they are longer than the text.
+    both = texts.join(given.select("k", "next_text"), "k").withColumn("n_chars", F.char_length("text").cast("long"))
     half = F.floor(F.col("n_chars") / 2).cast("int")
     both = both.withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), F.col("n_chars").cast("int") - half),
-        F.substring(F.col("piece"), F.lit(1), half)))
+        F.substring(F.col("next_text"), F.lit(1), half)))
+    both = _with_tree(both, "next_text", "next_fp")
     both = _with_tree(_with_tree(both, "text", "fingerprint"), "edited", "edited_fingerprint")
     return both.select(
         F.when(F.col("k") != _NULL_ID, F.col("k")).alias("id"), "n_chars", "edited", "fingerprint",
