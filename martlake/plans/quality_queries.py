@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from martlake.operators import currency as CUR
 from martlake.operators import quality as Q
+from martlake.operators import rules as R
 from martlake.plans.registry import query
 from martlake.plans.sql_helpers import CUSTOMERS, PRODUCTS, with_
 from martlake.sources import tables as T
@@ -145,6 +146,41 @@ def quality_rules(spark, d):
     return Q.config_report(T.products(spark, d), RULES_CONFIG)
 
 
+# Rules of the line items: nested conditions, two columns of a row, and rows
+# against other rows and other tables.
+RULE_TREES = [
+    {"name": "tax_within_discount", "check": "compare", "left": "l_tax", "op": "<=", "right": "l_discount"},
+    {"name": "line_once", "check": "unique", "columns": ["l_orderkey", "l_linenumber"]},
+    {"name": "cheap_part_known", "check": "foreign_key", "columns": ["l_partkey"], "references": "cheap_parts", "keys": ["p_partkey"]},
+    {"name": "large_or_reduced", "any": [{"column": "l_quantity", "check": "min", "value": 10},
+                                         {"not": {"column": "l_discount", "check": "max", "value": 0.05}}]},
+    {"name": "returned_or_once_and_known", "any": [
+        {"column": "l_returnflag", "check": "in_set", "values": ["R"]},
+        {"all": [{"check": "unique", "columns": ["l_orderkey", "l_linenumber"]},
+                 {"check": "foreign_key", "columns": ["l_partkey"], "references": "cheap_parts", "keys": ["p_partkey"]},
+                 {"not": {"check": "unique", "columns": ["l_suppkey", "l_shipdate"]}}]}]},
+]
+
+
+@query("quality_rule_tree", """
+WITH f AS (SELECT COALESCE(l_tax <= l_discount, true) AS tax_ok,
+                  COUNT(*) OVER (PARTITION BY l_orderkey, l_linenumber) = 1 OR l_orderkey IS NULL OR l_linenumber IS NULL AS once,
+                  l_partkey IS NULL OR l_partkey IN (SELECT p_partkey FROM part WHERE p_retailprice < 950 AND p_partkey IS NOT NULL) AS known,
+                  COALESCE(l_quantity >= 10, true) OR COALESCE(l_discount > 0.05, false) AS large,
+                  COALESCE(l_returnflag = 'R', false) AS returned,
+                  COUNT(*) OVER (PARTITION BY l_suppkey, l_shipdate) = 1 OR l_suppkey IS NULL OR l_shipdate IS NULL AS alone
+           FROM lineitem)
+SELECT 'tax_within_discount' AS rule, COUNT(*) FILTER (WHERE NOT tax_ok) AS failures FROM f
+UNION ALL SELECT 'line_once', COUNT(*) FILTER (WHERE NOT once) FROM f
+UNION ALL SELECT 'cheap_part_known', COUNT(*) FILTER (WHERE NOT known) FROM f
+UNION ALL SELECT 'large_or_reduced', COUNT(*) FILTER (WHERE NOT large) FROM f
+UNION ALL SELECT 'returned_or_once_and_known', COUNT(*) FILTER (WHERE NOT (returned OR (once AND known AND NOT alone))) FROM f""")
+def quality_rule_tree(spark, d):
+    """Q7: nested rules, uniqueness and a foreign key in one report."""
+    cheap = T.table(spark, d, "part").where("p_retailprice < 950").select("p_partkey")
+    return R.tree_report(T.table(spark, d, "lineitem"), RULE_TREES, {"cheap_parts": cheap})
+
+
 @query("dead_letter", with_(PRODUCTS) + f"""
 , r AS (SELECT *, concat_ws(',',
           CASE WHEN price <= 0 OR price > 10000 THEN 'suspicious_price' END,
