@@ -10,9 +10,12 @@ with the rest by gradient descent (Adam, fixed seed, numpy).
 
 Training rows: labelled rows whose crc32(doc_id as text) mod 5 is not 0, at
 most ``TRAIN_ROWS`` of each label in the order of a hash of their id, texts of
-at most ``TRAIN_BYTES`` bytes. That bounds what reaches the driver; the labels
-are weighed back to their shares among all such rows. Every row is scored, on
-its whole text, by tasks that hold one batch at a time. Only texts are inputs.
+any length. Tasks read the whole texts and describe their passages; a text of
+more than ``TRAIN_PASSAGES`` of them gives that many, in the order of a hash of
+their number, so that they lie all over the text. The two bounds hold what
+reaches the driver (descriptions, no texts) below 113 MB; the labels are weighed
+back to their shares among all such rows. Every row is scored, on all passages
+of its whole text, by tasks that hold one batch at a time. Only texts are inputs.
 
 Defined results: null and empty texts, and texts of blanks, are a bag of one
 empty passage and get its score; rows that repeat get equal scores; without
@@ -23,6 +26,7 @@ empty table gives no rows; further columns are carried and never read.
 from __future__ import annotations
 
 import string
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -33,7 +37,7 @@ from martlake.llm.common import ship, text_of
 
 PASSAGE_WORDS = 64
 TRAIN_ROWS = 2500
-TRAIN_BYTES = 100_000
+TRAIN_PASSAGES = 128
 THRESHOLD = 0.3
 FOLDS = 5
 HIDDEN = 16
@@ -66,10 +70,18 @@ def passage_features(words: list[bytes]) -> list[float]:
     return out
 
 
-def bag(text: str) -> np.ndarray:
+def passages(words: int, most: int | None = None):
+    """First words of all passages, or of ``most`` in the order of a hash."""
+    at = range(0, max(1, words), PASSAGE_WORDS)
+    if most is None or len(at) <= most:
+        return at
+    return sorted(sorted(at, key=lambda k: (zlib.crc32(b"%d" % k), k))[:most])
+
+
+def bag(text: str, most: int | None = None) -> np.ndarray:
+    """The descriptions of the passages, one in a row."""
     words = text.encode("utf-8", "replace").split()
-    return np.array([passage_features(words[k:k + PASSAGE_WORDS])
-                     for k in range(0, max(1, len(words)), PASSAGE_WORDS)], np.float32)
+    return np.array([passage_features(words[k:k + PASSAGE_WORDS]) for k in passages(len(words), most)], np.float32)
 
 
 # --- the model --------------------------------------------------------------
@@ -167,17 +179,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
              .select(F.col(f"`{id_col}`").cast("long").alias("id"),
                      F.col(f"`{label_col}`").cast("int").alias("label")))
     shares = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    texts = (docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(f"`{text_col}`").alias("text"))
-             .filter(F.octet_length("text") <= TRAIN_BYTES))
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), text_of(f"`{text_col}`").alias("text"))
+    ship(docs.sparkSession)
+
+    @F.pandas_udf("binary")
+    def described(text: pd.Series) -> pd.Series:
+        return text.map(lambda t: bag(t, TRAIN_PASSAGES).tobytes())
     got = []
     for label in sorted(shares):
         some = known.filter(F.col("label") == label).orderBy(F.xxhash64("id"), "id").limit(rows)
-        got += (texts.join(F.broadcast(some), "id").orderBy(F.xxhash64("id"), "id", "text")
-                .limit(rows).collect())
+        got += (texts.join(F.broadcast(some), "id").select("id", "label", described("text").alias("bag"))
+                .orderBy(F.xxhash64("id"), "id", "bag").limit(rows).collect())
     y = np.array([r["label"] for r in got], float)
     seen = {k: max(1, int((y == k).sum())) for k in shares}
     weight = np.array([shares[r["label"]] / seen[r["label"]] for r in got])
-    return fit([bag(r["text"]) for r in got], y, weight, steps)
+    return fit([np.frombuffer(r["bag"], np.float32).reshape(-1, FEATURES) for r in got], y, weight, steps)
 
 
 def scorer(docs: DataFrame, model: dict):

@@ -1,13 +1,16 @@
 """Each pipeline stage against a brute-force version of it on its own input."""
 
+import math
 import re
 
+import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline as P
-from martlake.llm import common, mixing, packing, quality_classifier
+from martlake.llm import common, packing, quality_classifier
 from tests.conftest import SF_SMALL
+from tests.llm.test_mixing import resharing, walk
 from tests.llm.test_simhash_dedup import brute_fp, brute_roots
 
 
@@ -32,11 +35,27 @@ def test_order_and_columns(stages):
     assert P.ORACLE_SQL is None
 
 
+def plain_score(m, text):
+    """The model on one text, passage by passage."""
+    words = (text or "").encode("utf-8", "replace").split()
+    hidden, gates = [], []
+    for k in range(0, max(1, len(words)), quality_classifier.PASSAGE_WORDS):
+        x = np.array(quality_classifier.passage_features(words[k:k + quality_classifier.PASSAGE_WORDS]), np.float32)
+        h = np.tanh(((x - m["mean"]) / m["scale"]) @ m["W"] + m["c"])
+        hidden.append(h)
+        gates.append(sum(w * math.tanh(t) / (1 + math.exp(-u)) for w, t, u in zip(m["w"], h @ m["V"], h @ m["U"])))
+    shares = [math.exp(g - max(gates)) for g in gates]
+    z = sum(a * h for a, h in zip(shares, hidden)) / sum(shares)
+    return 1 / (1 + math.exp(-(z @ m["v"] + m["b"])))
+
+
 def test_quality(spark, stages):
     docs = spark.createDataFrame(stages[0], "doc_id long, text string, lang string, source string, n_chars long")
-    scores = quality_classifier.quality_scores(docs, common.read_table(spark, SF_SMALL, "labels")).collect()
-    good = {r["id"] for r in scores if r["predicted"]}
-    assert {r["doc_id"] for r in stages[1]} == good and len(stages[1]) == len(good)
+    model = quality_classifier.train(docs, common.read_table(spark, SF_SMALL, "labels"))
+    scores = {r["doc_id"]: plain_score(model, r["text"]) for r in stages[0]}
+    assert all(abs(s - quality_classifier.THRESHOLD) > 1e-9 for s in scores.values())
+    assert sorted(stages[1], key=repr) == sorted(
+        (r for r in stages[0] if scores[r["doc_id"]] > quality_classifier.THRESHOLD), key=repr)
 
 
 def test_exact_dedup(stages):
@@ -52,11 +71,20 @@ def test_near_dedup(stages):
     assert sorted(stages[3]) == sorted(r for k, r in enumerate(rows) if roots[k] == k)
 
 
-def test_mixing(spark, stages):
-    docs = spark.createDataFrame(stages[3], "doc_id long, text string, lang string, source string, n_chars long")
-    copies = {r["id"]: r["copies"] for r in mixing.mix_counts(docs).collect()}
-    want = [r for r in stages[3] for _ in range(copies[r["doc_id"]])]
-    assert sorted(stages[4], key=repr) == sorted(want, key=repr)
+def test_mixing(stages):
+    by = {}
+    for r in stages[3]:
+        by.setdefault(r["source"], []).append(r)
+    size = {r["doc_id"]: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for r in stages[3]}
+    target = resharing({s: sum(size[r["doc_id"]] for r in rows) for s, rows in by.items()})
+    copies = {}
+    for r in stages[4]:
+        copies[r["doc_id"]] = copies.get(r["doc_id"], 0) + 1
+        assert r in by[r["source"]]
+    for s, rows in by.items():
+        taken = walk([(r["doc_id"], r["text"]) for r in rows], target[s])
+        assert {i: w // size[i] for i, w in taken.items() if w} == {
+            r["doc_id"]: copies[r["doc_id"]] for r in rows if r["doc_id"] in copies}
 
 
 def test_packing(stages):

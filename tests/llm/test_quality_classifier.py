@@ -59,6 +59,36 @@ def test_learns_from_passages_and_leaves_the_fold_out(spark):
     assert all(again[i] == got[i]["score"] for i in got)
 
 
+def test_passages_of_long_texts_are_spread_over_the_whole_text():
+    for n in (64 * 129, 64 * 1000 + 5, 64 * 30_000):
+        at = Q.passages(n, 128)
+        assert len(set(at)) == 128 and at == sorted(at) and all(k % 64 == 0 and k < n for k in at)
+        tenths = np.histogram(at, 10, (0, n))[0]
+        assert tenths.min() >= 3 and tenths.max() <= 30, tenths
+    assert list(Q.passages(0, 128)) == [0] and list(Q.passages(64 * 128, 128)) == list(Q.passages(64 * 128))
+    text = " ".join(f"w{i}" for i in range(64 * 300))
+    every = Q.bag(text)
+    assert (Q.bag(text, 128) == every[[k // 64 for k in Q.passages(64 * 300, 128)]]).all()
+
+
+def test_learns_from_long_texts_alone(spark):
+    """Every labelled text is longer than any bound on bytes of the fit was."""
+    rng = random.Random(5)
+    docs, labels = [], []
+    for i in range(60):
+        bad = i % 2
+        words = [rng.choice(["plain", "words", "here"]) for _ in range(20_000)]
+        if bad:
+            words[::3] = ["SPAM!!"] * len(words[::3])
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1 - bad))
+    assert min(len(t) for _, t in docs) > 100_000
+    d = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = Q.quality_scores(d, spark.createDataFrame(labels, "doc_id long, quality int")).collect()
+    truth = dict(labels)
+    assert all(r["predicted"] == truth[r["id"]] for r in got)
+
+
 def test_odd_rows(spark):
     docs, labels = corpus(60)
     odd = [(900, None), (901, ""), (902, " \n"), (None, "some text"), (903, "x" * 50000), (904, "w " * 30000), (0, docs[0][1])]
