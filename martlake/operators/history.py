@@ -208,6 +208,25 @@ def apply_changes(current: DataFrame, updates: DataFrame, key: str, order: str)
     return u.groupBy(key).agg(best.alias("_r")).select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
 
 
+def write_keyed(df: DataFrame, path: str, key: str, buckets: int) -> None:
+    """A table with one row per key as ``buckets`` folders by hash of the key,
+    a few files each."""
+    (df.withColumn("bucket", _bucket(key, buckets)).hint("rebalance", F.col("bucket"))
+     .write.mode("overwrite").partitionBy("bucket").parquet(path))
+
+
+def apply_changes_to(spark, path: str, updates: DataFrame, key: str, order: str, buckets: int) -> None:
+    """H5 on a kept table: :func:`apply_changes` into the table that
+    :func:`write_keyed` made. Only folders of buckets with an updated key are
+    read and replaced, each at the commit of the job; all others keep their
+    files. A rerun of the same updates changes no row. Updates without a row
+    touch nothing; a NULL key is a key of its own."""
+    old = touched_buckets(spark.read.parquet(path), updates, key, buckets).drop("bucket")
+    (apply_changes(old, updates, key, order).withColumn("bucket", _bucket(key, buckets))
+     .hint("rebalance", F.col("bucket")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+
+
 def with_default_columns(df: DataFrame, columns: dict) -> DataFrame:
     """H6: add columns ``{name: (type, default)}``; existing rows read the
     default (as ``ADD COLUMN ... DEFAULT`` does)."""

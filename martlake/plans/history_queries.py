@@ -97,7 +97,8 @@ def asof_lookup(spark, d):
                          ["event_type", "value"])
 
 
-@query("apply_updates", with_(CHANGES_SQL) + f"""
+BUCKETS = 16
+_UPDATED_SQL = with_(CHANGES_SQL) + f"""
 , cur AS (SELECT user_id, value, valid_from AS changed_at FROM hist
           WHERE valid_from <= TIMESTAMP '{STATE_TS}' AND (valid_to IS NULL OR valid_to > TIMESTAMP '{STATE_TS}')
           QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY valid_from DESC, change_seq DESC) = 1)
@@ -105,16 +106,35 @@ def asof_lookup(spark, d):
           WHERE ts > TIMESTAMP '{STATE_TS}' AND event_type = 'purchase')
 , u AS (SELECT *, 0 AS src FROM cur UNION ALL SELECT *, 1 FROM upd)
 SELECT user_id, value, changed_at FROM u
-QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY changed_at DESC, src DESC) = 1""")
-def apply_updates(spark, d):
-    """H5: later purchase values applied to the state at a timestamp."""
+QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY changed_at DESC, src DESC) = 1"""
+
+
+def _state_and_updates(spark, d):
     cur = (H.state_at(history(spark, d), "user_id", F.expr(f"TIMESTAMP_NTZ '{STATE_TS}'"))
            .select("user_id", "value", F.col("valid_from").alias("changed_at")))
     e = T.events(spark, d)
     upd = (e.where((F.col("ts") > F.expr(f"TIMESTAMP_NTZ '{STATE_TS}'")) &
                    (F.col("event_type") == "purchase"))
            .select("user_id", "value", F.col("ts").alias("changed_at")))
-    return H.apply_changes(cur, upd, "user_id", "changed_at")
+    return cur, upd
+
+
+@query("apply_updates", _UPDATED_SQL)
+def apply_updates(spark, d):
+    """H5: later purchase values applied to the state at a timestamp."""
+    return H.apply_changes(*_state_and_updates(spark, d), "user_id", "changed_at")
+
+
+@query("apply_updates_kept", _UPDATED_SQL)
+def apply_updates_kept(spark, d):
+    """H5 kept up: the state as a table, the updates applied to it in two
+    deliveries; equals one merge of all."""
+    cur, upd = _state_and_updates(spark, d)
+    path = scratch_path(spark, "kept-state")
+    H.write_keyed(cur, path, "user_id", BUCKETS)
+    for k in range(2):
+        H.apply_changes_to(spark, path, upd.where(F.pmod("user_id", F.lit(2)) == k), "user_id", "changed_at", BUCKETS)
+    return spark.read.parquet(path).drop("bucket")
 
 
 @query("add_column_default", with_(PRODUCTS) + """
@@ -208,9 +228,6 @@ def orphan_rows(spark, d):
     return out
 
 
-BUCKETS = 16
-
-
 @query("history_merge", with_(CHANGES_SQL) + "SELECT * FROM hist")
 def history_merge(spark, d):
     """H1 / W3 / W4 kept up: a history of the changes up to a time, merged

@@ -76,6 +76,29 @@ def test_untouched_buckets_are_neither_read_nor_written(spark, tmp_path):
     assert listed(spark.read.parquet(path)) == listed(H.build_history(frame(spark, rows + new), *NAMES))
 
 
+def test_updates_replace_only_touched_buckets(spark, tmp_path):
+    """Old and new keys, ties to the update, older updates, repeats, a NULL
+    key; other buckets keep their files; a rerun and no updates change nothing."""
+    path, schema = str(tmp_path / "state"), "k int, v string, at int"
+    rows = lambda df: sorted(map(repr, df.select("k", "v", "at").collect()))
+    current = spark.createDataFrame([(i, f"v{i}", 5) for i in range(60)] + [(None, "none", 5)], schema)
+    new = spark.createDataFrame([(3, "tie", 5), (4, "late", 1), (5, "x", 8), (5, "y", 9), (700, "new", 2), (None, "some", 6)], schema)
+    want = rows(H.apply_changes(current, new, "k", "at"))
+    H.write_keyed(current.repartition(5), path, "k", 32)
+    before = files(path)
+    H.apply_changes_to(spark, path, new, "k", "at", 32)
+    hit = {r[0] for r in new.select(H._bucket("k", 32)).distinct().collect()}
+    kept = {f for f in before if not any(f"bucket={b}/" in f for b in hit)}
+    assert kept and {f: files(path).get(f) for f in kept} == {f: before[f] for f in kept}
+    assert not {f for f in before if f not in kept and f.endswith(".parquet")} & set(files(path))
+    assert rows(spark.read.parquet(path)) == want
+    H.apply_changes_to(spark, path, new, "k", "at", 32)
+    assert rows(spark.read.parquet(path)) == want
+    again = files(path)
+    H.apply_changes_to(spark, path, new.limit(0), "k", "at", 32)
+    assert {f: n for f, n in files(path).items() if "bucket=" in f} == {f: n for f, n in again.items() if "bucket=" in f}
+
+
 def test_versions_replace_and_commit_times(spark, tmp_path):
     p = str(tmp_path / "t")
     one = spark.createDataFrame([(1, "a")], "id int, v string")
