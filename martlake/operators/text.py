@@ -106,33 +106,48 @@ def top_words_by_summary(df: DataFrame, k: int = 20, text: str = "text", tokeniz
 
 
 def remove_stop_words(tokens: Column, stop_words=STOP_WORDS) -> Column:
-    """Drop stop words from a token array (a literal list — its size is
-    fixed, not data dependent)."""
-    sw = F.array(*[F.lit(w) for w in stop_words])
-    return F.filter(tokens, lambda w: ~F.array_contains(sw, w))
+    """Drop stop words from a token array (literals looked up in a hash
+    set — their number is fixed, not data dependent)."""
+    return F.filter(tokens, lambda w: ~w.isin(list(stop_words)))
 
 
-def ngrams(tokens: Column, n: int = 2) -> Column:
-    """Adjacent n-grams of a token array joined by a blank.
+def ngrams(df: DataFrame, tokens, n: int = 2) -> DataFrame:
+    """(ngram), one row for each n adjacent tokens of an array, joined by
+    a blank.
 
-    Built from n shifted views of the array combined element-wise
-    (``zip_with``), so each text is walked a constant number of times.
+    Built from n shifted views of the array, zipped and put in rows; the
+    words of a row are joined there, once. No lambda runs for a position, so
+    all of it is generated code, and a row holds n words, never the array: a
+    text is walked a constant number of times.
     """
-    m = F.size(tokens) - F.lit(n - 1)          # number of n-grams
-    out = F.slice(tokens, 1, m)
-    for k in range(1, n):
-        out = F.zip_with(out, F.slice(tokens, k + 1, m), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.when(m > 0, out).otherwise(F.array().cast("array<string>"))
+    # materialise the token array once per text: an inline expression would
+    # be evaluated again for each view
+    df, tok = df.select(col_of(tokens).alias("_tok")), F.col("_tok")
+    m = F.greatest(F.size(tok) - F.lit(n - 1), F.lit(0))          # number of n-grams
+    words = df.select(F.inline(F.arrays_zip(*[F.slice(tok, k + 1, m) for k in range(n)])))
+    blank_and_word = [c for k in range(1, n) for c in (F.lit(" "), words[str(k)])]
+    return words.select(F.concat(words["0"], *blank_and_word).alias("ngram"))
+
+
+PIECE_BYTES = 8 << 20
+
+
+def in_pieces(df: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """The texts, all of them, dealt out evenly: about ``piece_bytes`` of UTF-8 to a task."""
+    size = df.agg(F.sum(F.octet_length(col_of(text)))).first()[0] or 0
+    return df.select(col_of(text)).repartition(max(1, -(-size // piece_bytes)))
 
 
 def ngram_counts(df: DataFrame, text: str = "text", n: int = 2, drop_stop_words: bool = True,
-                 tokenizer: str = "nonword") -> DataFrame:
-    """(ngram, count): n-grams inside each text (they never span texts)."""
+                 tokenizer: str = "nonword", piece_bytes: int = PIECE_BYTES) -> DataFrame:
+    """(ngram, count): n-grams inside each text (they never span texts).
+
+    Most n-grams of a text occur once, so the map-side combine of a task holds
+    about as many keys as its texts have words. The texts are dealt out in
+    small pieces first: whole file splits fill a task's memory, and the
+    combine then sorts and spills strings.
+    """
     tok = TOKENIZERS[tokenizer](text)
     if drop_stop_words:
         tok = remove_stop_words(tok)
-    # materialise the token array once per text: referenced inside the
-    # per-position lambda, an inline expression would be re-split per position
-    return (df.select(tok.alias("_tok"))
-            .select(F.explode(ngrams(F.col("_tok"), n)).alias("ngram"))
-            .groupBy("ngram").agg(F.count(F.lit(1)).alias("count")))
+    return ngrams(in_pieces(df, text, piece_bytes), tok, n).groupBy("ngram").agg(F.count(F.lit(1)).alias("count"))

@@ -3,6 +3,7 @@ columns) that the generated tables cannot show."""
 
 import math
 import random
+import re
 import statistics
 
 import pytest
@@ -337,6 +338,42 @@ def test_ngrams_stay_inside_text(spark):
     assert got == {"cat sat": 1}
 
 
+def _plain_ngrams(texts, n, stop):
+    """Counts of n-grams by a plain loop over words of letters a to z."""
+    out = {}
+    for t in texts:
+        w = [x for x in re.findall("[a-z]+", (t or "").lower()) if x not in stop]
+        for i in range(len(w) - n + 1):
+            g = " ".join(w[i:i + n])
+            out[g] = out.get(g, 0) + 1
+    return out
+
+
+def test_ngrams_equal_a_plain_loop(spark):
+    texts = [None, "", "The of", "cat", "a cat sat", "cat sat on the mat, cat sat on it", "Cat SAT on the mat!"] \
+        + ["cat sat mat " * 50] * 3
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for n, drop, size in ((1, True, 200), (2, False, 200), (3, True, 200), (3, True, TX.PIECE_BYTES)):
+        want = _plain_ngrams(texts, n, TX.STOP_WORDS if drop else ())
+        got = TX.ngram_counts(df, "text", n, drop, piece_bytes=size).collect()
+        assert {r.ngram: r["count"] for r in got} == want and len(got) == len(want), (n, drop, size)
+    assert TX.ngram_counts(df.limit(0), "text", 3).collect() == []
+
+
+def test_ngrams_are_counted_in_pieces_without_lambdas(spark):
+    """However few file splits there are, a task counts a bounded piece of
+    text, and what runs for each n-gram is generated code."""
+    df = spark.createDataFrame([("cat sat mat " * 100,)] * 64, "text string").coalesce(1)
+    assert TX.in_pieces(df, "text", 4800).rdd.getNumPartitions() == 16
+    assert TX.in_pieces(df, "text").count() == 64
+    rows = TX.ngrams(TX.in_pieces(df, "text", 4800), F.split("text", " "), 3)
+    sizes = [len(p) for p in rows.rdd.glom().collect()]
+    assert len(sizes) == 16 and max(sizes) <= 2 * sum(sizes) / 16, sizes
+    plan = TX.ngram_counts(df, "text", 3, piece_bytes=4800)._jdf.queryExecution().executedPlan().toString()
+    generate = [x for x in plan.splitlines() if "Generate " in x]
+    assert len(generate) == 1 and "lambda" not in generate[0] and "RoundRobinPartitioning" in plan, plan
+
+
 # ---- streaming ------------------------------------------------------------------
 
 def test_late_event_beyond_watermark_is_dropped(spark, tmp_path):
