@@ -129,13 +129,19 @@ def ngrams(df: DataFrame, tokens, n: int = 2) -> DataFrame:
     return words.select(F.concat(words["0"], *blank_and_word).alias("ngram"))
 
 
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 20 << 20
 
 
 def in_pieces(df: DataFrame, text: str = "text", piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """The texts, all of them, dealt out evenly: about ``piece_bytes`` of UTF-8 to a task."""
-    size = df.agg(F.sum(F.octet_length(col_of(text)))).first()[0] or 0
-    return df.select(col_of(text)).repartition(max(1, -(-size // piece_bytes)))
+    """The texts, all of them. If a partition of ``df`` holds over twice
+    ``piece_bytes`` of UTF-8, they are dealt out evenly, about ``piece_bytes``
+    to a task; else they stay where they are, without a shuffle."""
+    texts = df.select(col_of(text))
+    sizes = texts.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length(col_of(text))).alias("size"))
+    size, largest = sizes.agg(F.sum("size"), F.max("size")).first()
+    if (largest or 0) <= 2 * piece_bytes:
+        return texts
+    return texts.repartition(-(-size // piece_bytes))
 
 
 def ngram_counts(df: DataFrame, text: str = "text", n: int = 2, drop_stop_words: bool = True,
@@ -143,9 +149,9 @@ def ngram_counts(df: DataFrame, text: str = "text", n: int = 2, drop_stop_words:
     """(ngram, count): n-grams inside each text (they never span texts).
 
     Most n-grams of a text occur once, so the map-side combine of a task holds
-    about as many keys as its texts have words. The texts are dealt out in
-    small pieces first: whole file splits fill a task's memory, and the
-    combine then sorts and spills strings.
+    about as many keys as its texts have words. Large file splits are dealt
+    out in small pieces first: they would fill a task's memory, and the combine
+    would sort and spill strings.
     """
     tok = TOKENIZERS[tokenizer](text)
     if drop_stop_words:

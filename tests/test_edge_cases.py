@@ -365,7 +365,8 @@ def test_ngrams_are_counted_in_pieces_without_lambdas(spark):
     text, and what runs for each n-gram is generated code."""
     df = spark.createDataFrame([("cat sat mat " * 100,)] * 64, "text string").coalesce(1)
     assert TX.in_pieces(df, "text", 4800).rdd.getNumPartitions() == 16
-    assert TX.in_pieces(df, "text").count() == 64
+    assert TX.in_pieces(df, "text").rdd.getNumPartitions() == 1 and TX.in_pieces(df, "text").count() == 64
+    assert TX.in_pieces(df.limit(0), "text").count() == 0
     rows = TX.ngrams(TX.in_pieces(df, "text", 4800), F.split("text", " "), 3)
     sizes = [len(p) for p in rows.rdd.glom().collect()]
     assert len(sizes) == 16 and max(sizes) <= 2 * sum(sizes) / 16, sizes
